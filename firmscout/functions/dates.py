@@ -7,8 +7,6 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from firmscout.functions.text import strip
-
 # Accepted spellings (shape, format) and the texts that mean "no date".
 DATE_SHAPES = [
     ("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"),
@@ -18,19 +16,26 @@ DATE_SHAPES = [
 NO_DATE = ["", "0", "0000-00-00", "00-00-0000", "0000/00/00"]
 
 
-def parse_date(value: Column) -> Column:
-    """Date of the text, null when it is a placeholder or in no known spelling.
+def parse_date(text: Column) -> Column:
+    """Date of a clean text, null when it is a placeholder or in no known spelling.
 
     The shape is tested first, so that the date parser (which signals failure by
     an exception per row) only sees texts of its own format.
     """
-    text = strip(value)
-    parsed = F.lit(None).cast("date")
-    for shape, fmt in DATE_SHAPES:
-        parsed = F.when(text.rlike(shape), F.try_to_date(text, fmt)).otherwise(parsed)
-    return F.when(~text.isin(NO_DATE), parsed)
+    known = [F.when(text.rlike(shape), F.try_to_date(text, fmt)) for shape, fmt in DATE_SHAPES]
+    return F.when(~text.isin(NO_DATE), F.coalesce(*known))
 
 
 def age_months(start: Column, as_of: date) -> Column:
     """Whole calendar months from a date column to ``as_of``; days do not count."""
     return F.lit(as_of.year * 12 + as_of.month) - (F.year(start) * 12 + F.month(start))
+
+
+def first_young_day(as_of: date, max_months: int) -> date:
+    """The first start date whose age at ``as_of`` is at most ``max_months``.
+
+    Ages count calendar months, so this is the first of a month; comparing dates
+    with it needs no age per row.
+    """
+    month = as_of.year * 12 + as_of.month - 1 - max_months
+    return date(month // 12, month % 12 + 1, 1) if month >= 12 else date.min

@@ -1,12 +1,16 @@
 """Cleaning of identifiers, postcodes, status labels and free text.
 
-Inside the engine a missing value is null; ``blank`` turns null into the empty
-string at the edge. All functions take and return a Column.
+Inside the engine text is clean: without surrounding white space, and null when
+nothing is left; only identifiers are empty instead of null. ``cleaned`` makes a frame so, once, and the other functions rely
+on it; stripping inside each of them would repeat the work for every mention of
+a column. ``blank`` turns null into the empty string at the edge.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Every character that counts as white space around a value.
@@ -26,9 +30,19 @@ def strip(value: Column) -> Column:
     return F.btrim(value, F.lit(WHITESPACE))
 
 
-def clean(value: Column) -> Column:
-    """Stripped text, null when nothing is left."""
-    return F.nullif(strip(value), F.lit(""))
+def null_if_empty(value: Column) -> Column:
+    return F.nullif(value, F.lit(""))
+
+
+def cleaned(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """The frame with the named text columns stripped, null where nothing is left.
+
+    Two projections, so that each column is stripped once.
+    """
+    names = set(columns)
+    trimmed = [f"btrim(`{c}`, '{WHITESPACE}') AS `{c}`" if c in names else f"`{c}`" for c in df.columns]
+    emptied = [f"nullif(`{c}`, '') AS `{c}`" if c in names else f"`{c}`" for c in df.columns]
+    return df.selectExpr(*trimmed).selectExpr(*emptied)
 
 
 def blank(value: Column) -> Column:
@@ -36,30 +50,30 @@ def blank(value: Column) -> Column:
 
 
 def is_missing(value: Column) -> Column:
-    return clean(value).isNull()
+    return F.coalesce(strip(value) == "", F.lit(True))
+
 
+def digits(text: Column) -> Column:
+    """Identifier reduced to its digits, empty when it has none.
 
-def digits(value: Column) -> Column:
-    """Identifier reduced to its digits, null when it has none."""
-    return F.nullif(F.regexp_replace(value, "[^0-9]", ""), F.lit(""))
+    Never null: Spark would put a null test of every join key below the columns
+    it is made from, and so compute it over again.
+    """
+    return F.coalesce(F.regexp_replace(text, "[^0-9]+", ""), F.lit(""))
 
 
-def postal_code(value: Column) -> Column:
-    """The first stand-alone run of four digits, else the stripped text."""
-    lone = F.nullif(F.regexp_extract(value, LONE_POSTCODE, 1), F.lit(""))
-    return F.coalesce(lone, clean(value))
+def postal_code(text: Column) -> Column:
+    """The first stand-alone run of four digits, else the text."""
+    return F.coalesce(null_if_empty(F.regexp_extract(text, LONE_POSTCODE, 1)), text)
 
 
-def status_label(value: Column) -> Column:
-    text = strip(value)
-    label = text
-    for code, name in STATUS_LABELS.items():
-        label = F.when(F.upper(text) == code, F.lit(name)).otherwise(label)
-    return label
+def status_label(text: Column) -> Column:
+    known = [F.when(F.upper(text) == code, F.lit(name)) for code, name in STATUS_LABELS.items()]
+    return F.coalesce(*known, text)
 
 
 def is_active(status: Column) -> Column:
-    return F.coalesce(F.upper(strip(status)).isin(ACTIVE_VALUES), F.lit(False))
+    return F.coalesce(F.upper(status).isin(ACTIVE_VALUES), F.lit(False))
 
 
 def yes_no(flag: Column) -> Column:

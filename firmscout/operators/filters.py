@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firmscout.functions.dates import first_young_day, parse_date
 from firmscout.functions.text import blank, is_active
 from firmscout.operators.joins import ORDER, KeySet
 
@@ -31,9 +33,9 @@ def in_region(df: DataFrame, codes: Sequence[str] | DataFrame) -> DataFrame:
     return df.where(region_test(codes))
 
 
-def age_test(max_months: int) -> Column:
-    """Known age within the limit; a future start has a negative age and passes."""
-    return F.coalesce(F.col("age_months") <= max_months, F.lit(False))
+def young(df: DataFrame, as_of: date, max_months: int) -> DataFrame:
+    """Known start, at most ``max_months`` calendar months before ``as_of``; later starts pass too."""
+    return df.where(parse_date(F.col("start_date")) >= F.lit(first_young_day(as_of, max_months)))
 
 
 def in_city(df: DataFrame, text: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from firmscout.functions.dates import parse_date
 from firmscout.functions.scores import gap_rules, points, reasons
 from firmscout.functions.sectors import allowed_sector, sector_of
-from firmscout.functions.text import is_missing
+from firmscout.functions.text import is_missing, strip
 from firmscout.operators.joins import ORDER
 from firmscout.plans.params import DEFAULT_MONTHS
 
@@ -29,7 +29,7 @@ def score_gaps(df: DataFrame, as_of: datetime, months: int = DEFAULT_MONTHS) ->
         sector = sector_of(F.col("nace")) if "nace" in has else F.lit("other")
     since = F.lit(as_of).cast("timestamp_ntz") - F.make_interval(months=F.lit(months))
     if "start_date" in has:
-        recent = parse_date(F.col("start_date")).cast("timestamp_ntz") >= since
+        recent = parse_date(strip(F.col("start_date"))).cast("timestamp_ntz") >= since
     else:
         recent = F.lit(False)
     missing = {c: is_missing(F.col(c)) if c in has else None for c in ("phone", "email", "nace")}

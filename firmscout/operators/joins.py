@@ -45,13 +45,17 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def is_blank(key: Column) -> Column:
+    return F.coalesce(key, F.lit("")) == ""
+
+
 def frequent_keys(df: DataFrame, key: str, min_rows: int = FREQUENT_ROWS) -> DataFrame:
     """The most frequent keys with at least ``min_rows`` rows, ``MAX_FREQUENT_KEYS`` at most.
 
     Counts combine map-side and read only the key column. The order is total, so
     every use of the result within a job sees the same keys.
     """
-    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    counted = df.groupBy(key).agg(F.count("*").alias("_rows"))
     heavy = counted.where(F.col("_rows") >= min_rows)
     return heavy.orderBy(F.desc("_rows"), key).limit(MAX_FREQUENT_KEYS).select(key)
 
@@ -79,7 +83,7 @@ def attach(
     hot = frequent if frequent is not None else frequent_keys(left, key)
     hot = F.broadcast(hot.select(F.col(key).alias(marked_key)))
     place = spread if spread is not None else F.xxhash64(ORDER)
-    alone = F.col(key).isNull() | F.col(marked_key).isNotNull()
+    alone = is_blank(F.col(key)) | F.col(marked_key).isNotNull()
     out = left.join(hot, F.col(key) == F.col(marked_key), "left").withColumn(
         route, F.when(alone, F.concat(F.lit("~"), place.cast("string"))).otherwise(F.col(key))
     )
@@ -97,7 +101,7 @@ def attach(
 
 
 class KeySet:
-    """The distinct non-null values of one column, with its size known.
+    """The distinct values of one column, blanks left out, with their number known.
 
     The keys are staged, so counting them and joining with them do not repeat
     the work that found them.
@@ -105,7 +109,7 @@ class KeySet:
 
     def __init__(self, rows: DataFrame, key: str, max_broadcast: int = MAX_BROADCAST_KEYS):
         self.key = key
-        self.keys = stage(rows.select(key).where(F.col(key).isNotNull()).distinct())
+        self.keys = stage(rows.select(key).distinct()).where(~is_blank(F.col(key)))
         self.size = self.keys.count()
         self.small = self.size <= max_broadcast
 
@@ -132,6 +136,6 @@ def keep_matching(df: DataFrame, keys: DataFrame, key: str, spread: Column | Non
 
 
 def drop_matching(df: DataFrame, keys: DataFrame, key: str, spread: Column | None = None) -> DataFrame:
-    """Left anti join by shuffle, balanced for frequent keys of ``df``; keeps null keys."""
+    """Left anti join by shuffle, balanced for frequent keys of ``df``; keeps blank keys."""
     flagged = attach(df, [keys.select(key, F.lit(True).alias("_match"))], key, spread=spread)
     return flagged.where(F.col("_match").isNull()).drop("_match")

@@ -7,7 +7,7 @@ order inside a table is its ``_ord``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmscout.functions.text import postal_code
@@ -35,18 +35,23 @@ def _rank(column: str, ranks: dict[str, int], default: int):
     return F.coalesce(*tests, F.lit(default))
 
 
-def address_rows(address: DataFrame) -> DataFrame:
-    """Address rows that have a key and say at least a street or a postcode."""
+def is_address() -> Column:
+    """Whether an address row has a key and says at least a street or a postcode."""
     useful = F.col("address").isNotNull() | F.col("postal_code").isNotNull()
-    return address.where(F.col("establishment_number").isNotNull() & useful)
+    return (F.col("establishment_number") != "") & useful
 
 
 def latest_address(address: DataFrame) -> DataFrame:
-    """Per establishment the last address row in file order."""
-    last = address_rows(address).groupBy("establishment_number").agg(
-        F.max_by(F.struct(*ADDRESS_COLUMNS), ORDER).alias("_last")
+    """Per establishment the last address row in file order.
+
+    Rows that are no address have no position and so never win. As a filter the
+    test would be pushed below the columns it is about and compute them twice.
+    """
+    last = address.groupBy("establishment_number").agg(
+        F.max_by(F.struct(*ADDRESS_COLUMNS), F.when(is_address(), F.col(ORDER))).alias("_last")
     )
-    return last.select("establishment_number", *[F.col(f"_last.{c}").alias(c) for c in ADDRESS_COLUMNS])
+    found = last.where(F.col("_last").isNotNull())
+    return found.select("establishment_number", *[F.col(f"_last.{c}").alias(c) for c in ADDRESS_COLUMNS])
 
 
 def filled_establishments(establishment: DataFrame, address: DataFrame | None) -> DataFrame:
@@ -64,7 +69,7 @@ def primary_establishment(establishment: DataFrame) -> DataFrame:
     preference = F.struct(F.col("postal_code").isNull(), F.col("address").isNull(), F.col(ORDER))
     columns = ["establishment_number", *ADDRESS_COLUMNS]
     best = (
-        establishment.where(F.col("enterprise_number").isNotNull())
+        establishment.where(F.col("enterprise_number") != "")
         .groupBy("enterprise_number")
         .agg(F.min_by(F.struct(*columns), preference).alias("_best"))
     )
@@ -79,7 +84,7 @@ def primary_establishment(establishment: DataFrame) -> DataFrame:
 
 def establishment_owner(establishment: DataFrame) -> DataFrame:
     """Per establishment the enterprise named by its last row."""
-    known = F.col("establishment_number").isNotNull() & F.col("enterprise_number").isNotNull()
+    known = (F.col("establishment_number") != "") & (F.col("enterprise_number") != "")
     return (
         establishment.where(known)
         .groupBy("establishment_number")
@@ -105,7 +110,7 @@ def contact_values(contact: DataFrame) -> DataFrame:
         of_establishment.alias("of_establishment"),
         *[c.alias(name) for name, c in values.items()],
         ORDER,
-    ).where(F.col("entity_number").isNotNull())
+    ).where(F.col("entity_number") != "")
 
 
 def resolve_contacts(contact: DataFrame, establishment: DataFrame) -> DataFrame:
@@ -145,8 +150,8 @@ def best_contacts(contact: DataFrame, establishment: DataFrame, owner: DataFrame
     return merged.select("enterprise_number", *[F.col(f"{c}.value").alias(c) for c in CONTACT_COLUMNS])
 
 
-def denomination_rows(denomination: DataFrame) -> DataFrame:
-    return denomination.where(F.col("enterprise_number").isNotNull() & F.col("denomination").isNotNull())
+def is_denomination() -> Column:
+    return (F.col("enterprise_number") != "") & F.col("denomination").isNotNull()
 
 
 def best_denomination(denomination: DataFrame) -> DataFrame:
@@ -156,17 +161,17 @@ def best_denomination(denomination: DataFrame) -> DataFrame:
         _rank("language", LANGUAGE_RANKS, OTHER_LANGUAGE_RANK),
         F.col(ORDER),
     )
-    rows = denomination_rows(denomination)
+    rows = denomination.where(is_denomination())
     return rows.groupBy("enterprise_number").agg(F.min_by("denomination", preference).alias("denomination"))
 
 
-def activity_rows(activity: DataFrame) -> DataFrame:
-    return activity.where(F.col("enterprise_number").isNotNull() & F.col("nace_code").isNotNull())
+def is_activity() -> Column:
+    return (F.col("enterprise_number") != "") & F.col("nace_code").isNotNull()
 
 
 def first_activity(activity: DataFrame) -> DataFrame:
     """Per enterprise its first activity code; combines map-side."""
-    rows = activity_rows(activity)
+    rows = activity.where(is_activity())
     return rows.groupBy("enterprise_number").agg(F.min_by("nace_code", ORDER).alias("first_code"))
 
 
@@ -178,23 +183,22 @@ def activity_codes(activity: DataFrame) -> DataFrame:
     enterprise are put in chunk order. What is left for the last step is the text
     of the cell itself and one position per chunk.
     """
-    piece = F.array_sort(F.collect_list(F.struct(F.col(ORDER), F.col("nace_code"))))
+    rows = F.sort_array(F.collect_list(F.struct(F.col(ORDER), F.col("nace_code"))))
     pieces = (
-        activity_rows(activity)
+        activity.where(is_activity())
         .groupBy("enterprise_number", F.col(f"{ORDER}.chunk").alias("chunk"))
-        .agg(piece.alias("rows"))
+        .agg(rows.alias("rows"))
+        .select("enterprise_number", "chunk", F.col("rows.nace_code").alias("codes"))
         .select(
             "enterprise_number",
             F.struct(
-                "chunk",
-                F.array_join(F.transform("rows", lambda r: r["nace_code"]), ",").alias("codes"),
-                F.col("rows")[0]["nace_code"].alias("first_code"),
+                "chunk", F.array_join("codes", ",").alias("codes"), F.col("codes")[0].alias("first_code")
             ).alias("piece"),
         )
     )
-    whole = pieces.groupBy("enterprise_number").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    whole = pieces.groupBy("enterprise_number").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
     return whole.select(
         "enterprise_number",
-        F.array_join(F.transform("pieces", lambda p: p["codes"]), ",").alias("nace_codes"),
+        F.array_join("pieces.codes", ",").alias("nace_codes"),
         F.col("pieces")[0]["first_code"].alias("first_code"),
     )

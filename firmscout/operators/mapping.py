@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmscout.functions.text import clean, digits
+from firmscout.functions.text import cleaned, digits
 from firmscout.operators.joins import ORDER
 from firmscout.sources.headers import first_value
 
@@ -53,25 +53,33 @@ def build_address(raw: DataFrame) -> dict[str, Column]:
     house = first_value(raw, HOUSE, HOUSE_WORDS)
     box = first_value(raw, BOX)
     whole = first_value(raw, WHOLE_ADDRESS)
-    base = F.nullif(F.concat_ws(" ", street, house), F.lit(""))
-    boxed = F.when(base.isNull(), box).otherwise(F.concat_ws(" ", base, F.concat(F.lit(BOX_MARK), box)))
+    line = F.concat_ws(" ", street, house, F.concat(F.lit(BOX_MARK), box))
+    only_box = street.isNull() & house.isNull()
     return {
-        "address": F.when(street.isNull() & whole.isNotNull(), whole).otherwise(boxed),
+        "address": F.when(street.isNull() & whole.isNotNull(), whole)
+        .when(only_box, box)
+        .otherwise(line),
         "postal_code": first_value(raw, POSTCODE, POSTCODE_WORDS),
         "city": first_value(raw, CITY, CITY_WORDS),
     }
 
 
+def clean_text(raw: DataFrame) -> DataFrame:
+    return cleaned(raw, [c for c in raw.columns if not c.startswith("_")])
+
+
 def _select(raw: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return raw.select(*[c.alias(name) for name, c in columns.items()], ORDER)
 
 
 def map_enterprise(raw: DataFrame) -> DataFrame:
+    raw = clean_text(raw)
     fields = {name: first_value(raw, names) for name, names in ENTERPRISE_FIELDS.items()}
     return _select(raw, {"enterprise_number": digits(first_value(raw, ENTERPRISE_ID)), **fields})
 
 
 def map_establishment(raw: DataFrame) -> DataFrame:
+    raw = clean_text(raw)
     ids = {
         "enterprise_number": digits(first_value(raw, ENTERPRISE_ID)),
         "establishment_number": digits(first_value(raw, ESTABLISHMENT_ID)),
@@ -80,11 +88,13 @@ def map_establishment(raw: DataFrame) -> DataFrame:
 
 
 def map_address(raw: DataFrame) -> DataFrame:
+    raw = clean_text(raw)
     key = digits(first_value(raw, ADDRESS_ID, ["establishment"]))
     return _select(raw, {"establishment_number": key, **build_address(raw)})
 
 
 def map_activity(raw: DataFrame) -> DataFrame:
+    raw = clean_text(raw)
     return _select(
         raw,
         {"enterprise_number": digits(first_value(raw, ACTIVITY_ID)), "nace_code": first_value(raw, ACTIVITY_CODE)},
@@ -93,6 +103,7 @@ def map_activity(raw: DataFrame) -> DataFrame:
 
 def map_contact(raw: DataFrame) -> DataFrame:
     """Tall (type, value) and wide (phone, email, website) contact rows in one shape."""
+    raw = clean_text(raw)
     return _select(
         raw,
         {
@@ -108,6 +119,7 @@ def map_contact(raw: DataFrame) -> DataFrame:
 
 
 def map_denomination(raw: DataFrame) -> DataFrame:
+    raw = clean_text(raw)
     return _select(
         raw,
         {

@@ -9,7 +9,7 @@ from firmscout.functions.dates import parse_date
 from firmscout.functions.text import blank
 from firmscout.operators.filters import active
 from firmscout.operators.joins import ORDER
-from firmscout.operators.lookups import activity_rows, address_rows, denomination_rows
+from firmscout.operators.lookups import is_activity, is_address, is_denomination
 
 # Lengths of the reports.
 TOP = 10
@@ -56,9 +56,9 @@ def result_profile(leads: DataFrame) -> DataFrame:
 
     Counted per enterprise first, so the distinct count needs no set of ids.
     """
-    start = parse_date(F.col("start_date"))
-    per_id = leads.groupBy("enterprise_number").agg(
-        F.count("*").alias("n"), F.min(start).alias("first"), F.max(start).alias("last")
+    dated = leads.select("enterprise_number", parse_date(F.col("start_date")).alias("start"))
+    per_id = dated.groupBy("enterprise_number").agg(
+        F.count("*").alias("n"), F.min("start").alias("first"), F.max("start").alias("last")
     )
     return per_id.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
@@ -109,16 +109,12 @@ def stage_funnel(flagged: DataFrame) -> DataFrame:
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table, and the rows that carry a key and a value where the table demands them."""
-    usable = {"address": address_rows, "activity": activity_rows, "denomination": denomination_rows}
-    counts = [
-        df.agg(F.count("*").alias("loaded")).select(F.lit(name).alias("relation"), "loaded")
-        for name, df in tables.items()
-    ] + [
-        rows(tables[name]).agg(F.count("*").alias("loaded")).select(F.lit(f"{name}_usable").alias("relation"), "loaded")
-        for name, rows in usable.items()
-        if name in tables
-    ]
-    out = counts[0]
-    for part in counts[1:]:
+    usable = {"address": is_address(), "activity": is_activity(), "denomination": is_denomination()}
+    parts = []
+    for name, df in tables.items():
+        counted = df.agg(F.count("*").alias("loaded"), F.count_if(usable.get(name, F.lit(True))).alias("usable"))
+        parts.append(counted.select(F.lit(name).alias("relation"), "loaded", "usable"))
+    out = parts[0]
+    for part in parts[1:]:
         out = out.unionByName(part)
     return out

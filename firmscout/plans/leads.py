@@ -88,13 +88,14 @@ def located_enterprises(registry: Registry, enterprise: DataFrame | None = None)
 
 def candidates(registry: Registry, params: LeadParams) -> DataFrame:
     """Active, dated, young enough and in the region and city asked for."""
-    young = filters.dated(filters.active(registry.enterprise)).withColumn(
-        "age_months", age_months(parse_date(F.col("start_date")), params.as_of)
-    )
-    young = young.where(filters.age_test(params.months)).drop("age_months")
+    young = filters.young(filters.dated(filters.active(registry.enterprise)), params.as_of, params.months)
     placed = filters.in_region(located_enterprises(registry, young), params.postcodes)
-    placed = filters.in_city(placed, params.city)
-    return placed.withColumn("age_months", age_months(parse_date(F.col("start_date")), params.as_of))
+    return with_age(filters.in_city(placed, params.city), params)
+
+
+def with_age(found: DataFrame, params: LeadParams) -> DataFrame:
+    started = found.withColumn("_started", parse_date(F.col("start_date")))
+    return started.withColumn("age_months", age_months(F.col("_started"), params.as_of)).drop("_started")
 
 
 def with_details(found: DataFrame, registry: Registry, lite: bool = False) -> DataFrame:
@@ -118,7 +119,7 @@ def with_details(found: DataFrame, registry: Registry, lite: bool = False) -> Da
             details.append(lookups.best_denomination(wanted.narrow(registry.denomination)))
         if activity is not None:
             # Exact, not merely narrowed: no list is built for an enterprise nobody asked for.
-            details.append(lookups.activity_codes(wanted.keep(lookups.activity_rows(activity))))
+            details.append(lookups.activity_codes(wanted.keep(activity)))
         found = attach(found, details, KEY)
     return found.withColumns({name: empty for name, empty in columns.items() if name not in found.columns})
 

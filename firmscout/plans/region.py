@@ -36,11 +36,11 @@ def region_prefilter(registry: Registry, codes: Sequence[str]) -> Region:
     if registry.address is None:
         raise ValueError("the region-first run needs the address table")
     here = registry.address.where(
-        F.col("establishment_number").isNotNull() & postal_code(F.col("postal_code")).isin(list(codes))
+        (F.col("establishment_number") != "") & postal_code(F.col("postal_code")).isin(list(codes))
     )
     here = stage(here)
     places = KeySet(here, "establishment_number")
-    establishment = stage(places.keep(registry.establishment.where(F.col(KEY).isNotNull())))
+    establishment = stage(places.keep(registry.establishment.where(F.col(KEY) != "")))
     owners = KeySet(establishment, KEY)
     cut = replace(
         registry,

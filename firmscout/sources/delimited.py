@@ -103,7 +103,8 @@ def _read(
         "ignoreTrailingWhiteSpace": False,
     }
     if strict:
-        options["columnNameOfCorruptRecord"] = BAD_ROW
+        # Parsed whole, whatever is selected: missing fields go unnoticed in pruned rows.
+        options |= {"columnNameOfCorruptRecord": BAD_ROW, "columnPruning": False}
     return with_file_order(reader.options(**options).csv(files))
 
 
@@ -158,10 +159,9 @@ def read_strict(
     if max_bad_rows < 0:
         raise ValueError("max_bad_rows must not be negative")
     rows = read_delimited(spark, path, strict=True, **options)
-    # Parsed whole: a scan of fewer columns would not notice missing fields.
-    seen = rows.where(F.struct(*[f"`{c}`" for c in rows.columns]).isNotNull())
-    bad = seen.where(F.col(BAD_ROW).isNotNull())
-    count = bad.count()
+    # Spark refuses to read the corrupt text alone, so the count touches the other columns too.
+    others = F.max(F.xxhash64(*[f"`{c}`" for c in rows.columns if c != BAD_ROW]))
+    count = rows.agg(F.count(BAD_ROW).alias("bad"), others.alias("others")).head()["bad"]
     if count > max_bad_rows:
         raise RuntimeError(f"more than {max_bad_rows} malformed rows in {path}: {count}")
-    return seen.where(F.col(BAD_ROW).isNull()).drop(BAD_ROW), bad
+    return rows.where(F.col(BAD_ROW).isNull()).drop(BAD_ROW), rows.where(F.col(BAD_ROW).isNotNull())

@@ -9,8 +9,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmscout.functions.text import clean
-
 # Canonical names that stand for another canonical name.
 HEADER_ALIASES = {
     "zipcode": "postal_code",
@@ -52,12 +50,17 @@ def first_present(df: DataFrame, names: Iterable[str]) -> str | None:
 
 
 def first_value(df: DataFrame, names: Iterable[str], keywords: Iterable[str] = ()) -> Column:
-    """First non-blank value among the named columns, then among columns whose name holds a keyword."""
+    """First value among the named columns, then among columns whose name holds a keyword.
+
+    The frame's text is clean, so a missing value is null.
+    """
     named = [n for n in names if n in df.columns]
     words = [w.lower() for w in keywords]
     alike = [c for c in df.columns if not c.startswith("_") and any(w in c.lower() for w in words)]
-    values = [clean(F.col(c)) for c in dict.fromkeys([*named, *alike])]
-    return F.coalesce(*values, F.lit(None).cast("string"))
+    values = [F.col(c) for c in dict.fromkeys([*named, *alike])]
+    if not values:
+        return F.lit(None).cast("string")
+    return F.coalesce(*values) if len(values) > 1 else values[0]
 
 
 def detect_columns(columns: Iterable[str], synonyms: Mapping[str, Iterable[str]]) -> dict[str, str]:

@@ -7,7 +7,7 @@ blank, and the operators under test have to cope.
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +34,9 @@ def params(**changes) -> LeadParams:
     return LeadParams(as_of=AS_OF, postcodes=REGION, min_score=0, limit=0).but(**changes)
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; kept, as every read of a Parquet path looks up its schema anew."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -349,8 +349,9 @@ def kept(relation: str, key: str) -> str:
     return f"SELECT '{relation}' AS relation, {key} AS number, count(*) AS kept FROM area_{relation} GROUP BY {key}"
 
 
-def loaded(relation: str, source: str, where: str = "true") -> str:
-    return f"SELECT '{relation}' AS relation, count(*) AS loaded FROM {source} WHERE {where}"
+def loaded(relation: str, usable: str) -> str:
+    return f"""SELECT '{relation}' AS relation, count(*) AS loaded, count(*) FILTER ({usable}) AS usable
+        FROM {relation}"""
 
 
 GAPS = f"""
@@ -401,10 +402,10 @@ ORACLE: dict[str, str] = {
         f"""SELECT EnterpriseNumber AS enterprise, StartDate AS raw_date, {parse_date('StartDate')} AS start_date
         FROM raw_enterprise"""
     ),
-    "ages": with_tables(
-        f"""SELECT EnterpriseNumber AS enterprise, {age(parse_date('StartDate'))} AS age_months
-        FROM raw_enterprise"""
+    "young_only": with_tables(
+        plain_select("enterprise", ENTERPRISE_COLUMNS) + f" WHERE {age(parse_date('start_date'))} <= 18"
     ),
+    "ages": with_tables(f"SELECT enterprise_number, {age(parse_date('start_date'))} AS age_months FROM enterprise"),
     "normalize_postcodes": with_tables(
         f"""SELECT EnterpriseNumber AS enterprise, PostCode AS raw_code,
         coalesce({postal_code('PostCode')}, '') AS postal_code FROM raw_enterprise"""
@@ -527,12 +528,15 @@ ORACLE: dict[str, str] = {
     ),
     "load_counts": with_tables(
         " UNION ALL ".join(
-            [loaded(t, t) for t in ("enterprise", "establishment", "address", "activity", "contact", "denomination")]
-            + [
-                loaded("address_usable", "address", "establishment_number IS NOT NULL"),
-                loaded("activity_usable", "activity", "nace_code IS NOT NULL"),
-                loaded("denomination_usable", "denomination", "denomination IS NOT NULL"),
-            ]
+            loaded(relation, usable)
+            for relation, usable in {
+                "enterprise": "true",
+                "establishment": "true",
+                "address": "establishment_number <> '' AND (address IS NOT NULL OR postal_code IS NOT NULL)",
+                "activity": "enterprise_number <> '' AND nace_code IS NOT NULL",
+                "contact": "true",
+                "denomination": "enterprise_number <> '' AND denomination IS NOT NULL",
+            }.items()
         )
     ),
     "valid_leads": with_tables(f"{NOT_ORD} unchecked WHERE {VALID}", {"unchecked": UNCHECKED}),

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmscout.functions import sectors, text
-from firmscout.functions.dates import age_months, parse_date
+from firmscout.functions.dates import parse_date
 from firmscout.operators import dedupe, filters, gaps, lookups, profile, quality
 from firmscout.operators.joins import ORDER, attach, checkpoint_dir
+from firmscout.operators.mapping import clean_text
 from firmscout.plans import leads as plan
 from firmscout.plans import region
 from firmscout.plans.leads import KEY, LEAD_COLUMNS
@@ -144,8 +145,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return getattr(registry(spark, sf_dir, *dict.fromkeys(["enterprise", "establishment", name])), name)
 
 
-def _raw_with(spark: SparkSession, sf_dir: str, name: str, columns: dict[str, Column]) -> DataFrame:
-    return raw(spark, sf_dir, name).select(*[c.alias(n) for n, c in columns.items()])
+def _raw_with(spark: SparkSession, sf_dir: str, name: str, kept: dict[str, str], **columns: Column) -> DataFrame:
+    """Raw columns under new names beside functions of their clean text."""
+    rows = raw(spark, sf_dir, name)
+    rows = rows.select(*[F.col(c).alias(f"_{n}") for n, c in kept.items()], *rows.columns)
+    found = clean_text(rows).select(*[f"_{n}" for n in kept], *[c.alias(n) for n, c in columns.items()])
+    return found.withColumnsRenamed({f"_{n}": n for n in kept})
 
 
 # Scalar functions
@@ -153,23 +158,14 @@ def _raw_with(spark: SparkSession, sf_dir: str, name: str, columns: dict[str, Co
 
 @query
 def normalize_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("entitynumber")
-    return _raw_with(spark, sf_dir, "contact", {"raw_id": number, "id": text.digits(number)})
+    return _raw_with(spark, sf_dir, "contact", {"raw_id": "entitynumber"}, id=text.digits(F.col("entitynumber")))
 
 
 @query
 def normalize_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.col("status")
+    kept, status = {"enterprise": "enterprisenumber", "raw_status": "status"}, F.col("status")
     return _raw_with(
-        spark,
-        sf_dir,
-        "enterprise",
-        {
-            "enterprise": F.col("enterprisenumber"),
-            "raw_status": status,
-            "status": text.status_label(status),
-            "is_active": text.is_active(status),
-        },
+        spark, sf_dir, "enterprise", kept, status=text.status_label(status), is_active=text.is_active(status)
     )
 
 
@@ -178,61 +174,58 @@ def active_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(filters.dated(filters.active(_table(spark, sf_dir, "enterprise"))))
 
 
+@query
+def young_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(filters.young(_table(spark, sf_dir, "enterprise"), AS_OF, 18))
+
+
 @query
 def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = F.col("startdate")
-    columns = {"enterprise": F.col("enterprisenumber"), "raw_date": start, "start_date": parse_date(start)}
-    return _raw_with(spark, sf_dir, "enterprise", columns)
+    kept = {"enterprise": "enterprisenumber", "raw_date": "startdate"}
+    return _raw_with(spark, sf_dir, "enterprise", kept, start_date=parse_date(F.col("startdate")))
 
 
 @query
 def ages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    age = age_months(parse_date(F.col("startdate")), AS_OF)
-    columns = {"enterprise": F.col("enterprisenumber"), "age_months": age}
-    return _raw_with(spark, sf_dir, "enterprise", columns)
+    dated = plan.with_age(_table(spark, sf_dir, "enterprise"), params())
+    return dated.select(KEY, "age_months")
 
 
 @query
 def normalize_postcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = F.col("postcode")
-    columns = {
-        "enterprise": F.col("enterprisenumber"),
-        "raw_code": code,
-        "postal_code": text.blank(text.postal_code(code)),
-    }
-    return _raw_with(spark, sf_dir, "enterprise", columns)
+    kept = {"enterprise": "enterprisenumber", "raw_code": "postcode"}
+    code = text.blank(text.postal_code(F.col("postcode")))
+    return _raw_with(spark, sf_dir, "enterprise", kept, postal_code=code)
 
 
 @query
 def sector_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = F.col("nace_code")
-    columns = {
-        "enterprise": F.col("enterprisenumber"),
-        "code": sectors.activity_code(code),
-        "sector_bucket": sectors.sector_of(code),
-    }
-    return _raw_with(spark, sf_dir, "activity", columns)
+    kept, code = {"enterprise": "enterprisenumber"}, F.col("nace_code")
+    return _raw_with(
+        spark,
+        sf_dir,
+        "activity",
+        kept,
+        code=text.blank(sectors.activity_code(code)),
+        sector_bucket=sectors.sector_of(code),
+    )
 
 
 @query
 def ensure_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outside sectors in odd spellings: the status of an enterprise stands for an unknown one."""
+    """Outside sectors in odd spellings; those of rows without a code are no sector at all."""
     code = F.col("nace_code")
-    outside = F.concat(F.lit(" "), F.upper(sectors.sector_of(code)), F.when(code == "", F.lit("?")).otherwise(" "))
-    columns = {
-        "enterprise": F.col("enterprisenumber"),
-        "outside": outside,
-        "sector_bucket": sectors.allowed_sector(outside),
-    }
-    return _raw_with(spark, sf_dir, "activity", columns)
+    tail = F.when(code == "", F.lit("?")).otherwise(" ")
+    outside = F.concat(F.lit(" "), F.upper(sectors.sector_of(code)), tail)
+    rows = raw(spark, sf_dir, "activity").select(F.col("enterprisenumber").alias("enterprise"), outside.alias("outside"))
+    return rows.withColumn("sector_bucket", sectors.allowed_sector(F.col("outside")))
 
 
 @query
 def score_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lead score of every enterprise, whatever its status, age or region."""
     tables = registry(spark, sf_dir)
-    start = parse_date(F.col("start_date"))
-    every = plan.located_enterprises(tables).withColumn("age_months", age_months(start, AS_OF))
+    every = plan.with_age(plan.located_enterprises(tables), params())
     details = plan.with_details(every, tables)
     columns = ["enterprise_number", "sector_bucket", "has_website", "score_total", "score_reasons"]
     return plan.scored(details, params(), tables.snapshot).select(*columns)
