@@ -120,8 +120,9 @@ def read_delimited(
     """A table of text columns under its own header names, plus ``_ord``.
 
     Short rows end in nulls and surplus fields are ignored; ``strict`` adds
-    ``_corrupt_record``, which holds the text of such rows. Of columns with the
-    same header the last one is kept. Naming the encoding and whether fields hold
+    ``_corrupt_record``, which holds the text of such rows. Of columns whose
+    headers are equal but for case, which Spark cannot tell apart, the last one
+    is kept. Naming the encoding and whether fields hold
     line breaks saves the pass that finds them out.
     """
     line = header_line(spark, path)
@@ -147,9 +148,9 @@ def read_delimited(
     table = parts[0]
     for part in parts[1:]:
         table = table.unionByName(part)
-    last = {name: f"c{i}" for i, name in enumerate(header)}
+    last = {name.lower(): i for i, name in enumerate(header)}
     extra = [BAD_ROW] if strict else []
-    return table.select(*[F.col(c).alias(name) for name, c in last.items()], *extra, ORDER)
+    return table.select(*[F.col(f"c{i}").alias(header[i]) for i in last.values()], *extra, ORDER)
 
 
 def read_strict(
