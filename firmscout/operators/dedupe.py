@@ -16,32 +16,24 @@ def comparable(value: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(blank(value)), r"[^\p{L}\p{N}]+", " "))
 
 
-def dedupe_key(name: Column, address: Column) -> Column:
-    """Hash of name and address; null when both are empty, as nothing identifies such a lead."""
-    text = F.concat(comparable(name), F.lit("|"), comparable(address))
-    return F.when(text != "|", F.sha2(text, 256))
-
-
 def keyed(leads: DataFrame) -> DataFrame:
-    return leads.withColumn(DEDUPE_KEY, dedupe_key(F.col("name"), F.col("address")))
+    """Add a hash of name and address; null when both are empty, as nothing identifies such a lead."""
+    words = F.concat(comparable(F.col("name")), F.lit("|"), comparable(F.col("address")))
+    key = F.when(F.col("_words") != "|", F.sha2("_words", 256))
+    return leads.withColumn("_words", words).withColumn(DEDUPE_KEY, key).drop("_words")
 
 
 def first_of_each(leads: DataFrame) -> DataFrame:
     """Per key the lead that comes first in file order; leads without a key all stay.
 
-    The minimum combines map-side, so a key shared by a third of all leads
-    sends one row per task.
+    The minimum combines map-side, so a key shared by a third of all leads sends
+    one row per task. A lead without a key is a group of its own.
     """
-    rows = keyed(leads)
     columns = [c for c in leads.columns if c != ORDER]
-    kept = (
-        rows.where(F.col(DEDUPE_KEY).isNotNull())
-        .groupBy(DEDUPE_KEY)
-        .agg(F.min(F.struct(F.col(ORDER), F.struct(*columns).alias("lead"))).alias("first"))
-        .select(F.col("first.lead.*"), DEDUPE_KEY, F.col(f"first.{ORDER}").alias(ORDER))
-    )
-    alone = rows.where(F.col(DEDUPE_KEY).isNull())
-    return kept.unionByName(alone.select(*kept.columns))
+    alone = F.when(F.col(DEDUPE_KEY).isNull(), F.col(ORDER)).alias("alone")
+    first = F.min(F.struct(F.col(ORDER), F.struct(*columns).alias("lead"))).alias("first")
+    groups = keyed(leads).groupBy(DEDUPE_KEY, alone).agg(first)
+    return groups.select("first.lead.*", DEDUPE_KEY, f"first.{ORDER}")
 
 
 def not_seen_before(leads: DataFrame, earlier: DataFrame) -> DataFrame:

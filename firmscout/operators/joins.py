@@ -49,14 +49,16 @@ def is_blank(key: Column) -> Column:
     return F.coalesce(key, F.lit("")) == ""
 
 
-def frequent_keys(df: DataFrame, key: str, min_rows: int = FREQUENT_ROWS) -> DataFrame:
+def frequent_keys(df: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
     """The most frequent keys with at least ``min_rows`` rows, ``MAX_FREQUENT_KEYS`` at most.
 
+    ``min_rows`` is ``FREQUENT_ROWS`` unless given.
+
     Counts combine map-side and read only the key column. The order is total, so
     every use of the result within a job sees the same keys.
     """
     counted = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    heavy = counted.where(F.col("_rows") >= min_rows)
+    heavy = counted.where(F.col("_rows") >= (FREQUENT_ROWS if min_rows is None else min_rows))
     return heavy.orderBy(F.desc("_rows"), key).limit(MAX_FREQUENT_KEYS).select(key)
 
 
@@ -107,11 +109,11 @@ class KeySet:
     the work that found them.
     """
 
-    def __init__(self, rows: DataFrame, key: str, max_broadcast: int = MAX_BROADCAST_KEYS):
+    def __init__(self, rows: DataFrame, key: str, max_broadcast: int | None = None):
         self.key = key
         self.keys = stage(rows.select(key).distinct()).where(~is_blank(F.col(key)))
         self.size = self.keys.count()
-        self.small = self.size <= max_broadcast
+        self.small = self.size <= (MAX_BROADCAST_KEYS if max_broadcast is None else max_broadcast)
 
     def narrow(self, df: DataFrame) -> DataFrame:
         """Drop rows of other keys if that needs no shuffle, else ``df`` as it is.

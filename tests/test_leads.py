@@ -2,7 +2,7 @@ from datetime import date
 
 import pytest
 
-from firmscout.operators import filters, profile, quality
+from firmscout.operators import filters, joins, profile, quality
 from firmscout.plans.leads import LEAD_COLUMNS, all_leads, build_leads, flagged_enterprises, lead_rows
 from firmscout.plans.params import LeadParams
 from firmscout.plans.region import region_leads, region_prefilter
@@ -181,3 +181,25 @@ def test_region_first_is_narrower_than_the_normal_run(spark, tmp_path):
     assert cut.registry.activity.count() == 1
     assert region_prefilter(registry, ("1234",)).registry.enterprise.count() == 0
     assert region_leads(registry, REGION.but(postcodes=())).count() == build_leads(registry, REGION.but(postcodes=())).count()
+
+
+@pytest.mark.parametrize("build", [build_leads, region_leads])
+def test_large_and_skewed_paths_give_the_same_leads(spark, tmp_path, monkeypatch, build):
+    """Every key set too large to broadcast, every repeated key treated as frequent."""
+    tables = {
+        "enterprises": ["enterprise_number;name;status;start_date"]
+        + [f"{i % 4 if i % 5 else ''};E{i};AC;2026-01-{1 + i:02};" for i in range(28)],
+        "establishments": ["enterprise_number;establishment_number"] + [f"{i % 5};{i % 7}" for i in range(40)],
+        "addresses": ["establishment_number;zipcode;street"] + [f"{i % 7};{9400 + i % 3};S{i}" for i in range(50)],
+        "activities": ["enterprise_number;nace_code"] + [f"{i % 5};{(56, 86, 47)[i % 3]}.{i}" for i in range(60)],
+        "contacts": ["EntityNumber;EntityContact;ContactType;Value"]
+        + [f"{i % 6};{('EST', 'ENT')[i % 2]};{('TEL', 'EMAIL', 'WEB', 'FAX')[i % 4]};v{i}" for i in range(60)],
+        "denominations": ["EntityNumber;Denomination;TypeOfDenomination;Language"]
+        + [f"{i % 6};D{i};00{1 + i % 3};{('FR', 'NL')[i % 2]}" for i in range(40)],
+    }
+    registry = load_snapshot(spark, snapshot(tmp_path, **tables))
+    want = [r.asDict() for r in build(registry, REGION).collect()]
+    assert len(want) > 5 and len({r["enterprise_number"] for r in want}) < len(want)
+    monkeypatch.setattr(joins, "FREQUENT_ROWS", 2)
+    monkeypatch.setattr(joins, "MAX_BROADCAST_KEYS", 0)
+    assert [r.asDict() for r in build(registry, REGION).collect()] == want
