@@ -39,9 +39,9 @@ def cleaned(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
     Two projections, so that each column is stripped once.
     """
-    names = set(columns)
-    trimmed = [f"btrim(`{c}`, '{WHITESPACE}') AS `{c}`" if c in names else f"`{c}`" for c in df.columns]
-    emptied = [f"nullif(`{c}`, '') AS `{c}`" if c in names else f"`{c}`" for c in df.columns]
+    texts, every = set(columns), df.columns
+    trimmed = [f"btrim(`{c}`, '{WHITESPACE}') AS `{c}`" if c in texts else f"`{c}`" for c in every]
+    emptied = [f"nullif(`{c}`, '') AS `{c}`" if c in texts else f"`{c}`" for c in every]
     return df.selectExpr(*trimmed).selectExpr(*emptied)
 
 

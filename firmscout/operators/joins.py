@@ -89,16 +89,17 @@ def attach(
     out = left.join(hot, F.col(key) == F.col(marked_key), "left").withColumn(
         route, F.when(alone, F.concat(F.lit("~"), place.cast("string"))).otherwise(F.col(key))
     )
+    kept = out.columns
     for lookup in lookups:
         values = [c for c in lookup.columns if c != key]
-        bulk = lookup.select(F.col(key).alias(route), F.struct(*values).alias("_bulk"))
-        few = lookup.join(hot, F.col(key) == F.col(marked_key), "left_semi").select(
-            F.col(key).alias(marked_key), F.struct(*values).alias("_few")
-        )
+        packed = f"struct({', '.join(f'`{v}`' for v in values)})"
+        bulk = lookup.selectExpr(f"`{key}` AS {route}", f"{packed} AS _bulk")
+        few = lookup.join(hot, F.col(key) == F.col(marked_key), "left_semi")
+        few = few.selectExpr(f"`{key}` AS {marked_key}", f"{packed} AS _few")
         out = out.join(bulk, route, "left").join(F.broadcast(few), marked_key, "left")
-        found = F.coalesce("_few", "_bulk")
-        kept = [c for c in out.columns if c not in ("_few", "_bulk")]
-        out = out.select(*kept, *[found[v].alias(v) for v in values])
+        found = [f"coalesce(_few, _bulk).`{v}` AS `{v}`" for v in values]
+        out = out.selectExpr(*[f"`{c}`" for c in kept], *found)
+        kept = [*kept, *values]
     return out.drop(marked_key, route)
 
 

@@ -3,6 +3,10 @@
 All but the code list are ``min_by`` / ``max_by`` aggregates, which combine
 map-side: a key with a third of all rows sends one row per input task. The row
 order inside a table is its ``_ord``.
+
+Rows without a key or a value have a null position there and so never win. As a
+filter the test would be pushed below the columns it is about, and these would
+be computed twice.
 """
 
 from __future__ import annotations
@@ -42,11 +46,7 @@ def is_address() -> Column:
 
 
 def latest_address(address: DataFrame) -> DataFrame:
-    """Per establishment the last address row in file order.
-
-    Rows that are no address have no position and so never win. As a filter the
-    test would be pushed below the columns it is about and compute them twice.
-    """
+    """Per establishment the last address row in file order."""
     last = address.groupBy("establishment_number").agg(
         F.max_by(F.struct(*ADDRESS_COLUMNS), F.when(is_address(), F.col(ORDER))).alias("_last")
     )
@@ -68,12 +68,9 @@ def primary_establishment(establishment: DataFrame) -> DataFrame:
     """Per enterprise: one with a postcode before one without, then with an address, then the first seen."""
     preference = F.struct(F.col("postal_code").isNull(), F.col("address").isNull(), F.col(ORDER))
     columns = ["establishment_number", *ADDRESS_COLUMNS]
-    best = (
-        establishment.where(F.col("enterprise_number") != "")
-        .groupBy("enterprise_number")
-        .agg(F.min_by(F.struct(*columns), preference).alias("_best"))
-    )
-    return best.select(
+    owned = F.when(F.col("enterprise_number") != "", preference)
+    best = establishment.groupBy("enterprise_number").agg(F.min_by(F.struct(*columns), owned).alias("_best"))
+    return best.where(F.col("_best").isNotNull()).select(
         "enterprise_number",
         F.col("_best.establishment_number").alias("establishment_number"),
         F.col("_best.address").alias("est_address"),
@@ -85,11 +82,10 @@ def primary_establishment(establishment: DataFrame) -> DataFrame:
 def establishment_owner(establishment: DataFrame) -> DataFrame:
     """Per establishment the enterprise named by its last row."""
     known = (F.col("establishment_number") != "") & (F.col("enterprise_number") != "")
-    return (
-        establishment.where(known)
-        .groupBy("establishment_number")
-        .agg(F.max_by("enterprise_number", ORDER).alias("enterprise_number"))
+    last = establishment.groupBy("establishment_number").agg(
+        F.max_by("enterprise_number", F.when(known, F.col(ORDER))).alias("enterprise_number")
     )
+    return last.where(F.col("enterprise_number").isNotNull())
 
 
 def contact_values(contact: DataFrame) -> DataFrame:
@@ -161,8 +157,10 @@ def best_denomination(denomination: DataFrame) -> DataFrame:
         _rank("language", LANGUAGE_RANKS, OTHER_LANGUAGE_RANK),
         F.col(ORDER),
     )
-    rows = denomination.where(is_denomination())
-    return rows.groupBy("enterprise_number").agg(F.min_by("denomination", preference).alias("denomination"))
+    best = denomination.groupBy("enterprise_number").agg(
+        F.min_by("denomination", F.when(is_denomination(), preference)).alias("denomination")
+    )
+    return best.where(F.col("denomination").isNotNull())
 
 
 def is_activity() -> Column:
@@ -171,8 +169,10 @@ def is_activity() -> Column:
 
 def first_activity(activity: DataFrame) -> DataFrame:
     """Per enterprise its first activity code; combines map-side."""
-    rows = activity.where(is_activity())
-    return rows.groupBy("enterprise_number").agg(F.min_by("nace_code", ORDER).alias("first_code"))
+    first = activity.groupBy("enterprise_number").agg(
+        F.min_by("nace_code", F.when(is_activity(), F.col(ORDER))).alias("first_code")
+    )
+    return first.where(F.col("first_code").isNotNull())
 
 
 def activity_codes(activity: DataFrame) -> DataFrame:
@@ -183,11 +183,11 @@ def activity_codes(activity: DataFrame) -> DataFrame:
     enterprise are put in chunk order. What is left for the last step is the text
     of the cell itself and one position per chunk.
     """
-    rows = F.sort_array(F.collect_list(F.struct(F.col(ORDER), F.col("nace_code"))))
+    row = F.when(is_activity(), F.struct(F.col(ORDER), F.col("nace_code")))
     pieces = (
-        activity.where(is_activity())
-        .groupBy("enterprise_number", F.col(f"{ORDER}.chunk").alias("chunk"))
-        .agg(rows.alias("rows"))
+        activity.groupBy("enterprise_number", F.col(f"{ORDER}.chunk").alias("chunk"))
+        .agg(F.sort_array(F.collect_list(row)).alias("rows"))
+        .where(F.size("rows") > 0)
         .select("enterprise_number", "chunk", F.col("rows.nace_code").alias("codes"))
         .select(
             "enterprise_number",

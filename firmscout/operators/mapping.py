@@ -47,20 +47,20 @@ POSTCODE_WORDS, CITY_WORDS = ["postcode", "postalcode", "post_code"], ["municipa
 BOX_MARK = "box "
 
 
-def build_address(raw: DataFrame) -> dict[str, Column]:
-    """Address line, postcode and city of a row, from parts or from a whole address."""
-    street = first_value(raw, STREET, STREET_WORDS)
-    house = first_value(raw, HOUSE, HOUSE_WORDS)
-    box = first_value(raw, BOX)
-    whole = first_value(raw, WHOLE_ADDRESS)
+def build_address(have: list[str]) -> dict[str, Column]:
+    """Address line, postcode and city of a row, from parts or from a whole address, given the columns."""
+    street = first_value(have, STREET, STREET_WORDS)
+    house = first_value(have, HOUSE, HOUSE_WORDS)
+    box = first_value(have, BOX)
+    whole = first_value(have, WHOLE_ADDRESS)
     line = F.concat_ws(" ", street, house, F.concat(F.lit(BOX_MARK), box))
     only_box = street.isNull() & house.isNull()
     return {
         "address": F.when(street.isNull() & whole.isNotNull(), whole)
         .when(only_box, box)
         .otherwise(line),
-        "postal_code": first_value(raw, POSTCODE, POSTCODE_WORDS),
-        "city": first_value(raw, CITY, CITY_WORDS),
+        "postal_code": first_value(have, POSTCODE, POSTCODE_WORDS),
+        "city": first_value(have, CITY, CITY_WORDS),
     }
 
 
@@ -73,60 +73,60 @@ def _select(raw: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def map_enterprise(raw: DataFrame) -> DataFrame:
-    raw = clean_text(raw)
-    fields = {name: first_value(raw, names) for name, names in ENTERPRISE_FIELDS.items()}
-    return _select(raw, {"enterprise_number": digits(first_value(raw, ENTERPRISE_ID)), **fields})
+    raw, have = clean_text(raw), raw.columns
+    fields = {name: first_value(have, names) for name, names in ENTERPRISE_FIELDS.items()}
+    return _select(raw, {"enterprise_number": digits(first_value(have, ENTERPRISE_ID)), **fields})
 
 
 def map_establishment(raw: DataFrame) -> DataFrame:
-    raw = clean_text(raw)
+    raw, have = clean_text(raw), raw.columns
     ids = {
-        "enterprise_number": digits(first_value(raw, ENTERPRISE_ID)),
-        "establishment_number": digits(first_value(raw, ESTABLISHMENT_ID)),
+        "enterprise_number": digits(first_value(have, ENTERPRISE_ID)),
+        "establishment_number": digits(first_value(have, ESTABLISHMENT_ID)),
     }
-    return _select(raw, {**ids, **build_address(raw)})
+    return _select(raw, {**ids, **build_address(have)})
 
 
 def map_address(raw: DataFrame) -> DataFrame:
-    raw = clean_text(raw)
-    key = digits(first_value(raw, ADDRESS_ID, ["establishment"]))
-    return _select(raw, {"establishment_number": key, **build_address(raw)})
+    raw, have = clean_text(raw), raw.columns
+    key = digits(first_value(have, ADDRESS_ID, ["establishment"]))
+    return _select(raw, {"establishment_number": key, **build_address(have)})
 
 
 def map_activity(raw: DataFrame) -> DataFrame:
-    raw = clean_text(raw)
+    raw, have = clean_text(raw), raw.columns
     return _select(
         raw,
-        {"enterprise_number": digits(first_value(raw, ACTIVITY_ID)), "nace_code": first_value(raw, ACTIVITY_CODE)},
+        {"enterprise_number": digits(first_value(have, ACTIVITY_ID)), "nace_code": first_value(have, ACTIVITY_CODE)},
     )
 
 
 def map_contact(raw: DataFrame) -> DataFrame:
     """Tall (type, value) and wide (phone, email, website) contact rows in one shape."""
-    raw = clean_text(raw)
+    raw, have = clean_text(raw), raw.columns
     return _select(
         raw,
         {
-            "entity_number": digits(first_value(raw, CONTACT_ID)),
-            "entity_contact": F.upper(first_value(raw, CONTACT_OWNER)),
-            "contact_type": F.upper(first_value(raw, CONTACT_TYPE)),
-            "value": first_value(raw, ["value"]),
-            "phone": first_value(raw, ["phone"]),
-            "email": first_value(raw, ["email"]),
-            "website": first_value(raw, ["website", "web"]),
+            "entity_number": digits(first_value(have, CONTACT_ID)),
+            "entity_contact": F.upper(first_value(have, CONTACT_OWNER)),
+            "contact_type": F.upper(first_value(have, CONTACT_TYPE)),
+            "value": first_value(have, ["value"]),
+            "phone": first_value(have, ["phone"]),
+            "email": first_value(have, ["email"]),
+            "website": first_value(have, ["website", "web"]),
         },
     )
 
 
 def map_denomination(raw: DataFrame) -> DataFrame:
-    raw = clean_text(raw)
+    raw, have = clean_text(raw), raw.columns
     return _select(
         raw,
         {
-            "enterprise_number": digits(first_value(raw, DENOMINATION_ID)),
-            "denomination": first_value(raw, DENOMINATION_NAME),
-            "type": first_value(raw, DENOMINATION_TYPE),
-            "language": F.lower(first_value(raw, DENOMINATION_LANGUAGE)),
+            "enterprise_number": digits(first_value(have, DENOMINATION_ID)),
+            "denomination": first_value(have, DENOMINATION_NAME),
+            "type": first_value(have, DENOMINATION_TYPE),
+            "language": F.lower(first_value(have, DENOMINATION_LANGUAGE)),
         },
     )
 

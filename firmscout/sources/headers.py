@@ -37,26 +37,27 @@ def canonical_columns(df: DataFrame, naming=canonical_name) -> DataFrame:
     Names that begin with an underscore (row order, corrupt text) are ours and
     are left alone.
     """
-    positional = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    chosen: dict[str, str] = {}
-    for position, header in enumerate(df.columns):
-        chosen[header if header.startswith("_") else naming(header)] = f"c{position}"
-    return positional.select(*[F.col(c).alias(name) for name, c in chosen.items()])
+    headers = df.columns
+    names = [h if h.startswith("_") else naming(h) for h in headers]
+    chosen = {name: f"c{position}" for position, name in enumerate(names)}
+    positional = df.toDF(*[f"c{i}" for i in range(len(headers))])
+    return positional.select(*chosen.values()).toDF(*chosen)
 
 
-def first_present(df: DataFrame, names: Iterable[str]) -> str | None:
+def first_present(columns: Iterable[str], names: Iterable[str]) -> str | None:
     """The first of ``names`` that is a column."""
-    return next((n for n in names if n in df.columns), None)
+    present = set(columns)
+    return next((n for n in names if n in present), None)
 
 
-def first_value(df: DataFrame, names: Iterable[str], keywords: Iterable[str] = ()) -> Column:
+def first_value(columns: Iterable[str], names: Iterable[str], keywords: Iterable[str] = ()) -> Column:
     """First value among the named columns, then among columns whose name holds a keyword.
 
     The frame's text is clean, so a missing value is null.
     """
-    named = [n for n in names if n in df.columns]
-    words = [w.lower() for w in keywords]
-    alike = [c for c in df.columns if not c.startswith("_") and any(w in c.lower() for w in words)]
+    columns = [c for c in columns if not c.startswith("_")]
+    named = [n for n in names if n in columns]
+    alike = [c for c in columns if any(w.lower() in c.lower() for w in keywords)]
     values = [F.col(c) for c in dict.fromkeys([*named, *alike])]
     if not values:
         return F.lit(None).cast("string")

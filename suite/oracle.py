@@ -405,7 +405,7 @@ ORACLE: dict[str, str] = {
     "young_only": with_tables(
         plain_select("enterprise", ENTERPRISE_COLUMNS) + f" WHERE {age(parse_date('start_date'))} <= 18"
     ),
-    "ages": with_tables(f"SELECT enterprise_number, {age(parse_date('start_date'))} AS age_months FROM enterprise"),
+    "age_months": with_tables(f"SELECT enterprise_number, {age(parse_date('start_date'))} AS age_months FROM enterprise"),
     "normalize_postcodes": with_tables(
         f"""SELECT EnterpriseNumber AS enterprise, PostCode AS raw_code,
         coalesce({postal_code('PostCode')}, '') AS postal_code FROM raw_enterprise"""

@@ -186,7 +186,7 @@ def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def age_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = plan.with_age(_table(spark, sf_dir, "enterprise"), params())
     return dated.select(KEY, "age_months")
 

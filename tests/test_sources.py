@@ -33,7 +33,7 @@ def test_header_names():
 def test_last_of_equal_columns_stays(table):
     df = canonical_columns(table([{"Zipcode": "1", "postal_code": "2", "Postal Code": "3"}], ["Zipcode", "postal_code", "Postal Code"]))
     assert df.columns == ["postal_code", "_ord"] and df.head()["postal_code"] == "3"
-    assert first_present(df, ["x", "postal_code"]) == "postal_code" and first_present(df, ["x"]) is None
+    assert first_present(df.columns, ["x", "postal_code"]) == "postal_code" and first_present(df.columns, ["x"]) is None
 
 
 @pytest.mark.parametrize(("line", "delimiter"), [("a;b,c;d", ";"), ("a,b", ","), ("a\tb", "\t"), ("a", ";"), ('"a;b",c', ",")])
