@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmscout.llm import chat, mixing
+from firmscout.llm import chat, html, langid, mixing
 from firmscout.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn AS seq", "turn AS message", "role", "text")
@@ -36,3 +41,8 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     events = log.unionByName(extra).withColumn("kind", F.lit("message"))
     return chat.chat_digest(chat.format_chats(events))
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
