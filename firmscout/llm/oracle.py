@@ -79,3 +79,55 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id"""
+
+
+def _level(source: str, k: int) -> str:
+    return f"""c{k} AS (
+  SELECT host, t, s[{k}] AS c, count(*) AS n FROM {source} WHERE len(s) >= {k} GROUP BY ALL
+), w{k} AS (
+  SELECT host, t FROM c{k} GROUP BY ALL HAVING count(*) >= 10 AND (count(*) * 10 >= sum(n) OR count(*) >= 1000)
+), l{k} AS (
+  SELECT p.* EXCLUDE (t), p.t || CASE WHEN len(s) < {k} THEN '' WHEN w.host IS NOT NULL THEN '/*' ELSE '/' || s[{k}] END AS t
+  FROM {source} p LEFT JOIN w{k} w ON p.host = w.host AND p.t = w.t
+)"""
+
+
+ORACLE["op6_url_filter"] = rf"""
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality = 1 THEN 0 END) AS bad FROM labels GROUP BY doc_id
+), l0 AS (
+  SELECT page_id, host, path, bad, '' AS t,
+    list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: CASE x WHEN '*' THEN '%2A' ELSE x END) AS s
+  FROM parts LEFT JOIN marks ON doc_id = TRY_CAST(nullif(regexp_extract(path, '([0-9]{{1,18}})(\.html)?/?$', 1), '') AS BIGINT)
+), {", ".join(_level(f"l{k - 1}", k) for k in (1, 2, 3))},
+branches AS (
+  SELECT host, t, regexp_replace(replace(t || '/', '/*/', '/*//') , '/[^/*][^/]*', '/x', 'g') AS form,
+    count(bad) AS l, coalesce(sum(bad), 0) AS b FROM l3 GROUP BY host, t
+), told AS (
+  SELECT *, sum(l) OVER f AS al, sum(b) OVER f AS ab FROM branches WINDOW f AS (PARTITION BY host, form)
+), own AS (
+  SELECT *, CASE WHEN l > 0 AND al - l > 0 THEN
+      abs(b / l - (ab - b) / (al - l)) > 1.96 * sqrt((ab / al) * (1 - ab / al) * (1 / l + 1 / (al - l))) ELSE false END AS alone
+  FROM told
+), merged AS (
+  SELECT *, CASE WHEN alone THEN l ELSE sum(CASE WHEN alone THEN 0 ELSE l END) OVER (PARTITION BY host, form) END AS n,
+    CASE WHEN alone THEN b ELSE sum(CASE WHEN alone THEN 0 ELSE b END) OVER (PARTITION BY host, form) END AS bad_n,
+    coalesce(1 - sum(b) OVER () / nullif(sum(l) OVER (), 0), 1.0) AS good
+  FROM own
+), ruled AS (
+  SELECT l3.*, (n - bad_n + 10 * good) / (n + 10) AS purity,
+    CASE WHEN (l3.host = 'example.com' OR l3.host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+         WHEN (l3.host = 'example.net' OR l3.host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+         WHEN (l3.host = 'org' OR l3.host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+         WHEN (l3.host = 'net' OR l3.host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM l3 JOIN merged m ON l3.host = m.host AND l3.t = m.t
+)
+SELECT page_id, host, path, rule, t AS template,
+  CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+       WHEN purity < 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled"""

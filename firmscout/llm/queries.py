@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmscout.llm import chat, html, langid, mixing, quality
+from firmscout.llm import chat, html, langid, mixing, quality, urls
 from firmscout.llm.common import table
 
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -28,6 +29,18 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages show documents, whose number ends the path; a page's label is that of its document."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    shown = F.regexp_extract(urls.path_of(F.col("url")), r"([0-9]{1,18})(\.html)?/?$", 1)
+    pages = pages.withColumn("shown", F.when(shown != "", shown.cast("long")))
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality") == 1, 0)
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(bad).alias("bad"))
+    labelled = pages.join(labels, F.col("shown") == F.col("doc_id"), "left")
+    return urls.judge(labelled.select("page_id", "url", "bad"), URL_RULES)
+
+
 @query
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn AS seq", "turn AS message", "role", "text")
