@@ -5,9 +5,9 @@ from __future__ import annotations
 import numpy as np
 
 CHUNK = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE = np.uint64(0x9E3779B97F4A7C15)
 # The inverse of the base modulo 2 to the 64.
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _LOWER[65:91] += np.uint64(32)
 _SPACE = np.zeros(256, dtype=np.int8)
@@ -25,10 +25,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _POWERS or len(_POWERS["up"]) < n:
         size = min(CHUNK, max(n, 1 << 14)) if n <= CHUNK else n
-        steps = np.full(size, _BASE), np.full(size, _INVERSE)
+        steps = np.full(size, BASE), np.full(size, _INVERSE)
         for s in steps:
             s[0] = 1
         _POWERS["up"], _POWERS["down"] = (np.multiply.accumulate(s) for s in steps)
@@ -57,7 +57,7 @@ def _piece(data: bytes) -> np.ndarray:
     space[1:-1] = _SPACE[b]
     edges = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edges[::2], edges[1::2]
-    up, down = _powers(len(b))
+    up, down = powers(len(b))
     sums = np.zeros(len(b) + 1, dtype=np.uint64)
     np.cumsum(_LOWER[b] * up, out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
@@ -71,5 +71,5 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     n = len(words) - size + 1
     out = np.full(n, size, dtype=np.uint64)
     for k in range(size):
-        out = out * _BASE + words[k : k + n]
+        out = out * BASE + words[k : k + n]
     return np.unique(mix(out))

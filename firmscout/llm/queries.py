@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmscout.llm import chat, html, langid, mixing, neardup, quality, substrings, urls
+from firmscout.llm import chat, decontam, html, langid, mixing, neardup, quality, substrings, urls
 from firmscout.llm.common import table
 
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
@@ -34,6 +34,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages show documents, whose number ends the path; a page's label is that of its document."""
