@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmscout.llm import chat, decontam, html, langid, mixing, neardup, quality, substrings, urls
+from firmscout.llm import chat, decontam, html, langid, lm, mixing, neardup, quality, substrings, urls
 from firmscout.llm.common import table
 
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
@@ -24,6 +24,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
