@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firmscout.llm.common import picked
+
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 # Strings that common chat templates treat as control tokens.
 CONTROL = (
@@ -100,7 +102,7 @@ def format_chats(log: DataFrame) -> DataFrame:
     """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     kind = F.coalesce("kind", F.lit("message")).alias("kind")
-    events = log.select(F.col("conv_id").cast("long"), "seq", kind, F.col("message"), text("role"), text("text"))
+    events = picked(log, "conv_id", "seq", "kind", "message", "role", "text").select(F.col("conv_id").cast("long"), "seq", kind, F.col("message"), text("role"), text("text"))
     events = events.repartition("conv_id").sortWithinPartitions("conv_id", "seq", "role", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

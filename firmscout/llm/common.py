@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmscout.operators.joins import checkpoint_dir
@@ -23,8 +23,19 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def picked(df: DataFrame, *names: str) -> DataFrame:
+    """The columns with exactly these names, also where others differ from them in case only."""
+    place = [df.columns.index(n) for n in names]
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))]).select(*[F.col(f"_{i}").alias(n) for i, n in zip(place, names)])
+
+
+def numbered(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with all columns but these named by their place, so that none clashes with a working column.
+
+    ``toDF(*df.columns)`` gives the names back.
+    """
+    place = {df.columns.index(n): n for n in names}
+    return df.toDF(*[place.get(i, f"_{i}") for i in range(len(df.columns))])
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:

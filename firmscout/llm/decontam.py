@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmscout.llm.common import staged
+from firmscout.llm.common import numbered, picked, staged
 from firmscout.llm.hashing import BASE, CHUNK, mix, powers
 
 WINDOW = 5
@@ -232,7 +232,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``benchmark`` has ``item_id`` and ``text``; items without a word are never found. Rows with one key need the
     same text.
     """
-    items = benchmark.select("item_id", "text").where("text IS NOT NULL").groupBy("item_id", "text").agg(F.lit(1))
+    items = picked(benchmark, "item_id", "text").where("text IS NOT NULL").groupBy("item_id", "text").agg(F.lit(1))
     # Items that share an id are told apart by their text until the end.
     items = items.select(F.struct("item_id", F.xxhash64("text").alias("tag")).alias("item"), "text")
     flat = items.select(F.to_json("item", {"ignoreNullFields": "false"}).alias("item"), "text")
@@ -275,8 +275,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_key``, equal for rows with equal id and text only."""
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    """``docs`` (columns but id and text by number) with ``_key``, equal for rows with equal id and text only."""
+    return numbered(docs, "doc_id", "text").withColumn("_key", F.xxhash64("doc_id", "text"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -297,4 +297,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows, all columns as they are."""
     keyed = _keyed(docs)
     hits = contaminated(keyed.select(F.col("_key").alias("key"), "text"), benchmark).select(F.col("key").alias("_key"))
-    return keyed.join(hits.dropDuplicates(["_key"]), "_key", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return keyed.join(hits.dropDuplicates(["_key"]), "_key", "left_anti").drop("_key").toDF(*docs.columns)

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firmscout.llm.common import picked
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)(?:>|\Z)|<(?=[a-zA-Z/]).*\Z",
     re.DOTALL,
@@ -236,5 +238,5 @@ def extract(pages: DataFrame) -> DataFrame:
     def body(html: pd.Series) -> pd.Series:
         return html.map(main_text, na_action=None)
 
-    out = pages.select("page_id", "url", body(F.coalesce("html", F.lit(""))).alias("text"))
+    out = picked(pages, "page_id", "url", "html").select("page_id", "url", body(F.coalesce("html", F.lit(""))).alias("text"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

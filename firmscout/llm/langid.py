@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmscout.llm.common import staged
+from firmscout.llm.common import picked, staged
 
 SLOTS = 1 << 16
 ALPHA = 0.5
@@ -176,7 +176,7 @@ def identify(docs: DataFrame) -> DataFrame:
     are judged each, extra columns are ignored, no rows give no rows.
     """
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    rows = docs.select("doc_id", "lang", held.alias("held_out"), "text").withColumn(
+    rows = picked(docs, "doc_id", "lang", "text").select("doc_id", "lang", held.alias("held_out"), "text").withColumn(
         "learn", ~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     langs, code, weights = fit(rows.where("learn").select("lang", "text"))

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmscout.llm.common import WORD, ranked, staged
+from firmscout.llm.common import WORD, picked, ranked, staged
 
 BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 20
@@ -115,7 +115,7 @@ def mix(
     src = F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     place = seeded(seed, F.col("doc_id"))
-    sized = staged(docs.select("doc_id", src.alias("src"), size.alias("size"), place.alias("place")))
+    sized = staged(picked(docs, "doc_id", "text", "source").select("doc_id", src.alias("src"), size.alias("size"), place.alias("place")))
 
     sources = sized.groupBy("src").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))

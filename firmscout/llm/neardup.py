@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmscout.llm.common import staged
+from firmscout.llm.common import numbered, picked, staged
 from firmscout.llm.hashing import mix, shingles, word_hashes
 
 SHINGLE = 5
@@ -250,6 +250,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     null component and is kept. Rows that repeat an id are in its component; extra columns are ignored; no rows give
     no rows.
     """
+    docs = picked(docs, "doc_id", "text")
     facts = staged(described(docs))
     known = facts.where("same IS NOT NULL AND doc_id IS NOT NULL")
     # Equal sets have equal signatures, so any of them stands for the class.
@@ -270,4 +271,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose document has a smaller id in its component; all columns as they are."""
     dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["_gone"], "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
+    held = numbered(docs, "doc_id")
+    return held.join(dropped, F.col("doc_id") == F.col("_gone"), "left_anti").toDF(*docs.columns)

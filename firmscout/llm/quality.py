@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmscout.llm.common import WORD, staged
+from firmscout.llm.common import WORD, numbered, picked, staged
 
 WINDOW = 5
 LEAST_WORDS = 10
@@ -184,10 +184,10 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, all columns as they are.
 
     Null and empty texts fail the base rule. Equal rows are judged alike, extra columns pass through, no rows give
-    no rows. Columns named ``_q``, ``_votes``, ``_p_good``, ``_base_failed`` and ``_kept`` are replaced.
+    no rows.
     """
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    return judged(features(docs)).where("_kept").select(*own)
+    held = numbered(docs, "text")
+    return judged(features(held)).where("_kept").select(*held.columns).toDF(*docs.columns)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def report(docs: DataFrame) -> DataFrame:
 
     The counts are staged: they are narrow, and both the fit and the result need them.
     """
-    counted = staged(features(docs.select("doc_id", "text")).select("doc_id", "_q"))
+    counted = staged(features(picked(docs, "doc_id", "text")).select("doc_id", "_q"))
     out = judged(counted)
     kept = [F.col("_q")[c].alias(c) for c in FEATURES[:5]]
     return out.select("doc_id", *kept, F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmscout.llm.common import parts_for, text_bytes
+from firmscout.llm.common import numbered, parts_for, picked, text_bytes
 from firmscout.llm.hashing import mix
 
 LENGTH = 50
@@ -364,6 +364,7 @@ def cut(docs: DataFrame) -> DataFrame:
     A null text counts as empty and has ``_kept`` empty. A null id is larger than all others. Rows that repeat an id
     are no smaller than each other, so neither loses anything to the other. No rows give no rows.
     """
+    names, docs = docs.columns, numbered(docs, "doc_id", "text")
     total = text_bytes(docs)
     buckets = parts_for(total, BUCKET_BYTES)
     spans = pieces(docs, buckets, common_anchors(docs, buckets)).groupBy("bucket").applyInArrow(
@@ -388,14 +389,14 @@ def cut(docs: DataFrame) -> DataFrame:
             arrays = [pa.array(names, pa.int32()), pa.array([0] * len(names), pa.int32()), pa.array(payloads, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["block", "kind", "payload"])
 
-    numbered = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]
-    texts = docs.select(*numbered, F.col("doc_id").cast("long").alias("_id")).mapInArrow(blocks, "block int, kind int, payload binary")
+    placed = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
+    texts = docs.select(*placed, F.col("doc_id").cast("long").alias("_id")).mapInArrow(blocks, "block int, kind int, payload binary")
     where = columns.index("text"), columns.index("doc_id")
     own = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
     out = texts.unionByName(spans).groupBy("block").applyInArrow(
         lambda group: _cut_block(group, *where), f"{own}, _kept binary, _n_bytes long, _n_removed long, _n_spans long"
     )
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], "_kept", "_n_bytes", "_n_removed", "_n_spans")
+    return out.toDF(*names, "_kept", "_n_bytes", "_n_removed", "_n_spans")
 
 
 def _cut_block(group: pa.Table, text_at: int, id_at: int) -> pa.Table:
@@ -451,17 +452,18 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     def decoded(kept):
         return kept.map(lambda x: bytes(x).decode("utf-8", "ignore"), na_action="ignore")
 
+    names, docs = docs.columns, numbered(docs, "doc_id", "text", *(["n_chars"] if "n_chars" in docs.columns else []))
     found = cut(docs)
     text = F.when(F.col("_n_removed") > 0, decoded("_kept")).otherwise(F.col("text"))
     out = found.withColumn("text", text).where("_n_removed = 0 OR text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+    return out.select(*docs.columns).toDF(*names)
 
 
 def report(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``docs``."""
-    found = cut(docs.select("doc_id", "text"))
+    found = cut(picked(docs, "doc_id", "text"))
     sha = F.sha2("_kept", 256).alias("kept_sha256")
     return found.select("doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), sha)

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firmscout.llm.common import picked
+
 #: Segments looked at one by one; what follows is one last segment.
 DEPTH = 8
 #: A branching is variable from so many children on, if there is a child for every ten rows, or a thousand children.
@@ -99,7 +101,7 @@ def judge(pages: DataFrame, rules: dict[str, str], depth: int = DEPTH) -> DataFr
     ``bad`` is a page's label: 1, 0 or null. A null url, or one without ``://``, has an empty host and path and the
     template of all such pages. Repeated rows count and are judged each; extra columns are ignored; no rows give none.
     """
-    parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "bad")
+    parts = picked(pages, "page_id", "url", "bad").select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "bad")
     segments = F.size(F.filter(F.split("path", "/", -1), lambda s: s != ""))
     longest, labels, bad = parts.agg(F.max(segments), F.count("bad"), F.sum("bad")).first()
     named = templates(parts, min(depth, max(1, longest or 0)))
