@@ -77,15 +77,18 @@ def _names(b: np.ndarray) -> np.ndarray:
 
 def tokens(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Template tokens of a text and what stands in their slots (0 for literal words)."""
-    if len(data) > CHUNK:  # long texts in pieces that end between words
-        parts, at = [], 0
-        while at < len(data):
-            end = min(len(data), at + CHUNK)
-            while end < len(data) and not _SPACE[data[end]]:
-                end += 1
-            parts.append(tokens(data[at:end]))
-            at = end
-        return tuple(np.concatenate(x) for x in zip(*parts))
+    parts, at = [], 0
+    while at < len(data):  # long texts in pieces that end between words
+        end = min(len(data), at + CHUNK)
+        while end < len(data) and not _SPACE[data[end]]:
+            end += 1
+        parts.append(_tokens(data[at:end]))
+        at = end
+    none = np.zeros(0, dtype=np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (none, none)
+
+
+def _tokens(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     none = np.zeros(0, dtype=np.uint64)
     b = np.frombuffer(data.decode("utf-8", "replace").lower().encode(), dtype=np.uint8)
     starts, ends = _words(b)

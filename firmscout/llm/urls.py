@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmscout.llm.common import picked
+from firmscout.llm.common import picked, staged
 
 #: Segments looked at one by one; what follows is one last segment.
 DEPTH = 8
@@ -58,6 +58,8 @@ def templates(urls: DataFrame, depth: int) -> DataFrame:
     )
     out = out.withColumn("template", F.lit(""))
     for level in range(depth):
+        if level:
+            out = staged(out)  # each level reads the one above twice
         child = F.get("_s", F.lit(level))
         counts = out.where(child.isNotNull()).groupBy("host", "template", child.alias("_c")).agg(F.count("*").alias("_n"))
         kinds = counts.groupBy("host", "template").agg(F.count("*").alias("_d"), F.sum("_n").alias("_n"))

@@ -53,14 +53,14 @@ def test_many_buckets_long_texts_and_common_anchors(spark, monkeypatch):
     monkeypatch.setattr(substrings, "INDEX_SYMBOLS", 500)
     keys = substrings.anchors(np.frombuffer((PASSAGE + prose(3, 200)).encode(), dtype=np.uint8))
     common = np.sort((keys >> np.uint64(1)) & ~substrings._POSITION)[::2]
-    monkeypatch.setattr(substrings, "common_anchors", lambda docs, buckets: common)
+    monkeypatch.setattr(substrings, "common_anchors", lambda docs: common)
     assert found(spark, rows, extra=True) == brute(rows)
 
 
 def test_common_anchors_are_found(spark, monkeypatch):
     monkeypatch.setattr(substrings, "BUCKET_BYTES", 0)
     rows = [(i, prose(i, 20) + PASSAGE) for i in range(3000)]
-    common = substrings.common_anchors(documents(spark, rows), 4)
+    common = substrings.common_anchors(documents(spark, rows))
     text = np.frombuffer(PASSAGE.encode(), dtype=np.uint8)
     inside = set(((substrings.anchors(text) >> np.uint64(1)) & ~substrings._POSITION).tolist())
     assert len(common) > 0 and set(common.tolist()) & inside
