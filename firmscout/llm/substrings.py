@@ -2,21 +2,23 @@
 
 A byte goes if it lies in a ``LENGTH``-byte string that also starts in a document with a smaller id.
 
-Routing. Every window of ``LENGTH`` bytes is dealt to a bucket by its anchor, the 16-byte string with the least hash
-in it, so equal windows meet in one bucket wherever they stand. Neighbouring windows mostly share their anchor and
-travel together as one piece of at most 84 bytes. A task sends equal pieces once. Anchors that are very frequent are
-found beforehand (``common_anchors``) and chosen last, so that windows at the edge of a common passage are dealt by
-what is beside it; windows wholly within common passages are equal pieces.
-
-Index. A bucket keeps pieces whose anchor more than one document has. Of equal pieces all but those of the smallest
-document are covered as a whole. The distinct pieces that share an anchor with others are indexed: a Burrows-Wheeler
-transform of their texts, kept as its runs (head, character, LF of the head), with samples at the ends of the runs of
-suffixes that agree in ``LENGTH`` bytes (the smallest document there). All pieces are then streamed backwards through
-the index, a step for all of them at a time; at every position the matching statistic is at least ``LENGTH`` where
-that many bytes are left, and the sample says whether the match is in a smaller document.
-
-Covered ranges go back to blocks of documents, are joined there and cut out. Text travels twice: as pieces and as
-blocks, both compressed. A bucket holds some megabytes whatever the size of the corpus; the number of buckets grows.
+Routing. Documents are packed into blocks of some megabytes by a hash of their id. Every window of ``LENGTH`` bytes is
+dealt to a bucket by its anchor, the 16-byte string with the least hash in it, so equal windows meet in one bucket
+wherever they stand. Neighbouring windows mostly share their anchor and travel together as one piece of at most 84
+bytes. Blocks first send the hashes of their anchors alone; buckets answer which of them a second document has, and only
+the pieces of those are sent, equal ones of a block once. Anchors that are very frequent are found beforehand
+(``common_anchors``) and chosen last, so that windows at the edge of a common passage are dealt by what is beside it;
+windows wholly within common passages are equal pieces.
+
+Index. Of equal pieces all but those of the smallest document are covered as a whole. The distinct pieces that share
+an anchor with others are indexed: a Burrows-Wheeler transform of their texts, kept as its runs (head, character, LF of
+the head), with samples at the ends of the runs of suffixes that agree in ``LENGTH`` bytes (the smallest document
+there). All pieces are then streamed backwards through the index, a step for all of them at a time; at every position
+the matching statistic is at least ``LENGTH`` where that many bytes are left, and the sample says whether the match is
+in a smaller document.
+
+Covered ranges go back to the blocks and are cut out there. Blocks, buckets and answers are of bounded size; their
+number grows with the corpus. All that is shuffled is packed and compressed.
 """
 
 from __future__ import annotations
@@ -44,19 +46,36 @@ _SPREAD = LENGTH - ANCHOR + 1  # anchors to choose from in a window
 _POSITION = np.uint64((1 << 24) - 1)
 _NO_ID = np.iinfo(np.int64).max  # a null id is larger than all others
 
-PIECES = "bucket int, payload binary"
+PACKED = "{0} int, payload binary"
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    sizes = np.array([len(arrays), *[a.nbytes for a in arrays]], dtype=np.int64)
-    return zstandard.ZstdCompressor(level=1).compress(sizes.tobytes() + b"".join(a.tobytes() for a in arrays))
+    """Arrays as compressed bytes; those of a number are kept plane by plane, as high ones are mostly 0."""
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays]
+    sizes = np.array([len(a) for a in arrays], dtype=np.int64)
+    return zstandard.ZstdCompressor(level=3).compress(sizes.tobytes() + b"".join(planes))
 
 
 def _unpack(payload: bytes, *types: type) -> list[np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(payload)
-    sizes = np.frombuffer(data, dtype=np.int64, count=len(types) + 1)[1:]
-    ends = np.cumsum(sizes) + 8 * (len(types) + 1)
-    return [np.frombuffer(data[e - s : e], dtype=t) for s, e, t in zip(sizes, ends, types)]
+    out, at = [], 8 * len(types)
+    for n, kind in zip(np.frombuffer(data, dtype=np.int64, count=len(types)), map(np.dtype, types)):
+        end = at + int(n) * kind.itemsize
+        planes = np.frombuffer(data[at:end], dtype=np.uint8).reshape(kind.itemsize, int(n))
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(int(n)))
+        at = end
+    return out
+
+
+def _rows(name: str, names: list, payloads: list, **more: list) -> pa.Table:
+    columns = {name: pa.array(names, pa.int32()), **{k: pa.array(v, pa.int32()) for k, v in more.items()}}
+    return pa.table({**columns, "payload": pa.array(payloads, pa.binary())})
+
+
+def _cuts(sorted_names: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """Begin and end of every run of equal names below ``n``."""
+    edges = np.flatnonzero(np.diff(sorted_names, prepend=-1, append=n))
+    return list(zip(edges[:-1].tolist(), edges[1:].tolist()))
 
 
 def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -88,7 +107,7 @@ def chosen(text: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.minimum(found[: len(found) - (_SPREAD - 32)], found[_SPREAD - 32 :])
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _chunks(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
     """Texts of a batch in chunks: bytes, and of every part its start there, id, offset in its text and text's tag.
 
     Long texts are cut into parts that overlap by all but one byte of a window.
@@ -146,34 +165,89 @@ def _hashed(text: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarr
     return mix(np.add.reduceat(values, np.cumsum(length) - length) + length.astype(np.uint64))
 
 
-def pieces(docs: DataFrame, buckets: int, common: np.ndarray) -> DataFrame:
-    """The pieces of all texts, packed by bucket."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = shared.value
-        for batch in batches:
-            for text, starts, ids, offsets, tags in _chunks(batch):
-                first, length, key, part = _pieces(text, starts, hot)
-                same = _hashed(text, first, length)
-                bucket = (key % np.uint64(buckets)).astype(np.int32)
-                order = np.lexsort((same, bucket))
-                first, length, key, part, same, bucket = (x[order] for x in (first, length, key, part, same, bucket))
-                new = np.ones(len(order), dtype=bool)
-                new[1:] = (same[1:] != same[:-1]) | (bucket[1:] != bucket[:-1])
-                at = first - starts[part] + offsets[part]
-                cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
-                names, payloads = [], []
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    own = np.flatnonzero(new[a:b]) + a
-                    body = text[_ranges(first[own], length[own])]
-                    copies = np.diff(np.append(own, b)).astype(np.int32)
-                    place = (at[a:b] << 24) | tags[part[a:b]]
-                    names.append(bucket[a])
-                    payloads.append(_pack(length[own].astype(np.uint8), key[own], same[own], copies, ids[part[a:b]], place, body))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(payloads, pa.binary())], names=["bucket", "payload"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+def _block_pieces(rows: pa.Table, common: np.ndarray) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """A block's chunks with their pieces, and the anchors' hashes and ids of all pieces."""
+    chunks = [(text, starts, ids, offsets, tags, *_pieces(text, starts, common)) for text, starts, ids, offsets, tags in _chunks(rows)]
+    if not chunks:
+        return [], np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    return chunks, np.concatenate([c[7] for c in chunks]), np.concatenate([c[2][c[8]] for c in chunks])
+
+
+def _different(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes by bucket and size, and their buckets."""
+    keys = np.unique(keys)
+    bucket = (keys % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    return keys[order], bucket[order]
+
+
+def _ask(rows: pa.Table, block: int, buckets: int, common: np.ndarray) -> pa.Table:
+    """The different anchors of a block by bucket, and whether two documents of the block have them."""
+    _, keys, ids = _block_pieces(rows, common)
+    order = np.lexsort((ids, keys))
+    again = (keys[order][1:] == keys[order][:-1]) & (ids[order][1:] != ids[order][:-1])
+    twice = np.unique(keys[order][1:][again])
+    keys, bucket = _different(keys, buckets)
+    both = np.isin(keys, twice)
+    names, payloads = [], []
+    for a, b in _cuts(bucket, buckets):
+        names.append(bucket[a])
+        payloads.append(_pack(np.diff(keys[a:b], prepend=np.uint64(0)), both[a:b].view(np.uint8)))
+    return _rows("bucket", names, payloads, block=[block] * len(names))
+
+
+def _answer(group: pa.Table) -> pa.Table:
+    """For every block of a bucket the bits of its anchors that two documents have; none if there are none."""
+    found = [_unpack(p, np.uint64, np.uint8) for p in group.column("payload").to_pylist()]
+    keys = np.concatenate([np.cumsum(k, dtype=np.uint64) for k, _ in found])
+    hit = np.concatenate([m for _, m in found]) > 0
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    same = ordered[1:] == ordered[:-1]
+    hit[order[1:][same]] = True
+    hit[order[:-1][same]] = True
+    # What two documents of one block have, no other block need have.
+    sizes = np.array([len(k) for k, _ in found])
+    ends = np.cumsum(sizes)
+    any_hit = np.add.reduceat(hit, ends - sizes) > 0
+    bits = [np.packbits(hit[e - n : e]).tobytes() for e, n, x in zip(ends, sizes, any_hit) if x]
+    keep = np.flatnonzero(any_hit)
+    bucket = group.column("bucket")[0].as_py()
+    return _rows("block", group.column("block").take(keep).to_pylist(), bits, bucket=[bucket] * len(bits))
+
+
+def _send(rows: pa.Table, answers: pa.Table, buckets: int, common: np.ndarray) -> pa.Table:
+    """The pieces of a block whose anchors a second document has, packed by bucket."""
+    chunks, keys, _ = _block_pieces(rows, common)
+    keys, bucket = _different(keys, buckets)
+    wanted = np.zeros(len(keys), dtype=bool)
+    place = {bucket[a]: (a, b) for a, b in _cuts(bucket, buckets)}
+    for name, bits in zip(answers.column("bucket").to_pylist(), answers.column("payload").to_pylist()):
+        a, b = place[name]
+        wanted[a:b] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=b - a) > 0
+    wanted = np.sort(keys[wanted])
+    names, payloads = [], []
+    for text, starts, ids, offsets, tags, first, length, key, part in chunks:
+        if not len(wanted):
+            break
+        own = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key)
+        first, length, key, part = first[own], length[own], key[own], part[own]
+        same = _hashed(text, first, length).astype(np.uint32) if len(own) else own
+        bucket = (key % np.uint64(buckets)).astype(np.int32)
+        order = np.lexsort((length, same, key, bucket))
+        first, length, key, part, same, bucket = (x[order] for x in (first, length, key, part, same, bucket))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (same[1:] != same[:-1]) | (key[1:] != key[:-1]) | (length[1:] != length[:-1])
+        at = first - starts[part] + offsets[part]
+        for a, b in _cuts(bucket, buckets):
+            own = np.flatnonzero(new[a:b]) + a
+            body = text[_ranges(first[own], length[own])]
+            copies = np.diff(np.append(own, b)).astype(np.int32)
+            place_of = (at[a:b] << 24) | tags[part[a:b]]
+            difference = np.diff(key[own], prepend=np.uint64(0))
+            names.append(bucket[a])
+            payloads.append(_pack(length[own].astype(np.uint8), difference, same[own], copies, ids[part[a:b]], place_of, body))
+    return _rows("bucket", names, payloads)
 
 
 class RunIndex:
@@ -285,7 +359,10 @@ def covered(length: np.ndarray, key: np.ndarray, body: np.ndarray, first_doc: np
 
 def _match(group: pa.Table, blocks: int) -> pa.Table:
     """Covered ranges of one bucket, packed by block of documents."""
-    found = [_unpack(p, np.uint8, np.uint64, np.uint64, np.int32, np.int64, np.int64, np.uint8) for p in group.column("payload").to_pylist()]
+    kinds = np.uint8, np.uint64, np.uint32, np.int32, np.int64, np.int64, np.uint8
+    found = [_unpack(p, *kinds) for p in group.column("payload").to_pylist()]
+    for columns in found:
+        columns[1] = np.cumsum(columns[1], dtype=np.uint64)
     length, key, same, copies, ids, place, body = (np.concatenate(x) for x in zip(*found))
     del found
     length = length.astype(np.int64)
@@ -299,11 +376,11 @@ def _match(group: pa.Table, blocks: int) -> pa.Table:
     group_least, group_most = np.minimum.reduceat(least[order], heads), np.maximum.reduceat(most[order], heads)
     shared = np.zeros(len(length), dtype=bool)
     shared[order] = np.repeat(group_least != group_most, np.diff(np.append(heads, len(order))))
-    # Equal pieces that came from several tasks become one.
+    # Equal pieces that came from several blocks become one.
     own = np.flatnonzero(shared)
     own = own[np.lexsort((length[own], same[own], key[own]))]
     if not len(own):
-        return pa.table({"block": pa.array([], pa.int32()), "kind": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
+        return _rows("block", [], [])
     new = np.ones(len(own), dtype=bool)
     new[1:] = (key[own][1:] != key[own][:-1]) | (same[own][1:] != same[own][:-1]) | (length[own][1:] != length[own][:-1])
     heads = np.flatnonzero(new)
@@ -325,17 +402,15 @@ def _match(group: pa.Table, blocks: int) -> pa.Table:
     block = _block(ids, blocks)
     order = np.lexsort((start, ids, block))
     block, ids, start, size = block[order], ids[order], start[order], (high - low + LENGTH)[order].astype(np.uint8)
-    cuts = np.flatnonzero(np.diff(block, prepend=-1, append=blocks)) if len(block) else np.zeros(1, dtype=np.int64)
-    payloads = [_pack(ids[a:b], start[a:b], size[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-    names = pa.array(block[cuts[:-1]] if len(block) else [], pa.int32())
-    return pa.table({"block": names, "kind": pa.array([1] * len(payloads), pa.int32()), "payload": pa.array(payloads, pa.binary())})
+    cuts = _cuts(block, blocks)
+    return _rows("block", [block[a] for a, _ in cuts], [_pack(ids[a:b], start[a:b], size[a:b]) for a, b in cuts])
 
 
 def _block(ids: np.ndarray, blocks: int) -> np.ndarray:
     return (mix(ids.astype(np.uint64)) % np.uint64(blocks)).astype(np.int32)
 
 
-def common_anchors(docs: DataFrame, buckets: int) -> np.ndarray:
+def common_anchors(docs: DataFrame) -> np.ndarray:
     """Hashes of anchors so frequent that their pieces alone would fill a bucket, from every 16th document's pieces.
 
     They only decide where windows are compared, never whether; so a sample does.
@@ -366,47 +441,57 @@ def cut(docs: DataFrame) -> DataFrame:
     """
     names, docs = docs.columns, numbered(docs, "doc_id", "text")
     total = text_bytes(docs)
-    buckets = parts_for(total, BUCKET_BYTES)
-    spans = pieces(docs, buckets, common_anchors(docs, buckets)).groupBy("bucket").applyInArrow(
-        lambda group: _match(group, buckets), "block int, kind int, payload binary"
-    )
+    n = parts_for(total, BUCKET_BYTES)  # blocks, and buckets as well
+    common = docs.sparkSession.sparkContext.broadcast(common_anchors(docs))
     columns = docs.columns
+    text_at, id_at = columns.index("text"), columns.index("doc_id")
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(batch.num_columns - 1).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
             rows = batch.select(list(range(batch.num_columns - 1)))
-            block = _block(ids, buckets)
+            block = _block(ids, n)
             order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[order], prepend=-1, append=buckets))
             names, payloads = [], []
-            for a, b in zip(cuts[:-1], cuts[1:]):
+            for a, b in _cuts(block[order], n):
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                with pa.ipc.new_stream(sink, rows.schema) as writer:
                     writer.write_batch(rows.take(pa.array(order[a:b])))
                 names.append(block[order[a]])
-                payloads.append(sink.getvalue().to_pybytes())
-            arrays = [pa.array(names, pa.int32()), pa.array([0] * len(names), pa.int32()), pa.array(payloads, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["block", "kind", "payload"])
+                payloads.append(zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes()))
+            yield from _rows("block", names, payloads).to_batches()
+
+    def opened(group: pa.Table) -> pa.Table:
+        unpacker = zstandard.ZstdDecompressor()
+        return pa.concat_tables([pa.ipc.open_stream(unpacker.decompress(p)).read_all() for p in group.column("payload").to_pylist()])
+
+    def texts_of(group: pa.Table) -> pa.Table:
+        rows = opened(group)
+        ids = rows.column(id_at).cast(pa.int64())
+        return pa.table({"doc_id": ids, "text": rows.column(text_at)}).combine_chunks()
 
     placed = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
-    texts = docs.select(*placed, F.col("doc_id").cast("long").alias("_id")).mapInArrow(blocks, "block int, kind int, payload binary")
-    where = columns.index("text"), columns.index("doc_id")
+    texts = docs.select(*placed, F.col("doc_id").cast("long").alias("_id")).mapInArrow(pack, PACKED.format("block"))
+    asked = texts.groupBy("block").applyInArrow(
+        lambda key, group: _ask(texts_of(group), key[0].as_py(), n, common.value), "bucket int, block int, payload binary"
+    )
+    answers = asked.groupBy("bucket").applyInArrow(_answer, "block int, bucket int, payload binary")
+    sent = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        lambda left, right: _send(texts_of(left), right, n, common.value) if right.num_rows else _rows("bucket", [], []),
+        PACKED.format("bucket"),
+    )
+    spans = sent.groupBy("bucket").applyInArrow(lambda group: _match(group, n), PACKED.format("block"))
     own = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
-    out = texts.unionByName(spans).groupBy("block").applyInArrow(
-        lambda group: _cut_block(group, *where), f"{own}, _kept binary, _n_bytes long, _n_removed long, _n_spans long"
+    out = texts.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(
+        lambda left, right: _cut_block(opened(left), right, text_at, id_at),
+        f"{own}, _kept binary, _n_bytes long, _n_removed long, _n_spans long",
     )
     return out.toDF(*names, "_kept", "_n_bytes", "_n_removed", "_n_spans")
 
 
-def _cut_block(group: pa.Table, text_at: int, id_at: int) -> pa.Table:
-    kinds = np.array(group.column("kind").to_pylist())
-    payloads = group.column("payload").to_pylist()
-    rows = pa.concat_tables([pa.ipc.open_stream(payloads[i]).read_all() for i in np.flatnonzero(kinds == 0)])
-    ids, starts, sizes = (
-        np.concatenate([*x, np.zeros(0, dtype=np.int64)]).astype(np.int64)
-        for x in zip(*[_unpack(payloads[i], np.int64, np.int64, np.uint8) for i in np.flatnonzero(kinds == 1)], strict=True)
-    ) if (kinds == 1).any() else [np.zeros(0, dtype=np.int64)] * 3
+def _cut_block(rows: pa.Table, spans: pa.Table, text_at: int, id_at: int) -> pa.Table:
+    found = [_unpack(p, np.int64, np.int64, np.uint8) for p in spans.column("payload").to_pylist()]
+    ids, starts, sizes = (np.concatenate([np.zeros(0, dtype=np.int64), *x]).astype(np.int64) for x in (zip(*found) if found else [[]] * 3))
     order = np.argsort(ids, kind="stable")
     ids, starts, sizes = ids[order], starts[order], sizes[order]
     kept, n_bytes, removed, spans = [], [], [], []
