@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmscout.functions.text import blank
-from firmscout.operators.joins import ORDER, drop_matching, stage
+from firmscout.operators.joins import ORDER, drop_matching
 
 DEDUPE_KEY = "dedupe_key"
 
@@ -37,9 +37,5 @@ def first_of_each(leads: DataFrame) -> DataFrame:
 
 
 def not_seen_before(leads: DataFrame, earlier: DataFrame) -> DataFrame:
-    """Leads whose key does not occur in earlier output (a frame with name and address).
-
-    The leads are staged, as the join looks for frequent keys among them first.
-    """
-    seen = keyed(earlier).select(DEDUPE_KEY).where(F.col(DEDUPE_KEY).isNotNull()).distinct()
-    return drop_matching(stage(keyed(leads)), seen, DEDUPE_KEY)
+    """Leads whose key does not occur in earlier output (a frame with name and address)."""
+    return drop_matching(keyed(leads), keyed(earlier), DEDUPE_KEY)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from firmscout.functions.dates import first_young_day, parse_date
 from firmscout.functions.text import blank, is_active
-from firmscout.operators.joins import ORDER, KeySet
+from firmscout.operators.joins import ORDER, keep_matching
 
 
 def active(df: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def region_test(codes: Sequence[str]) -> Column:
 def in_region(df: DataFrame, codes: Sequence[str] | DataFrame) -> DataFrame:
     """Rows whose ``postal_code`` is listed, in a sequence or in a frame of that column."""
     if isinstance(codes, DataFrame):
-        return KeySet(codes, "postal_code").keep(df)
+        return keep_matching(df, codes, "postal_code")
     return df.where(region_test(codes))
 
 

@@ -1,39 +1,31 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-Three things are assumed of every big table here: a few keys may be very
-frequent, some keys are blank, and nobody knows in advance how large an
-intermediate set of keys gets. ``attach`` handles the first two, ``KeySet`` the
-third.
+Some keys of every big table may be very frequent and some are blank. Frequent
+keys are left to adaptive execution, which cuts a large partition of the left
+side into several tasks; the joins here are laid out so that it can. Nothing is
+counted beforehand and no broadcast is asked for: Spark makes one where the
+bytes it has seen allow it.
 """
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ORDER = "_ord"
-
-# At most this many keys are ever treated as frequent, so the rows broadcast for
-# them are bounded by it: a lookup has one row per key. Any key left out then has
-# less than a thousandth of the rows.
-MAX_FREQUENT_KEYS = 1_000
-# A key with fewer rows than this is no burden for one task.
-FREQUENT_ROWS = 200_000
-# Largest set of keys sent to every executor: some 100 MB of hashed short strings.
-MAX_BROADCAST_KEYS = 1_000_000
+_ROUTE, _PART = "_route", "_part"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage; a private one only in local mode."""
+    """The shared folder for cut lineage and scratch tables; in local mode the warehouse is one."""
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="firmscout-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -49,96 +41,46 @@ def is_blank(key: Column) -> Column:
     return F.coalesce(key, F.lit("")) == ""
 
 
-def frequent_keys(df: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
-    """The most frequent keys with at least ``min_rows`` rows, ``MAX_FREQUENT_KEYS`` at most.
-
-    ``min_rows`` is ``FREQUENT_ROWS`` unless given.
+def _routed(df: DataFrame, route: Column) -> DataFrame:
+    """Two join keys, the second a function of the first.
 
-    Counts combine map-side and read only the key column. The order is total, so
-    every use of the result within a job sees the same keys.
+    A lookup comes partitioned by its key; as that is not all join keys, Spark
+    shuffles it once more, and only between two shuffles does it split a skewed
+    partition. What is shuffled again has one row per key.
     """
-    counted = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    heavy = counted.where(F.col("_rows") >= (FREQUENT_ROWS if min_rows is None else min_rows))
-    return heavy.orderBy(F.desc("_rows"), key).limit(MAX_FREQUENT_KEYS).select(key)
-
-
-def attach(
-    left: DataFrame,
-    lookups: Sequence[DataFrame],
-    key: str,
-    *,
-    frequent: DataFrame | None = None,
-    spread: Column | None = None,
-) -> DataFrame:
-    """Left outer join of ``left`` with lookups that have one row per ``key``.
+    return df.withColumn(_ROUTE, route).withColumn(_PART, F.length(_ROUTE))
 
-    Rows of frequent keys and rows without a key are not sent to their key's
-    partition: they are spread by a hash of their own position. Frequent keys
-    find their lookup row in a broadcast of at most ``MAX_FREQUENT_KEYS`` rows,
-    all others in the shuffled join. With no frequent key the broadcast is
-    empty and adaptive execution drops that branch.
 
-    Keys must not begin with a tilde. All lookups share the one shuffle of
-    ``left``.
-    """
-    marked_key, route = "_frequent", "_route"
-    hot = frequent if frequent is not None else frequent_keys(left, key)
-    hot = F.broadcast(hot.select(F.col(key).alias(marked_key)))
-    place = spread if spread is not None else F.xxhash64(ORDER)
-    alone = is_blank(F.col(key)) | F.col(marked_key).isNotNull()
-    out = left.join(hot, F.col(key) == F.col(marked_key), "left").withColumn(
-        route, F.when(alone, F.concat(F.lit("~"), place.cast("string"))).otherwise(F.col(key))
-    )
-    kept = out.columns
-    for lookup in lookups:
-        values = [c for c in lookup.columns if c != key]
-        packed = f"struct({', '.join(f'`{v}`' for v in values)})"
-        bulk = lookup.selectExpr(f"`{key}` AS {route}", f"{packed} AS _bulk")
-        few = lookup.join(hot, F.col(key) == F.col(marked_key), "left_semi")
-        few = few.selectExpr(f"`{key}` AS {marked_key}", f"{packed} AS _few")
-        out = out.join(bulk, route, "left").join(F.broadcast(few), marked_key, "left")
-        found = [f"coalesce(_few, _bulk).`{v}` AS `{v}`" for v in values]
-        out = out.selectExpr(*[f"`{c}`" for c in kept], *found)
-        kept = [*kept, *values]
-    return out.drop(marked_key, route)
-
-
-class KeySet:
-    """The distinct values of one column, blanks left out, with their number known.
-
-    The keys are staged, so counting them and joining with them do not repeat
-    the work that found them.
-    """
+def _spread(left: DataFrame, key: str) -> DataFrame:
+    """Rows without a key match nothing and go anywhere, by a hash of their position."""
+    alone = F.concat(F.lit("~"), F.xxhash64(ORDER).cast("string"))
+    return _routed(left, F.when(is_blank(F.col(key)), alone).otherwise(F.col(key)))
+
 
-    def __init__(self, rows: DataFrame, key: str, max_broadcast: int | None = None):
-        self.key = key
-        self.keys = stage(rows.select(key).distinct()).where(~is_blank(F.col(key)))
-        self.size = self.keys.count()
-        self.small = self.size <= (MAX_BROADCAST_KEYS if max_broadcast is None else max_broadcast)
+def attach(left: DataFrame, lookups: Sequence[DataFrame], key: str) -> DataFrame:
+    """Left outer join of ``left`` with lookups that have one row per ``key``.
 
-    def narrow(self, df: DataFrame) -> DataFrame:
-        """Drop rows of other keys if that needs no shuffle, else ``df`` as it is.
+    The lookups are joined with each other first, where no key is frequent; the
+    left side is shuffled once. Keys must not begin with a tilde.
+    """
+    merged = lookups[0]
+    for lookup in lookups[1:]:
+        merged = merged.join(lookup, key, "full")
+    merged = _routed(merged, F.col(key)).drop(key)
+    return _spread(left, key).join(merged, [_ROUTE, _PART], "left").drop(_ROUTE, _PART)
 
-        For use ahead of an aggregation whose result is joined by key anyway.
-        """
-        if not self.small:
-            return df
-        return df.join(F.broadcast(self.keys), self.key, "left_semi")
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        """Exactly the rows of ``df`` whose key is in the set."""
-        if self.small:
-            return self.narrow(df)
-        return keep_matching(df, self.keys, self.key)
+def keep_matching(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is among ``keys``."""
+    return _matching(df, keys, key, "left_semi")
 
 
-def keep_matching(df: DataFrame, keys: DataFrame, key: str, spread: Column | None = None) -> DataFrame:
-    """Left semi join by shuffle, balanced for frequent keys of ``df``."""
-    flagged = attach(df, [keys.select(key, F.lit(True).alias("_match"))], key, spread=spread)
-    return flagged.where(F.col("_match")).drop("_match")
+def drop_matching(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is not among ``keys``, those without a key included."""
+    return _matching(df, keys, key, "left_anti")
 
 
-def drop_matching(df: DataFrame, keys: DataFrame, key: str, spread: Column | None = None) -> DataFrame:
-    """Left anti join by shuffle, balanced for frequent keys of ``df``; keeps blank keys."""
-    flagged = attach(df, [keys.select(key, F.lit(True).alias("_match"))], key, spread=spread)
-    return flagged.where(F.col("_match").isNull()).drop("_match")
+def _matching(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    known = keys.select(key).where(~is_blank(F.col(key))).distinct()
+    known = _routed(known, F.col(key)).drop(key)
+    return _spread(df, key).join(known, [_ROUTE, _PART], how).drop(_ROUTE, _PART)

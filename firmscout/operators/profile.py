@@ -9,7 +9,7 @@ from firmscout.functions.dates import parse_date
 from firmscout.functions.text import blank
 from firmscout.operators.filters import active
 from firmscout.operators.joins import ORDER
-from firmscout.operators.lookups import is_activity, is_address, is_denomination
+from firmscout.operators.lookups import best_contacts, is_activity, is_address, is_denomination
 
 # Lengths of the reports.
 TOP = 10
@@ -108,13 +108,22 @@ def stage_funnel(flagged: DataFrame) -> DataFrame:
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per table, and the rows that carry a key and a value where the table demands them."""
+    """Rows per table, and the rows that carry a key and a value where the table demands them.
+
+    For contacts also the enterprises that have one, their own or that of an establishment.
+    """
     usable = {"address": is_address(), "activity": is_activity(), "denomination": is_denomination()}
-    parts = []
-    for name, df in tables.items():
-        counted = df.agg(F.count("*").alias("loaded"), F.count_if(usable.get(name, F.lit(True))).alias("usable"))
-        parts.append(counted.select(F.lit(name).alias("relation"), "loaded", "usable"))
+    none = F.lit(None).cast("bigint")
+    parts = [
+        df.agg(F.count("*").alias("loaded"), F.count_if(usable.get(name, F.lit(True))).alias("usable")).select(
+            F.lit(name).alias("relation"), "loaded", "usable", none.alias("enterprises")
+        )
+        for name, df in tables.items()
+    ]
+    if "contact" in tables and "establishment" in tables:
+        reached = best_contacts(tables["contact"], tables["establishment"]).agg(F.count("*").alias("enterprises"))
+        parts.append(reached.select(F.lit("contact").alias("relation"), none.alias("loaded"), none.alias("usable"), "enterprises"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return out.groupBy("relation").agg(*[F.max(c).alias(c) for c in ("loaded", "usable", "enterprises")])

@@ -42,7 +42,7 @@ def require_valid(df: DataFrame) -> DataFrame:
 def apply_policy(df: DataFrame, on_invalid: str) -> DataFrame:
     """``fail`` on invalid rows, or leave them out (``drop``, ``quarantine``).
 
-    With ``quarantine`` the caller writes ``rejected_leads`` of the same frame
-    next to the result.
+    With ``quarantine`` they are not lost: a run returns them with their reasons
+    and the sink writes them next to the leads.
     """
     return require_valid(df) if on_invalid == "fail" else valid_leads(df)

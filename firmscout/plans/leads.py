@@ -1,12 +1,14 @@
 """From the six relations to scored leads.
 
 The enterprises are first cut down by everything that needs only themselves and
-their primary establishment; contacts, names and activities are then read for
-the enterprises that are left.
+their primary establishment, then contacts, names and first activities are
+joined to them. The lists of all activity codes, whose size has no bound, are
+built last, for the leads that are left. Building a frame starts no job.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,8 +19,8 @@ from firmscout.functions.dates import age_months, parse_date
 from firmscout.functions.sectors import sector_of
 from firmscout.functions.text import blank, is_active, postal_code, status_label, yes_no
 from firmscout.operators import filters, lookups
-from firmscout.operators.joins import ORDER, KeySet, attach, frequent_keys, stage
-from firmscout.operators.quality import apply_policy
+from firmscout.operators.joins import ORDER, attach
+from firmscout.operators.quality import apply_policy, rejected_leads
 from firmscout.plans.params import LeadParams
 
 # The columns of a lead, in output order.
@@ -57,17 +59,19 @@ class Registry:
     snapshot: str = ""
 
 
-def located_enterprises(registry: Registry, enterprise: DataFrame | None = None) -> DataFrame:
+def located_enterprises(
+    registry: Registry, enterprise: DataFrame | None = None, more: Sequence[DataFrame] = ()
+) -> DataFrame:
     """Enterprises with the place of their primary establishment, or else their own.
 
     ``own_postal_code``, ``est_postal_code`` and ``establishment_number`` stay for
-    the diagnostics.
+    the diagnostics. ``more`` are further lookups by enterprise, joined with the
+    same shuffle.
     """
     enterprise = registry.enterprise if enterprise is None else enterprise
     filled = lookups.filled_establishments(registry.establishment, registry.address)
     primary = lookups.primary_establishment(filled).withColumn("has_establishment", F.lit(True))
-    # Counted on the bare table: a filter or join in front would be repeated for it.
-    joined = attach(enterprise, [primary], KEY, frequent=frequent_keys(registry.enterprise, KEY))
+    joined = attach(enterprise, [primary, *more], KEY)
     own_code = postal_code(F.col("postal_code"))
     return joined.select(
         KEY,
@@ -82,6 +86,7 @@ def located_enterprises(registry: Registry, enterprise: DataFrame | None = None)
         "est_postal_code",
         "establishment_number",
         F.coalesce("has_establishment", F.lit(False)).alias("has_establishment"),
+        *[c for lookup in more for c in lookup.columns if c != KEY],
         ORDER,
     )
 
@@ -99,49 +104,44 @@ def with_age(found: DataFrame, params: LeadParams) -> DataFrame:
 
 
 def with_details(found: DataFrame, registry: Registry, lite: bool = False) -> DataFrame:
-    """Contacts, names and activity codes of the enterprises found."""
-    columns = {
-        "phone": F.lit(None).cast("string"),
-        "email": F.lit(None).cast("string"),
-        "contact_website": F.lit(None).cast("string"),
-        "denomination": F.lit(None).cast("string"),
-        "nace_codes": F.lit(None).cast("string"),
-        "first_code": F.lit(None).cast("string"),
-    }
-    activity = None if lite else registry.activity
+    """Contacts, names and first activity codes of the enterprises found."""
     details: list[DataFrame] = []
-    if registry.contact is not None or registry.denomination is not None or activity is not None:
-        found = stage(found)
-        wanted = KeySet(found, KEY)
-        if registry.contact is not None:
-            details.append(_contacts_of(wanted, registry).withColumnRenamed("website", "contact_website"))
-        if registry.denomination is not None:
-            details.append(lookups.best_denomination(wanted.narrow(registry.denomination)))
-        if activity is not None:
-            # Exact, not merely narrowed: no list is built for an enterprise nobody asked for.
-            details.append(lookups.activity_codes(wanted.keep(activity)))
+    if registry.contact is not None:
+        contacts = lookups.best_contacts(registry.contact, registry.establishment)
+        details.append(contacts.withColumnRenamed("website", "contact_website"))
+    if registry.denomination is not None:
+        details.append(lookups.best_denomination(registry.denomination))
+    if registry.activity is not None and not lite:
+        details.append(lookups.first_activity(registry.activity))
+    if details:
         found = attach(found, details, KEY)
-    return found.withColumns({name: empty for name, empty in columns.items() if name not in found.columns})
-
+    names = ["phone", "email", "contact_website", "denomination", "first_code", "nace_codes"]
+    return found.withColumns({n: F.lit(None).cast("string") for n in names if n not in found.columns})
 
-def _contacts_of(wanted: KeySet, registry: Registry) -> DataFrame:
-    """Best contacts, read only for the wanted enterprises where their number allows."""
-    establishment, contact = registry.establishment, registry.contact
-    if not wanted.small:
-        return lookups.best_contacts(contact, establishment)
-    places = KeySet(wanted.narrow(establishment), "establishment_number")
-    # An establishment's last owner counts, so all rows of these establishments are needed.
-    owner = wanted.narrow(lookups.establishment_owner(places.narrow(establishment)))
-    return lookups.best_contacts(_contacts_naming(contact, wanted, places), establishment, owner)
 
+def with_codes(leads: DataFrame, registry: Registry, lite: bool = False) -> DataFrame:
+    """Leads with the list of all their activity codes, in file order.
 
-def _contacts_naming(contact: DataFrame, enterprises: KeySet, establishments: KeySet) -> DataFrame:
-    if not establishments.small:
-        return contact
-    numbers = enterprises.keys.select(F.col(KEY).alias("entity_number")).unionByName(
-        establishments.keys.select(F.col("establishment_number").alias("entity_number"))
+    The activities are joined to the leads and nowhere else grouped, so no list
+    is built for an enterprise that is not a lead. Codes are joined per chunk of
+    the table first, as in ``lookups.activity_codes``. A list is one cell and as
+    such ends at two gigabytes, with an error.
+    """
+    if registry.activity is None or lite:
+        return leads
+    row = F.when(lookups.is_activity(), F.struct(F.col(ORDER).alias("at"), "nace_code")).alias("_row")
+    codes = registry.activity.select(KEY, row).where(F.col("_row").isNotNull())
+    rest = [c for c in leads.columns if c not in (ORDER, "nace_codes")]
+    lead = F.any_value(F.struct(*rest)).alias("lead")
+    pieces = (
+        leads.join(codes, KEY, "left")
+        .groupBy(ORDER, F.col("_row.at.chunk").alias("chunk"))
+        .agg(lead, F.sort_array(F.collect_list("_row")).alias("rows"))
+        .select(ORDER, "lead", F.struct("chunk", F.array_join("rows.nace_code", ",").alias("codes")).alias("piece"))
     )
-    return contact.join(F.broadcast(numbers), "entity_number", "left_semi")
+    whole = pieces.groupBy(ORDER).agg(F.any_value("lead").alias("lead"), F.sort_array(F.collect_list("piece")).alias("pieces"))
+    listed = whole.select("lead.*", F.array_join("pieces.codes", ",").alias("nace_codes"), ORDER)
+    return listed.select(*leads.columns)
 
 
 def scored(found: DataFrame, params: LeadParams, snapshot: str) -> DataFrame:
@@ -172,16 +172,40 @@ def scored(found: DataFrame, params: LeadParams, snapshot: str) -> DataFrame:
     return found.select(*[c.alias(n) for c, n in zip(text, LEAD_COLUMNS)], ORDER)
 
 
-def all_leads(registry: Registry, params: LeadParams) -> DataFrame:
-    """Scored leads after all filters but before validity and limit, in no order, with ``_ord``."""
+@dataclass(frozen=True)
+class LeadRun:
+    """The leads of a run and the rows that are not valid, with their reasons; both with ``_ord``."""
+
+    leads: DataFrame
+    rejected: DataFrame
+
+
+def scored_leads(registry: Registry, params: LeadParams) -> DataFrame:
+    """Scored leads after all filters but before validity and limit, without code lists."""
     details = with_details(candidates(registry, params), registry, params.lite)
     leads = filters.mentions(scored(details, params, registry.snapshot), params.query)
     return filters.scored_at_least(leads, params.score_floor)
 
 
+def all_leads(registry: Registry, params: LeadParams) -> DataFrame:
+    """Scored leads after all filters but before validity and limit, in no order, with ``_ord``."""
+    return with_codes(scored_leads(registry, params), registry, params.lite)
+
+
 def lead_rows(registry: Registry, params: LeadParams) -> DataFrame:
     """The leads of a run with ``_ord``: valid ones, the first ``limit`` of them in file order."""
-    return filters.first_rows(apply_policy(all_leads(registry, params), params.on_invalid), params.limit)
+    valid = apply_policy(scored_leads(registry, params), params.on_invalid)
+    return with_codes(filters.first_rows(valid, params.limit), registry, params.lite)
+
+
+def lead_run(registry: Registry, params: LeadParams) -> LeadRun:
+    """The leads of a run, and what it rejects as invalid.
+
+    With ``fail`` the leads end in an error as soon as one row is invalid; with
+    ``drop`` the rejected rows are left out on request.
+    """
+    rejected = rejected_leads(all_leads(registry, params))
+    return LeadRun(lead_rows(registry, params), rejected.where("false") if params.on_invalid == "drop" else rejected)
 
 
 def build_leads(registry: Registry, params: LeadParams) -> DataFrame:
@@ -191,18 +215,11 @@ def build_leads(registry: Registry, params: LeadParams) -> DataFrame:
 
 def flagged_enterprises(registry: Registry, params: LeadParams) -> DataFrame:
     """Every enterprise with one flag per stage, for funnels and coverage."""
-    contacts = (
-        None
-        if registry.contact is None
-        else lookups.best_contacts(registry.contact, registry.establishment).select(
-            KEY, F.lit(True).alias("has_contact")
-        )
-    )
-    placed = located_enterprises(registry)
-    if contacts is None:
-        placed = placed.withColumn("has_contact", F.lit(False))
+    if registry.contact is None:
+        placed = located_enterprises(registry).withColumn("has_contact", F.lit(False))
     else:
-        placed = attach(placed, [contacts], KEY, frequent=frequent_keys(registry.enterprise, KEY))
+        contacts = lookups.best_contacts(registry.contact, registry.establishment)
+        placed = located_enterprises(registry, more=[contacts.select(KEY, F.lit(True).alias("has_contact"))])
     return placed.select(
         KEY,
         is_active(F.col("status")).alias("is_active"),

@@ -23,8 +23,8 @@ DEFAULT_POSTCODES = (
 DEFAULT_COUNTRY = "BE"
 SUPPORTED_COUNTRIES = ("BE",)
 DEFAULT_MONTHS = 18
-DEFAULT_MIN_SCORE = 40
-DEFAULT_LIMIT = 200
+# The lowest score and the number of leads of a run from the command line.
+COMMAND_LINE = {"min_score": 40, "limit": 200}
 
 
 def parse_postcodes(text: str) -> tuple[str, ...]:
@@ -42,7 +42,8 @@ class LeadParams:
     """Parameters of a lead run.
 
     ``as_of`` is the day ages are counted to. ``postcodes`` may be empty, which
-    means every region. ``limit`` 0 means all.
+    means every region. ``limit`` 0 means all. Nothing is cut off unless asked
+    for; ``LeadParams(..., **COMMAND_LINE)`` has the cuts of a command line run.
     """
 
     as_of: date
@@ -51,8 +52,8 @@ class LeadParams:
     query: str = ""
     postcodes: tuple[str, ...] = DEFAULT_POSTCODES
     months: int = DEFAULT_MONTHS
-    min_score: int = DEFAULT_MIN_SCORE
-    limit: int = DEFAULT_LIMIT
+    min_score: int = 0
+    limit: int = 0
     lite: bool = False
     on_invalid: str = "quarantine"
 

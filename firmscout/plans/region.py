@@ -15,41 +15,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmscout.functions.text import postal_code
-from firmscout.operators.joins import KeySet, stage
+from firmscout.operators.joins import keep_matching
 from firmscout.plans.leads import KEY, Registry, build_leads, lead_rows
 from firmscout.plans.params import LeadParams
 
 
 @dataclass(frozen=True)
 class Region:
+    """A registry cut down to one region, and the key sets it was cut with."""
+
     registry: Registry
-    establishments_in_area: int
-    enterprises_in_area: int
+    establishments: DataFrame
+    enterprises: DataFrame
+
+    def sizes(self) -> tuple[int, int]:
+        """How many establishments and enterprises have an address in the region; counts them."""
+        return self.establishments.count(), self.enterprises.count()
 
 
 def region_prefilter(registry: Registry, codes: Sequence[str]) -> Region:
-    """The registry cut down to one region by semi-joins, with the sizes of the key sets.
+    """The registry cut down to one region by semi-joins. Contacts and denominations stay whole.
 
-    Each key set is staged and counted; it is broadcast when it is small and
-    shuffled when it is not. Contacts and denominations stay whole.
+    Nothing runs yet; whether a key set is broadcast is Spark's choice by its bytes.
     """
     if registry.address is None:
         raise ValueError("the region-first run needs the address table")
     here = registry.address.where(
         (F.col("establishment_number") != "") & postal_code(F.col("postal_code")).isin(list(codes))
     )
-    here = stage(here)
-    places = KeySet(here, "establishment_number")
-    establishment = stage(places.keep(registry.establishment.where(F.col(KEY) != "")))
-    owners = KeySet(establishment, KEY)
+    places = here.select("establishment_number").distinct()
+    owned = registry.establishment.where(F.col(KEY) != "")
+    establishment = keep_matching(owned, places, "establishment_number")
+    owners = establishment.select(KEY).distinct()
     cut = replace(
         registry,
         address=here,
         establishment=establishment,
-        enterprise=owners.keep(registry.enterprise),
-        activity=None if registry.activity is None else owners.keep(registry.activity),
+        enterprise=keep_matching(registry.enterprise, owners, KEY),
+        activity=None if registry.activity is None else keep_matching(registry.activity, owners, KEY),
     )
-    return Region(cut, places.size, owners.size)
+    return Region(cut, places, owners)
 
 
 def region_registry(registry: Registry, params: LeadParams) -> Registry:

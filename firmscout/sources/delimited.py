@@ -23,13 +23,16 @@ UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 MAX_BAD_ROWS = 1000
 
 BAD_ROW = "_corrupt_record"
+# A quote at the start of a line or behind a delimiter.
+OPENING = "(^|[;,|\\t])\""
 CHUNK_BITS = 20  # about a million rows per chunk
 
 
 @dataclass(frozen=True)
 class Shape:
-    """How to read one group of files."""
+    """How to read one group of files: their header line, encoding, and whether fields hold line breaks."""
 
+    header: str
     encoding: str
     multiline: bool
 
@@ -45,17 +48,6 @@ def with_file_order(df: DataFrame) -> DataFrame:
     return df.withColumn(ORDER, F.struct(chunk.alias("chunk"), row.alias("row")))
 
 
-def header_line(spark: SparkSession, path: str) -> str:
-    """The first line of the table; part files of one table share their header."""
-    value = F.col("value")
-    text = F.when(F.is_valid_utf8(value), value).otherwise(F.decode(value.cast("binary"), LATIN1))
-    starts = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
-    lines = starts.where(F.length("value") > 0).select(text.alias("line")).head(1)
-    if not lines:
-        raise ValueError(f"no header line in {path}")
-    return lines[0]["line"].removeprefix("\ufeff")
-
-
 def find_delimiter(line: str, fallback: str = DEFAULT_DELIMITER) -> str:
     """The candidate that splits the header into most fields."""
     widths = {d: len(next(csv.reader([line], delimiter=d))) for d in DELIMITERS}
@@ -63,27 +55,42 @@ def find_delimiter(line: str, fallback: str = DEFAULT_DELIMITER) -> str:
     return best if widths[best] > 1 else fallback
 
 
-def file_shapes(spark: SparkSession, path: str) -> dict[Shape, list[str] | None]:
+def file_shapes(spark: SparkSession, path: str, whole: bool = True) -> dict[Shape, list[str] | None]:
     """The ways the files of a table must be read, with the files of each; None means all files.
 
-    One pass over the text tells per file whether a line is not valid UTF-8
-    (then the file is Latin-1) and whether a line has an unpaired quote (then a
-    field holds a line break and the file cannot be split). Files without either
-    are read in splits.
+    One pass over the text tells per file its header, whether a line is not valid
+    UTF-8 (then the file is Latin-1) and whether a quote that opens a field is
+    left open at the end of a line (then a field holds a line break and the file
+    cannot be split). A quote elsewhere in a field opens nothing. Files without
+    either are read in splits. Empty files are not among them. With ``whole``
+    off, only the header is looked for, at the starts of the files.
     """
-    value = F.col("value")
+    value, place = F.col("value"), F.monotonically_increasing_id()
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        value,
+        F.when(F.length("value") > 0, place).alias("place"),
+    )
+    if not whole:
+        lines = lines.where("block = 0 AND place IS NOT NULL")
     quotes = F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))
-    per_file = (
-        spark.read.text(path)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.bool_or(~F.is_valid_utf8(value)).alias("latin"), F.bool_or(quotes % 2 == 1).alias("broken"))
+    open_quote = (quotes % 2 == 1) & value.rlike(OPENING)
+    first = F.min_by("value", F.when(F.col("block") == 0, F.col("place")))
+    per_file = lines.groupBy("file").agg(
+        first.alias("line"), F.bool_or(~F.is_valid_utf8(value)).alias("latin"), F.bool_or(open_quote).alias("broken")
     )
-    # One row per file, as many as the driver lists for the scan itself.
+    line = F.when(F.is_valid_utf8("line"), F.col("line")).otherwise(F.decode(F.col("line").cast("binary"), LATIN1))
+    per_file = per_file.where(F.col("line").isNotNull()).withColumn("line", line)
+    kinds = per_file.groupBy("line", "latin", "broken").agg(F.count("*").alias("files"), F.min("file").alias("one")).collect()
+    shape = lambda row: Shape(row["line"].removeprefix("\ufeff"), LATIN1 if row["latin"] else UTF8, row["broken"])
+    if len({shape(row) for row in kinds}) == 1:
+        return {shape(kinds[0]): None}
+    # Only where files differ do their names come to the driver, which lists them for the scan anyway.
     shapes: dict[Shape, list[str] | None] = {}
-    for row in per_file.collect():
-        shape = Shape(LATIN1 if row["latin"] else UTF8, row["broken"])
-        shapes.setdefault(shape, []).append(row["file"])
-    return {next(iter(shapes)): None} if len(shapes) == 1 else shapes
+    for row in per_file.collect() if kinds else []:
+        shapes.setdefault(shape(row), []).append(row["file"])
+    return shapes
 
 
 def _read(
@@ -116,41 +123,48 @@ def read_delimited(
     encoding: str = "auto",
     multiline: bool | None = None,
     strict: bool = False,
+    may_be_empty: bool = False,
 ) -> DataFrame:
     """A table of text columns under its own header names, plus ``_ord``.
 
+    Files with the same header are read together, and each group under its own
+    names: columns may come in another order, or be missing, in some files. A
+    table of empty files is an error, or has ``_ord`` alone and no rows.
+
     Short rows end in nulls and surplus fields are ignored; ``strict`` adds
     ``_corrupt_record``, which holds the text of such rows. Of columns whose
     headers are equal but for case, which Spark cannot tell apart, the last one
     is kept. Naming the encoding and whether fields hold
     line breaks saves the pass that finds them out.
     """
-    line = header_line(spark, path)
-    delimiter = find_delimiter(line) if delimiter == "auto" else delimiter
-    header = next(csv.reader([line], delimiter=delimiter))
-    # Positional names: Spark renames headers that are equal but for case.
-    names = [f"c{i}" for i in range(len(header))]
-    if encoding != "auto" and multiline is not None:
-        shapes: dict[Shape, list[str] | None] = {Shape(encoding, multiline): None}
-    else:
-        shapes = {}
-        for found, files in file_shapes(spark, path).items():
-            shape = Shape(
-                found.encoding if encoding == "auto" else encoding,
-                found.multiline if multiline is None else multiline,
-            )
-            known = shapes.get(shape, [])
-            shapes[shape] = None if files is None else [*known, *files]
-    parts = [
-        _read(spark, path if files is None else files, names, delimiter, shape, strict)
-        for shape, files in shapes.items()
-    ]
+    guess = encoding == "auto" or multiline is None
+    groups: dict[Shape, list[str] | None] = {}
+    for found, files in file_shapes(spark, path, whole=guess).items():
+        shape = Shape(
+            found.header,
+            found.encoding if encoding == "auto" else encoding,
+            found.multiline if multiline is None else multiline,
+        )
+        known = groups.get(shape, [])
+        groups[shape] = None if files is None else [*known, *files]
+    if not groups:
+        if not may_be_empty:
+            raise ValueError(f"no header line in {path}")
+        return with_file_order(spark.read.text(path)).select(ORDER).where("false")
+    parts = []
+    for shape, files in groups.items():
+        separator = find_delimiter(shape.header) if delimiter == "auto" else delimiter
+        header = next(csv.reader([shape.header], delimiter=separator))
+        # Positional names: Spark renames headers that are equal but for case.
+        names = [f"c{i}" for i in range(len(header))]
+        rows = _read(spark, path if files is None else files, names, separator, shape, strict)
+        last = {name.lower(): i for i, name in enumerate(header)}
+        extra = [BAD_ROW] if strict else []
+        parts.append(rows.select(*[F.col(f"c{i}").alias(header[i]) for i in last.values()], *extra, ORDER))
     table = parts[0]
     for part in parts[1:]:
-        table = table.unionByName(part)
-    last = {name.lower(): i for i, name in enumerate(header)}
-    extra = [BAD_ROW] if strict else []
-    return table.select(*[F.col(f"c{i}").alias(header[i]) for i in last.values()], *extra, ORDER)
+        table = table.unionByName(part, allowMissingColumns=True)
+    return table
 
 
 def read_strict(

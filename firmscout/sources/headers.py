@@ -9,6 +9,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Columns that sources add: the row order and the text of malformed rows.
+OWN = ("_ord", "_corrupt_record")
+
 # Canonical names that stand for another canonical name.
 HEADER_ALIASES = {
     "zipcode": "postal_code",
@@ -34,11 +37,10 @@ def canonical_name(header: str) -> str:
 def canonical_columns(df: DataFrame, naming=canonical_name) -> DataFrame:
     """Rename all columns; of columns that get the same name the last one stays.
 
-    Names that begin with an underscore (row order, corrupt text) are ours and
-    are left alone.
+    Our own columns, row order and corrupt text, are left alone.
     """
     headers = df.columns
-    names = [h if h.startswith("_") else naming(h) for h in headers]
+    names = [h if h in OWN else naming(h) for h in headers]
     chosen = {name: f"c{position}" for position, name in enumerate(names)}
     positional = df.toDF(*[f"c{i}" for i in range(len(headers))])
     return positional.select(*chosen.values()).toDF(*chosen)
@@ -55,7 +57,7 @@ def first_value(columns: Iterable[str], names: Iterable[str], keywords: Iterable
 
     The frame's text is clean, so a missing value is null.
     """
-    columns = [c for c in columns if not c.startswith("_")]
+    columns = [c for c in columns if c not in OWN]
     named = [n for n in names if n in columns]
     alike = [c for c in columns if any(w.lower() in c.lower() for w in keywords)]
     values = [F.col(c) for c in dict.fromkeys([*named, *alike])]

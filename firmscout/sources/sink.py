@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
 from firmscout.operators.filters import by_score
-from firmscout.operators.joins import stage
+from firmscout.operators.joins import ORDER, stage
 from firmscout.operators.profile import sector_counts
-from firmscout.plans.leads import LEAD_COLUMNS
+from firmscout.operators.quality import REASON
+from firmscout.plans.leads import LEAD_COLUMNS, LeadRun
 
 
 @dataclass(frozen=True)
 class Summary:
     written: int
     sectors: DataFrame
+    rejected: int = 0
 
 
 def write_delimited(df: DataFrame, path: str, *, delimiter: str = ",", encoding: str = "UTF-8") -> None:
@@ -45,6 +47,17 @@ def export_leads(leads: DataFrame, path: str, *, single_file: bool = False) -> S
     return Summary(leads.count(), sector_counts(leads))
 
 
+def export_run(run: LeadRun, path: str, rejected_path: str | None = None, *, single_file: bool = False) -> Summary:
+    """Write the leads of a run, and the rejected rows with their reasons in file order next to them.
+
+    ``rejected_path`` is ``path`` with ``-rejected`` unless given.
+    """
+    rejected = stage(run.rejected)
+    write_delimited(rejected.orderBy(ORDER).select(*LEAD_COLUMNS, REASON), rejected_path or f"{path.rstrip('/')}-rejected")
+    summary = export_leads(run.leads, path, single_file=single_file)
+    return replace(summary, rejected=rejected.count())
+
+
 def dry_run(leads: DataFrame) -> int:
     """How many leads a run would write."""
     return leads.count()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,10 +80,15 @@ def registry_of(raw: dict[str, DataFrame], snapshot: str) -> Registry:
     return Registry(**{name: MAPPERS[name](df) for name, df in raw.items()}, snapshot=snapshot)
 
 
-def load_snapshot(spark: SparkSession, path: str, *, lite: bool = False, **options) -> Registry:
-    """All tables of a snapshot folder. Address, contact and denomination may be absent.
+def load_snapshot(
+    spark: SparkSession, path: str, *, lite: bool = False, work_dir: str | None = None, **options
+) -> Registry:
+    """All tables of a snapshot folder. Address, contact and denomination may be absent or empty.
 
-    The activity table is required, but a ``lite`` load does not look for it.
+    The activity table is required, but a ``lite`` load does not look for it. With
+    ``work_dir``, a folder all executors share, the mapped tables are written there
+    as Parquet once and read from it: text is then parsed once, however often a
+    run reads a table, and reads take only the columns they need.
     """
     folder = snapshot_folder(spark, path)
     raw: dict[str, DataFrame] = {}
@@ -94,8 +101,21 @@ def load_snapshot(spark: SparkSession, path: str, *, lite: bool = False, **optio
             if table in [*REQUIRED, "activity"]:
                 raise
             continue
-        raw[table] = raw_table(spark, found, **options)
-    return registry_of(raw, snapshot_tag(folder.path))
+        raw[table] = raw_table(spark, found, may_be_empty=table not in [*REQUIRED, "activity"], **options)
+    registry = registry_of(raw, snapshot_tag(folder.path))
+    return registry if work_dir is None else converted(spark, registry, work_dir)
+
+
+def converted(spark: SparkSession, registry: Registry, work_dir: str) -> Registry:
+    """The same registry over Parquet files in ``work_dir``; a table that is there is replaced."""
+    tables = {}
+    for table in TABLE_FILES:
+        rows = getattr(registry, table)
+        if rows is not None:
+            path = f"{work_dir.rstrip('/')}/{table}.parquet"
+            rows.write.mode("overwrite").parquet(path)
+            tables[table] = spark.read.parquet(path)
+    return replace(registry, **tables)
 
 
 def snapshot_tag(path: str) -> str:

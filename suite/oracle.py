@@ -350,8 +350,9 @@ def kept(relation: str, key: str) -> str:
 
 
 def loaded(relation: str, usable: str) -> str:
-    return f"""SELECT '{relation}' AS relation, count(*) AS loaded, count(*) FILTER ({usable}) AS usable
-        FROM {relation}"""
+    reached = "(SELECT count(*) FROM contacts)" if relation == "contact" else "CAST(NULL AS BIGINT)"
+    return f"""SELECT '{relation}' AS relation, count(*) AS loaded, count(*) FILTER ({usable}) AS usable,
+        {reached} AS enterprises FROM {relation}"""
 
 
 GAPS = f"""
@@ -583,3 +584,40 @@ ORACLE: dict[str, str] = {
         'provider-template' AS source_files_version, '' AS sector_bucket
         FROM customer WHERE contains(lower(c_name), 'customer#0000000')""",
 }
+
+
+# The same leads whichever way the tables come in, and without contacts and names.
+NO_CONTACTS = {
+    "contacts": """SELECT cast(NULL AS VARCHAR) AS enterprise_number, cast(NULL AS VARCHAR) AS phone,
+        cast(NULL AS VARCHAR) AS email, cast(NULL AS VARCHAR) AS website WHERE false""",
+    "names": "SELECT cast(NULL AS VARCHAR) AS enterprise_number, cast(NULL AS VARCHAR) AS denomination WHERE false",
+}
+ORACLE |= {
+    "leads_from_snapshot": ORACLE["leads"],
+    "leads_from_snapshot_no_contacts": with_tables(f"{NOT_ORD} found", NO_CONTACTS, LEADS),
+    "export_with_quarantine": f"""SELECT *, '' AS reject_reason FROM ({ORACLE["valid_leads"]})
+        UNION ALL BY NAME SELECT * FROM ({ORACLE["rejected_leads"]})""",
+    "csv_mixed_headers": """SELECT cast(c_custkey AS VARCHAR) AS id, c_name,
+        CASE WHEN c_custkey % 3 = 2 THEN '' ELSE c_mktsegment END AS c_mktsegment FROM customer""",
+    "csv_stray_quotes": "SELECT cast(p_partkey AS VARCHAR) AS id, '5\" ' || p_name AS name, 'x' AS mark FROM part",
+    "columns_by_keyword": with_tables(plain_select("establishment", PLACE_COLUMNS)),
+    "table_by_stem": with_tables("SELECT EnterpriseNumber AS enterprise_number, Status AS status FROM raw_enterprise"),
+    "provider_by_country": ORACLE["provider_normalize"],
+    "leads_ranked": with_tables(
+        """SELECT * EXCLUDE (ord), cast(row_number() OVER (ORDER BY score_total DESC, ord) AS INTEGER) AS place
+        FROM found ORDER BY score_total DESC, ord LIMIT 50""",
+        ALL_LEADS,
+    ),
+    "gaps_ranked": with_tables(
+        """SELECT *, cast(row_number() OVER (ORDER BY score_total DESC, ord) AS INTEGER) AS place
+        FROM (SELECT enterprise_number, sector, ord,
+            cast(CASE WHEN recent THEN 30 ELSE 0 END
+                + CASE WHEN sector IN ('beauty', 'horeca', 'health') THEN 15 ELSE 0 END
+                + CASE WHEN phone IS NULL THEN 5 ELSE 0 END + CASE WHEN email IS NULL THEN 5 ELSE 0 END
+                - CASE WHEN first_code IS NULL THEN 5 ELSE 0 END AS INTEGER) AS score_total
+            FROM gaps)
+        ORDER BY score_total DESC, ord LIMIT 50""",
+        {"gaps": GAPS},
+    ),
+}
+ORACLE["gaps_ranked"] = f"SELECT * EXCLUDE (ord) FROM ({ORACLE['gaps_ranked']})"

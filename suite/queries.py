@@ -6,21 +6,22 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, time
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from firmscout.functions import sectors, text
 from firmscout.functions.dates import parse_date
-from firmscout.operators import dedupe, filters, gaps, lookups, profile, quality
+from firmscout.operators import dedupe, filters, gaps, lookups, mapping, profile, quality
 from firmscout.operators.joins import ORDER, attach, checkpoint_dir
 from firmscout.operators.mapping import clean_text
 from firmscout.plans import leads as plan
 from firmscout.plans import region
 from firmscout.plans.leads import KEY, LEAD_COLUMNS
 from firmscout.sources.delimited import read_delimited, read_strict
-from firmscout.sources.providers import Provider
-from firmscout.sources.sink import write_delimited
-from firmscout.sources.snapshot import load_enterprises
+from firmscout.sources.files import TABLE_FILES
+from firmscout.sources.providers import Provider, Providers
+from firmscout.sources.sink import export_leads, export_run, write_delimited
+from firmscout.sources.snapshot import load_enterprises, load_snapshot, raw_table
 from suite import bindings
 from suite.bindings import AS_OF, EARLIER_REGION, REGION, params, raw, registry
 
@@ -376,10 +377,11 @@ def stage_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The funnel of the region-first run, with the sizes of its key sets."""
     cut = region.region_prefilter(registry(spark, sf_dir), REGION)
+    establishments, enterprises = cut.sizes()
     return profile.stage_funnel(plan.flagged_enterprises(cut.registry, params())).withColumns(
         {
-            "establishments_in_area": F.lit(cut.establishments_in_area).cast("bigint"),
-            "enterprises_in_area": F.lit(cut.enterprises_in_area).cast("bigint"),
+            "establishments_in_area": F.lit(establishments).cast("bigint"),
+            "enterprises_in_area": F.lit(enterprises).cast("bigint"),
         }
     )
 
@@ -515,3 +517,130 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("postal_code"),
         F.struct(F.shiftright("c_custkey", 16).alias("chunk"), "c_custkey").alias(ORDER),
     )
+
+
+# From files to files
+
+
+def _snapshot(spark: SparkSession, sf_dir: str, *tables: str) -> str:
+    """The bound tables as delimited files, in file order, in the dated folder of a new snapshot folder."""
+    parent = _scratch(spark, "snapshot").removesuffix(".csv")
+    for name in tables:
+        rows = raw(spark, sf_dir, name).orderBy(ORDER).drop(ORDER)
+        write_delimited(rows, f"{parent}/{bindings.SNAPSHOT}/{TABLE_FILES[name][0]}", delimiter=";")
+    return parent
+
+
+def _read_leads(spark: SparkSession, path: str) -> DataFrame:
+    back = plain(read_delimited(spark, path, may_be_empty=True))
+    return back.withColumn("score_total", F.col("score_total").cast("int"))
+
+
+@query
+def leads_from_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole program: a snapshot folder read, converted once, run, and exported."""
+    parent = _snapshot(spark, sf_dir, *TABLE_FILES)
+    tables = load_snapshot(spark, parent, work_dir=f"{parent}-work")
+    out = _scratch(spark, "leads")
+    export_leads(plan.lead_rows(tables, params()), out)
+    return _read_leads(spark, out)
+
+
+@query
+def leads_from_snapshot_no_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a contact table, and with an empty one of denominations."""
+    parent = _snapshot(spark, sf_dir, "enterprise", "establishment", "address", "activity")
+    empty = f"{parent}/{bindings.SNAPSHOT}/{TABLE_FILES['denomination'][0]}"
+    spark.createDataFrame([], "value string").write.text(empty)
+    return plan.build_leads(load_snapshot(spark, parent), params())
+
+
+@query
+def export_with_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and rejected rows of one run, written and read back."""
+    rows = _unchecked(spark, sf_dir)
+    path = _scratch(spark, "leads")
+    export_run(plan.LeadRun(quality.valid_leads(rows), quality.rejected_leads(rows)), path, f"{path}-rejected")
+    good = _read_leads(spark, path).withColumn(quality.REASON, F.lit(""))
+    return good.unionByName(_read_leads(spark, f"{path}-rejected"))
+
+
+@query
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one table whose columns come in different order, one without a column."""
+    path = _scratch(spark, "customers")
+    customers = bindings.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name", "c_mktsegment")
+    columns = [["id", "c_name", "c_mktsegment"], ["c_mktsegment", "id", "c_name"], ["c_name", "id"]]
+    for i, names in enumerate(columns):
+        part = customers.where(F.col("id") % 3 == i).select(*names)
+        part.write.mode("append").options(header=True, sep=";").csv(path)
+    return plain(read_delimited(spark, path))
+
+
+@query
+def csv_stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes inside unquoted fields, which open nothing."""
+    path = _scratch(spark, "parts")
+    line = F.concat("p_partkey", F.lit(';5" '), "p_name", F.lit(";x"))
+    lines = bindings.table(spark, sf_dir, "part").select(line.alias("id;name;mark"))
+    lines.write.options(header=True, quote="", sep="\u0001", ignoreTrailingWhiteSpace=False).csv(path)
+    return plain(read_delimited(spark, path))
+
+
+@query
+def columns_by_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers that collide (the last one counts), and columns known by a word in their name only."""
+    path = _scratch(spark, "establishments")
+    rows = raw(spark, sf_dir, "establishment").select(
+        F.col("enterprisenumber").alias("EnterpriseNumber"),
+        F.col("establishmentnumber").alias("EstablishmentNumber"),
+        F.lit("0000").alias("Zipcode"),
+        F.col("postcode").alias("Postal Code"),
+        F.col("street").alias("Old street, as written"),
+    )
+    write_delimited(rows, path, delimiter=";")
+    return plain(mapping.map_establishment(raw_table(spark, path)))
+
+
+@query
+def table_by_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Dutch enterprise table found by the stem of its name among others."""
+    folder = _scratch(spark, "tables").removesuffix(".csv")
+    rows = raw(spark, sf_dir, "enterprise")
+    write_delimited(rows.select(F.col("enterprisenumber").alias("Nummer")), f"{folder}/activiteiten.csv", delimiter=";")
+    named = rows.select(F.col("enterprisenumber").alias("Ondernemingsnummer"), F.col("status").alias("Statuut"))
+    write_delimited(named, f"{folder}/Ondernemingen 2001.csv", delimiter=";")
+    return plain(load_enterprises(spark, folder))
+
+
+@query
+def provider_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    providers = Providers(Provider("YY", load=lambda *_: None), Provider("XX", load=_customers))
+    return plain(providers.of(" xx ").records(spark, sf_dir))
+
+
+# Orders
+
+
+def _placed(ordered: DataFrame, *order: Column) -> DataFrame:
+    """The rows of a short report with their places."""
+    return ordered.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
+@query
+def leads_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best leads of all regions with their places."""
+    rows = plan.lead_rows(registry(spark, sf_dir), params(postcodes=()))
+    top = filters.top_scored(rows, 50)
+    return _placed(top, F.desc("score_total"), F.col(ORDER)).select(*LEAD_COLUMNS, "place")
+
+
+@query
+def gaps_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 companies with most gaps, with their places."""
+    tables = registry(spark, sf_dir)
+    first = lookups.first_activity(tables.activity).withColumnRenamed("first_code", "nace")
+    contacts = lookups.best_contacts(tables.contact, tables.establishment).drop("website")
+    companies = attach(tables.enterprise.select(KEY, "start_date", ORDER), [first, contacts], KEY)
+    top = gaps.by_gap_score(gaps.score_gaps(companies, datetime.combine(AS_OF, time()), 18)).limit(50)
+    return plain(_placed(top, F.desc("score_total"), F.col(ORDER)).select(KEY, "sector", "score_total", "place", ORDER))

@@ -1,7 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_point
 from firmscout.operators import joins
+from firmscout.plans import leads, region
+from suite import bindings
+
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -14,56 +19,70 @@ def skewed(spark):
     return left, right.unionByName(spark.createDataFrame([("HOT", -1)], "k string, v long"))
 
 
-@pytest.mark.parametrize("min_rows", [100, 10**9])
-@pytest.mark.parametrize("threshold", ["-1", "10MB"])
-def test_attach_equals_the_plain_left_join(spark, skewed, min_rows, threshold):
-    left, right = skewed
-    other = right.select("k", F.col("v").cast("string").alias("w"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        hot = joins.frequent_keys(left, "k", min_rows)
-        out = joins.attach(left, [right, other], "k", frequent=hot)
-        want = left.join(right, "k", "left").join(other, "k", "left")
-        columns = ["k", "row", "v", "w"]
-        assert sorted(map(str, out.select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+@pytest.fixture
+def shuffled(spark):
+    """No broadcast by size, partitions as they are, and a small one counts as skewed."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield
+    for name in changed:
+        spark.conf.unset(name)
 
 
-def test_attach_spreads_the_hot_key(spark, skewed):
-    left, right = skewed
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        out = joins.attach(left, [right], "k", frequent=joins.frequent_keys(left, "k", 100))
-        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert max(sizes) < 1.2 * sum(sizes) / len(sizes)
+def rows(df, columns):
+    return sorted(map(str, df.select(columns).collect()))
+
+
+def equal_to_the_plain_join(left, right):
+    other = right.select("k", F.col("v").cast("string").alias("w")).where("v % 3 <> 0")
+    out = joins.attach(left, [right, other], "k")
+    want = left.join(right, "k", "left").join(other, "k", "left")
+    columns = ["k", "row", "v", "w"]
+    assert rows(out, columns) == rows(want, columns)
+
+
+def test_attach_equals_the_plain_left_join(skewed):
+    equal_to_the_plain_join(*skewed)
+
 
+def test_attach_equals_it_when_all_is_shuffled(skewed, shuffled):
+    equal_to_the_plain_join(*skewed)
 
-def test_frequent_keys_are_bounded_and_ranked(skewed, monkeypatch):
-    left, _ = skewed
-    assert {r.k for r in joins.frequent_keys(left, "k", 500).collect()} == {"HOT", "", None}
-    monkeypatch.setattr(joins, "MAX_FREQUENT_KEYS", 1)
-    assert [r.k for r in joins.frequent_keys(left, "k", 1).collect()] == ["HOT"]
 
+def test_attach_with_many_frequent_keys(spark, shuffled):
+    left = spark.range(60_000).select((F.col("id") % 2000).cast("string").alias("k"), F.col("id").alias("row"), F.struct("id").alias("_ord"))
+    equal_to_the_plain_join(left, spark.range(3000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")))
 
-@pytest.mark.parametrize("bound", [1, 10**6])
-def test_key_set_keeps_exactly_its_keys(skewed, bound):
+
+def test_attach_lets_the_hot_key_be_split(skewed, shuffled):
+    """A lookup that was aggregated by its key is shuffled again, so that adaptive execution may split the left side."""
     left, right = skewed
-    keys = joins.KeySet(right.unionByName(right), "k", max_broadcast=bound)
-    assert keys.small == (bound > 1) and keys.size == right.count()
-    kept = {r.row for r in keys.keep(left).collect()}
-    assert kept == {r.row for r in left.join(right, "k", "left_semi").collect()}
-    assert keys.narrow(left).count() == (len(kept) if keys.small else left.count())
+    lookup = right.groupBy("k").agg(F.max("v").alias("v"))
+    out = joins.attach(left.repartition(20), [lookup], "k")
+    out.collect()
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_lookup_is_read_once(spark, skewed):
+    left, right = skewed
+    out = joins.attach(left, [right.groupBy("k").agg(F.max("v").alias("v"))], "k")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 9000, step=2") == 1
 
 
-def test_drop_matching_keeps_rows_without_key(skewed):
+def test_keep_and_drop_matching(skewed):
     left, right = skewed
-    out = {r.row for r in joins.drop_matching(left, right.select("k"), "k").collect()}
-    assert out == {r.row for r in left.join(right, "k", "left_anti").collect()}
+    twice = right.unionByName(right).unionByName(right.select(F.lit("").alias("k"), "v").limit(1))
+    kept = {r.row for r in joins.keep_matching(left, twice, "k").collect()}
+    assert kept == {r.row for r in left.join(right, "k", "left_semi").collect()}
+    out = {r.row for r in joins.drop_matching(left, twice, "k").collect()}
+    assert out == {r.row for r in left.collect()} - kept
     assert 1 in out and 4 in out
 
 
@@ -71,3 +90,23 @@ def test_stage_uses_the_folder_of_the_session(spark, skewed):
     staged = joins.stage(skewed[0])
     assert staged.count() == 9000
     assert spark.conf.get("spark.checkpoint.dir") in joins.checkpoint_dir(spark)
+
+
+@pytest.mark.parametrize("build", [leads.build_leads, region.region_leads])
+@pytest.mark.parametrize("lite", [False, True])
+def test_building_a_frame_starts_no_job(spark, build, lite):
+    tables = bindings.registry(spark, SMALL)
+    context, group = spark.sparkContext, f"lazy-{build.__name__}-{lite}"
+    context.setJobGroup(group, group)
+    try:
+        build(tables, bindings.params(lite=lite))
+        assert len(context.statusTracker().getJobIdsForGroup(group)) == 0
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_each_table_is_scanned_a_few_times(spark):
+    """As often as there are lookups that need it: no second reading for frequent keys."""
+    plan = entry_point.queries()["leads"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    relations = plan.count("Relation [")
+    assert relations <= 20, relations

@@ -1,12 +1,14 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from firmscout.operators import filters, joins, profile, quality
-from firmscout.plans.leads import LEAD_COLUMNS, all_leads, build_leads, flagged_enterprises, lead_rows
-from firmscout.plans.params import LeadParams
+from firmscout.operators import filters, profile, quality
+from firmscout.plans.leads import LEAD_COLUMNS, all_leads, build_leads, flagged_enterprises, lead_rows, lead_run
+from firmscout.plans.params import COMMAND_LINE, LeadParams
 from firmscout.plans.region import region_leads, region_prefilter
-from firmscout.sources.sink import dry_run, export_leads
+from firmscout.sources.delimited import read_delimited
+from firmscout.sources.sink import dry_run, export_leads, export_run
 from firmscout.sources.snapshot import load_snapshot
 
 AS_OF = date(2026, 6, 1)
@@ -26,40 +28,40 @@ def leads(spark, path, params=REGION, **options):
 
 
 FULL = {
-    "enterprise": ["EnterpriseNumber;Status;StartDate", "0123.456.789;AC;01-05-2026"],
-    "establishments": ["EnterpriseNumber;EstablishmentNumber", "0123.456.789;2.123.456.789"],
+    "enterprise": ["EnterpriseNumber;Status;StartDate", "0711.402.935;AC;17/03/2026"],
+    "establishments": ["EnterpriseNumber;EstablishmentNumber", "0711.402.935;2.884.016.527"],
     "address": [
         "EntityNumber;Zipcode;MunicipalityNL;MunicipalityFR;StreetNL;StreetFR;HouseNumber;Box",
-        "2.123.456.789;9400 Ninove;Ninove;Ninove;Centrumlaan;Avenue Centre;5;B",
+        "2.884.016.527;9400 Kersdorp;Kersdorp;Cerisy;Vlierpad;Sentier du Sureau;31;2a",
     ],
-    "activities": ["EnterpriseNumber;NaceCode", "0123.456.789;96.02", "0123.456.789;56101"],
+    "activities": ["EnterpriseNumber;NaceCode", "0711.402.935;96.021", "0711.402.935;47762"],
     "contact": [
         "EntityNumber;EntityContact;ContactType;Value",
-        '"2.123.456.789";EST;TEL;+32123456789',
-        '"2.123.456.789";EST;EMAIL;hello@acme.example',
-        '"0200.362.210";ENT;WEB;https://ignored.example',
-        '"2.123.456.789";EST;FAX;+329999999',
+        '"2.884.016.527";VESTIGING;EMAIL;salon@vlierpad.test',
+        '"0555.010.203";ENT;WEB;www.nobody.test',
+        '"2.884.016.527";EST;FAX;053 00 00 01',
+        '"2.884.016.527";EST;TEL;053 77 61 40',
     ],
     "denomination": [
         "EntityNumber;Denomination;TypeOfDenomination;Language",
-        "0123.456.789;Trade name;002;NL",
-        "0123.456.789;Legal name;001;NL",
+        "0711.402.935;Sign on the door;003;FR",
+        "0711.402.935;Vlier Hair;001;DE",
     ],
 }
 LEAD = {
-    "enterprise_number": "0123456789",
-    "name": "Legal name",
+    "enterprise_number": "0711402935",
+    "name": "Vlier Hair",
     "status": "ACTIVE",
-    "start_date": "01-05-2026",
-    "address": "Centrumlaan 5 box B",
+    "start_date": "17/03/2026",
+    "address": "Vlierpad 31 box 2a",
     "postal_code": "9400",
-    "city": "Ninove",
-    "nace_codes": "96.02,56101",
+    "city": "Kersdorp",
+    "nace_codes": "96.021,47762",
     "sector_bucket": "beauty",
     "has_website": "no",
     "website": "",
-    "phone": "+32123456789",
-    "email": "hello@acme.example",
+    "phone": "053 77 61 40",
+    "email": "salon@vlierpad.test",
     "score_total": 53,
     "score_reasons": "new<18m|sector_high|has_phone|has_email",
     "source_files_version": "2026-02-18",
@@ -88,40 +90,54 @@ def test_lite_needs_no_activities(spark, tmp_path):
 MANY = {
     "enterprises": [
         "enterprise_number,name,status,start_date,address,postal_code,city,website",
-        "1,Old Co,ACTIVE,2000-01-01,Old 1,9400,Ninove,",
-        "2,Far Co,ac,2026-01-01,Far 2,9500,Elsewhere,",
-        "3,Plain Co, AC ,2026-01-01,Plain 3,B-9400,Ninove,https://p.example",
-        "4,Shut Co,IN,2026-01-01,Shut 4,9400,Ninove,",
-        "5,Undated Co,AC,,Undated 5,9400,Ninove,",
-        "6,Garbled Co,AC,soon,Garbled 6,9400,Ninove,",
-        "7,Beauty Co,AC,2099-01-01,Own 7,,,",
-        "3,Twin Co,AC,2026-01-01,Twin 3,9400,Ninove,",
-        ",Nameless,AC,2026-01-01,No id 8,9400,Ninove,",
+        "31,Quill,ACTIVE,1998-11-05,Inkwell 4,9400,Kersdorp,",
+        "32,Ferry,ac,2026-02-03,Quay 9,9500,Oversea,",
+        "33,Slate, AC ,2026-02-03,Roof 12,B-9400,Kersdorp,https://slate.test",
+        "34,Ember,IN,2026-02-03,Hearth 1,9400,Kersdorp,",
+        "35,Drift,AC,,Shore 8,9400,Kersdorp,",
+        "36,Mumble,AC,someday,Fog 2,9400,Kersdorp,",
+        "37,Comb,AC,2097-08-09,Own yard 3,,,",
+        "33,Slate II,AC,2026-02-03,Roof 14,9400,Kersdorp,",
+        ",Blank,AC,2026-02-03,Nowhere 5,9400,Kersdorp,",
     ],
     "establishment": [
         "enterprise_number,address,postal_code,city",
-        "7,First 1,,",
-        "7,Second 2,9400 Ninove,Ninove",
-        "7,Third 3,9400,Ninove",
+        "37,Attic 6,,",
+        "37,Cellar 7,9400 Kersdorp,Kersdorp",
+        "37,Garden 8,9400,Kersdorp",
     ],
-    "activity": ["enterprise_number,nace_code", "7,96.02", "3,01"],
-    "contacts": ["enterprise_number,phone,email", "3,+32 3,", "3,+32 4,late@x.example"],
+    "activity": ["enterprise_number,nace_code", "37,96.02", "33,01"],
+    "contacts": ["enterprise_number,phone,email", "33,0470 33,", "33,0470 34,roof@slate.test"],
 }
 
 
 def test_filters_order_and_duplicates(spark, tmp_path):
     path = snapshot(tmp_path, **MANY)
     out = leads(spark, path)
-    assert [(r["name"], r["score_total"]) for r in out] == [("Beauty Co", 45), ("Plain Co", 38), ("Twin Co", 38)]
-    assert (out[0]["address"], out[0]["postal_code"], out[0]["phone"]) == ("Second 2", "9400", "")
-    assert (out[1]["phone"], out[1]["email"], out[1]["has_website"]) == ("+32 3", "late@x.example", "yes")
+    assert [(r["name"], r["score_total"]) for r in out] == [("Comb", 45), ("Slate", 38), ("Slate II", 38)]
+    assert (out[0]["address"], out[0]["postal_code"], out[0]["phone"]) == ("Cellar 7", "9400", "")
+    assert (out[1]["phone"], out[1]["email"], out[1]["has_website"]) == ("0470 33", "roof@slate.test", "yes")
     # The limit takes the first qualifying rows in file order, before the sort.
-    assert [r["name"] for r in leads(spark, path, REGION.but(limit=2))] == ["Beauty Co", "Plain Co"]
-    assert [r["name"] for r in leads(spark, path, REGION.but(limit=1))] == ["Plain Co"]
-    assert [r["name"] for r in leads(spark, path, REGION.but(min_score=40))] == ["Beauty Co"]
-    assert [r["name"] for r in leads(spark, path, REGION.but(query="TWIN co"))] == ["Twin Co"]
-    assert [r["name"] for r in leads(spark, path, REGION.but(query="beauty", city="nin"))] == ["Beauty Co"]
-    assert [r["name"] for r in leads(spark, path, REGION.but(postcodes=(), city="else"))] == ["Far Co"]
+    assert [r["name"] for r in leads(spark, path, REGION.but(limit=2))] == ["Comb", "Slate"]
+    assert [r["name"] for r in leads(spark, path, REGION.but(limit=1))] == ["Slate"]
+    assert [r["name"] for r in leads(spark, path, REGION.but(min_score=40))] == ["Comb"]
+    assert [r["name"] for r in leads(spark, path, REGION.but(query="SLATE ii"))] == ["Slate II"]
+    assert [r["name"] for r in leads(spark, path, REGION.but(query="beauty", city="kers"))] == ["Comb"]
+    assert [r["name"] for r in leads(spark, path, REGION.but(postcodes=(), city="sea"))] == ["Ferry"]
+
+
+def test_nothing_is_cut_off_unless_asked_for(spark, tmp_path):
+    path = snapshot(tmp_path, **MANY)
+    assert len(leads(spark, path, LeadParams(AS_OF, postcodes=("9400",)))) == 3
+    command_line = LeadParams(AS_OF, postcodes=("9400",), **COMMAND_LINE)
+    assert (command_line.limit, command_line.min_score) == (200, 40)
+    assert [r["name"] for r in leads(spark, path, command_line)] == ["Comb"]
+
+
+def test_many_leads_with_a_limit(spark):
+    rows = spark.range(120_000).select(F.struct(F.shiftright("id", 10).alias("chunk"), "id").alias("_ord"), "id").repartition(7)
+    cut = filters.first_rows(rows, 100_000)
+    assert cut.agg(F.count("*"), F.max("id")).first() == (100_000, 99_999)
 
 
 def test_validity(spark, tmp_path):
@@ -133,7 +149,19 @@ def test_validity(spark, tmp_path):
         build_leads(registry, REGION.but(on_invalid="fail")).collect()
     assert quality.require_valid(quality.valid_leads(every)).count() == 3
     usable = filters.usable(lead_rows(registry, REGION))
-    assert {r["name"] for r in usable.collect()} == {"Plain Co", "Twin Co"}
+    assert {r["name"] for r in usable.collect()} == {"Slate", "Slate II"}
+
+
+def test_rejected_rows_are_returned_and_written(spark, tmp_path):
+    registry = load_snapshot(spark, snapshot(tmp_path, **MANY))
+    run = lead_run(registry, REGION)
+    summary = export_run(run, str(tmp_path / "out" / "leads"))
+    assert (summary.written, summary.rejected) == (3, 1)
+    back = read_delimited(spark, str(tmp_path / "out" / "leads-rejected")).collect()
+    assert [(r["name"], r["reject_reason"]) for r in back] == [("Blank", "enterprise_number")]
+    assert lead_run(registry, REGION.but(on_invalid="drop")).rejected.count() == 0
+    with pytest.raises(Exception, match="invalid enterprise_number"):
+        lead_run(registry, REGION.but(on_invalid="fail")).leads.collect()
 
 
 def test_reports(spark, tmp_path):
@@ -148,8 +176,8 @@ def test_reports(spark, tmp_path):
     empty = profile.join_coverage(flagged.where("false")).head()
     assert (empty["enterprises"], empty["contact_percent"]) == (0, None)
     found = lead_rows(registry, REGION)
-    assert tuple(profile.result_profile(found).head()) == (3, 2, date(2026, 1, 1), date(2099, 1, 1))
-    assert [r[0] for r in profile.result_ids(found).collect()] == ["3", "7"]
+    assert tuple(profile.result_profile(found).head()) == (3, 2, date(2026, 2, 3), date(2097, 8, 9))
+    assert [r[0] for r in profile.result_ids(found).collect()] == ["33", "37"]
 
 
 def test_export(spark, tmp_path):
@@ -161,7 +189,7 @@ def test_export(spark, tmp_path):
     assert [tuple(r) for r in summary.sectors.collect()] == [("other", 2), ("beauty", 1)]
     part = next(path.glob("part-*.csv")).read_text(encoding="utf-8").splitlines()
     assert part[0] == ",".join(LEAD_COLUMNS)
-    assert part[1].startswith("7,Beauty Co,ACTIVE,2099-01-01,Second 2,9400,Ninove,96.02,beauty,no,,,,45,")
+    assert part[1].startswith("37,Comb,ACTIVE,2097-08-09,Cellar 7,9400,Kersdorp,96.02,beauty,no,,,,45,")
     assert len(part) == 4
 
 
@@ -177,15 +205,15 @@ def test_region_first_is_narrower_than_the_normal_run(spark, tmp_path):
     assert [r["name"] for r in build_leads(registry, REGION).orderBy("name").collect()] == ["E1", "E2", "E3"]
     assert [r["name"] for r in region_leads(registry, REGION).collect()] == ["E1"]
     cut = region_prefilter(registry, ("9400",))
-    assert (cut.establishments_in_area, cut.enterprises_in_area) == (1, 1)
+    assert cut.sizes() == (1, 1)
     assert cut.registry.activity.count() == 1
     assert region_prefilter(registry, ("1234",)).registry.enterprise.count() == 0
     assert region_leads(registry, REGION.but(postcodes=())).count() == build_leads(registry, REGION.but(postcodes=())).count()
 
 
 @pytest.mark.parametrize("build", [build_leads, region_leads])
-def test_large_and_skewed_paths_give_the_same_leads(spark, tmp_path, monkeypatch, build):
-    """Every key set too large to broadcast, every repeated key treated as frequent."""
+def test_shuffled_and_skewed_paths_give_the_same_leads(spark, tmp_path, build):
+    """No broadcast by size; converted tables; repeated keys on all sides."""
     tables = {
         "enterprises": ["enterprise_number;name;status;start_date"]
         + [f"{i % 4 if i % 5 else ''};E{i};AC;2026-01-{1 + i:02};" for i in range(28)],
@@ -200,6 +228,10 @@ def test_large_and_skewed_paths_give_the_same_leads(spark, tmp_path, monkeypatch
     registry = load_snapshot(spark, snapshot(tmp_path, **tables))
     want = [r.asDict() for r in build(registry, REGION).collect()]
     assert len(want) > 5 and len({r["enterprise_number"] for r in want}) < len(want)
-    monkeypatch.setattr(joins, "FREQUENT_ROWS", 2)
-    monkeypatch.setattr(joins, "MAX_BROADCAST_KEYS", 0)
-    assert [r.asDict() for r in build(registry, REGION).collect()] == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [r.asDict() for r in build(registry, REGION).collect()] == want
+        again = load_snapshot(spark, str(tmp_path), work_dir=str(tmp_path.parent / f"{tmp_path.name}-work"))
+        assert [r.asDict() for r in build(again, REGION).collect()] == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -14,8 +14,8 @@ def rows(df, *columns):
 def test_address_assembly(table):
     columns = ["EntityNumber", "StreetNL", "StreetFR", "HouseNumber", "Box", "Zipcode", "MunicipalityNL", "address"]
     given = [
-        {"EntityNumber": "2.1", "StreetNL": "Centrumlaan", "HouseNumber": "5", "Box": "B", "Zipcode": "9400 Ninove"},
-        {"EntityNumber": "2.2", "StreetNL": " ", "StreetFR": "Rue", "MunicipalityNL": "Ninove"},
+        {"EntityNumber": "2.1", "StreetNL": "Vlierpad", "HouseNumber": "31", "Box": "2a", "Zipcode": "9400 Kersdorp"},
+        {"EntityNumber": "2.2", "StreetNL": " ", "StreetFR": "Rue", "MunicipalityNL": "Kersdorp"},
         {"EntityNumber": "2.3", "Box": "7"},
         {"EntityNumber": "2.4", "HouseNumber": "9", "Box": "7"},
         {"EntityNumber": "2.5", "HouseNumber": "9", "Box": "7", "address": "Whole street 1"},
@@ -23,8 +23,8 @@ def test_address_assembly(table):
     ]
     mapped = map_address(canonical_columns(table(given, columns)))
     assert rows(mapped, "establishment_number", "address", "postal_code", "city") == [
-        ("21", "Centrumlaan 5 box B", "9400 Ninove", None),
-        ("22", "Rue", None, "Ninove"),
+        ("21", "Vlierpad 31 box 2a", "9400 Kersdorp", None),
+        ("22", "Rue", None, "Kersdorp"),
         ("23", "7", None, None),
         ("24", "9 box 7", None, None),
         ("25", "Whole street 1", None, None),

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from firmscout.sources.delimited import find_delimiter, read_delimited, read_strict
+from firmscout.sources.delimited import file_shapes, find_delimiter, read_delimited, read_strict
 from firmscout.sources.files import Folder, path_by_stem, snapshot_folder, table_path
 from firmscout.sources.headers import canonical_columns, canonical_name, detect_columns, first_present, plain_name
 from firmscout.sources.providers import Provider, Providers
@@ -81,12 +81,44 @@ def test_file_order_over_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_files_with_other_headers(spark, tmp_path):
+    write(tmp_path / "t.csv" / "p0.csv", "id;name\n1;wren\n")
+    write(tmp_path / "t.csv" / "p1.csv", "name,id,age\nheron,2,7\n")
+    write(tmp_path / "t.csv" / "p2.csv", "")
+    found = {(r["id"], r["name"], r["age"]) for r in read_delimited(spark, str(tmp_path / "t.csv")).collect()}
+    assert found == {("1", "wren", None), ("2", "heron", "7")}
+    named = read_delimited(spark, str(tmp_path / "t.csv"), encoding="UTF-8", multiline=False)
+    assert {(r["id"], r["name"]) for r in named.collect()} == {("1", "wren"), ("2", "heron")}
+
+
+def test_empty_tables(spark, tmp_path):
+    path = write(tmp_path / "t.csv", "")
+    with pytest.raises(ValueError, match="no header line"):
+        read_delimited(spark, path)
+    empty = read_delimited(spark, path, may_be_empty=True)
+    assert empty.columns == ["_ord"] and empty.count() == 0
+
+
+@pytest.mark.parametrize(
+    ("line", "multiline"),
+    [('1;5" pipe', False), ('1;"a"', False), ('1;"a', True), ('"1;a', True), ('1;a"', False), ('1;"a ""b"""', False)],
+)
+def test_only_a_quote_at_the_start_of_a_field_opens_one(spark, tmp_path, line, multiline):
+    path = write(tmp_path / "t.csv", f"id;name\n{line}\n")
+    assert [s.multiline for s in file_shapes(spark, path)] == [multiline]
+
+
+def test_source_headers_may_begin_with_an_underscore(table):
+    df = table([{"_Name": "a", "_ID": "b"}], ["_Name", "_ID"])
+    assert canonical_columns(df).columns == ["name", "id", "_ord"]
+
+
 def test_strict_reading(spark, tmp_path):
-    path = write(tmp_path / "t.csv", "id,name\n1,Acme\n2,Broken,extra\n3,Bravo\n4\n")
+    path = write(tmp_path / "t.csv", "id,name\n10,Wren\n20,Torn,surplus\n30,Heron\n40\n")
     good, bad = read_strict(spark, path, max_bad_rows=2)
-    assert rows(good) == [("1", "Acme"), ("3", "Bravo")]
-    assert [r[0] for r in rows(good.select("id", "_ord"))] == ["1", "3"]
-    assert [r["_corrupt_record"] for r in bad.orderBy("_ord").collect()] == ["2,Broken,extra", "4"]
+    assert rows(good) == [("10", "Wren"), ("30", "Heron")]
+    assert [r[0] for r in rows(good.select("id", "_ord"))] == ["10", "30"]
+    assert [r["_corrupt_record"] for r in bad.orderBy("_ord").collect()] == ["20,Torn,surplus", "40"]
     with pytest.raises(RuntimeError, match="more than 1 malformed"):
         read_strict(spark, path, max_bad_rows=1)
     with pytest.raises(ValueError):
