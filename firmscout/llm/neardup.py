@@ -8,7 +8,7 @@ to stay together in one child. Nodes that are small are compared exhaustively, a
 the recall to its target. Nodes that never get small (dense groups) are cut into blocks, and all pairs of blocks are
 compared, so nothing is left out and no task holds a whole group.
 
-A pair that meets in several leaves is compared in one of them. Only pairs whose signatures agree in
+A pair that meets in several leaves is compared in one of them, which both sides can tell. Only pairs whose signatures agree in
 ``LEAST_AGREEMENT`` coordinates (a pair at the threshold fails that once in some 30,000 times) have their full
 shingle sets read and compared. A leaf gives back a spanning forest of its links, not all of them, and components are
 found over those: what is written grows with the documents, not with the pairs.
@@ -31,9 +31,11 @@ SHINGLE = 5
 #: Links are pairs with 100 * intersection >= PERCENT * union.
 PERCENT = 85
 COORDINATES = 64
-TREES = 20
-LEAF = 256
+TREES = 16
+LEAF = 4096
 DEPTH = 12
+#: Members of leaves that are compared in one call.
+CALL = 4096
 LEAST_AGREEMENT = 42
 
 _SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -67,14 +69,17 @@ def described(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def leaves(classes: DataFrame) -> DataFrame:
-    """``leaf, members, doc_id`` for all leaves of all trees that hold two documents or more.
+    """``leaf, tree, members, doc_id`` for all leaves of all trees that hold two documents or more.
 
-    Counting the members of nodes is an aggregate over (document, node) rows; documents alone in a node leave.
+    ``tree`` is the tree's number where its root's child is a leaf already, -1 farther down. Counting the members of
+    nodes is an aggregate over (node, document) rows; documents alone in a node leave. Signatures are only joined to
+    the members of nodes that branch.
     """
+    value = lambda c: F.substring(F.col("signature"), c * 4 + 1, F.lit(4))
     roots = F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.xxhash64(t, F.substring(F.col("signature"), t * 4 + 1, F.lit(4)))
+        F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(F.xxhash64(t, value(t)).alias("node"), t.alias("tree"))
     )
-    rows = classes.select("doc_id", "signature", F.explode(roots).alias("node"))
+    rows = classes.select("doc_id", F.inline(roots))
     extra = 100 / PERCENT - 1
     found: DataFrame | None = None
     for level in range(DEPTH + 1):
@@ -82,57 +87,88 @@ def leaves(classes: DataFrame) -> DataFrame:
         shared = staged(rows.join(sizes, "node"))
         large = shared.where(F.col("members") > LEAF)
         last = level == DEPTH or large.isEmpty()
-        ended = (shared if last else shared.where(F.col("members") <= LEAF)).select("node", "members", "doc_id")
+        ended = (shared if last else shared.where(F.col("members") <= LEAF)).select("node", "tree", "members", "doc_id")
         found = ended if found is None else found.unionByName(ended)
         if last:
             break
         pick = lambda i: F.pmod(F.xxhash64("node", F.lit(i)), F.lit(COORDINATES)).cast("int")
-        child = lambda c: F.xxhash64("node", c, F.substring(F.col("signature"), c * 4 + 1, F.lit(4)))
+        child = lambda c: F.xxhash64("node", c, value(c))
         # The second coordinate differs from the first, or the two children would be one.
         second = (pick(1) + 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(COORDINATES - 1)).cast("int")) % COORDINATES
         two = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1000)) < int(1000 * extra)
         children = F.when(two, F.array(child(pick(1)), child(second))).otherwise(F.array(child(pick(1))))
-        rows = large.select("doc_id", "signature", F.explode(children).alias("node"))
+        large = large.select("node", "doc_id").join(classes.select("doc_id", "signature"), "doc_id")
+        rows = large.select("doc_id", F.explode(children).alias("node"), F.lit(-1).alias("tree"))
     return found.withColumnRenamed("node", "leaf")
 
 
-def _agreeing(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of a group's rows that may be links and meet here first."""
-    signature = np.frombuffer(b"".join(group.column("signature").to_pylist()), dtype=np.uint32).reshape(-1, COORDINATES)
-    sizes = group.column("n_shingles").to_numpy()
-    side = group.column("side").to_numpy()
-    here = group.column("leaf")[0].as_py()
-    own = [set(x) for x in group.column("own").to_pylist()]
+class _Members:
+    """The members of some leaves, ordered by leaf and block pair: the columns that comparing them needs."""
+
+    def __init__(self, table: pa.Table):
+        group = ["leaf", "i", "j"]
+        self.table = table.sort_by([(c, "ascending") for c in (*group, "doc_id")])
+        keys = np.stack([self.table.column(c).to_numpy().astype(np.int64) for c in group])
+        change = np.ones(keys.shape[1], dtype=bool)
+        change[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
+        self.starts = np.flatnonzero(change)
+        self.ends = np.append(self.starts[1:], keys.shape[1])
+        self.ids = self.table.column("doc_id").to_numpy()
+
+
+def _agreeing(rows: _Members) -> tuple[list[int], list[int]]:
+    """Row pairs that may be links and are to be compared in this leaf."""
+    table = rows.table
+    signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint32).reshape(-1, COORDINATES)
+    sizes, side, tree = (table.column(c).to_numpy() for c in ("n_shingles", "side", "tree"))
+    flat, leaf = table.column("flat").to_numpy(), table.column("leaf").to_numpy()
+    deep = table.column("deep")
+    bits = np.int64(1) << np.arange(TREES)
     left, right = [], []
-    for i in range(len(signature) - 1):
-        rest = slice(i + 1, None)
-        fits = (signature[rest] == signature[i]).sum(axis=1) >= LEAST_AGREEMENT
-        fits &= 100 * np.minimum(sizes[rest], sizes[i]) >= PERCENT * np.maximum(sizes[rest], sizes[i])
-        if side[i] >= 0:  # two blocks: pairs across only, the blocks themselves are compared elsewhere
-            fits &= side[rest] != side[i]
-        for j in np.flatnonzero(fits) + i + 1:
-            if min(own[i] & own[int(j)]) == here:
-                left.append(i)
-                right.append(int(j))
-    return np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
-
-
-def _forest(n: int) -> tuple[list[int], Callable[[int], int]]:
-    up = list(range(n))
 
-    def root(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    return up, root
+    def check(i: np.ndarray, j: np.ndarray) -> None:
+        fits = 100 * np.minimum(sizes[i], sizes[j]) >= PERCENT * np.maximum(sizes[i], sizes[j])
+        # In two blocks only pairs across are compared; the blocks themselves are compared elsewhere.
+        fits &= (side[i] < 0) | (side[i] != side[j])
+        i, j = i[fits], j[fits]
+        same = signature[i] == signature[j]
+        fits = same.sum(axis=1) >= LEAST_AGREEMENT
+        i, j, same = i[fits], j[fits], same[fits]
+        # The first tree whose root's child both share and which is a leaf compares the pair; failing that, the
+        # common leaf with the least name.
+        shared = (same[:, :TREES] & ((flat[i] & flat[j])[:, None] & bits > 0))
+        first = np.where(shared.any(axis=1), shared.argmax(axis=1), -1)
+        for a, b, tree_of_pair in zip(i.tolist(), j.tolist(), first.tolist()):
+            if tree_of_pair == tree[a] and (tree_of_pair >= 0 or min(set(deep[a].as_py()) & set(deep[b].as_py())) == leaf[a]):
+                left.append(a)
+                right.append(b)
+
+    size = rows.ends - rows.starts
+    for n in np.unique(size):
+        own = rows.starts[size == n]
+        if n <= 16:  # all leaves of one size at once
+            a, b = np.triu_indices(n, 1)
+            for at in range(0, len(own), 4096):
+                part = own[at : at + 4096, None]
+                check((part + a).ravel(), (part + b).ravel())
+        else:
+            step = max(1, (1 << 14) // n)  # some thousand pairs at a time
+            for start in own:
+                for at in range(0, n - 1, step):
+                    a, b = np.meshgrid(np.arange(at, min(at + step, n - 1)), np.arange(at + 1, n), indexing="ij")
+                    pair = b > a
+                    check(start + a[pair], start + b[pair])
+    return left, right
 
 
 def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``a, b``: links that connect the same representatives as all links do; ``docs`` has their texts."""
     met = staged(leaves(classes))
-    own = met.groupBy("doc_id").agg(F.collect_list("leaf").alias("own"))  # TREES times a small power of the depth
+    leaf = F.when(F.col("tree") < 0, F.col("leaf"))
+    own = met.groupBy("doc_id").agg(
+        F.sum(F.expr("CASE WHEN tree >= 0 THEN shiftleft(1L, tree) ELSE 0L END")).alias("flat"),
+        F.collect_list(leaf).alias("deep"),  # a few for each tree at most
+    )
     facts = classes.select("doc_id", "n_shingles", "signature").join(own, "doc_id")
     # Larger leaves, which no further coordinate was there for, are compared block by block.
     blocks = F.ceil(F.col("members") / LEAF).cast("int")
@@ -141,54 +177,66 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")),
     )
-    spread = met.withColumn("blocks", blocks).withColumn("block", block).withColumn("pair", F.explode(pairs))
-    spread = spread.withColumn("side", F.when(F.expr("pair.i = pair.j"), -1).otherwise(F.col("block")))
-    spread = spread.select("leaf", "pair", "side", "doc_id").join(facts, "doc_id")
+    spread = met.withColumn("blocks", blocks).withColumn("block", block).select("*", F.inline(pairs))
+    spread = spread.withColumn("side", F.when(F.col("i") == F.col("j"), -1).otherwise(F.col("block")))
+    # Leaves are small; a task's call gets some thousand members of many.
+    calls = max(1, -(-met.count() // CALL))
+    call = F.pmod(F.xxhash64("leaf", "i", "j"), F.lit(calls)).alias("call")
+    spread = spread.select("leaf", "tree", "i", "j", "side", "doc_id").join(facts, "doc_id").withColumn("call", call)
 
     def choose(group: pa.Table) -> pa.Table:
-        left, right = _agreeing(group)
-        keep = np.unique(np.concatenate([left, right]))
+        rows = _Members(group)
+        left, right = _agreeing(rows)
+        keep = np.unique(np.array(left + right, dtype=np.int64))
         partners: dict[int, list[int]] = {int(k): [] for k in keep}
-        ids = group.column("doc_id").to_pylist()
-        for i, j in zip(left.tolist(), right.tolist()):
-            partners[i].append(ids[j])
-        pair = group.column("pair")[0].as_py() if len(keep) else {"i": 0, "j": 0}
-        return pa.table(
-            {
-                "leaf": group.column("leaf").take(keep),
-                "i": pa.array([pair["i"]] * len(keep), pa.int32()),
-                "j": pa.array([pair["j"]] * len(keep), pa.int32()),
-                "doc_id": group.column("doc_id").take(keep),
-                "partners": pa.array(list(partners.values()), pa.list_(pa.int64())),
-            }
-        )
-
-    chosen = spread.groupBy("leaf", F.col("pair.i").alias("_i"), F.col("pair.j").alias("_j")).applyInArrow(
-        choose, "leaf long, i int, j int, doc_id long, partners array<long>"
-    )
-    chosen = staged(chosen)
+        for i, j in zip(left, right):
+            partners[i].append(int(rows.ids[j]))
+        out = rows.table.take(pa.array(keep)).select(["call", "leaf", "i", "j", "doc_id"])
+        return out.append_column("partners", pa.array(list(partners.values()), pa.list_(pa.int64())))
+
+    kinds = "call long, leaf long, i int, j int, doc_id long, partners array<long>"
+    chosen = staged(spread.groupBy("call").applyInArrow(choose, kinds))
     texts = docs.select("doc_id", "text").join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = chosen.join(with_sets(texts), "doc_id")
+    sets = chosen.join(with_sets(texts).dropDuplicates(["doc_id"]), "doc_id")
 
     def confirm(group: pa.Table) -> pa.Table:
-        ids = group.column("doc_id").to_pylist()
-        place = {doc: k for k, doc in enumerate(ids)}
-        held = [np.frombuffer(x, dtype=np.uint64) for x in group.column("ids").to_pylist()]
-        up, root = _forest(len(ids))
+        rows = _Members(group)
+        partners, packed = rows.table.column("partners"), rows.table.column("ids")
         a, b = [], []
-        for k, partners in enumerate(group.column("partners").to_pylist()):
-            for doc in partners:
-                other = place[doc]
-                if root(k) == root(other):
-                    continue  # already connected: the link adds nothing to components
-                both = len(np.intersect1d(held[k], held[other], assume_unique=True))
-                if 100 * both >= PERCENT * (len(held[k]) + len(held[other]) - both):
-                    up[root(k)] = root(other)
-                    a.append(min(ids[k], doc))
-                    b.append(max(ids[k], doc))
+        for start, end in zip(rows.starts.tolist(), rows.ends.tolist()):
+            ids = rows.ids[start:end].tolist()
+            place = {doc: k for k, doc in enumerate(ids)}
+            held = [np.frombuffer(packed[k].as_buffer(), dtype=np.uint64) for k in range(start, end)]
+            root, join = _forest(len(ids))
+            for k, others in enumerate(partners.slice(start, end - start).to_pylist()):
+                for doc in others:
+                    other = place[doc]
+                    if root(k) == root(other):
+                        continue  # already connected: the link adds nothing to components
+                    both = len(np.intersect1d(held[k], held[other], assume_unique=True))
+                    if 100 * both >= PERCENT * (len(held[k]) + len(held[other]) - both):
+                        join(k, other)
+                        a.append(min(ids[k], doc))
+                        b.append(max(ids[k], doc))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return sets.groupBy("leaf", "i", "j").applyInArrow(confirm, "a long, b long").distinct()
+    return sets.groupBy("call").applyInArrow(confirm, "a long, b long").distinct()
+
+
+def _forest(n: int) -> tuple[Callable[[int], int], Callable[[int, int], None]]:
+    """Find and join of a union-find over ``n`` places."""
+    up = list(range(n))
+
+    def root(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    def join(x: int, y: int) -> None:
+        up[root(x)] = root(y)
+
+    return root, join
 
 
 def with_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
