@@ -3,6 +3,17 @@
 from __future__ import annotations
 
 from firmscout.llm.mixing import BLOCK_WORDS, SEED, SHARD_WORDS
+from firmscout.llm.quality import (
+    GOOD_SHARE,
+    GUESS_SHARE,
+    KEEP_FROM,
+    LEAST_WORDS,
+    MOST_REPEATED_PCT,
+    PRIOR_BAD,
+    PRIOR_GOOD,
+    ROUNDS,
+    RULES,
+)
 
 WORDS = r"[^\x20\x09-\x0D]+"
 ORACLE: dict[str, str] = {}
@@ -131,3 +142,134 @@ SELECT page_id, host, path, rule, t AS template,
   CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
        WHEN purity < 0.5 THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled"""
+
+
+def _round(k: int) -> str:
+    """One round of expectation-maximisation over the vote patterns, from the model of the round before."""
+    rules = range(1, len(RULES) + 1)
+
+    def share(mass: str, prior: float, held: float, j: int) -> str:
+        cast = f"sum(CASE WHEN votes[{j}] {{}} THEN {mass} ELSE 0 END)"
+        return f"({cast.format('= -1')} + {GUESS_SHARE} * sum(n) * {held} * {prior}) / ({cast.format('<> 0')} + {GUESS_SHARE} * sum(n) * {held})"
+
+    bad = ", ".join(share("n * (1 - p)", PRIOR_BAD, round(1 - GOOD_SHARE, 6), j) for j in rules)
+    good = ", ".join(share("n * p", PRIOR_GOOD, GOOD_SHARE, j) for j in rules)
+    return f"""m{k} AS MATERIALIZED (
+  SELECT (sum(n * p) + {GUESS_SHARE} * sum(n) * {GOOD_SHARE}) / (sum(n) * (1 + {GUESS_SHARE})) AS good, [{bad}] AS b, [{good}] AS g
+  FROM (SELECT votes, n, {_posterior()} AS p FROM patterns, m{k - 1})
+)"""
+
+
+def _posterior() -> str:
+    odds = " + ".join(
+        f"CASE votes[{j}] WHEN -1 THEN ln(g[{j}] / b[{j}]) WHEN 1 THEN ln((1 - g[{j}]) / (1 - b[{j}])) ELSE 0 END"
+        for j in range(1, len(RULES) + 1)
+    )
+    return f"1 / (1 + exp(-(ln(good) - ln(1 - good) + {odds})))"
+
+
+def quality_sql(docs: str) -> str:
+    votes = ", ".join(f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END" for _, bad, good in RULES)
+    count = "length(t) - length(translate(t, '{}', ''))"
+    repeat = lambda x: f"list_transform(range({len(RULES)}), lambda i: CAST({x} AS DOUBLE))"
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORDS}')) AS ls
+  FROM {docs}
+), windows AS (
+  SELECT rid, i, w[i:i + 4] AS five FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM texts WHERE len(w) > 5)
+), again AS (
+  SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, five) > 1
+), covered AS (
+  SELECT rid, sum(step) AS c FROM (
+    SELECT rid, least(5, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 5)) AS step FROM again) GROUP BY rid
+), counts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST({count.format("#*$%&|<>")} AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines,
+    {count.format("ABCDEFGHIJKLMNOPQRSTUVWXYZ")} AS n_capitals, {count.format("!")} AS n_exclaims,
+    len(regexp_extract_all(t, '[#*$%&|<>]+')) AS n_symbol_runs,
+    len(list_filter(w, lambda x: regexp_full_match(x, '\p{{L}}+[.,;:!?]?'))) AS n_plain_words
+  FROM texts LEFT JOIN covered USING (rid)
+), voted AS (
+  SELECT *, [{votes}] AS votes FROM counts
+), patterns AS MATERIALIZED (
+  SELECT votes, CAST(count(*) AS DOUBLE) AS n FROM voted GROUP BY votes
+), m0 AS (
+  SELECT CAST({GOOD_SHARE} AS DOUBLE) AS good, {repeat(PRIOR_BAD)} AS b, {repeat(PRIOR_GOOD)} AS g
+), {", ".join(_round(k) for k in range(1, ROUNDS + 1))},
+judged AS (
+  SELECT votes, {_posterior()} AS p FROM patterns, m{ROUNDS}
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PCT} * n_words AS base_failed,
+  NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PCT} * n_words) AND p >= {KEEP_FROM} AS kept
+FROM voted JOIN judged USING (votes)"""
+
+
+ORACLE["op9_quality_rules"] = quality_sql("documents")
+
+
+def substrings_sql(docs: str) -> str:
+    """All 50-byte windows as hexadecimal text, the smallest document of each, and the ranges they cover."""
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS place,
+    hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n
+  FROM {docs}
+), windows AS (
+  SELECT rid, place, i, substr(h, CAST(2 * i + 1 AS BIGINT), 100) AS s
+  FROM (SELECT *, unnest(range(0, CAST(greatest(n - 49, 0) AS BIGINT))) AS i FROM texts)
+), hits AS (
+  SELECT rid, i FROM windows JOIN (SELECT s, min(place) AS least FROM windows GROUP BY s) USING (s) WHERE place > least
+), marked AS (
+  SELECT rid, i, CASE WHEN i <= lag(i) OVER (PARTITION BY rid ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM hits
+), numbered AS (
+  SELECT rid, i, sum(new) OVER (PARTITION BY rid ORDER BY i) AS span FROM marked
+), spans AS (
+  SELECT rid, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY rid, span
+), pieces AS (
+  SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS since FROM spans
+), cut AS (
+  SELECT rid, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
+    string_agg(substr(h, CAST(2 * since + 1 AS BIGINT), CAST(2 * (a - since) AS BIGINT)), '' ORDER BY a) AS kept
+  FROM pieces JOIN texts USING (rid) GROUP BY rid
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN removed IS NULL THEN h ELSE kept || substr(h, CAST(2 * last + 1 AS BIGINT)) END)) AS kept_sha256
+FROM texts LEFT JOIN cut USING (rid)"""
+
+
+def near_duplicates_sql(docs: str) -> str:
+    """Links by joining on shingles, then everything that can be reached along them."""
+    return f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '{WORDS}') AS w
+  FROM {docs}
+), sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets WHERE doc_id IS NOT NULL
+), links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), reached AS (
+  SELECT doc_id AS id, doc_id AS c FROM sets
+  UNION
+  SELECT id, b FROM reached JOIN links ON c = a
+), components AS (
+  SELECT id, min(c) AS c FROM reached GROUP BY id
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id, doc_id IS NOT DISTINCT FROM c AS kept
+FROM sets LEFT JOIN components ON doc_id = id"""
+
+
+ORACLE["op1_substring_dedup"] = substrings_sql("documents")
+ORACLE["op8_near_duplicates"] = near_duplicates_sql("documents")

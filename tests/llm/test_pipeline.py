@@ -11,6 +11,7 @@ import __spark_entry__ as entry_point
 import check
 import corpus_pipeline
 from firmscout.llm.common import staged
+from firmscout.llm.oracle import ORACLE as LLM_ORACLE
 
 SMALL = "/root/testdata/sf0.001"
 ROOT = Path(__file__).resolve().parents[2]
@@ -22,7 +23,7 @@ def test_every_operator_has_a_query():
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op3_mix_sources", "op6_url_filter", "op7_chat_format"])
+@pytest.mark.parametrize("name", sorted(LLM_ORACLE))
 def test_query_equals_sql(spark, name):
     types, found = check.spark_rows(entry_point.queries()[name](spark, SMALL))
     want_types, want = check.oracle_rows(check.database(SMALL), entry_point.oracle_sql()[name])
