@@ -14,14 +14,17 @@ POSTCODE_SHAPE = "^[0-9]{4}$"
 REASON = "reject_reason"
 
 
+def place_reason() -> Column:
+    """The rules that need no score."""
+    return F.when(strip(blank(F.col("enterprise_number"))) == "", F.lit("enterprise_number")).when(
+        ~strip(blank(F.col("postal_code"))).rlike(POSTCODE_SHAPE), F.lit("postal_code")
+    )
+
+
 def reject_reason() -> Column:
     """Why a lead is invalid, the first rule broken; null when it is valid."""
     score = F.col("score_total")
-    return (
-        F.when(strip(blank(F.col("enterprise_number"))) == "", F.lit("enterprise_number"))
-        .when(~strip(blank(F.col("postal_code"))).rlike(POSTCODE_SHAPE), F.lit("postal_code"))
-        .when(score.isNull() | ~score.between(SCORE_FLOOR, SCORE_CEILING), F.lit("score_total"))
-    )
+    return place_reason().when(score.isNull() | ~score.between(SCORE_FLOOR, SCORE_CEILING), F.lit("score_total"))
 
 
 def valid_leads(df: DataFrame) -> DataFrame:

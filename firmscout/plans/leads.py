@@ -20,7 +20,7 @@ from firmscout.functions.sectors import sector_of
 from firmscout.functions.text import blank, is_active, postal_code, status_label, yes_no
 from firmscout.operators import filters, lookups
 from firmscout.operators.joins import ORDER, attach
-from firmscout.operators.quality import apply_policy, rejected_leads
+from firmscout.operators.quality import apply_policy, place_reason, rejected_leads
 from firmscout.plans.params import LeadParams
 
 # The columns of a lead, in output order.
@@ -180,9 +180,10 @@ class LeadRun:
     rejected: DataFrame
 
 
-def scored_leads(registry: Registry, params: LeadParams) -> DataFrame:
+def scored_leads(registry: Registry, params: LeadParams, found: DataFrame | None = None) -> DataFrame:
     """Scored leads after all filters but before validity and limit, without code lists."""
-    details = with_details(candidates(registry, params), registry, params.lite)
+    found = candidates(registry, params) if found is None else found
+    details = with_details(found, registry, params.lite)
     leads = filters.mentions(scored(details, params, registry.snapshot), params.query)
     return filters.scored_at_least(leads, params.score_floor)
 
@@ -193,8 +194,15 @@ def all_leads(registry: Registry, params: LeadParams) -> DataFrame:
 
 
 def lead_rows(registry: Registry, params: LeadParams) -> DataFrame:
-    """The leads of a run with ``_ord``: valid ones, the first ``limit`` of them in file order."""
-    valid = apply_policy(scored_leads(registry, params), params.on_invalid)
+    """The leads of a run with ``_ord``: valid ones, the first ``limit`` of them in file order.
+
+    The limit comes before contacts, names and codes are looked up if none of
+    these can reject a row any more: scores are clamped to the valid range.
+    """
+    found = candidates(registry, params)
+    if params.limit and params.on_invalid != "fail" and not params.query.strip() and not params.score_floor:
+        found = filters.first_rows(found.where(place_reason().isNull()), params.limit)
+    valid = apply_policy(scored_leads(registry, params, found), params.on_invalid)
     return with_codes(filters.first_rows(valid, params.limit), registry, params.lite)
 
 
