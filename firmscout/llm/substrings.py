@@ -3,8 +3,8 @@
 A byte goes if it lies in a ``LENGTH``-byte string that also starts in a document with a smaller id.
 
 Routing. Documents are packed into blocks of some megabytes by a hash of their id. Every window of ``LENGTH`` bytes is
-dealt to a bucket by its anchor, the 16-byte string with the least hash in it, so equal windows meet in one bucket
-wherever they stand. Neighbouring windows mostly share their anchor and travel together as one piece of at most 84
+dealt to a bucket by its anchor, the 20-byte string with the least hash in it, so equal windows meet in one bucket
+wherever they stand. Neighbouring windows mostly share their anchor and travel together as one piece of at most 80
 bytes. Blocks first send the hashes of their anchors alone; buckets answer which of them a second document has, and only
 the pieces of those are sent, equal ones of a block once. Anchors that are very frequent are found beforehand
 (``common_anchors``) and chosen last, so that windows at the edge of a common passage are dealt by what is beside it;
@@ -36,7 +36,7 @@ from firmscout.llm.common import numbered, parts_for, picked, text_bytes
 from firmscout.llm.hashing import mix
 
 LENGTH = 50
-ANCHOR = 16
+ANCHOR = 20
 #: Bytes of text for each bucket and block, and the piece of text that a task looks at in one go.
 BUCKET_BYTES = 2 << 20
 CHUNK = 1 << 20
@@ -89,7 +89,11 @@ def anchors(text: np.ndarray) -> np.ndarray:
     x = text.astype(np.uint64)
     for width in (1, 2, 4):
         x = (x[:-width] << np.uint64(8 * width)) | x[width:]
-    return mix(x[:-8] * np.uint64(0x9E3779B97F4A7C15) + x[8:]) & ~_POSITION
+    n = len(text) - ANCHOR + 1
+    out = x[:n].copy()
+    for at in (ANCHOR - 16, ANCHOR - 8) if ANCHOR > 16 else (ANCHOR - 8,):  # eight bytes each, the last ones overlap
+        out = out * np.uint64(0x9E3779B97F4A7C15) + x[at : at + n]
+    return mix(out) & ~_POSITION
 
 
 def chosen(text: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -102,9 +106,12 @@ def chosen(text: np.ndarray, common: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(common, found), len(common) - 1)
         found |= (common[at] == found).astype(np.uint64) << np.uint64(63)
     found |= np.arange(len(found), dtype=np.uint64)
-    for width in (1, 2, 4, 8, 16):
+    # Least of 2, 4, 8, ... neighbours, then of two overlapping runs that make up a window.
+    width = 1
+    while 2 * width <= _SPREAD:
         found = np.minimum(found[:-width], found[width:])
-    return np.minimum(found[: len(found) - (_SPREAD - 32)], found[_SPREAD - 32 :])
+        width *= 2
+    return np.minimum(found[: len(found) - (_SPREAD - width)], found[_SPREAD - width :])
 
 
 def _chunks(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
