@@ -177,7 +177,8 @@ def judged(counted: DataFrame) -> DataFrame:
     model = fit(voted.groupBy(F.col("_votes").alias("votes")).agg(F.count("*").alias("n")))
     model = F.broadcast(model.select(F.col("votes").alias("_votes"), F.col("p_good").alias("_p_good")))
     out = voted.join(model, "_votes").drop("_votes").withColumn("_base_failed", base_failed())
-    return out.withColumn("_kept", ~F.col("_base_failed") & (F.col("_p_good") >= KEEP_FROM))
+    # One condition that needs the posterior: the base rule alone would be pushed below the join, and the counts with it.
+    return out.withColumn("_kept", F.when(F.col("_base_failed"), False).otherwise(F.col("_p_good") >= KEEP_FROM))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
