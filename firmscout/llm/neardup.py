@@ -116,8 +116,8 @@ class _Members:
         self.ids = self.table.column("doc_id").to_numpy()
 
 
-def _agreeing(rows: _Members) -> tuple[list[int], list[int]]:
-    """Row pairs that may be links and are to be compared in this leaf."""
+def _agreeing(rows: _Members) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs that may be links and are to be compared in this leaf, ordered by the first row."""
     table = rows.table
     signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint32).reshape(-1, COORDINATES)
     sizes, side, tree = (table.column(c).to_numpy() for c in ("n_shingles", "side", "tree"))
@@ -138,10 +138,11 @@ def _agreeing(rows: _Members) -> tuple[list[int], list[int]]:
         # common leaf with the least name.
         shared = (same[:, :TREES] & ((flat[i] & flat[j])[:, None] & bits > 0))
         first = np.where(shared.any(axis=1), shared.argmax(axis=1), -1)
-        for a, b, tree_of_pair in zip(i.tolist(), j.tolist(), first.tolist()):
-            if tree_of_pair == tree[a] and (tree_of_pair >= 0 or min(set(deep[a].as_py()) & set(deep[b].as_py())) == leaf[a]):
-                left.append(a)
-                right.append(b)
+        here = first == tree[i]
+        for k in np.flatnonzero(here & (first < 0)).tolist():
+            here[k] = min(set(deep[int(i[k])].as_py()) & set(deep[int(j[k])].as_py())) == leaf[i[k]]
+        left.append(i[here].astype(np.int32))
+        right.append(j[here].astype(np.int32))
 
     size = rows.ends - rows.starts
     for n in np.unique(size):
@@ -158,7 +159,9 @@ def _agreeing(rows: _Members) -> tuple[list[int], list[int]]:
                     a, b = np.meshgrid(np.arange(at, min(at + step, n - 1)), np.arange(at + 1, n), indexing="ij")
                     pair = b > a
                     check(start + a[pair], start + b[pair])
-    return left, right
+    left, right = (np.concatenate([np.zeros(0, dtype=np.int32), *x]) for x in (left, right))
+    order = np.argsort(left, kind="stable")
+    return left[order], right[order]
 
 
 def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -187,12 +190,11 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     def choose(group: pa.Table) -> pa.Table:
         rows = _Members(group)
         left, right = _agreeing(rows)
-        keep = np.unique(np.array(left + right, dtype=np.int64))
-        partners: dict[int, list[int]] = {int(k): [] for k in keep}
-        for i, j in zip(left, right):
-            partners[i].append(int(rows.ids[j]))
+        keep = np.unique(np.concatenate([left, right]))
+        offsets = np.searchsorted(left, np.append(keep, np.iinfo(np.int32).max)).astype(np.int32)
+        partners = pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ids[right], pa.int64()))
         out = rows.table.take(pa.array(keep)).select(["call", "leaf", "i", "j", "doc_id"])
-        return out.append_column("partners", pa.array(list(partners.values()), pa.list_(pa.int64())))
+        return out.append_column("partners", partners)
 
     kinds = "call long, leaf long, i int, j int, doc_id long, partners array<long>"
     chosen = staged(spread.groupBy("call").applyInArrow(choose, kinds))
@@ -204,20 +206,19 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
         partners, packed = rows.table.column("partners"), rows.table.column("ids")
         a, b = [], []
         for start, end in zip(rows.starts.tolist(), rows.ends.tolist()):
-            ids = rows.ids[start:end].tolist()
-            place = {doc: k for k, doc in enumerate(ids)}
+            ids = rows.ids[start:end]  # in order
             held = [np.frombuffer(packed[k].as_buffer(), dtype=np.uint64) for k in range(start, end)]
             root, join = _forest(len(ids))
-            for k, others in enumerate(partners.slice(start, end - start).to_pylist()):
-                for doc in others:
-                    other = place[doc]
+            for k in range(len(ids)):
+                others = partners[start + k].values
+                for other in np.searchsorted(ids, others.to_numpy()).tolist() if others is not None else ():
                     if root(k) == root(other):
                         continue  # already connected: the link adds nothing to components
                     both = len(np.intersect1d(held[k], held[other], assume_unique=True))
                     if 100 * both >= PERCENT * (len(held[k]) + len(held[other]) - both):
                         join(k, other)
-                        a.append(min(ids[k], doc))
-                        b.append(max(ids[k], doc))
+                        a.append(int(min(ids[k], ids[other])))
+                        b.append(int(max(ids[k], ids[other])))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return sets.groupBy("call").applyInArrow(confirm, "a long, b long").distinct()
