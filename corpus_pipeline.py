@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from firmscout.llm import decontam, mixing, neardup, quality, substrings
 from firmscout.llm.common import staged, table
 
+#: Shared five-word shingles that make documents near copies, in percent of all they have.
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
@@ -19,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of a group of near copies the one with the smallest id stays."""
-    return neardup.keep_first(docs)
+    return neardup.keep_first(docs, NEAR_PERCENT)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

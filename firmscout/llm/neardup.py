@@ -4,19 +4,20 @@ Documents with equal shingle sets form one class at once; one representative of
 ``COORDINATES`` minwise values. A tree splits them by one value at its root. A node that is still large chooses one
 or, with the probability that makes it 1 / threshold on average, two more coordinates by a hash of its own path, and
 sends its members on by their values there; similar documents choose alike, so a pair at the threshold is expected
-to stay together in one child. Nodes that are small are compared exhaustively, and ``TREES`` independent trees bring
-the recall to its target. Nodes that never get small (dense groups) are cut into blocks, and all pairs of blocks are
+to stay together in one child. Nodes that are small are compared exhaustively, and independent trees (``TREES``, more
+where the threshold is lower) bring the recall to its target. Nodes that never get small (dense groups) are cut into blocks, and all pairs of blocks are
 compared, so nothing is left out and no task holds a whole group.
 
 A pair that meets in several leaves is compared in one of them, which both sides can tell. Only pairs whose signatures agree in
-``LEAST_AGREEMENT`` coordinates (a pair at the threshold fails that once in some 30,000 times) have their full
-shingle sets read and compared. A leaf gives back a spanning forest of its links, not all of them, and components are
+enough coordinates (a pair at the threshold fails that at most once in 25,000 times) have their full shingle sets read
+and compared. A leaf gives back a spanning forest of its links, not all of them, and components are
 found over those: what is written grows with the documents, not with the pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,19 +29,52 @@ from firmscout.llm.common import numbered, picked, staged
 from firmscout.llm.hashing import mix, shingles, word_hashes
 
 SHINGLE = 5
-#: Links are pairs with 100 * intersection >= PERCENT * union.
+#: Links are pairs with 100 * intersection >= percent * union; this much in the query, which has a contract for it.
 PERCENT = 85
 COORDINATES = 64
+#: Trees at ``PERCENT``.
 TREES = 16
 LEAF = 4096
 DEPTH = 12
 #: Members of leaves that are compared in one call.
 CALL = 4096
-LEAST_AGREEMENT = 42
+#: How often a pair at the threshold may agree in too few coordinates.
+MISSED = 1 / 25_000
 
 _SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 
 
+def least_agreement(percent: int) -> int:
+    """Coordinates that signatures of a link agree in, but for ``MISSED`` of the pairs at the threshold."""
+    share, below = percent / 100, 0.0
+    for k in range(COORDINATES):
+        below += math.comb(COORDINATES, k) * share**k * (1 - share) ** (COORDINATES - k)
+        if below > MISSED:
+            return k
+    return COORDINATES
+
+
+def branching(percent: int) -> int:
+    """Nodes in a thousand that choose two coordinates."""
+    return int(1000 * (100 / percent - 1))
+
+
+def trees_for(percent: int) -> int:
+    """Trees that miss a pair at the threshold, where all nodes branch to the last level, no more often than ``TREES`` do at ``PERCENT``."""
+
+    def apart(percent: int) -> float:
+        share, two, lost = percent / 100, branching(percent) / 1000, 0.0
+        for _ in range(DEPTH):
+            one = 1 - share + share * lost
+            lost = one * (1 - two + two * one)
+        return 1 - share + share * lost
+
+    trees = max(TREES, math.ceil(TREES * math.log(apart(PERCENT)) / math.log(apart(percent)))) if percent < PERCENT else TREES
+    if not 50 <= percent <= 100 or trees >= COORDINATES - 1:
+        raise ValueError(f"no trees for {percent} percent")
+    return trees
+
+
 def minwise(ids: np.ndarray) -> np.ndarray:
     """``COORDINATES`` 32-bit minwise values of a set of 64-bit hashes."""
     low = np.full(COORDINATES, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -68,7 +102,7 @@ def described(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, same binary, signature binary")
 
 
-def leaves(classes: DataFrame) -> DataFrame:
+def leaves(classes: DataFrame, percent: int) -> DataFrame:
     """``leaf, tree, members, doc_id`` for all leaves of all trees that hold two documents or more.
 
     ``tree`` is the tree's number where its root's child is a leaf already, -1 farther down. Counting the members of
@@ -77,10 +111,9 @@ def leaves(classes: DataFrame) -> DataFrame:
     """
     value = lambda c: F.substring(F.col("signature"), c * 4 + 1, F.lit(4))
     roots = F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(F.xxhash64(t, value(t)).alias("node"), t.alias("tree"))
+        F.sequence(F.lit(0), F.lit(trees_for(percent) - 1)), lambda t: F.struct(F.xxhash64(t, value(t)).alias("node"), t.alias("tree"))
     )
     rows = classes.select("doc_id", F.inline(roots))
-    extra = 100 / PERCENT - 1
     found: DataFrame | None = None
     for level in range(DEPTH + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
@@ -95,7 +128,7 @@ def leaves(classes: DataFrame) -> DataFrame:
         child = lambda c: F.xxhash64("node", c, value(c))
         # The second coordinate differs from the first, or the two children would be one.
         second = (pick(1) + 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(COORDINATES - 1)).cast("int")) % COORDINATES
-        two = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1000)) < int(1000 * extra)
+        two = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1000)) < branching(percent)
         children = F.when(two, F.array(child(pick(1)), child(second))).otherwise(F.array(child(pick(1))))
         large = large.select("node", "doc_id").join(classes.select("doc_id", "signature"), "doc_id")
         rows = large.select("doc_id", F.explode(children).alias("node"), F.lit(-1).alias("tree"))
@@ -116,27 +149,27 @@ class _Members:
         self.ids = self.table.column("doc_id").to_numpy()
 
 
-def _agreeing(rows: _Members) -> tuple[np.ndarray, np.ndarray]:
+def _agreeing(rows: _Members, percent: int, least: int, trees: int) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs that may be links and are to be compared in this leaf, ordered by the first row."""
     table = rows.table
     signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint32).reshape(-1, COORDINATES)
     sizes, side, tree = (table.column(c).to_numpy() for c in ("n_shingles", "side", "tree"))
     flat, leaf = table.column("flat").to_numpy(), table.column("leaf").to_numpy()
     deep = table.column("deep")
-    bits = np.int64(1) << np.arange(TREES)
+    bits = np.int64(1) << np.arange(trees)
     left, right = [], []
 
     def check(i: np.ndarray, j: np.ndarray) -> None:
-        fits = 100 * np.minimum(sizes[i], sizes[j]) >= PERCENT * np.maximum(sizes[i], sizes[j])
+        fits = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
         # In two blocks only pairs across are compared; the blocks themselves are compared elsewhere.
         fits &= (side[i] < 0) | (side[i] != side[j])
         i, j = i[fits], j[fits]
         same = signature[i] == signature[j]
-        fits = same.sum(axis=1) >= LEAST_AGREEMENT
+        fits = same.sum(axis=1) >= least
         i, j, same = i[fits], j[fits], same[fits]
         # The first tree whose root's child both share and which is a leaf compares the pair; failing that, the
         # common leaf with the least name.
-        shared = (same[:, :TREES] & ((flat[i] & flat[j])[:, None] & bits > 0))
+        shared = (same[:, :trees] & ((flat[i] & flat[j])[:, None] & bits > 0))
         first = np.where(shared.any(axis=1), shared.argmax(axis=1), -1)
         here = first == tree[i]
         for k in np.flatnonzero(here & (first < 0)).tolist():
@@ -164,9 +197,10 @@ def _agreeing(rows: _Members) -> tuple[np.ndarray, np.ndarray]:
     return left[order], right[order]
 
 
-def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def links(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """``a, b``: links that connect the same representatives as all links do; ``docs`` has their texts."""
-    met = staged(leaves(classes))
+    met = staged(leaves(classes, percent))
+    least, trees = least_agreement(percent), trees_for(percent)
     leaf = F.when(F.col("tree") < 0, F.col("leaf"))
     own = met.groupBy("doc_id").agg(
         F.sum(F.expr("CASE WHEN tree >= 0 THEN shiftleft(1L, tree) ELSE 0L END")).alias("flat"),
@@ -189,7 +223,7 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
 
     def choose(group: pa.Table) -> pa.Table:
         rows = _Members(group)
-        left, right = _agreeing(rows)
+        left, right = _agreeing(rows, percent, least, trees)
         keep = np.unique(np.concatenate([left, right]))
         offsets = np.searchsorted(left, np.append(keep, np.iinfo(np.int32).max)).astype(np.int32)
         partners = pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ids[right], pa.int64()))
@@ -215,7 +249,7 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
                     if root(k) == root(other):
                         continue  # already connected: the link adds nothing to components
                     both = len(np.intersect1d(held[k], held[other], assume_unique=True))
-                    if 100 * both >= PERCENT * (len(held[k]) + len(held[other]) - both):
+                    if 100 * both >= percent * (len(held[k]) + len(held[other]) - both):
                         join(k, other)
                         a.append(int(min(ids[k], ids[other])))
                         b.append(int(max(ids[k], ids[other])))
@@ -292,11 +326,11 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id, text``).
 
     Texts without words have an empty set and are linked with nothing; a null id is linked with nothing either, has a
-    null component and is kept. Rows that repeat an id are in its component; extra columns are ignored; no rows give
+    null component and is kept. Sets are linked from ``percent`` of their union on. Rows that repeat an id are in its component; extra columns are ignored; no rows give
     no rows.
     """
     docs = picked(docs, "doc_id", "text")
@@ -307,7 +341,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
     )
     classes = staged(classes)
-    found = components(links(classes, docs))
+    found = components(links(classes, docs, percent))
     ids = classes.select("same", F.col("doc_id").alias("id")).join(found, "id", "left")
     ids = ids.select("same", F.coalesce("component", "id").alias("_c"))
     out = facts.drop("signature").join(ids, "same", "left")
@@ -317,8 +351,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the rows whose document has a smaller id in its component; all columns as they are."""
-    dropped = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    dropped = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     held = numbered(docs, "doc_id")
     return held.join(dropped, F.col("doc_id") == F.col("_gone"), "left_anti").toDF(*docs.columns)

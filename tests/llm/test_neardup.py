@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from helpers import EDGES, documents, prose
 
+import corpus_pipeline
 from firmscout.llm import neardup
 from firmscout.llm.hashing import shingles, word_hashes
 
@@ -84,6 +85,46 @@ def test_stage_keeps_the_first_of_each_group(spark):
     assert 201 not in ids and 401 not in ids and 2 in ids
 
 
+def spaced(text, seed, edits):
+    """Each edit changes five shingles: three leave 0.81 of 150 words in common, four 0.76."""
+    words = text.split()
+    for i in range(edits):
+        words[10 + 30 * i] = f"new{seed}x{i}"
+    return " ".join(words)
+
+
+def between():
+    rows = [(i, prose(i, 150)) for i in range(60)]
+    return rows + [(1000 * n + i, spaced(prose(i, 150), i, n)) for i in range(60) for n in (3, 4) if (i + n) % 2]
+
+
+def kept_by_force(rows, percent):
+    sets = [(doc, shingle_set(text)) for doc, text in sorted(rows)]
+    up = dict.fromkeys(d for d, _ in sets)
+    for k, (a, x) in enumerate(sets):
+        for b, y in sets[:k]:
+            if 100 * len(x & y) >= percent * len(x | y):
+                up[a] = b
+    return {d for d in up if up[d] is None}  # of the planted groups of two the first
+
+
+@pytest.mark.parametrize("leaf", [neardup.LEAF, 8])
+def test_stage_takes_pairs_from_80_percent(spark, monkeypatch, leaf):
+    rows = between()
+    monkeypatch.setattr(neardup, "LEAF", leaf)
+    out = corpus_pipeline.near_duplicates(spark, documents(spark, rows), "")
+    kept = {r[0] for r in out.collect()}
+    assert kept == kept_by_force(rows, 80) and len(kept) == 90
+    assert {r[0] for r in found(documents(spark, rows)) if r[3]} == {doc for doc, _ in rows}
+
+
+def test_checks_follow_the_threshold():
+    assert [neardup.least_agreement(p) for p in (80, 85)] == [37, 42]
+    assert [neardup.trees_for(p) for p in (80, 85, 90)] == [21, 16, 16]
+    with pytest.raises(ValueError):
+        neardup.trees_for(40)
+
+
 @pytest.mark.parametrize("rows", [[], EDGES])
 def test_nothing_to_link(spark, rows):
     assert found(documents(spark, rows)) == brute(rows)
