@@ -1,9 +1,11 @@
 """Main text of web pages by tree scoring.
 
 Paragraphs give points for their length and commas to the containers around them, less the farther away these are;
-a container's points are discounted by its share of link text. The container with most points and those of its
-siblings that hold enough of their own are kept. Menus, forms, adverts, notices, comments and the like are cut from
-the tree before, by tag, role and class.
+a container's points are discounted by its share of link text. The container with most points is kept, or the whole
+article (``article``, else ``main``) it lies in, and those of its siblings that hold enough of their own. Menus, forms,
+adverts, notices, comments and the like are cut from the tree before, by tag, role, class and id. Class and id also
+name states (``has-sidebar``, ``comments-open``) and stand at containers of the whole page: they cut no element that
+holds the article.
 
 One page is one small Python job inside a column function; a page is read once, in time linear in its length.
 """
@@ -49,6 +51,12 @@ MARKS = frozenset(
 )
 #: These mark it only outside an article.
 OUTER_MARKS = frozenset("header masthead".split())
+#: Words beside a mark that leave the name one of such a part; with others (has-sidebar) it may tell a state.
+PLAIN = frozenset(
+    "area areas body box wrap wrapper container section block inner outer list post posts link links item items button "
+    "buttons icon icons form text title header heading head group panel column col holder slot unit top bottom left right "
+    "main primary secondary site page global bar row section sections content thread node entry".split()
+)
 CLOSED_BY = {
     "li": frozenset(["li"]),
     "dt": frozenset(["dt", "dd"]),
@@ -63,41 +71,50 @@ CONTENT = {"article": 25.0, "main": 20.0, "section": 3.0, "blockquote": 3.0, "pr
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "within", "points", "chars", "links")
+    __slots__ = ("tag", "parent", "children", "dropped", "mark", "within", "points", "mass", "chars", "links")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool, within: bool):
-        self.tag, self.parent, self.dropped, self.within = tag, parent, dropped, within
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, mark: int, within: bool):
+        self.tag, self.parent, self.dropped, self.mark, self.within = tag, parent, dropped, mark, within
         self.children: list[Node] = []
-        self.points = 0.0
+        self.points = self.mass = 0.0
         self.chars = self.links = 0
         if parent is not None:
             parent.children.append(self)
 
 
-def unwanted(tag: str, attributes: str, within: bool) -> bool:
-    """Whether an element is cut from the tree; ``within``: it is inside an article."""
+#: What class and id say of an element.
+HINTED, NAMED = 1, 2
+
+
+def unwanted(tag: str, attributes: str, within: bool) -> tuple[bool, int]:
+    """Whether an element is cut from the tree, and its mark; ``within``: it is inside an article."""
     if tag in DROPPED or tag == "header" and not within:
-        return True
+        return True, 0
     if tag in ("html", "body") or not attributes.strip():
-        return False
-    words: set[str] = set()
+        return False, 0
+    mark = 0
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
-            words.update(x.lower() for x in _NAME.findall(value))
+            for token in value.split():
+                words = {x.lower() for x in _NAME.findall(token)}
+                marks = words & MARKS if within else words & MARKS | words & OUTER_MARKS
+                if marks:
+                    rest = (x for x in words - marks - PLAIN if not x.isdigit())
+                    mark = max(mark, HINTED if any(rest) else NAMED)
         elif name == "role" and value.lower() in ROLES or name == "hidden":
-            return True
+            return True, 0
         elif name == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, 0
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            return True
-    return bool(words & MARKS) or not within and bool(words & OUTER_MARKS)
+            return True, 0
+    return False, mark
 
 
-def read(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
-    """The tree of a page and its blocks of text: (innermost block element, text, characters in links)."""
-    root = Node("html", None, False, False)
-    open_nodes, here, blocks = [root], root, []
+def read(page: str) -> tuple[Node, list[tuple[Node, str, int]], list[Node]]:
+    """The tree of a page, its blocks of text (innermost block element, text, characters in links) and marked elements."""
+    root = Node("html", None, False, 0, False)
+    open_nodes, here, blocks, marked = [root], root, [], []
     text: list[str] = []
     linked, links = 0, 0
 
@@ -172,18 +189,59 @@ def read(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
         above = open_nodes[-1]
         if tag == "body":
             open_nodes[1:], above = [], root  # what an unclosed head holds does not hide the body
-        cut = above.dropped or unwanted(tag, found[3], above.within)
-        here = Node(tag, above, cut, above.within or tag in ("article", "main"))
+        cut, mark = (True, 0) if above.dropped else unwanted(tag, found[3], above.within)
+        here = Node(tag, above, cut, mark, above.within or tag in ("article", "main"))
         open_nodes.append(here)
+        if mark:
+            marked.append(here)
     end_block()
-    return root, blocks
+    return root, blocks, marked
+
+
+def worth(node: Node, text: str) -> float:
+    """Points of a block of text, 0 if it is no paragraph of any length."""
+    return 1 + text.count(",") + min(len(text) / 100, 3) if node.tag in PARAGRAPHS and len(text) >= 25 else 0.0
+
+
+def without_marked(blocks: list[tuple[Node, str, int]], marked: list[Node]) -> list[tuple[Node, str, int]]:
+    """``blocks`` without those in marked elements, but for elements that hold the article.
+
+    A ``main`` is never cut, an ``article`` only if it is named as such a part (a comment). A hinted element stays if it
+    holds an article that is not much smaller than the largest, or more than half of the paragraph points outside named
+    ones; a named one if no article is outside named ones, and it is or holds one with more points than are there.
+    """
+    frames: list[Node] = []
+    rest = 0.0
+    for node, text, _ in blocks:
+        points = worth(node, text) + 1e-6 * len(text)
+        for up in _up(node):
+            if up.tag in ("article", "main") and not up.mass:
+                frames.append(up)
+            up.mass += points
+        if not any(x.mark == NAMED and x.tag != "main" for x in _up(node)):
+            rest += points
+    clean = [x for x in frames if not any(y.mark == NAMED and y.tag != "main" for y in _up(x))]
+    own = clean or [x for x in frames if x.mass > rest]
+    articles = [x for x in own if x.tag == "article"] or own
+    least = max((x.mass for x in articles), default=0.0) / 2
+    holding = {y for x in articles if x.mass >= least for y in _up(x)}
+    cut = set()
+    for node in marked:
+        if node.tag == "main" or node in holding and (node.mark == HINTED or not clean):
+            continue
+        if node.mark == HINTED and (node.tag == "article" or 2 * node.mass > rest):
+            continue
+        cut.add(node)
+    return [block for block in blocks if not any(x in cut for x in _up(block[0]))]
 
 
 def main_text(page: str | None) -> str:
     """Blocks of the article in page order, one per line; empty if there are none."""
     if not page:
         return ""
-    root, blocks = read(page)
+    root, blocks, marked = read(page)
+    if marked:
+        blocks = without_marked(blocks, marked)
     if not blocks:
         return ""
     scored: list[Node] = []
@@ -193,8 +251,8 @@ def main_text(page: str | None) -> str:
             up.chars += len(text)
             up.links += links
             up = up.parent
-        if node.tag in PARAGRAPHS and len(text) >= 25:
-            points = 1 + text.count(",") + min(len(text) / 100, 3)
+        points = worth(node, text)
+        if points:
             # Containers of a paragraph: its parent, then one above at half, farther ones by distance.
             up = node.parent if node.tag in ("p", "pre", "td", "blockquote", "li", "dd") else node
             for distance in count():

@@ -65,6 +65,33 @@ def test_long_and_hostile_pages():
     assert main_text("x" + "<" * 100_000).startswith("x")
 
 
+@pytest.mark.parametrize(
+    "frame",
+    [
+        "<div id=page class='layout has-sidebar'><article>{}</article></div>",
+        "<div id=page class='layout has-sidebar'><div class='text'>{}</div></div>",
+        "<main class='no-comments'>{}</main>",
+        "<main class='sidebar'>{}</main>",
+        "<article class='post comments-open'>{}</article>",
+        "<article class='post promoted sponsored'>{}</article>",
+        "<div class='content social-enabled'>{}</div>",
+        "<main><div class='nav-fixed'><article id='withComments'>{}</article></div></main>",
+        "<div class='modal overlay'><article>{}</article></div>",
+    ],
+)
+def test_marks_at_what_holds_the_article(frame):
+    page = "<html><body>" + "".join(NOISE[:5]) + frame.format(ARTICLE) + "".join(NOISE[5:]) + "</body></html>"
+    assert main_text(page) == TEXT
+
+
+def test_marks_at_other_parts_still_cut():
+    reply = "<article class='comment'><p>No, no, no, this is a reader's view, and it is long, longer than the text.</p></article>"
+    others = f"<div id='comments' class='comments-area'>{reply * 5}</div><div class='related-posts'><article>{ARTICLE}</article></div>"
+    assert main_text(f"<body><article class='has-thumb comments-open'>{ARTICLE}</article>{others}</body>") == TEXT
+    assert main_text(f"<body><div class='text'>{ARTICLE}</div><div class='share-this'><p>Share it, with all, and everyone.</p></div></body>") == TEXT
+    assert main_text("<body><div class='ad'><p>Buy, buy, buy, this thing that nobody needs.</p></div></body>") == ""
+
+
 def test_frame(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>", "t"), (None, None, None, "t"), (2, "v", "", "t"), (2, "v", "", "t")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
