@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 from firmscout.llm.common import picked
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)(?:>|\Z)|<(?=[a-zA-Z/]).*\Z",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*)|[^=>])*+)(?:>|\Z)"
+    r"|</(?![a-zA-Z])[^>]*(?:>|\Z)",  # not a closing tag: a comment
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -270,12 +271,15 @@ def main_text(page: str | None) -> str:
     else:  # no paragraph of any length: the semantic container, else the whole page
         nodes = {node: None for block in blocks for node in _up(block[0])}
         best = next((x for tag in ("article", "main", "body", "html") for x in nodes if x.tag == tag), root)
-    kept = {best}
-    if best.parent is not None:
+    # A long section outdoes its own article, which is kept whole.
+    frames = list(_up(best))
+    frame = next((x for tag in ("article", "main") for x in reversed(frames) if x.tag == tag), best)
+    kept = {frame}
+    if frame.parent is not None:
         least = max(10.0, 0.2 * value(best))
-        kept |= {x for x in best.parent.children if x.points and value(x) >= least}
-        kept |= {x for x in best.parent.children if x.tag == "p" and x.chars > 80 and x.links < 0.25 * x.chars}
-        kept |= {x for x in best.parent.children if x.tag == "h1"}
+        kept |= {x for x in frame.parent.children if x.points and value(x) >= least}
+        kept |= {x for x in frame.parent.children if x.tag == "p" and x.chars > 80 and x.links < 0.25 * x.chars}
+        kept |= {x for x in frame.parent.children if x.tag == "h1"}
     return "\n".join(text for node, text, _ in blocks if any(x in kept for x in _up(node)))
 
 

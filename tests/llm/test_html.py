@@ -92,6 +92,32 @@ def test_marks_at_other_parts_still_cut():
     assert main_text("<body><div class='ad'><p>Buy, buy, buy, this thing that nobody needs.</p></div></body>") == ""
 
 
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<main>{}</main>", "<main><div><article>{}</article></div></main>"])
+def test_short_parts_beside_a_long_section_stay(frame):
+    long = "".join(f"<p>Paragraph {i}, of some length, with commas, and words, in it.</p>" for i in range(40))
+    short = "<h2>End</h2><p>So.</p><ul><li>one<li>two</ul><table><tr><td>a<td>b</table><blockquote>Q.</blockquote><section><p>Fin.</p></section>"
+    page = "<body>" + "".join(NOISE[:5]) + frame.format(f"<h1>T</h1><section>{long}</section>{short}") + "".join(NOISE[5:]) + "</body>"
+    lines = main_text(page).split("\n")
+    assert lines == ["T", *(f"Paragraph {i}, of some length, with commas, and words, in it." for i in range(40)), *"End So. one two a b Q. Fin.".split()]
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>We </3 ads</p><p>Next</p></article>", "We\nNext"),
+        ("<article><p>a</>b</p><p>c</p></article>", "ab\nc"),
+        ("<article><p don't>kept</p><p>Next</p></article>", "kept\nNext"),
+        ("<article><p don't>kept</p><p>It isn't lost</p></article>", "kept\nIt isn't lost"),
+        ("<article><p 5\">kept</p><p class=a\"b>Next</p></article>", "kept\nNext"),
+        ("<article><p title='it>kept</p><p>Next</p></article>", "kept\nNext"),
+        ("<article><p title = 'a > b' class=\"x>y\">kept</p></article>", "kept"),
+        ("<article><p title='hidden>kept</p><p>Next</p></article>", "kept\nNext"),
+    ],
+)
+def test_broken_tags(page, text):
+    assert main_text(page) == text
+
+
 def test_frame(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>", "t"), (None, None, None, "t"), (2, "v", "", "t"), (2, "v", "", "t")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
