@@ -6,6 +6,11 @@ asked again with other numbers and names. A document's windows count for an item
 text and what stands in the slots is consistent there: one value of the item always stands for one value of the
 document, and the other way round. A document is contaminated if at least ``PERCENT`` of an item's windows count.
 
+Beside the templates, plain windows of the same five words are joined, whatever the words are: so copies are found that
+differ in case and punctuation only, also where names cannot be told by their capitals, and items of numbers and names
+alone. They have no slots. An item counts by either kind, never by windows of both together. Items of fewer than
+``WINDOW`` words are one shorter window, which only texts as short have.
+
 Before the join, tasks drop windows that no item has, by a bit table of bounded size, and documents that have fewer
 such windows than ``PERCENT`` of the smallest item's; neither can lose a match.
 """
@@ -38,6 +43,8 @@ UNITS = (
     "ghz pa kpa k c f percent dollar dollars euro euros pound pounds cent cents usd eur gbp mph kmh"
 )
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (1, 2, 3))
+#: The kind of a window, the lowest bit of its hash.
+TEMPLATE, PLAIN = np.uint64(0), np.uint64(1)
 
 _ALNUM = np.zeros(256, dtype=bool)
 _ALNUM[48:58] = _ALNUM[65:91] = _ALNUM[97:123] = _ALNUM[128:] = True
@@ -90,7 +97,7 @@ def tokens(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _tokens(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     none = np.zeros(0, dtype=np.uint64)
-    b = np.frombuffer(data.decode("utf-8", "replace").lower().encode(), dtype=np.uint8)
+    b = np.frombuffer(data.decode("utf-8", "replace").casefold().encode(), dtype=np.uint8)
     starts, ends = _words(b)
     if not len(starts):
         return none, none
@@ -129,18 +136,24 @@ def _unit_hashes() -> np.ndarray:
 
 
 def windows(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, hash, slots) of all windows with enough literal words; slots are ``WINDOW`` values each."""
+    """(position, hash, slots) of all template windows with enough literal words, then of all plain windows.
+
+    Slots are ``WINDOW`` values each, all 0 for plain windows.
+    """
     found, values = tokens(data)
+    words = np.where(values != 0, values, found)
     size = min(WINDOW, len(found))
     n = len(found) - size + 1 if size else 0
-    hashed = np.full(n, size, dtype=np.uint64)
+    hashed, plain = np.full(n, size, dtype=np.uint64), np.full(n, size, dtype=np.uint64)
     slots = np.zeros((n, WINDOW), dtype=np.uint64)
     for k in range(size):
         hashed = hashed * BASE + found[k : k + n]
+        plain = plain * BASE + words[k : k + n]
         slots[:, k] = values[k : k + n]
     literal = size - (slots != 0).sum(axis=1)
     at = np.flatnonzero(literal >= min(LEAST_LITERAL, size))
-    return at, mix(hashed[at]), slots[at]
+    kinds = [mix(hashed[at]) & ~PLAIN | TEMPLATE, mix(plain) | PLAIN]
+    return np.concatenate([at, np.arange(n)]), np.concatenate(kinds), np.concatenate([slots[at], np.zeros_like(slots)])
 
 
 SCHEMA = "{0}, at array<int>, hash array<long>, slots array<long>"
@@ -240,8 +253,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = items.select(F.struct("item_id", F.xxhash64("text").alias("tag")).alias("item"), "text")
     flat = items.select(F.to_json("item", {"ignoreNullFields": "false"}).alias("item"), "text")
     listed = staged(_listed(flat, None, 0).where("size(at) > 0"))
-    own = staged(_long(listed, "item_at", "item_slots"))
-    sizes = own.groupBy("item").agg(F.countDistinct("hash").alias("n"), (F.max("item_at") + WINDOW).alias("length"))
+    own = staged(_long(listed, "item_at", "item_slots").withColumn("kind", F.col("hash").bitwiseAND(F.lit(1))))
+    sizes = own.groupBy("item", "kind").agg(F.countDistinct("hash").alias("n"), (F.max("item_at") + WINDOW).alias("length"))
     n, least = sizes.agg(F.sum("n"), F.min("n")).first()
     if not n:
         return docs.select("key", F.lit(None).cast("array<bigint>").alias("items")).where("false")
@@ -249,8 +262,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = _long(_listed(docs.select("key", "text"), bits, -(-PERCENT * least // 100)), "doc_at", "doc_slots")
     pairs = met.join(own, "hash")
     entry = F.struct("item_at", "doc_at", "item_slots", "doc_slots", "hash")
-    together = pairs.groupBy("key", "item").agg(F.collect_list(entry).alias("found"), F.countDistinct("hash").alias("m"))
-    together = together.join(sizes, "item").where(100 * F.col("m") >= PERCENT * F.col("n"))
+    together = pairs.groupBy("key", "item", "kind").agg(F.collect_list(entry).alias("found"), F.countDistinct("hash").alias("m"))
+    together = together.join(sizes, ["item", "kind"]).where(100 * F.col("m") >= PERCENT * F.col("n"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -51,6 +51,21 @@ def test_copies_and_reparameterised_questions(spark):
     assert not any(got[d][0] for d in [*range(20, 40), *(d for d, _ in EDGES)])
 
 
+NUMBERS = "12 + 30 = 42, 7 * 8 = 56; 100 - 1 = 99 km 81 / 9 = 9"
+NAMED = "Today we ask if Anna or Bert or Carl or Dora or Emil came with Fritz and Gerd to see Hans and Ida."
+STREET = "Die große Straße führt weiß und heiß an der Maßgasse vorbei"
+
+
+@pytest.mark.parametrize("change", [str, str.upper, str.lower, str.title])
+def test_copies_whatever_the_words_and_their_case(spark, change):
+    benchmark = [(1, QUESTION), (2, NUMBERS), (3, NAMED), (4, STREET), (5, "2024 2023")]
+    rows = [(i, around(change(text), i)) for i, text in benchmark[:4]]
+    rows += [(5, "2024 2023"), (6, around("12 + 30 = 42, 7 * 8 = 57; 100 - 2 = 98 km 80 / 8 = 10"))]
+    rows += [(7, around(" ".join(reversed(NUMBERS.split())))), (8, around("ten " * 40))]
+    got = found(spark, rows, benchmark)
+    assert {d: x for d, (hit, x) in got.items() if hit} == {1: [1], 2: [2], 3: [3], 4: [4], 5: [5]}
+
+
 def test_stage_drops_them(spark):
     docs = documents(spark, [(1, around(QUESTION)), (2, prose(2)), (2, prose(2)), (None, around(PLAIN)), *EDGES], extra=True)
     out = decontam.keep_clean(docs, items(spark, BENCHMARK))
