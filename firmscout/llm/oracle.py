@@ -16,6 +16,7 @@ from firmscout.llm.quality import (
 )
 
 WORDS = r"[^\x20\x09-\x0D]+"
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 ORACLE: dict[str, str] = {}
 
 
@@ -273,3 +274,29 @@ FROM sets LEFT JOIN components ON doc_id = id"""
 
 ORACLE["op1_substring_dedup"] = substrings_sql("documents")
 ORACLE["op8_near_duplicates"] = near_duplicates_sql("documents")
+
+
+def search_sql(docs: str, items: str) -> str:
+    """Scores of every document that shares a term with an item, then the ten best."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    terms = f"unnest(regexp_extract_all({lower}, '{TERMS}'))"
+    return f"""
+WITH words AS MATERIALIZED (SELECT doc_id, {terms} AS term FROM {docs}),
+tf AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+totals AS (SELECT count(*) AS n_all, sum(n)::BIGINT AS l_all FROM lengths),
+wanted AS (SELECT DISTINCT item_id, {terms} AS term FROM {items}),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_all + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, totals WHERE term IN (SELECT term FROM wanted) GROUP BY term, n_all
+), scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_all) // l_all))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (doc_id), totals
+  GROUP BY item_id, doc_id
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0
+)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <= 10"""
+
+
+ORACLE["op11_lexical_search"] = search_sql("documents", "benchmark")
