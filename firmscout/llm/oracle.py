@@ -300,3 +300,37 @@ SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <=
 
 
 ORACLE["op11_lexical_search"] = search_sql("documents", "benchmark")
+
+
+def collocations_sql(docs: str) -> str:
+    """All sequences of one to five words are counted; candidates are compared with everything longer."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM {docs})
+), grams AS MATERIALIZED (
+  SELECT lang, phrase, size, count(*) AS f FROM (
+    SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+    FROM pieces, (VALUES (1), (2), (3), (4), (5)) sizes(size) WHERE len(w) >= size
+  ) GROUP BY lang, phrase, size
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE size = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE size > 1 AND f >= 100),
+inner_ones AS (
+  SELECT lang, a AS longer, unnest(flatten(list_transform(range(2, size),
+    lambda s: list_transform(range(1, size - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))))) AS phrase
+  FROM candidates
+), kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM inner_ones i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.longer >= 100 * c.a)
+), cuts AS (
+  SELECT k.lang, k.phrase, k.a, n, k.cut, l.f AS l, r.f AS r, (1000::HUGEINT * k.a * n) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS cut FROM kept) k JOIN totals t ON t.lang = k.lang
+  JOIN grams l ON l.lang = k.lang AND l.phrase = array_to_string(w[1:k.cut], ' ')
+  JOIN grams r ON r.lang = k.lang AND r.phrase = array_to_string(w[k.cut + 1:k.size], ' ')
+), best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM cuts),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM placed WHERE rank <= 2000"""
+
+
+ORACLE["op12_collocations"] = collocations_sql("documents")
