@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmscout.llm import chat, collocations, decontam, html, langid, lm, mixing, neardup, quality, search, substrings, urls
+from firmscout.llm import chat, collocations, decontam, html, langid, lm, mixing, neardup, quality, search, substrings, urls, vectors
 from firmscout.llm.common import table
 
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
@@ -94,3 +94,8 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(table(spark, sf_dir, "embeddings"))
