@@ -15,11 +15,13 @@ Word numbers stay below 2**32, which only counts frequent words.
 
 from __future__ import annotations
 
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,9 @@ _BYTES = bytes(
 )
 
 SHARD = "shard long, lang string, words array<binary>, counts array<bigint>, ids binary"
+VOCABULARY = (
+    "bucket int, salt int, shard long, lang string, words array<binary>, places array<bigint>, times array<bigint>"
+)
 AUTOMATON = "bucket int, salt int, shard long, automaton binary"
 PART = "bucket int, phrase array<bigint>, a long, cut int, tail boolean, part array<bigint>"
 
@@ -109,29 +114,117 @@ def shards(docs: DataFrame) -> DataFrame:
     return staged(rows.mapInArrow(_shards, SHARD))
 
 
-def _words(cut: DataFrame) -> DataFrame:
-    """Every shard's words: ``shard``, ``lang``, ``place``, ``word``, ``times``."""
-    pairs = F.posexplode(F.arrays_zip("words", "counts")).alias("place", "pair")
-    return cut.select("shard", "lang", pairs).select(
-        "shard", "lang", "place", F.col("pair.words").alias("word"), F.col("pair.counts").alias("times")
+def _flat(rows: pa.Table) -> pa.Table:
+    """Lists of words with their language, word by word."""
+    sizes = rows.column("words").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+    langs = rows.column("lang").take(pa.array(np.repeat(np.arange(rows.num_rows), sizes)))
+    return pa.table([langs, *(rows.column(c).combine_chunks().flatten() for c in ("words", "times"))], ["lang", "word", "times"])
+
+
+def _listed(values: pa.Array, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), values)
+
+
+def _salt(shard: int, salts: int) -> int:
+    return int(mix(np.array([shard], dtype=np.uint64))[0] % np.uint64(salts))
+
+
+def _vocabularies(buckets: int, salts: int):
+    """Every shard's words, in a row per owner."""
+
+    def vocabularies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                words, times = (row.column(c).flatten() for c in ("words", "counts"))
+                own = np.array([zlib.crc32(w) % buckets for w in words.to_pylist()], dtype=np.int32)
+                order = np.argsort(own, kind="stable")
+                present, sizes = np.unique(own, return_counts=True)
+                shard, lang = row.column("shard")[0].as_py(), row.column("lang")[0].as_py()
+                columns = {
+                    "bucket": pa.array(present, pa.int32()),
+                    "salt": pa.array([_salt(shard, salts)] * len(present), pa.int32()),
+                    "shard": pa.array([shard] * len(present), pa.int64()),
+                    "lang": pa.array([lang] * len(present), pa.string()),
+                    "words": _listed(words.take(pa.array(order)), sizes),
+                    "places": _listed(pa.array(order, pa.int64()), sizes),
+                    "times": _listed(times.take(pa.array(order)), sizes),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return vocabularies
+
+
+def _add_words(key: tuple, rows: pa.Table) -> pa.Table:
+    """Counts of an owner's words over a group of shards, a row per language."""
+    total = _flat(rows).group_by(["lang", "word"]).aggregate([("times", "sum")]).sort_by("lang")
+    langs = total.column("lang").to_pylist()
+    names, sizes = list(dict.fromkeys(langs)), np.array(list(Counter(langs).values()), dtype=np.int64)
+    return pa.table(
+        {
+            "bucket": pa.array([key[0].as_py()] * len(names), pa.int32()),
+            "lang": pa.array(names, pa.string()),
+            "words": _listed(total.column("word").combine_chunks(), sizes),
+            "times": _listed(total.column("times_sum").combine_chunks(), sizes),
+        }
     )
 
 
-def frequent_words(words: DataFrame, least: int) -> DataFrame:
-    """Per language the words that occur ``least`` times: ``id`` from 1, ``lang``, ``word``, ``f``, and ``n``, all words'."""
-    counted = staged(words.groupBy("lang", "word").agg(F.sum("times").alias("f")))
-    sizes = counted.groupBy("lang").agg(F.sum("f").alias("n"))
-    numbered = ranked(counted.where(F.col("f") >= least), "lang", "word", rank="_place")
+def _frequent_words(least: int):
+    """An owner's words that occur ``least`` times, and without word what all words of a language count."""
+
+    def frequent(key: tuple, rows: pa.Table) -> pa.Table:
+        total = _flat(rows).group_by(["lang", "word"]).aggregate([("times", "sum")]).rename_columns(["lang", "word", "f"])
+        sums = total.group_by("lang").aggregate([("f", "sum")])
+        known = total.filter(pa.compute.greater_equal(total.column("f"), least))
+        langs, words = known.column("lang").to_pylist(), known.column("word").to_pylist()
+        counts = known.column("f").to_pylist() + sums.column("f_sum").to_pylist()
+        langs += sums.column("lang").to_pylist()
+        return pa.table(
+            {
+                "bucket": pa.array([key[0].as_py()] * len(langs), pa.int32()),
+                "lang": pa.array(langs, pa.string()),
+                "word": pa.array(words + [None] * sums.num_rows, pa.binary()),
+                "f": pa.array(counts, pa.int64()),
+            }
+        )
+
+    return frequent
+
+
+def frequent_words(asks: DataFrame, least: int) -> DataFrame:
+    """Per language the words that occur ``least`` times: ``id`` from 1, ``bucket``, ``lang``, ``word``, ``f``, and ``n``, all words'."""
+    groups = asks.groupBy("bucket", "salt").applyInArrow(
+        _add_words, "bucket int, lang string, words array<binary>, times array<bigint>"
+    )
+    counted = staged(groups.groupBy("bucket").applyInArrow(_frequent_words(least), "bucket int, lang string, word binary, f long"))
+    sizes = counted.where(F.col("word").isNull()).groupBy("lang").agg(F.sum("f").alias("n"))
+    numbered = ranked(counted.where(F.col("word").isNotNull()), "lang", "word", rank="_place")
     return staged(numbered.join(sizes, "lang").withColumn("id", F.col("_place") + 1).drop("_place"))
 
 
+def _number(asks: pa.Table, known: pa.Table) -> pa.Table:
+    """To every shard that asks: the numbers of its frequent words."""
+    ids: dict[str, dict[bytes, int]] = defaultdict(dict)
+    for lang, word, number in zip(*(known.column(c).to_pylist() for c in ("lang", "word", "id"))):
+        ids[lang][word] = number
+    out: list[tuple] = []
+    for shard, lang, words, places in zip(*(asks.column(c).to_pylist() for c in ("shard", "lang", "words", "places"))):
+        numbers = np.array([ids[lang].get(w, 0) for w in words], dtype=np.uint32)
+        if numbers.any():
+            out.append((shard, np.array(places, dtype=np.int64)[numbers > 0].tobytes(), numbers[numbers > 0].tobytes()))
+    columns = zip(("shard", "places", "ids"), (pa.int64(), pa.binary(), pa.binary()), list(zip(*out)) or [[]] * 3)
+    return pa.table({name: pa.array(values, kind) for name, kind, values in columns})
+
+
 def _renumber(shard: pa.Table, known: pa.Table) -> pa.Table:
     """A shard's words by their numbers in the whole; rare ones end a piece, and so do runs of ends, once."""
     if not shard.num_rows:
         return pa.table({"shard": pa.array([], pa.int64()), "ids": pa.array([], pa.binary())})
     ids = np.frombuffer(shard.column("ids")[0].as_py(), dtype=np.uint32)
     number = np.zeros(int(ids.max(initial=0)) + 1, dtype=np.uint32)
-    number[known.column("place").to_numpy() + 1] = known.column("id").to_numpy()
+    for places, numbers in zip(known.column("places").to_pylist(), known.column("numbers").to_pylist()):
+        number[np.frombuffer(places, dtype=np.int64) + 1] = np.frombuffer(numbers, dtype=np.uint32)
     ids = number[ids]
     ids = ids[(ids > 0) | np.r_[True, ids[:-1] > 0]]
     return pa.table({"shard": shard.column("shard"), "ids": pa.array([ids.tobytes()], pa.binary())})
@@ -152,8 +245,7 @@ def _cut(rows: np.ndarray, counts: np.ndarray, shard: int, buckets: int, salts:
     for start, end in zip(edges[:-1], edges[1:]):
         at = order[start:end]  # still sorted
         out.append((int(own[at[0]]), Transducer.build(rows[at], counts[at]).dump()))
-    salt = int(mix(np.array([shard], dtype=np.uint64))[0] % np.uint64(salts))
-    columns = [[b for b, _ in out], [salt] * len(out), [shard] * len(out), [a for _, a in out]]
+    columns = [[b for b, _ in out], [_salt(shard, salts)] * len(out), [shard] * len(out), [a for _, a in out]]
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "salt", "shard", "automaton"]
@@ -355,19 +447,20 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, absorb:
     percent as frequent; as every phrase between the two is as frequent then, one word more is all that has to be seen.
     """
     cut = shards(docs)
-    words = _words(cut)
-    known = frequent_words(words, least)
     total, n_shards = cut.agg(F.sum(F.octet_length("ids")), F.count("*")).first()
     buckets, salts = parts_for((total or 0) // 4, OWNER_WORDS), parts_for(n_shards, MEET)
-
-    places = words.join(known.select("lang", "word", "id"), ["lang", "word"]).select(
-        F.col("shard").alias("at"), "place", "id"
-    )
-    numbered = cut.select("shard", "ids").groupBy("shard").cogroup(places.groupBy("at"))
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+
+    asks = cut.select("shard", "lang", "words", "counts").mapInArrow(_vocabularies(buckets, salts), VOCABULARY)
+    known = frequent_words(asks, least)
+    told = known.select(F.col("bucket").alias("b"), every_salt.alias("s"), "lang", "word", "id")
+    numbers = asks.groupBy("bucket", "salt").cogroup(told.groupBy("b", "s"))
+    numbers = numbers.applyInArrow(_number, "shard long, places binary, ids binary").toDF("at", "places", "numbers")
+    numbered = cut.select("shard", "ids").groupBy("shard").cogroup(numbers.groupBy("at"))
     numbered = staged(numbered.applyInArrow(_renumber, "shard long, ids binary"))
     asks = numbered.mapInArrow(_pairs(buckets, salts), AUTOMATON)
     pairs = staged(_united(asks, salts, least, 2))
-    every = pairs.select(F.col("bucket").alias("b"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("s"), "automaton")
+    every = pairs.select(F.col("bucket").alias("b"), every_salt.alias("s"), "automaton")
     replies = asks.groupBy("bucket", "salt").cogroup(every.groupBy("b", "s")).applyInArrow(_reply, "shard long, keys binary")
     met = numbered.groupBy("shard").cogroup(replies.select(F.col("shard").alias("at"), "keys").groupBy("at"))
     if longest > 2:
