@@ -41,7 +41,7 @@ _BYTES = bytes(
     b + 32 if 65 <= b <= 90 else 32 if b == 9 else _CUT if b in b".,;:!?" or 10 <= b <= 13 else b for b in range(256)
 )
 
-SHARD = "shard long, lang string, words array<binary>, counts array<bigint>, ids binary"
+SHARD = "shard long, lang string, words array<binary>, counts array<bigint>, ids binary, size long"
 VOCABULARY = (
     "bucket int, salt int, shard long, lang string, words array<binary>, places array<bigint>, times array<bigint>"
 )
@@ -60,6 +60,18 @@ def tokens(data: bytes) -> Iterator[list[bytes]]:
         at = end
 
 
+def _packed(ids: np.ndarray) -> bytes:
+    """Word numbers byte by byte of their places, compressed: most are small, so most high bytes are alike."""
+    planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(ids).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=4 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
+
+
 class _Numbers(dict):
     """Numbers words as they come."""
 
@@ -82,9 +94,9 @@ class _Shard:
         ids = np.concatenate([*self.runs, np.zeros(1, np.uint32)])
         counts = np.bincount(ids, minlength=len(self.numbers))[1:]
         words = list(self.numbers)[1:]
-        values = [[number], [lang], [words], [counts.tolist()], [ids.tobytes()]]
-        kinds = [pa.int64(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary()]
-        names = ["shard", "lang", "words", "counts", "ids"]
+        values = [[number], [lang], [words], [counts.tolist()], [_packed(ids)], [len(ids)]]
+        kinds = [pa.int64(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary(), pa.int64()]
+        names = ["shard", "lang", "words", "counts", "ids", "size"]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
 
 
@@ -221,13 +233,13 @@ def _renumber(shard: pa.Table, known: pa.Table) -> pa.Table:
     """A shard's words by their numbers in the whole; rare ones end a piece, and so do runs of ends, once."""
     if not shard.num_rows:
         return pa.table({"shard": pa.array([], pa.int64()), "ids": pa.array([], pa.binary())})
-    ids = np.frombuffer(shard.column("ids")[0].as_py(), dtype=np.uint32)
+    ids = _unpacked(shard.column("ids")[0].as_py())
     number = np.zeros(int(ids.max(initial=0)) + 1, dtype=np.uint32)
     for places, numbers in zip(known.column("places").to_pylist(), known.column("numbers").to_pylist()):
         number[np.frombuffer(places, dtype=np.int64) + 1] = np.frombuffer(numbers, dtype=np.uint32)
     ids = number[ids]
     ids = ids[(ids > 0) | np.r_[True, ids[:-1] > 0]]
-    return pa.table({"shard": shard.column("shard"), "ids": pa.array([ids.tobytes()], pa.binary())})
+    return pa.table({"shard": shard.column("shard"), "ids": pa.array([_packed(ids)], pa.binary())})
 
 
 def _bucket(rows: np.ndarray, buckets: int) -> np.ndarray:
@@ -264,7 +276,7 @@ def _pairs(buckets: int, salts: int):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, packed in zip(batch.column("shard").to_pylist(), batch.column("ids")):
-                ids = np.frombuffer(packed.as_py(), dtype=np.uint32).astype(np.int64)
+                ids = _unpacked(packed.as_py()).astype(np.int64)
                 keys = (ids[:-1] << 32) | ids[1:]
                 keys, counts = np.unique(keys[(ids[:-1] > 0) & (ids[1:] > 0)], return_counts=True)
                 yield _cut(np.column_stack([keys >> 32, keys & 0xFFFFFFFF]), counts, shard, buckets, salts)
@@ -278,7 +290,7 @@ def _runs(buckets: int, salts: int, longest: int):
     def runs(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.Table.from_batches([_cut(np.zeros((0, 2), np.int64), np.zeros(0, np.int64), 0, 1, 1)])
-        ids = np.frombuffer(left.column("ids")[0].as_py(), dtype=np.uint32).astype(np.int64)
+        ids = _unpacked(left.column("ids")[0].as_py()).astype(np.int64)
         known = np.sort(np.concatenate([np.frombuffer(k, dtype=np.int64) for k in right.column("keys").to_pylist()]))
         keys = (ids[:-1] << 32) | ids[1:]
         linked = np.zeros(len(ids) + longest, dtype=bool)
@@ -447,8 +459,8 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, absorb:
     percent as frequent; as every phrase between the two is as frequent then, one word more is all that has to be seen.
     """
     cut = shards(docs)
-    total, n_shards = cut.agg(F.sum(F.octet_length("ids")), F.count("*")).first()
-    buckets, salts = parts_for((total or 0) // 4, OWNER_WORDS), parts_for(n_shards, MEET)
+    total, n_shards = cut.agg(F.sum("size"), F.count("*")).first()
+    buckets, salts = parts_for(total or 0, OWNER_WORDS), parts_for(n_shards, MEET)
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
 
     asks = cut.select("shard", "lang", "words", "counts").mapInArrow(_vocabularies(buckets, salts), VOCABULARY)
