@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmscout.llm.automata import Transducer, prefixes, row_order, union
-from firmscout.llm.common import parts_for, picked, ranked, staged
+from firmscout.llm.common import parts_for, picked, staged
 from firmscout.llm.hashing import mix
 
 LEAST, LONGEST, TOP, ABSORB = 100, 5, 2000, 100
@@ -182,8 +182,9 @@ def _add_words(key: tuple, rows: pa.Table) -> pa.Table:
     )
 
 
-def _frequent_words(least: int):
-    """An owner's words that occur ``least`` times, and without word what all words of a language count."""
+def _frequent_words(least: int, buckets: int):
+    """An owner's words that occur ``least`` times, with numbers no other owner gives, and without word what all words of
+    a language count."""
 
     def frequent(key: tuple, rows: pa.Table) -> pa.Table:
         total = _flat(rows).group_by(["lang", "word"]).aggregate([("times", "sum")]).rename_columns(["lang", "word", "f"])
@@ -191,6 +192,7 @@ def _frequent_words(least: int):
         known = total.filter(pa.compute.greater_equal(total.column("f"), least))
         langs, words = known.column("lang").to_pylist(), known.column("word").to_pylist()
         counts = known.column("f").to_pylist() + sums.column("f_sum").to_pylist()
+        ids = [i * buckets + key[0].as_py() + 1 for i in range(len(words))] + [None] * sums.num_rows
         langs += sums.column("lang").to_pylist()
         return pa.table(
             {
@@ -198,35 +200,54 @@ def _frequent_words(least: int):
                 "lang": pa.array(langs, pa.string()),
                 "word": pa.array(words + [None] * sums.num_rows, pa.binary()),
                 "f": pa.array(counts, pa.int64()),
+                "id": pa.array(ids, pa.int64()),
             }
         )
 
     return frequent
 
 
-def frequent_words(asks: DataFrame, least: int) -> DataFrame:
-    """Per language the words that occur ``least`` times: ``id`` from 1, ``bucket``, ``lang``, ``word``, ``f``, and ``n``, all words'."""
-    groups = asks.groupBy("bucket", "salt").applyInArrow(
-        _add_words, "bucket int, lang string, words array<binary>, times array<bigint>"
-    )
-    counted = staged(groups.groupBy("bucket").applyInArrow(_frequent_words(least), "bucket int, lang string, word binary, f long"))
-    sizes = counted.where(F.col("word").isNull()).groupBy("lang").agg(F.sum("f").alias("n"))
-    numbered = ranked(counted.where(F.col("word").isNotNull()), "lang", "word", rank="_place")
-    return staged(numbered.join(sizes, "lang").withColumn("id", F.col("_place") + 1).drop("_place"))
-
-
-def _number(asks: pa.Table, known: pa.Table) -> pa.Table:
-    """To every shard that asks: the numbers of its frequent words."""
+def _number(key: tuple, asks: pa.Table, known: pa.Table) -> pa.Table:
+    """To every shard that asks: the numbers of its frequent words. The first group of an owner also hands on its words."""
     ids: dict[str, dict[bytes, int]] = defaultdict(dict)
     for lang, word, number in zip(*(known.column(c).to_pylist() for c in ("lang", "word", "id"))):
-        ids[lang][word] = number
+        if word is not None:
+            ids[lang][word] = number
     out: list[tuple] = []
     for shard, lang, words, places in zip(*(asks.column(c).to_pylist() for c in ("shard", "lang", "words", "places"))):
         numbers = np.array([ids[lang].get(w, 0) for w in words], dtype=np.uint32)
         if numbers.any():
-            out.append((shard, np.array(places, dtype=np.int64)[numbers > 0].tobytes(), numbers[numbers > 0].tobytes()))
-    columns = zip(("shard", "places", "ids"), (pa.int64(), pa.binary(), pa.binary()), list(zip(*out)) or [[]] * 3)
-    return pa.table({name: pa.array(values, kind) for name, kind, values in columns})
+            out.append((shard, np.array(places, dtype=np.int64)[numbers > 0].tobytes(), numbers[numbers > 0].tobytes(), *[None] * 4))
+    if key[1].as_py() == 0:
+        out += [(None, None, None, *row) for row in zip(*(known.column(c).to_pylist() for c in ("lang", "word", "f", "id")))]
+    columns = list(zip(*out)) or [[]] * 7
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
+    names = ["shard", "places", "numbers", "lang", "word", "f", "id"]
+    return pa.table({name: pa.array(c, kind) for name, c, kind in zip(names, columns, kinds)})
+
+
+def numbered_words(asks: DataFrame, least: int, buckets: int, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Per language the words that occur ``least`` times, and the numbers of each shard's.
+
+    The first frame has ``id`` from 1, ``lang``, ``word``, ``f``, and ``n``, what all words of the language count; both
+    come from one staged frame, for which the asking rows are shuffled once.
+    """
+    groups = asks.groupBy("bucket", "salt").applyInArrow(
+        _add_words, "bucket int, lang string, words array<binary>, times array<bigint>"
+    )
+    counted = groups.groupBy("bucket").applyInArrow(
+        _frequent_words(least, buckets), "bucket int, lang string, word binary, f long, id long"
+    )
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    told = counted.select(F.col("bucket").alias("b"), every_salt.alias("s"), "lang", "word", "f", "id")
+    both = asks.groupBy("bucket", "salt").cogroup(told.groupBy("b", "s"))
+    both = staged(
+        both.applyInArrow(_number, "shard long, places binary, numbers binary, lang string, word binary, f long, id long")
+    )
+    own = both.where(F.col("shard").isNull())
+    sizes = own.where(F.col("word").isNull()).groupBy("lang").agg(F.sum("f").alias("n"))
+    known = own.where(F.col("word").isNotNull()).select("id", "lang", "word", "f").join(sizes, "lang")
+    return known, both.where(F.col("shard").isNotNull()).select("shard", "places", "numbers")
 
 
 def _renumber(shard: pa.Table, known: pa.Table) -> pa.Table:
@@ -357,9 +378,9 @@ def _united(cut: DataFrame, salts: int, least: int, shortest: int) -> DataFrame:
     return groups.groupBy("bucket").applyInArrow(_frequent(least, shortest), "bucket int, automaton binary")
 
 
-def _reply(asks: pa.Table, united: pa.Table) -> pa.Table:
-    """To every shard that asks: which of its pairs are frequent."""
-    shards, keys = [], []
+def _reply(key: tuple, asks: pa.Table, united: pa.Table) -> pa.Table:
+    """To every shard that asks: which of its pairs are frequent. The first group of an owner also hands on its transducer."""
+    out: list[tuple] = []
     if united.num_rows:
         rows, _ = union(united.column("automaton").to_pylist())
         known = (rows[:, 0] << 32) | rows[:, 1]
@@ -368,9 +389,12 @@ def _reply(asks: pa.Table, united: pa.Table) -> pa.Table:
             asked = (rows[:, 0] << 32) | rows[:, 1]
             asked = asked[known[np.minimum(np.searchsorted(known, asked), len(known) - 1)] == asked]
             if len(asked):
-                shards.append(shard)
-                keys.append(asked.tobytes())
-    return pa.table({"shard": pa.array(shards, pa.int64()), "keys": pa.array(keys, pa.binary())})
+                out.append((shard, asked.tobytes(), None, None))
+        if key[1].as_py() == 0:
+            out += [(None, None, key[0].as_py(), automaton) for automaton in united.column("automaton").to_pylist()]
+    columns = list(zip(*out)) or [[]] * 4
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+    return pa.table({name: pa.array(c, kind) for name, c, kind in zip(("shard", "keys", "bucket", "automaton"), columns, kinds)})
 
 
 def _lists(rows: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
@@ -464,17 +488,17 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, absorb:
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
 
     asks = cut.select("shard", "lang", "words", "counts").mapInArrow(_vocabularies(buckets, salts), VOCABULARY)
-    known = frequent_words(asks, least)
-    told = known.select(F.col("bucket").alias("b"), every_salt.alias("s"), "lang", "word", "id")
-    numbers = asks.groupBy("bucket", "salt").cogroup(told.groupBy("b", "s"))
-    numbers = numbers.applyInArrow(_number, "shard long, places binary, ids binary").toDF("at", "places", "numbers")
-    numbered = cut.select("shard", "ids").groupBy("shard").cogroup(numbers.groupBy("at"))
+    known, numbers = numbered_words(asks, least, buckets, salts)
+    numbered = cut.select("shard", "ids").groupBy("shard").cogroup(numbers.toDF("at", "places", "numbers").groupBy("at"))
     numbered = staged(numbered.applyInArrow(_renumber, "shard long, ids binary"))
+
     asks = numbered.mapInArrow(_pairs(buckets, salts), AUTOMATON)
-    pairs = staged(_united(asks, salts, least, 2))
-    every = pairs.select(F.col("bucket").alias("b"), every_salt.alias("s"), "automaton")
-    replies = asks.groupBy("bucket", "salt").cogroup(every.groupBy("b", "s")).applyInArrow(_reply, "shard long, keys binary")
-    met = numbered.groupBy("shard").cogroup(replies.select(F.col("shard").alias("at"), "keys").groupBy("at"))
+    every = _united(asks, salts, least, 2).select(F.col("bucket").alias("b"), every_salt.alias("s"), "automaton")
+    both = asks.groupBy("bucket", "salt").cogroup(every.groupBy("b", "s"))
+    both = staged(both.applyInArrow(_reply, "shard long, keys binary, bucket int, automaton binary"))
+    pairs = both.where(F.col("shard").isNull()).select("bucket", "automaton")
+    replies = both.where(F.col("shard").isNotNull()).select(F.col("shard").alias("at"), "keys")
+    met = numbered.groupBy("shard").cogroup(replies.groupBy("at"))
     if longest > 2:
         longer = staged(_united(met.applyInArrow(_runs(buckets, salts, longest), AUTOMATON), salts, least, 3))
         united = pairs.withColumn("shortest", F.lit(2)).unionByName(longer.withColumn("shortest", F.lit(3)))
