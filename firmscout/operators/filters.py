@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmscout.functions.dates import first_young_day, parse_date
@@ -63,9 +63,28 @@ def usable(df: DataFrame) -> DataFrame:
     return df.where(given("name") & located & (given("phone") | given("email") | given("website")))
 
 
-def first_rows(df: DataFrame, count: int) -> DataFrame:
-    """The first ``count`` rows in file order, all when it is 0."""
-    return df.orderBy(ORDER).limit(count) if count else df
+#: Up to so many rows a limit is one ordered limit, whose rows meet in a task.
+ORDERED_LIMIT = 10_000
+
+
+def first_rows(df: DataFrame, count: int, ordered: int = ORDERED_LIMIT) -> DataFrame:
+    """The first ``count`` rows in file order, all when it is 0.
+
+    Beyond ``ordered`` rows no task gets them all: rows are counted per ``_ord.chunk``, a running sum over the chunks, of
+    which there is one per million rows of a file, finds the chunk the limit falls in, and rows are numbered within their
+    chunk. ``df`` is computed twice then.
+    """
+    if not count:
+        return df
+    if count <= ordered:
+        return df.orderBy(ORDER).limit(count)
+    chunk = F.col(f"{ORDER}.chunk")
+    sizes = df.groupBy(chunk.alias("_chunk")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_chunk")) - F.col("_n")
+    needed = sizes.withColumn("_before", before).where(F.col("_before") < count).select("_chunk", "_before")
+    place = F.row_number().over(Window.partitionBy("_chunk").orderBy(ORDER)) + F.col("_before")
+    kept = df.withColumn("_chunk", chunk).join(needed, "_chunk")
+    return kept.withColumn("_place", place).where(F.col("_place") <= count).select(*df.columns)
 
 
 def by_score(df: DataFrame) -> DataFrame:

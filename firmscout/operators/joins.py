@@ -57,8 +57,8 @@ def _spread(left: DataFrame, key: str) -> DataFrame:
     return _routed(left, F.when(is_blank(F.col(key)), alone).otherwise(F.col(key)))
 
 
-def attach(left: DataFrame, lookups: Sequence[DataFrame], key: str) -> DataFrame:
-    """Left outer join of ``left`` with lookups that have one row per ``key``.
+def attach(left: DataFrame, lookups: Sequence[DataFrame], key: str, how: str = "left") -> DataFrame:
+    """Left outer join (or inner) of ``left`` with lookups that have one row per ``key``.
 
     The lookups are joined with each other first, where no key is frequent; the
     left side is shuffled once. Keys must not begin with a tilde.
@@ -67,7 +67,7 @@ def attach(left: DataFrame, lookups: Sequence[DataFrame], key: str) -> DataFrame
     for lookup in lookups[1:]:
         merged = merged.join(lookup, key, "full")
     merged = _routed(merged, F.col(key)).drop(key)
-    return _spread(left, key).join(merged, [_ROUTE, _PART], "left").drop(_ROUTE, _PART)
+    return _spread(left, key).join(merged, [_ROUTE, _PART], how).drop(_ROUTE, _PART)
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:

@@ -54,16 +54,19 @@ def latest_address(address: DataFrame) -> DataFrame:
     return found.select("establishment_number", *[F.col(f"_last.{c}").alias(c) for c in ADDRESS_COLUMNS])
 
 
-def filled_establishments(establishment: DataFrame, address: DataFrame | None) -> DataFrame:
-    """Establishments whose empty address, postcode and city come from the address table."""
-    if address is None:
-        return establishment
-    extra = latest_address(address).withColumnsRenamed({c: f"_{c}" for c in ADDRESS_COLUMNS})
-    joined = attach(establishment, [extra], "establishment_number")
+def fill(establishment: DataFrame, latest: DataFrame, how: str = "left") -> DataFrame:
+    """Establishments whose empty address, postcode and city come from ``latest``; with ``how`` inner only those in it."""
+    extra = latest.withColumnsRenamed({c: f"_{c}" for c in ADDRESS_COLUMNS})
+    joined = attach(establishment, [extra], "establishment_number", how)
     filled = {c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in ADDRESS_COLUMNS}
     return joined.withColumns(filled).select(*establishment.columns)
 
 
+def filled_establishments(establishment: DataFrame, address: DataFrame | None) -> DataFrame:
+    """Establishments whose empty address, postcode and city come from the address table."""
+    return establishment if address is None else fill(establishment, latest_address(address))
+
+
 def primary_establishment(establishment: DataFrame) -> DataFrame:
     """Per enterprise: one with a postcode before one without, then with an address, then the first seen."""
     preference = F.struct(F.col("postal_code").isNull(), F.col("address").isNull(), F.col(ORDER))

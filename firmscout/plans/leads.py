@@ -9,7 +9,7 @@ built last, for the leads that are left. Building a frame starts no job.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +19,9 @@ from firmscout.functions.dates import age_months, parse_date
 from firmscout.functions.sectors import sector_of
 from firmscout.functions.text import blank, is_active, postal_code, status_label, yes_no
 from firmscout.operators import filters, lookups
-from firmscout.operators.joins import ORDER, attach
-from firmscout.operators.quality import apply_policy, place_reason, rejected_leads
+from firmscout.operators.joins import ORDER, attach, stage
+from firmscout.operators.keyfilter import may_match
+from firmscout.operators.quality import REASON, apply_policy, place_reason, reject_reason
 from firmscout.plans.params import LeadParams
 
 # The columns of a lead, in output order.
@@ -44,11 +45,17 @@ LEAD_COLUMNS = [
 ]
 
 KEY = "enterprise_number"
+#: Ends the tag of a key in a registry of several snapshots.
+TAG_END = "|"
 
 
 @dataclass(frozen=True)
 class Registry:
-    """The mapped relations of one snapshot; optional ones may be absent."""
+    """The mapped relations of one snapshot; optional ones may be absent.
+
+    ``snapshot`` is the tag of all rows; none means that every key begins with its own tag (see ``plans.snapshots``).
+    ``owner`` has the enterprise of every establishment whose contacts count, where these are not all establishments.
+    """
 
     enterprise: DataFrame
     establishment: DataFrame
@@ -56,14 +63,17 @@ class Registry:
     activity: DataFrame | None = None
     contact: DataFrame | None = None
     denomination: DataFrame | None = None
-    snapshot: str = ""
+    snapshot: str | None = ""
+    owner: DataFrame | None = None
 
 
 def located_enterprises(
-    registry: Registry, enterprise: DataFrame | None = None, more: Sequence[DataFrame] = ()
+    registry: Registry, enterprise: DataFrame | None = None, more: Sequence[DataFrame] = (), how: str = "left"
 ) -> DataFrame:
     """Enterprises with the place of their primary establishment, or else their own.
 
+    With ``how`` inner only enterprises that have an establishment.
+
     ``own_postal_code``, ``est_postal_code`` and ``establishment_number`` stay for
     the diagnostics. ``more`` are further lookups by enterprise, joined with the
     same shuffle.
@@ -71,7 +81,7 @@ def located_enterprises(
     enterprise = registry.enterprise if enterprise is None else enterprise
     filled = lookups.filled_establishments(registry.establishment, registry.address)
     primary = lookups.primary_establishment(filled).withColumn("has_establishment", F.lit(True))
-    joined = attach(enterprise, [primary, *more], KEY)
+    joined = attach(enterprise, [primary, *more], KEY, how)
     own_code = postal_code(F.col("postal_code"))
     return joined.select(
         KEY,
@@ -91,10 +101,26 @@ def located_enterprises(
     )
 
 
-def candidates(registry: Registry, params: LeadParams) -> DataFrame:
+def eligible(registry: Registry, params: LeadParams) -> DataFrame:
+    """Enterprises that their own row does not rule out: active, dated and young enough."""
+    return filters.young(filters.dated(filters.active(registry.enterprise)), params.as_of, params.months)
+
+
+def narrowed(registry: Registry, params: LeadParams) -> Registry:
+    """The registry with only those activities that may belong to an eligible enterprise.
+
+    The keys of the eligible enterprises are a Bloom filter, which the scan of the activities tests before it computes
+    anything else, so that no list is built and no row shuffled for enterprises that are closed or too old.
+    """
+    if registry.activity is None or params.lite:
+        return registry
+    return replace(registry, activity=may_match(registry.activity, eligible(registry, params), KEY))
+
+
+def candidates(registry: Registry, params: LeadParams, how: str = "left") -> DataFrame:
     """Active, dated, young enough and in the region and city asked for."""
-    young = filters.young(filters.dated(filters.active(registry.enterprise)), params.as_of, params.months)
-    placed = filters.in_region(located_enterprises(registry, young), params.postcodes)
+    located = located_enterprises(registry, eligible(registry, params), how=how)
+    placed = filters.in_region(located, params.postcodes)
     return with_age(filters.in_city(placed, params.city), params)
 
 
@@ -107,7 +133,7 @@ def with_details(found: DataFrame, registry: Registry, lite: bool = False) -> Da
     """Contacts, names and first activity codes of the enterprises found."""
     details: list[DataFrame] = []
     if registry.contact is not None:
-        contacts = lookups.best_contacts(registry.contact, registry.establishment)
+        contacts = lookups.best_contacts(registry.contact, registry.establishment, registry.owner)
         details.append(contacts.withColumnRenamed("website", "contact_website"))
     if registry.denomination is not None:
         details.append(lookups.best_denomination(registry.denomination))
@@ -122,30 +148,19 @@ def with_details(found: DataFrame, registry: Registry, lite: bool = False) -> Da
 def with_codes(leads: DataFrame, registry: Registry, lite: bool = False) -> DataFrame:
     """Leads with the list of all their activity codes, in file order.
 
-    The activities are joined to the leads and nowhere else grouped, so no list
-    is built for an enterprise that is not a lead. Codes are joined per chunk of
-    the table first, as in ``lookups.activity_codes``. A list is one cell and as
-    such ends at two gigabytes, with an error.
+    Lists are built below the join, per key and chunk of the table first, so a lead with a third of all activities is
+    one list per chunk before it is one list; ``registry.activity`` comes narrowed to keys that may be leads. What is
+    joined is one row per key. A list is one cell and as such ends at two gigabytes, with an error.
     """
     if registry.activity is None or lite:
         return leads
-    row = F.when(lookups.is_activity(), F.struct(F.col(ORDER).alias("at"), "nace_code")).alias("_row")
-    codes = registry.activity.select(KEY, row).where(F.col("_row").isNotNull())
-    rest = [c for c in leads.columns if c not in (ORDER, "nace_codes")]
-    lead = F.any_value(F.struct(*rest)).alias("lead")
-    pieces = (
-        leads.join(codes, KEY, "left")
-        .groupBy(ORDER, F.col("_row.at.chunk").alias("chunk"))
-        .agg(lead, F.sort_array(F.collect_list("_row")).alias("rows"))
-        .select(ORDER, "lead", F.struct("chunk", F.array_join("rows.nace_code", ",").alias("codes")).alias("piece"))
-    )
-    whole = pieces.groupBy(ORDER).agg(F.any_value("lead").alias("lead"), F.sort_array(F.collect_list("piece")).alias("pieces"))
-    listed = whole.select("lead.*", F.array_join("pieces.codes", ",").alias("nace_codes"), ORDER)
-    return listed.select(*leads.columns)
+    lists = lookups.activity_codes(registry.activity).select(KEY, "nace_codes")
+    return attach(leads.drop("nace_codes"), [lists], KEY).withColumn("nace_codes", blank(F.col("nace_codes"))).select(*leads.columns)
 
 
-def scored(found: DataFrame, params: LeadParams, snapshot: str) -> DataFrame:
+def scored(found: DataFrame, params: LeadParams, snapshot: str | None) -> DataFrame:
     """Lead columns with score and reasons; missing values become empty text."""
+    tag = F.substring_index(KEY, TAG_END, 1) if snapshot is None else F.lit(snapshot)
     website = F.coalesce("contact_website", "website")
     phone, email = F.col("phone"), F.col("email")
     if params.lite:
@@ -165,7 +180,7 @@ def scored(found: DataFrame, params: LeadParams, snapshot: str) -> DataFrame:
         "website": website,
         "score_total": total.cast("int"),
         "score_reasons": why,
-        "source_files_version": F.lit(snapshot),
+        "source_files_version": tag,
     }
     out = [columns.get(c, F.col(c)) for c in LEAD_COLUMNS]
     text = [c if n == "score_total" else blank(c) for c, n in zip(out, LEAD_COLUMNS)]
@@ -174,10 +189,19 @@ def scored(found: DataFrame, params: LeadParams, snapshot: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class LeadRun:
-    """The leads of a run and the rows that are not valid, with their reasons; both with ``_ord``."""
+    """The leads of a run and the rows that are not valid, with their reasons; both with ``_ord``.
+
+    ``staged`` says that both are read from where they were written already.
+    """
 
     leads: DataFrame
     rejected: DataFrame
+    staged: bool = False
+
+
+def without_tags(leads: DataFrame, registry: Registry) -> DataFrame:
+    """Leads under their own numbers, also where keys carry the tag of their snapshot."""
+    return leads.withColumn(KEY, F.substring_index(KEY, TAG_END, -1)) if registry.snapshot is None else leads
 
 
 def scored_leads(registry: Registry, params: LeadParams, found: DataFrame | None = None) -> DataFrame:
@@ -190,7 +214,7 @@ def scored_leads(registry: Registry, params: LeadParams, found: DataFrame | None
 
 def all_leads(registry: Registry, params: LeadParams) -> DataFrame:
     """Scored leads after all filters but before validity and limit, in no order, with ``_ord``."""
-    return with_codes(scored_leads(registry, params), registry, params.lite)
+    return without_tags(with_codes(scored_leads(registry, params), narrowed(registry, params), params.lite), registry)
 
 
 def lead_rows(registry: Registry, params: LeadParams) -> DataFrame:
@@ -199,21 +223,38 @@ def lead_rows(registry: Registry, params: LeadParams) -> DataFrame:
     The limit comes before contacts, names and codes are looked up if none of
     these can reject a row any more: scores are clamped to the valid range.
     """
-    found = candidates(registry, params)
+    return rows_of(registry, params, candidates(registry, params))
+
+
+def rows_of(registry: Registry, params: LeadParams, found: DataFrame) -> DataFrame:
+    """The leads among the candidates found."""
     if params.limit and params.on_invalid != "fail" and not params.query.strip() and not params.score_floor:
         found = filters.first_rows(found.where(place_reason().isNull()), params.limit)
     valid = apply_policy(scored_leads(registry, params, found), params.on_invalid)
-    return with_codes(filters.first_rows(valid, params.limit), registry, params.lite)
+    first = filters.first_rows(valid, params.limit)
+    return without_tags(with_codes(first, narrowed(registry, params), params.lite), registry)
 
 
 def lead_run(registry: Registry, params: LeadParams) -> LeadRun:
-    """The leads of a run, and what it rejects as invalid.
+    """The leads of a run, and what it rejects as invalid; runs and writes both.
 
-    With ``fail`` the leads end in an error as soon as one row is invalid; with
-    ``drop`` the rejected rows are left out on request.
+    Scored leads are computed and written once, with the reason that makes them invalid, and both outputs are parts of
+    that. Code lists are built for what is left of either, once, from the activities whose keys are among it. With
+    ``fail`` one invalid row is an error; with ``drop`` nothing is returned as rejected.
     """
-    rejected = rejected_leads(all_leads(registry, params))
-    return LeadRun(lead_rows(registry, params), rejected.where("false") if params.on_invalid == "drop" else rejected)
+    checked = scored_leads(registry, params)
+    if params.on_invalid == "fail":
+        checked = apply_policy(checked, params.on_invalid)
+    checked = stage(checked.withColumn(REASON, reject_reason()))
+    kept = filters.first_rows(checked.where(F.col(REASON).isNull()), params.limit)
+    if params.on_invalid == "quarantine":
+        kept = kept.unionByName(checked.where(F.col(REASON).isNotNull()))
+    if registry.activity is not None and not params.lite:
+        wanted = replace(registry, activity=may_match(registry.activity, kept, KEY))
+        kept = stage(with_codes(kept, wanted))
+    kept = without_tags(kept, registry)
+    valid = F.col(REASON).isNull()
+    return LeadRun(kept.where(valid).drop(REASON), kept.where(~valid), staged=True)
 
 
 def build_leads(registry: Registry, params: LeadParams) -> DataFrame:

@@ -35,13 +35,13 @@ def write_delimited(df: DataFrame, path: str, *, delimiter: str = ",", encoding:
     ).csv(path)
 
 
-def export_leads(leads: DataFrame, path: str, *, single_file: bool = False) -> Summary:
+def export_leads(leads: DataFrame, path: str, *, single_file: bool = False, staged: bool = False) -> Summary:
     """Write leads (with ``_ord``) sorted by score; part files in name order are the sorted table.
 
     ``single_file`` is for small results. The leads are staged, so that writing,
-    counting and the sector summary do not compute them three times.
+    counting and the sector summary do not compute them three times, unless they are ``staged`` already.
     """
-    leads = stage(leads)
+    leads = leads if staged else stage(leads)
     ordered = by_score(leads).select(*LEAD_COLUMNS)
     write_delimited(ordered.coalesce(1) if single_file else ordered, path)
     return Summary(leads.count(), sector_counts(leads))
@@ -52,9 +52,9 @@ def export_run(run: LeadRun, path: str, rejected_path: str | None = None, *, sin
 
     ``rejected_path`` is ``path`` with ``-rejected`` unless given.
     """
-    rejected = stage(run.rejected)
+    rejected = run.rejected if run.staged else stage(run.rejected)
     write_delimited(rejected.orderBy(ORDER).select(*LEAD_COLUMNS, REASON), rejected_path or f"{path.rstrip('/')}-rejected")
-    summary = export_leads(run.leads, path, single_file=single_file)
+    summary = export_leads(run.leads, path, single_file=single_file, staged=run.staged)
     return replace(summary, rejected=rejected.count())
 
 

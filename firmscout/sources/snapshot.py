@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,6 +107,15 @@ def load_snapshot(
     return registry if work_dir is None else converted(spark, registry, work_dir)
 
 
+def load_snapshots(spark: SparkSession, paths: Sequence[str], **options) -> dict[str, Registry]:
+    """Several snapshot folders by their tags, for ``plans.snapshots``; no two may have the same tag."""
+    found = [load_snapshot(spark, path, **options) for path in paths]
+    tags = [registry.snapshot for registry in found]
+    if len(set(tags)) < len(tags):
+        raise ValueError(f"snapshots with the same tag: {', '.join(sorted(tags))}")
+    return dict(zip(tags, found))
+
+
 def converted(spark: SparkSession, registry: Registry, work_dir: str) -> Registry:
     """The same registry over Parquet files in ``work_dir``; a table that is there is replaced."""
     tables = {}

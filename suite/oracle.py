@@ -621,3 +621,42 @@ ORACLE |= {
     ),
 }
 ORACLE["gaps_ranked"] = f"SELECT * EXCLUDE (ord) FROM ({ORACLE['gaps_ranked']})"
+
+BY_NUMBER = "cast(substr(enterprise_number, 2) AS BIGINT)"
+OF_SNAPSHOT = "SELECT * REPLACE ('{0}' AS source_files_version) FROM ({1}) WHERE {2}"
+ORACLE |= {
+    "lead_run_split": with_tables(
+        f"""SELECT * EXCLUDE (ord), '' AS reject_reason FROM (SELECT * FROM unchecked WHERE {VALID} ORDER BY ord LIMIT 40)
+        UNION ALL SELECT * EXCLUDE (ord), CASE WHEN enterprise_number = '' THEN 'enterprise_number'
+            WHEN NOT regexp_full_match(postal_code, '[0-9]{{4}}') THEN 'postal_code' ELSE 'score_total' END
+        FROM unchecked WHERE NOT ({VALID})""",
+        {"unchecked": unchecked_sql(FLAGSHIP_MONTHS, codes=())},
+    ),
+    "address_first_rows": with_tables(
+        "SELECT coalesce(establishment_number, '') AS establishment_number, coalesce(address, '') AS address, "
+        "coalesce(postal_code, '') AS postal_code, coalesce(city, '') AS city "
+        f"FROM (SELECT * FROM address ORDER BY {LINE_ORDER} LIMIT 20000)"
+    ),
+    "sector_rules": with_tables(
+        """SELECT coalesce(enterprise_number, '') AS enterprise_number, coalesce(nace_code, '') AS nace_code,
+            coalesce((SELECT r.sector FROM rules r WHERE starts_with(replace(upper(nace_code), ',', '.'), r.prefix)
+                ORDER BY len(r.prefix) DESC LIMIT 1), 'other') AS sector_bucket
+        FROM activity""",
+        {
+            "rules": f"""SELECT {pick(CODE_HEADS, 'p_partkey')} || ['', '.0', '.02', '02', '9'][cast(p_size % 5 AS INTEGER) + 1] AS prefix,
+                min(p_brand) AS sector FROM part WHERE p_partkey % 8 > 1 GROUP BY prefix"""
+        },
+    ),
+    "leads_of_snapshots": OF_SNAPSHOT.format("2001-01", ORACLE["leads"], "true")
+    + " UNION ALL "
+    + OF_SNAPSHOT.format("2001-02", ORACLE["leads"], f"{BY_NUMBER} % 2 = 0"),
+    "enterprise_as_of": f"""SELECT * REPLACE (CASE WHEN {BY_NUMBER} % 3 <> 0 THEN 'Stopped' ELSE status END AS status)
+        FROM ({with_tables(plain_select("enterprise", ENTERPRISE_COLUMNS))}) WHERE {BY_NUMBER} % 3 <> 0 OR {BY_NUMBER} % 5 <> 0""",
+    "dedupe_three_runs": with_tables(
+        f"""SELECT cast(step AS INTEGER) AS step, dedupe_key, count(*) AS rows
+        FROM (SELECT *, min(own) OVER (PARTITION BY dedupe_key) AS step FROM (
+            SELECT {dedupe_key("coalesce(denomination, '')", "coalesce(language, '')")} AS dedupe_key,
+                CASE WHEN {BY_NUMBER} % 6 = 0 THEN 1 WHEN {BY_NUMBER} % 3 = 0 THEN 2 ELSE 3 END AS own FROM denomination))
+        WHERE dedupe_key IS NOT NULL AND own <= step GROUP BY step, dedupe_key"""
+    ),
+}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, time
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,11 +12,12 @@ from pyspark.sql import functions as F
 
 from firmscout.functions import sectors, text
 from firmscout.functions.dates import parse_date
-from firmscout.operators import dedupe, filters, gaps, lookups, mapping, profile, quality
-from firmscout.operators.joins import ORDER, attach, checkpoint_dir
+from firmscout.operators import dedupe, filters, gaps, lookups, mapping, profile, quality, rules
+from firmscout.operators.joins import ORDER, attach, checkpoint_dir, stage
 from firmscout.operators.mapping import clean_text
+from firmscout.operators.seen import SeenKeys
 from firmscout.plans import leads as plan
-from firmscout.plans import region
+from firmscout.plans import region, snapshots
 from firmscout.plans.leads import KEY, LEAD_COLUMNS
 from firmscout.sources.delimited import read_delimited, read_strict
 from firmscout.sources.files import TABLE_FILES
@@ -644,3 +646,71 @@ def gaps_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     companies = attach(tables.enterprise.select(KEY, "start_date", ORDER), [first, contacts], KEY)
     top = gaps.by_gap_score(gaps.score_gaps(companies, datetime.combine(AS_OF, time()), 18)).limit(50)
     return plain(_placed(top, F.desc("score_total"), F.col(ORDER)).select(KEY, "sector", "score_total", "place", ORDER))
+
+
+# Several snapshots, runs and rule tables
+
+
+@query
+def lead_run_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both outputs of one run over all regions: the first 40 valid leads, and everything invalid."""
+    run = plan.lead_run(registry(spark, sf_dir), params(postcodes=(), months=FLAGSHIP_MONTHS, limit=40))
+    good = run.leads.withColumn(quality.REASON, F.lit(""))
+    return good.unionByName(run.rejected).drop(ORDER)
+
+
+@query
+def address_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More first rows than an ordered limit takes."""
+    return plain(filters.first_rows(_table(spark, sf_dir, "address"), 2 * filters.ORDERED_LIMIT))
+
+
+@query
+def sector_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sectors of all activities by rules that the parts make, some of them for the same prefix."""
+    parts, heads = bindings.table(spark, sf_dir, "part"), bindings.CODE_HEADS
+    prefix = F.concat(bindings.pick(heads, F.col("p_partkey")), bindings.pick(["", ".0", ",02", "02", "9"], F.col("p_size")))
+    made = parts.where(F.col("p_partkey") % 8 > 1).select(prefix.alias("prefix"), F.col("p_brand").alias("sector"))
+    rows = _table(spark, sf_dir, "activity")
+    return plain(rules.with_sector(rows, made).select(KEY, "nace_code", "sector_bucket", ORDER))
+
+
+def _number(column: str = KEY) -> Column:
+    return F.substring(column, 2, 9).cast("int")
+
+
+def _two_snapshots(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, plan.Registry]:
+    """The bound registry without every fifth enterprise, and a later one without every third and with all stopped."""
+    now = registry(spark, sf_dir, *tables)
+    first = replace(now, enterprise=now.enterprise.where(_number() % 5 != 0), snapshot="2001-01")
+    later = now.enterprise.where(_number() % 3 != 0).withColumn("status", F.lit("Stopped"))
+    return {"2001-01": first, "2001-02": replace(now, enterprise=later, snapshot="2001-02")}
+
+
+@query
+def leads_of_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run over two snapshots, the second without every other enterprise."""
+    first = registry(spark, sf_dir)
+    second = replace(first, enterprise=first.enterprise.where(_number() % 2 == 0))
+    return plan.build_leads(snapshots.combined({"2001-01": first, "2001-02": second}), params())
+
+
+@query
+def enterprise_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest known row of every enterprise; those that the second snapshot lacks are as in the first."""
+    return plain(snapshots.as_of(_two_snapshots(spark, sf_dir, "enterprise", "establishment")).enterprise)
+
+
+@query
+def dedupe_three_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of three runs, over growing parts of the denominations, finds that no run before it had."""
+    names = _table(spark, sf_dir, "denomination").withColumnRenamed("denomination", "name")
+    rows = names.select(KEY, "name", F.col("language").alias("address"), ORDER)
+    seen, out = SeenKeys(spark, _scratch(spark, "seen").removesuffix(".csv"), digits=1), None
+    for step, part in enumerate((6, 3, 1), 1):
+        new = seen.unseen(rows.where(_number() % part == 0)).where(F.col(dedupe.DEDUPE_KEY).isNotNull())
+        new = stage(new.groupBy(dedupe.DEDUPE_KEY).agg(F.count("*").alias("rows")))
+        seen.add(new, str(step))
+        found = new.select(F.lit(step).alias("step"), dedupe.DEDUPE_KEY, "rows")
+        out = found if out is None else out.unionByName(found)
+    return out
