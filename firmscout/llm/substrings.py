@@ -223,6 +223,14 @@ def _answer(group: pa.Table) -> pa.Table:
     return _rows("block", group.column("block").take(keep).to_pylist(), bits, bucket=[bucket] * len(bits))
 
 
+def _unequal(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Which of the stretches that begin at ``a`` and at ``b`` differ, byte by byte."""
+    if not len(a):
+        return np.zeros(0, dtype=bool)
+    differ = text[_ranges(a, length)] != text[_ranges(b, length)]
+    return np.logical_or.reduceat(differ, np.cumsum(length) - length)
+
+
 def _send(rows: pa.Table, answers: pa.Table, buckets: int, common: np.ndarray) -> pa.Table:
     """The pieces of a block whose anchors a second document has, packed by bucket."""
     chunks, keys, _ = _block_pieces(rows, common)
@@ -245,6 +253,8 @@ def _send(rows: pa.Table, answers: pa.Table, buckets: int, common: np.ndarray) -
         first, length, key, part, same, bucket = (x[order] for x in (first, length, key, part, same, bucket))
         new = np.ones(len(order), dtype=bool)
         new[1:] = (same[1:] != same[:-1]) | (key[1:] != key[:-1]) | (length[1:] != length[:-1])
+        alike = np.flatnonzero(~new)  # a hash only suggests that pieces are equal
+        new[alike] = _unequal(text, first[alike - 1], first[alike], length[alike])
         at = first - starts[part] + offsets[part]
         for a, b in _cuts(bucket, buckets):
             own = np.flatnonzero(new[a:b]) + a
@@ -390,12 +400,15 @@ def _match(group: pa.Table, blocks: int) -> pa.Table:
         return _rows("block", [], [])
     new = np.ones(len(own), dtype=bool)
     new[1:] = (key[own][1:] != key[own][:-1]) | (same[own][1:] != same[own][:-1]) | (length[own][1:] != length[own][:-1])
+    # A hash only suggests that pieces are equal; equal ones that others with the same hash part meet in the index.
+    offsets = np.cumsum(length) - length
+    alike = np.flatnonzero(~new)
+    new[alike] = _unequal(body, offsets[own[alike - 1]], offsets[own[alike]], length[own[alike]])
     heads = np.flatnonzero(new)
     first_doc = np.minimum.reduceat(least[own], heads)
     number = np.full(len(length), -1)
     number[own] = np.cumsum(new) - 1
     picked = own[heads]
-    offsets = np.cumsum(length) - length
     low, high = covered(length[picked], key[picked], body[_ranges(offsets[picked], length[picked])], first_doc)
     # Copies in later documents are covered whole, those in the first one by what the index found.
     distinct = number[piece]

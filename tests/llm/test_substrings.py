@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import EDGES, documents, prose
 
@@ -98,3 +99,35 @@ def test_no_rows(spark, extra):
 
 def test_mix_is_a_bijection_on_a_sample():
     assert len(np.unique(mix(np.arange(100_000, dtype=np.uint64)))) == 100_000
+
+
+def _group(*pieces):
+    """A bucket's payload: (document, bytes) pieces with one anchor and, as forced here, one hash."""
+    n = len(pieces)
+    columns = [
+        np.array([len(b) for _, b in pieces], np.uint8),
+        np.array([5] + [0] * (n - 1), np.uint64),
+        np.zeros(n, np.uint32),
+        np.ones(n, np.int32),
+        np.array([d for d, _ in pieces], np.int64),
+        np.zeros(n, np.int64),
+        np.frombuffer(b"".join(b for _, b in pieces), np.uint8),
+    ]
+    return pa.table({"bucket": [0], "payload": [substrings._pack(*columns)]})
+
+
+def _covered(*pieces):
+    out = {}
+    for payload in substrings._match(_group(*pieces), 1).column("payload").to_pylist():
+        ids, start, size = substrings._unpack(payload, np.int64, np.int64, np.uint8)
+        out |= dict(zip(ids.tolist(), zip((start >> 24).tolist(), size.tolist())))
+    return out
+
+
+def test_equal_hashes_of_other_bytes_cover_nothing():
+    anchor = b"twenty bytes, shared"
+    one, other = anchor + b"x" * 60, anchor + b"y" * 60
+    assert _covered((1, one), (2, other)) == {}
+    assert _covered((1, one), (2, one)) == {2: (0, 80)}
+    assert _covered((1, one), (2, other), (3, one)) == {3: (0, 80)}
+    assert _covered((1, other), (2, one), (3, other), (4, one), (5, anchor + b"z" * 60)) == {3: (0, 80), 4: (0, 80)}
