@@ -107,6 +107,34 @@ def stage_funnel(flagged: DataFrame) -> DataFrame:
     )
 
 
+def run_report(flagged: DataFrame) -> DataFrame:
+    """Postcode profile, coverage and funnel as rows ``report``, ``measure``, ``value``, from one pass over the flags.
+
+    Equal to ``postcode_profile``, ``join_coverage`` and ``stage_funnel`` over the same enterprises, each of which reads
+    all tables for itself; here every table is read once for all of them.
+    """
+    on = F.col("is_active")
+    placed = on & F.col("postal_code").isNotNull()
+    count = {
+        ("postcode_profile", "total"): F.count_if(on),
+        ("postcode_profile", "empty"): F.count_if(on & F.col("postal_code").isNull()),
+        ("postcode_profile", "non_empty"): F.count_if(placed),
+        ("join_coverage", "enterprises"): F.count("*"),
+        ("join_coverage", "with_establishment"): F.count_if("has_establishment"),
+        ("join_coverage", "with_contact"): F.count_if("has_contact"),
+        ("stage_funnel", "loaded"): F.count("*"),
+        ("stage_funnel", "active"): F.count_if(on),
+        ("stage_funnel", "with_establishment"): F.count_if(on & F.col("has_establishment")),
+        ("stage_funnel", "with_contact"): F.count_if(on & F.col("has_contact")),
+        ("stage_funnel", "after_postcode"): F.count_if(on & F.col("is_dated") & F.col("is_in_region")),
+    }
+    rows = [
+        F.struct(F.lit(report).alias("report"), F.lit(measure).alias("measure"), value.cast("bigint").alias("value"))
+        for (report, measure), value in count.items()
+    ]
+    return flagged.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table, and the rows that carry a key and a value where the table demands them.
 

@@ -271,6 +271,9 @@ def flagged_enterprises(registry: Registry, params: LeadParams) -> DataFrame:
         placed = located_enterprises(registry, more=[contacts.select(KEY, F.lit(True).alias("has_contact"))])
     return placed.select(
         KEY,
+        "status",
+        "start_date",
+        "postal_code",
         is_active(F.col("status")).alias("is_active"),
         F.col("start_date").isNotNull().alias("is_dated"),
         "has_establishment",

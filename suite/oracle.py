@@ -660,3 +660,14 @@ ORACLE |= {
         WHERE dedupe_key IS NOT NULL AND own <= step GROUP BY step, dedupe_key"""
     ),
 }
+
+REPORTS = {
+    "postcode_profile": "total empty non_empty",
+    "join_coverage": "enterprises with_establishment with_contact",
+    "stage_funnel": "loaded active with_establishment with_contact after_postcode",
+}
+ORACLE["run_report"] = " UNION ALL ".join(
+    f"SELECT '{report}' AS report, measure, cast(value AS BIGINT) AS value FROM "
+    f"(UNPIVOT (SELECT {', '.join(measures.split())} FROM ({ORACLE[report]})) ON COLUMNS(*) INTO NAME measure VALUE value)"
+    for report, measures in REPORTS.items()
+)

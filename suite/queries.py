@@ -375,6 +375,12 @@ def stage_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.stage_funnel(plan.flagged_enterprises(registry(spark, sf_dir), params()))
 
 
+@query
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postcode profile, coverage and funnel of one run, from one reading of its tables."""
+    return profile.run_report(plan.flagged_enterprises(registry(spark, sf_dir), params()))
+
+
 @query
 def region_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The funnel of the region-first run, with the sizes of its key sets."""

@@ -110,3 +110,10 @@ def test_each_table_is_scanned_a_few_times(spark):
     plan = entry_point.queries()["leads"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     relations = plan.count("Relation [")
     assert relations <= 20, relations
+
+
+def test_all_reports_read_each_table_as_often_as_one(spark):
+    def relations(name):
+        return entry_point.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+    assert relations("run_report") == relations("stage_funnel")
