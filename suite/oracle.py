@@ -671,3 +671,4 @@ ORACLE["run_report"] = " UNION ALL ".join(
     f"(UNPIVOT (SELECT {', '.join(measures.split())} FROM ({ORACLE[report]})) ON COLUMNS(*) INTO NAME measure VALUE value)"
     for report, measures in REPORTS.items()
 )
+ORACLE["dry_run_count"] = with_tables("SELECT count(*) AS leads FROM found", ALL_LEADS)

@@ -22,7 +22,7 @@ from firmscout.plans.leads import KEY, LEAD_COLUMNS
 from firmscout.sources.delimited import read_delimited, read_strict
 from firmscout.sources.files import TABLE_FILES
 from firmscout.sources.providers import Provider, Providers
-from firmscout.sources.sink import export_leads, export_run, write_delimited
+from firmscout.sources.sink import dry_run, export_leads, export_run, write_delimited
 from firmscout.sources.snapshot import load_enterprises, load_snapshot, raw_table
 from suite import bindings
 from suite.bindings import AS_OF, EARLIER_REGION, REGION, params, raw, registry
@@ -573,6 +573,13 @@ def export_with_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(_read_leads(spark, f"{path}-rejected"))
 
 
+@query
+def dry_run_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many leads a run over all regions would write."""
+    count = dry_run(plan.lead_rows(registry(spark, sf_dir), params(postcodes=())))
+    return spark.range(1).select(F.lit(count).cast("bigint").alias("leads"))
+
+
 @query
 def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of one table whose columns come in different order, one without a column."""
