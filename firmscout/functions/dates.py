@@ -7,23 +7,20 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted spellings (shape, format) and the texts that mean "no date".
-DATE_SHAPES = [
-    ("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"),
-    ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "d-M-yyyy"),
-    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "d/M/yyyy"),
-]
-NO_DATE = ["", "0", "0000-00-00", "00-00-0000", "0000/00/00"]
+# Days first, and years first; other texts, placeholders included, are no date.
+DAY_FIRST, YEAR_FIRST = r"^([0-9]{1,2})([-/])([0-9]{1,2})\2([0-9]{4})\z", r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
 
 
 def parse_date(text: Column) -> Column:
     """Date of a clean text, null when it is a placeholder or in no known spelling.
 
     The shape is tested first, so that the date parser (which signals failure by
-    an exception per row) only sees texts of its own format.
+    an exception per row) only sees texts of its own format. The text stands here
+    once: a filter that moves below the projection that makes the text would make
+    it again for every mention.
     """
-    known = [F.when(text.rlike(shape), F.try_to_date(text, fmt)) for shape, fmt in DATE_SHAPES]
-    return F.when(~text.isin(NO_DATE), F.coalesce(*known))
+    year_first = F.regexp_replace(text, DAY_FIRST, "$4-$3-$1")
+    return F.try_to_date(F.get(F.regexp_extract_all(year_first, F.lit(YEAR_FIRST), F.lit(0)), F.lit(0)), "yyyy-M-d")
 
 
 def age_months(start: Column, as_of: date) -> Column:

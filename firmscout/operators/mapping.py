@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from firmscout.functions.text import cleaned, digits
 from firmscout.operators.joins import ORDER
-from firmscout.sources.headers import first_value
+from firmscout.sources.headers import candidates, first_value
 
 # Accepted column names per logical field, first match first.
 ENTERPRISE_ID = ["enterprise_number", "enterprisenumber", "entity_number"]
@@ -68,46 +68,55 @@ def clean_text(raw: DataFrame) -> DataFrame:
     return cleaned(raw, [c for c in raw.columns if not c.startswith("_")])
 
 
+def with_digits(raw: DataFrame, **names: tuple[list[str], ...]) -> DataFrame:
+    """Clean text beside identifiers, each under its name with an underscore, from the first of some columns.
+
+    White space is no digit, so an identifier that one column alone can hold is made from that column as it is: a filter
+    on the identifier that moves into the scan then has no text to strip.
+    """
+    have = raw.columns
+    held = {name: candidates(have, *of) for name, of in names.items()}
+    alone = {f"_{name}": digits(F.col(of[0])) for name, of in held.items() if len(of) == 1}
+    rest = {f"_{name}": digits(first_value(have, *names[name])) for name, of in held.items() if len(of) != 1}
+    return clean_text(raw.withColumns(alone)).withColumns(rest)
+
+
 def _select(raw: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return raw.select(*[c.alias(name) for name, c in columns.items()], ORDER)
 
 
 def map_enterprise(raw: DataFrame) -> DataFrame:
-    raw, have = clean_text(raw), raw.columns
+    raw, have = with_digits(raw, enterprise_number=(ENTERPRISE_ID,)), raw.columns
     fields = {name: first_value(have, names) for name, names in ENTERPRISE_FIELDS.items()}
-    return _select(raw, {"enterprise_number": digits(first_value(have, ENTERPRISE_ID)), **fields})
+    return _select(raw, {"enterprise_number": F.col("_enterprise_number"), **fields})
 
 
 def map_establishment(raw: DataFrame) -> DataFrame:
-    raw, have = clean_text(raw), raw.columns
-    ids = {
-        "enterprise_number": digits(first_value(have, ENTERPRISE_ID)),
-        "establishment_number": digits(first_value(have, ESTABLISHMENT_ID)),
-    }
-    return _select(raw, {**ids, **build_address(have)})
+    numbers = {"enterprise_number": (ENTERPRISE_ID,), "establishment_number": (ESTABLISHMENT_ID,)}
+    raw, have = with_digits(raw, **numbers), raw.columns
+    return _select(raw, {**{n: F.col(f"_{n}") for n in numbers}, **build_address(have)})
 
 
 def map_address(raw: DataFrame) -> DataFrame:
-    raw, have = clean_text(raw), raw.columns
-    key = digits(first_value(have, ADDRESS_ID, ["establishment"]))
-    return _select(raw, {"establishment_number": key, **build_address(have)})
+    raw, have = with_digits(raw, establishment_number=(ADDRESS_ID, ["establishment"])), raw.columns
+    return _select(raw, {"establishment_number": F.col("_establishment_number"), **build_address(have)})
 
 
 def map_activity(raw: DataFrame) -> DataFrame:
-    raw, have = clean_text(raw), raw.columns
+    raw, have = with_digits(raw, enterprise_number=(ACTIVITY_ID,)), raw.columns
     return _select(
         raw,
-        {"enterprise_number": digits(first_value(have, ACTIVITY_ID)), "nace_code": first_value(have, ACTIVITY_CODE)},
+        {"enterprise_number": F.col("_enterprise_number"), "nace_code": first_value(have, ACTIVITY_CODE)},
     )
 
 
 def map_contact(raw: DataFrame) -> DataFrame:
     """Tall (type, value) and wide (phone, email, website) contact rows in one shape."""
-    raw, have = clean_text(raw), raw.columns
+    raw, have = with_digits(raw, entity_number=(CONTACT_ID,)), raw.columns
     return _select(
         raw,
         {
-            "entity_number": digits(first_value(have, CONTACT_ID)),
+            "entity_number": F.col("_entity_number"),
             "entity_contact": F.upper(first_value(have, CONTACT_OWNER)),
             "contact_type": F.upper(first_value(have, CONTACT_TYPE)),
             "value": first_value(have, ["value"]),
@@ -119,11 +128,11 @@ def map_contact(raw: DataFrame) -> DataFrame:
 
 
 def map_denomination(raw: DataFrame) -> DataFrame:
-    raw, have = clean_text(raw), raw.columns
+    raw, have = with_digits(raw, enterprise_number=(DENOMINATION_ID,)), raw.columns
     return _select(
         raw,
         {
-            "enterprise_number": digits(first_value(have, DENOMINATION_ID)),
+            "enterprise_number": F.col("_enterprise_number"),
             "denomination": first_value(have, DENOMINATION_NAME),
             "type": first_value(have, DENOMINATION_TYPE),
             "language": F.lower(first_value(have, DENOMINATION_LANGUAGE)),

@@ -47,6 +47,8 @@ LEAD_COLUMNS = [
 KEY = "enterprise_number"
 #: Ends the tag of a key in a registry of several snapshots.
 TAG_END = "|"
+#: Places of the key filter of establishments, of which an enterprise may have many.
+PLACE_KEYS = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -107,19 +109,39 @@ def eligible(registry: Registry, params: LeadParams) -> DataFrame:
 
 
 def narrowed(registry: Registry, params: LeadParams) -> Registry:
-    """The registry with only those activities that may belong to an eligible enterprise.
+    """The registry with only those activities and denominations that may belong to an eligible enterprise.
 
-    The keys of the eligible enterprises are a Bloom filter, which the scan of the activities tests before it computes
-    anything else, so that no list is built and no row shuffled for enterprises that are closed or too old.
+    The keys of the eligible enterprises are a Bloom filter, which the scan of a table tests before it computes
+    anything else, so that no list is built and no row sorted or shuffled for enterprises that are closed or too old.
     """
-    if registry.activity is None or params.lite:
-        return registry
-    return replace(registry, activity=may_match(registry.activity, eligible(registry, params), KEY))
+    keys, cut = eligible(registry, params), {}
+    if registry.activity is not None and not params.lite:
+        cut["activity"] = may_match(registry.activity, keys, KEY)
+    if registry.denomination is not None:
+        cut["denomination"] = may_match(registry.denomination, keys, KEY)
+    return replace(registry, **cut)
+
+
+def narrowed_places(registry: Registry, params: LeadParams) -> Registry:
+    """The registry with only the establishments, and their addresses, that may belong to an eligible enterprise.
+
+    For the places of enterprises; whom an establishment belongs to (``lookups.establishment_owner``) all its rows tell.
+    """
+    establishment = may_match(registry.establishment, eligible(registry, params), KEY)
+    if registry.address is None:
+        return replace(registry, establishment=establishment)
+    number = "establishment_number"
+    return replace(registry, establishment=establishment, address=may_match(registry.address, establishment, number, places=PLACE_KEYS))
 
 
-def candidates(registry: Registry, params: LeadParams, how: str = "left") -> DataFrame:
-    """Active, dated, young enough and in the region and city asked for."""
-    located = located_enterprises(registry, eligible(registry, params), how=how)
+def candidates(registry: Registry, params: LeadParams, how: str = "left", narrow: bool = False) -> DataFrame:
+    """Active, dated, young enough and in the region and city asked for; ``narrow`` cuts down what they are joined with.
+
+    A key filter reads the enterprises once more, so a plain run over one snapshot goes without; a run over several
+    (``snapshot`` none) and one that returns all its rows use it.
+    """
+    places = narrowed_places(registry, params) if narrow or registry.snapshot is None else registry
+    located = located_enterprises(places, eligible(registry, params), how=how)
     placed = filters.in_region(located, params.postcodes)
     return with_age(filters.in_city(placed, params.city), params)
 
@@ -206,8 +228,9 @@ def without_tags(leads: DataFrame, registry: Registry) -> DataFrame:
 
 def scored_leads(registry: Registry, params: LeadParams, found: DataFrame | None = None) -> DataFrame:
     """Scored leads after all filters but before validity and limit, without code lists."""
-    found = candidates(registry, params) if found is None else found
-    details = with_details(found, registry, params.lite)
+    tables = narrowed(registry, params) if found is None or registry.snapshot is None else registry
+    found = candidates(registry, params, narrow=True) if found is None else found
+    details = with_details(found, tables, params.lite)
     leads = filters.mentions(scored(details, params, registry.snapshot), params.query)
     return filters.scored_at_least(leads, params.score_floor)
 

@@ -57,15 +57,20 @@ def first_value(columns: Iterable[str], names: Iterable[str], keywords: Iterable
 
     The frame's text is clean, so a missing value is null.
     """
-    columns = [c for c in columns if c not in OWN]
-    named = [n for n in names if n in columns]
-    alike = [c for c in columns if any(w.lower() in c.lower() for w in keywords)]
-    values = [F.col(c) for c in dict.fromkeys([*named, *alike])]
+    values = [F.col(c) for c in candidates(columns, names, keywords)]
     if not values:
         return F.lit(None).cast("string")
     return F.coalesce(*values) if len(values) > 1 else values[0]
 
 
+def candidates(columns: Iterable[str], names: Iterable[str], keywords: Iterable[str] = ()) -> list[str]:
+    """The columns that ``first_value`` looks at, in its order."""
+    columns = [c for c in columns if c not in OWN]
+    named = [n for n in names if n in columns]
+    alike = [c for c in columns if any(w.lower() in c.lower() for w in keywords)]
+    return list(dict.fromkeys([*named, *alike]))
+
+
 def detect_columns(columns: Iterable[str], synonyms: Mapping[str, Iterable[str]]) -> dict[str, str]:
     """Source column to standard name: for each standard name its first synonym present and still free."""
     present = set(columns)

@@ -566,9 +566,10 @@ def leads_from_snapshot_no_contacts(spark: SparkSession, sf_dir: str) -> DataFra
 @query
 def export_with_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good and rejected rows of one run, written and read back."""
-    rows = _unchecked(spark, sf_dir)
+    rows = stage(_unchecked(spark, sf_dir))
     path = _scratch(spark, "leads")
-    export_run(plan.LeadRun(quality.valid_leads(rows), quality.rejected_leads(rows)), path, f"{path}-rejected")
+    run = plan.LeadRun(quality.valid_leads(rows), quality.rejected_leads(rows), staged=True)
+    export_run(run, path, f"{path}-rejected")
     good = _read_leads(spark, path).withColumn(quality.REASON, F.lit(""))
     return good.unionByName(_read_leads(spark, f"{path}-rejected"))
 
@@ -716,13 +717,20 @@ def enterprise_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedupe_three_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each of three runs, over growing parts of the denominations, finds that no run before it had."""
-    names = _table(spark, sf_dir, "denomination").withColumnRenamed("denomination", "name")
-    rows = names.select(KEY, "name", F.col("language").alias("address"), ORDER)
+    """What each of three runs, over growing parts of the denominations, finds that no run before it had.
+
+    Every row of an earlier run's part is in the later ones too. Rows that agree in name, address and the first run they
+    are in are counted once, in one reading; a run then looks at these and adds up their counts.
+    """
+    names, parts = _table(spark, sf_dir, "denomination").withColumnRenamed("denomination", "name"), (6, 3, 1)
+    first = F.coalesce(*[F.when(_number() % part == 0, step) for step, part in enumerate(parts, 1)])
+    alike = ["name", F.col("language").alias("address"), first.alias("first")]
+    rows = stage(names.select(*alike).where(F.col("first").isNotNull()).groupBy("name", "address", "first").agg(F.count("*").alias("n")))
+    rows = rows.withColumn(ORDER, F.struct("first", "name", "address"))
     seen, out = SeenKeys(spark, _scratch(spark, "seen").removesuffix(".csv"), digits=1), None
-    for step, part in enumerate((6, 3, 1), 1):
-        new = seen.unseen(rows.where(_number() % part == 0)).where(F.col(dedupe.DEDUPE_KEY).isNotNull())
-        new = stage(new.groupBy(dedupe.DEDUPE_KEY).agg(F.count("*").alias("rows")))
+    for step in range(1, len(parts) + 1):
+        new = seen.unseen(rows.where(F.col("first") <= step)).where(F.col(dedupe.DEDUPE_KEY).isNotNull())
+        new = stage(new.groupBy(dedupe.DEDUPE_KEY).agg(F.sum("n").alias("rows")))
         seen.add(new, str(step))
         found = new.select(F.lit(step).alias("step"), dedupe.DEDUPE_KEY, "rows")
         out = found if out is None else out.unionByName(found)

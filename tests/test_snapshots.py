@@ -4,15 +4,18 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from firmscout.operators import filters, lookups, rules
+from firmscout.functions.dates import parse_date
+from firmscout.operators import filters, joins, lookups, mapping, rules
 from firmscout.operators.dedupe import DEDUPE_KEY
 from firmscout.operators.joins import ORDER
 from firmscout.operators.keyfilter import key_bits, may_hold, may_match
 from firmscout.operators.seen import SeenKeys
 from firmscout.plans import leads, snapshots
 from firmscout.plans.params import LeadParams
+from firmscout.sources import sink
 from firmscout.sources.sink import export_run
 from firmscout.sources.snapshot import load_snapshot, load_snapshots
+from suite import queries
 
 REGION = LeadParams(date(2026, 6, 1), postcodes=("9400",), min_score=0, limit=0)
 
@@ -220,3 +223,49 @@ def test_seen_keys_grow_by_runs(spark, table, tmp_path):
     seen.add(nothing, "four")
     assert seen.unseen(nothing).count() == 1
     assert seen.keys().groupBy(DEDUPE_KEY, "run").count().where("count > 1").count() == 0
+
+
+# Tables narrowed to what eligible enterprises may have
+
+
+def test_places_and_names_of_closed_enterprises_are_not_grouped(spark, table):
+    enterprise = table(
+        [{"enterprise_number": str(i), "status": "AC" if i % 10 == 0 else "IN", "start_date": "2026-01-01"} for i in range(300)],
+        ["enterprise_number", "status", "start_date"],
+    )
+    places = [{"enterprise_number": str(i), "establishment_number": f"9{i}", "address": f"Road {i}"} for i in range(300)]
+    establishment = table(places, ["enterprise_number", "establishment_number", "address", "postal_code", "city"])
+    names = table([{"enterprise_number": str(i), "denomination": f"D{i}"} for i in range(300)], ["enterprise_number", "denomination"])
+    registry = leads.Registry(enterprise, establishment, address=establishment, denomination=names)
+    params = LeadParams(date(2026, 6, 1))
+    cut = leads.narrowed_places(registry, params)
+    for rows in (cut.establishment, cut.address, leads.narrowed(registry, params).denomination):
+        kept = {int(r["enterprise_number"]) for r in rows.collect()}
+        assert kept >= set(range(0, 300, 10)) and len(kept) < 60
+
+
+@pytest.mark.parametrize("name, relation", [("dedupe_three_runs", "Relation [l_orderkey"), ("export_with_quarantine", "Relation [c_custkey")])
+def test_staged_queries_read_their_tables_once(spark, monkeypatch, name, relation):
+    """Several runs, or both outputs of one, from one reading: later frames are made from what the first one wrote."""
+    plans = []
+
+    def stage(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return joins.stage(df)
+
+    monkeypatch.setattr(queries, "stage", stage)
+    monkeypatch.setattr(sink, "stage", stage)
+    queries.QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert sum(relation in plan for plan in plans) == 1
+
+
+def test_a_date_mentions_its_text_once():
+    assert str(parse_date(F.col("start_date"))).count("start_date") == 1
+
+
+def test_identifiers_of_one_and_of_several_columns(spark, table):
+    one = table([{"enterprise_number": v} for v in (" 0.12 ", None, "x", " 7")], ["enterprise_number"])
+    assert [r["enterprise_number"] for r in mapping.map_activity(one).orderBy(ORDER).collect()] == ["012", "", "", "7"]
+    columns = ["enterprise_number", "entity_number"]
+    two = table([dict(zip(columns, v)) for v in ((" ", "1"), (None, "2"), ("x", "3"), ("4", None))], columns)
+    assert [r["enterprise_number"] for r in mapping.map_activity(two).orderBy(ORDER).collect()] == ["1", "2", "", "4"]
