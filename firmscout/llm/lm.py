@@ -1,18 +1,22 @@
 """Language-model scores by logistic context mixing.
 
 A text is coded as its style (its most frequent accented character and kind of punctuation, which tell the language and
-layout), then token by token. A token (a word, or the end of the text) is coded bit by bit: the bytes of a word and a
-space behind it, or one line feed for the end. Every bit is predicted by hashed contexts (the last 1, 2, 3 and 4 bytes
-of the word and the word so far, each with the style, and the last 6 bytes), each a pair of counts in a table. Their
+layout), then token by token, in order. A token (a word, or the end of the text) is coded bit by bit: the bytes of a
+word and a space behind it, or one line feed for the end. Every bit is predicted by hashed contexts (the last 1, 2, 3
+and 4 bytes and the word so far, each with the style, and the last 6 bytes), each a pair of counts in a table. Their
 log odds are mixed by weights that two gates select (how well the long contexts are known; where in the word the bit
-stands), learned online; the result is refined by an adaptive map from prediction to outcome. As all contexts lie
-within the style and the token, equal tokens cost the same, and a text's score is a sum over its tokens.
+stands), learned online; the result is refined by an adaptive map from prediction to outcome.
+
+Contexts of a token's head, its first ``HEAD`` bytes, reach across the space into the end of the token before (``HEAD``
+bytes of it); those of the rest of the token lie within the token. So a token costs what its head costs behind that end
+and what its rest costs: equal heads behind equal ends cost the same, equal words have equal rests, and a text's score,
+which depends on the order of its tokens, is a sum over both.
 
 On Spark: tasks number the words of a block of texts, by style, and emit the block's texts as bags of numbers and its
 words, packed by part of the vocabulary, with their training counts. A part (words that begin alike) sums its words'
 counts over all blocks. The tables are sums over all words of the training texts; the weights are learned from all of
 them, each predicted as if it had occurred once less; then all words are scored once and their scores sent back to the
-blocks. Words that begin alike share their bits' predictions, so sorted words cost a fraction. Tables and weights have
+blocks. Heads are counted and scored in the same way, as words of a second kind. Words that begin alike share their bits' predictions, so sorted words cost a fraction. Tables and weights have
 a fixed size (``SLOTS`` for each context), which bounds what is broadcast; the vocabulary stays distributed.
 """
 
@@ -38,6 +42,10 @@ ORDERS, STYLED = (1, 2, 3, 4, 6), (1, 2, 3, 4)
 CONTEXTS = len(ORDERS) + 1
 STYLES = 64
 SLOTS = 1 << 20
+#: Bytes of a token's head, and of the end of the token before that its contexts see.
+HEAD = 2
+#: Kinds of a key, in its first byte beside the style: a word coded whole, a head, and the rest of a word.
+WHOLE, FRONT, REST = 64, 128, 192
 #: Counts start at this much on either side.
 START = 0.3
 #: Words a task learns from, words that are predicted together, and words of one step of learning.
@@ -85,10 +93,21 @@ def style_of(data: bytes) -> int:
     return 4 * accent + (2 if 12 * held[ord("!")] > len(b) else 3 if 20 * held[ord("|")] > len(b) else 0)
 
 
+def heads_of(tokens: list[bytes]) -> list[bytes]:
+    """Every token's head behind the end of the token before and a space; a short one ends in its own space.
+
+    The last token is the end of the text, whose head is empty here.
+    """
+    ends = [b" ", *[t[-HEAD:] + b" " for t in tokens[:-1]]]
+    heads = [t[:HEAD] if len(t) >= HEAD else t + b" " for t in tokens[:-1]]
+    return [*map(bytes.__add__, ends, heads), ends[-1]]
+
+
 def tokenised(docs: DataFrame, parts: int) -> DataFrame:
     """Rows of two kinds for each block: its texts (``part`` -1), and its words of one part of the vocabulary.
 
-    ``docs`` has ``doc_id``, ``held`` and ``text``. A word is written behind its style, the end as nothing behind it.
+    ``docs`` has ``doc_id``, ``held`` and ``text``. A word is written behind its kind and style, the end as nothing behind it,
+    and so is a head.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,17 +115,19 @@ def tokenised(docs: DataFrame, parts: int) -> DataFrame:
 
         def empty() -> tuple:
             number = count().__next__
-            return [defaultdict(number) for _ in range(STYLES)], [], []
+            words, heads = ([defaultdict(number) for _ in range(STYLES)] for _ in range(2))
+            return words, heads, [], []
 
-        words, texts, trained = empty()
+        words, heads, texts, trained = empty()
         total = 0
 
         def flush() -> pa.RecordBatch:
             keys, places = [], []
-            for style, own in enumerate(words):
-                mark = bytes([64 + style])
+            for style, (own, fronts) in enumerate(zip(words, heads)):
+                mark, front = bytes([REST + style]), bytes([FRONT + style])
                 keys += [mark if w == END else mark + w for w in own]
-                places += own.values()
+                keys += [front + h for h in fronts]
+                places += [*own.values(), *fronts.values()]
             idx = np.array(places, dtype=np.int64)
             n = np.bincount(np.concatenate(trained), minlength=len(keys))[idx] if trained else np.zeros(len(keys), dtype=np.int64)
             part = np.fromiter((zlib.crc32(k[1 : 1 + ALIKE]) % parts for k in keys), dtype=np.int64, count=len(keys))
@@ -140,15 +161,16 @@ def tokenised(docs: DataFrame, parts: int) -> DataFrame:
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 style, data = style_of(raw), raw.translate(_LOWER).split()
                 data.append(END)
-                ids = np.fromiter(map(words[style].__getitem__, data), dtype=np.uint32, count=len(data))
+                ids = [*map(words[style].__getitem__, data), *map(heads[style].__getitem__, heads_of(data))]
+                ids = np.array(ids, dtype=np.uint32)
                 own, times = np.unique(ids, return_counts=True)
                 texts.append((doc, held, style, len(own), np.concatenate([np.diff(own, prepend=np.uint32(0)), times]).astype(np.uint32)))
                 if not held:
                     trained.append(ids)
-                total += len(ids)
-                if total >= BLOCK_TOKENS or sum(map(len, words)) >= BLOCK_WORDS:
+                total += len(data)
+                if total >= BLOCK_TOKENS or sum(map(len, [*words, *heads])) >= BLOCK_WORDS:
                     yield flush()
-                    (words, texts, trained), total, serial = empty(), 0, serial + 1
+                    (words, heads, texts, trained), total, serial = empty(), 0, serial + 1
         if texts:
             yield flush()
 
@@ -156,7 +178,10 @@ def tokenised(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _united(group: pa.Table) -> pa.Table:
-    """A part of the vocabulary: its words in order, their training counts by style and over all styles."""
+    """A part of the vocabulary: its words in order, their training counts by style and over all styles.
+
+    Heads are no words: over all styles they count as -1.
+    """
     sums: dict[bytes, int] = {}
     for payload in group.column("payload").to_pylist():
         keys, _, n = _unpack(payload, bytes, np.uint32, np.uint32)
@@ -166,13 +191,14 @@ def _united(group: pa.Table) -> pa.Table:
     n = np.array([sums[k] for k in keys], dtype=np.int64)
     over: dict[bytes, int] = {}
     for key, times in zip(keys, n.tolist()):
-        over[key[1:]] = over.get(key[1:], 0) + times
-    c = np.array([over[k[1:]] for k in keys], dtype=np.int64)
+        if key[0] >= REST:
+            over[key[1:]] = over.get(key[1:], 0) + times
+    c = np.array([over[k[1:]] if k[0] >= REST else -1 for k in keys], dtype=np.int64)
     return pa.table(
         {
             "part": group.column("part").slice(0, 1),
             "payload": pa.array([_pack(keys, n, c)], pa.binary()),
-            "tokens": pa.array([int(n.sum())], pa.int64()),
+            "tokens": pa.array([int(n[c >= 0].sum())], pa.int64()),
             "known": pa.array([sum(x > 0 for x in over.values())], pa.int64()),
             "words": pa.array([len(keys)], pa.int64()),
         }
@@ -192,15 +218,15 @@ def _trained(batch: pa.RecordBatch, size: int) -> Iterator[tuple[list[bytes], np
 class Events:
     """The bits of a batch of words: what they are, their contexts' slots, and where in the word they stand.
 
-    A word is its style in one byte, then its bytes. Arrays have a row for each of a byte's eight bits and a column
-    for each byte; a byte behind the same bytes of the same style as in the word before shares that word's column.
+    A word is its kind and style in one byte, then its bytes. Bytes that only are context (of a head the end of the token
+    before, of a rest the head) have columns, too, but do not count. Arrays have a row for each of a byte's eight bits
+    and a column for each byte; a byte behind the same bytes of the same style as in the word before shares that word's column.
     """
 
     SHARED = 32
 
     def __init__(self, keys: list[bytes]):
-        # A word does not begin with a line feed, so that byte alone tells the end.
-        coded = [k + b" " if len(k) > 1 else k + END for k in keys]
+        coded = [self._coded(k) for k in keys]
         self.sizes = np.array([len(w) for w in coded]) - 1
         self.starts = np.cumsum(self.sizes) - self.sizes
         data = np.frombuffer(b"".join(coded), dtype=np.uint8)
@@ -208,6 +234,8 @@ class Events:
         inner[self.starts + np.arange(len(coded))] = False
         style, wide = data[~inner].astype(np.uint64), data[inner].astype(np.uint64)
         place = np.arange(len(wide)) - np.repeat(self.starts, self.sizes)
+        known = np.array([self._known(k) for k in keys])
+        self.live = place >= np.repeat(known, self.sizes)
         self.column, own = self._shared(coded, place)
         here, at = wide[own], place[own]
         word = np.repeat(np.arange(len(coded)), self.sizes)[own]
@@ -217,8 +245,8 @@ class Events:
             earlier = np.where(at >= back, wide[np.maximum(own - back, 0)] + np.uint64(1), np.uint64(0))
             history = history * np.uint64(257) + earlier
             if back in ORDERS:
-                known = history * np.uint64(16) + np.uint64(back)
-                contexts.append(mix(known + mark if back in STYLED else known))
+                last = history * np.uint64(16) + np.uint64(back)
+                contexts.append(mix(last + mark if back in STYLED else last))
         up, down = powers(len(wide))
         sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((wide + np.uint64(1)) * up)])
         first = self.starts[word]
@@ -228,7 +256,22 @@ class Events:
         self.bits = ((low[None, :] >> (7 - bit)) & 1).astype(np.float32)
         node = ((np.uint64(1) << bit.astype(np.uint64)) | (here[None, :] >> (8 - bit).astype(np.uint64))) * _GOLD
         self.slots = [(((c[None, :] + node) * _GOLD) >> np.uint64(44)).astype(np.int32) for c in contexts]
-        self.place = np.minimum(at, 7)[None, :] * 8 + bit
+        before = np.where(style < REST, known, 0)[word]
+        self.place = np.clip(at - before, 0, 7)[None, :] * 8 + bit
+
+    @staticmethod
+    def _coded(key: bytes) -> bytes:
+        """A key's bytes with what closes it: a space behind a word, a line feed (no word begins so) for the end."""
+        if FRONT <= key[0] < REST:
+            return key + END if key.index(b" ", 1) == len(key) - 1 else key
+        return key + b" " if len(key) > 1 else key + END
+
+    @staticmethod
+    def _known(key: bytes) -> int:
+        """How many bytes behind the first are context only; the rest of a word that its head holds whole is empty."""
+        if key[0] < FRONT:
+            return 0
+        return key.index(b" ", 1) if key[0] < REST else HEAD if len(key) > HEAD else len(key)
 
     def _shared(self, coded: list[bytes], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The column of every byte, and the byte that each column stands for first."""
@@ -246,11 +289,12 @@ class Events:
 
     def over_words(self, values: np.ndarray) -> np.ndarray:
         """Sums of per-bit values over each word."""
-        return np.add.reduceat(values.sum(axis=0, dtype=np.float64)[self.column], self.starts)
+        return np.add.reduceat(values.sum(axis=0, dtype=np.float64)[self.column] * self.live, self.starts)
 
     def per_bit(self, values: np.ndarray) -> np.ndarray:
         """For each column the sum of its words' values."""
-        return np.bincount(self.column, weights=np.repeat(values, self.sizes), minlength=self.bits.shape[1])[None, :]
+        weights = np.repeat(values, self.sizes) * self.live
+        return np.bincount(self.column, weights=weights, minlength=self.bits.shape[1])[None, :]
 
 
 def table_sums(vocabulary: DataFrame, tasks: int) -> np.ndarray:
@@ -465,7 +509,7 @@ def score(docs: DataFrame) -> DataFrame:
         order = np.concatenate([x[0] for x in got]).astype(np.int64)
         c, p = np.zeros(len(order)), np.zeros(len(order))
         c[order], p[order] = np.concatenate([x[1] for x in got]), np.concatenate([x[2] for x in got])
-        base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+        base = np.where(c < 0, 0, np.log10((np.maximum(c, 0) + 0.5) / (n + 0.5 * (v + 1))))
         payload = texts.column("payload")[0].as_py()
         ids, known, held, styles, sizes, bags = _unpack(payload, np.int64, np.uint8, np.uint8, np.uint8, np.int64, np.uint32)
         bags = bags.astype(np.int64)
@@ -474,7 +518,7 @@ def score(docs: DataFrame) -> DataFrame:
         for style, size in zip(styles.tolist(), sizes.tolist()):
             own, times = np.cumsum(bags[at : at + size]), bags[at + size : at + 2 * size]
             at += 2 * size
-            values = times.sum(), times[c[own] > 0].sum(), times @ base[own], style_cost[style] + times @ p[own]
+            values = times[c[own] >= 0].sum(), times[c[own] > 0].sum(), times @ base[own], style_cost[style] + times @ p[own]
             for column, value in zip(columns, values):
                 column.append(value.item())
         return pa.table(

@@ -103,3 +103,27 @@ def test_nothing_learned_and_no_rows(spark):
 def test_reruns_agree(spark):
     rows = [(i, prose(i, 80)) for i in range(30)]
     assert found(documents(spark, rows)) == found(documents(spark, rows))
+
+
+def test_order_of_words_counts(spark):
+    """Contexts reach across the space: a text scores better than the same words in another order."""
+    rng = random.Random(2)
+    chain = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta", "theta", "iota", "kappa", "of", "a"]
+    rows = [(i, " ".join(chain * 20)) for i in range(60)]
+    one, other = [i for i in range(1000, 1200) if held(i)][:2]
+    mixed = chain * 20
+    rng.shuffle(mixed)
+    got = found(documents(spark, [*rows, (one, " ".join(chain * 20)), (other, " ".join(mixed))]))
+    assert got[one]["base_score"] == pytest.approx(got[other]["base_score"])
+    assert got[one]["score"] > 0.5 * got[other]["score"]
+
+
+def test_heads_and_rests_make_the_whole_token():
+    """Every bit of every token is coded once, and what can follow the end of a token shares its probability."""
+    texts = [b"a", b"ab", b"abc", b"abcd", b"a\0b", "\u00e9t\u00e9".encode()]
+    heads = lm.heads_of([*texts, lm.END])
+    assert heads[0] == b" a " and heads[3] == b"bc ab" and heads[-1] == "\u00e9".encode() + b" "
+    fronts = lm.Events([bytes([lm.FRONT]) + h for h in heads])
+    rests = lm.Events([bytes([lm.REST]) + t for t in texts] + [bytes([lm.REST])])
+    bits = fronts.over_words(np.ones(fronts.bits.shape)) + rests.over_words(np.ones(rests.bits.shape))
+    assert bits.tolist() == [8 * (len(t) + 1) for t in texts] + [8]
