@@ -43,7 +43,7 @@ CONTEXTS = len(ORDERS) + 1
 STYLES = 64
 SLOTS = 1 << 20
 #: Bytes of a token's head, and of the end of the token before that its contexts see.
-HEAD = 2
+HEAD = 2  # heads_of packs them into one number
 #: Kinds of a key, in its first byte beside the style: a word coded whole, a head, and the rest of a word.
 WHOLE, FRONT, REST = 64, 128, 192
 #: Counts start at this much on either side.
@@ -93,14 +93,28 @@ def style_of(data: bytes) -> int:
     return 4 * accent + (2 if 12 * held[ord("!")] > len(b) else 3 if 20 * held[ord("|")] > len(b) else 0)
 
 
-def heads_of(tokens: list[bytes]) -> list[bytes]:
-    """Every token's head behind the end of the token before and a space; a short one ends in its own space.
+def heads_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct heads of a lower-cased text's tokens, the end included, as numbers, and how often they occur.
 
-    The last token is the end of the text, whose head is empty here.
+    A number has the last two bytes of the token before and the first two of the token; a missing one is a space.
     """
-    ends = [b" ", *[t[-HEAD:] + b" " for t in tokens[:-1]]]
-    heads = [t[:HEAD] if len(t) >= HEAD else t + b" " for t in tokens[:-1]]
-    return [*map(bytes.__add__, ends, heads), ends[-1]]
+    gap = np.ones(len(data) + 2, dtype=np.int8)
+    b = np.frombuffer(data, dtype=np.uint8)
+    gap[1:-1] = (b == 32) | ((b >= 9) & (b <= 13))
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    long, space = ends - starts > 1, np.full(1, 32, dtype=np.uint32)
+    b = np.append(b, np.uint8(32)).astype(np.uint32)
+    before = np.where(long, b[ends - 2], 32) << 8 | b[ends - 1]
+    head = b[starts] << 8 | np.where(long, b[starts + 1], 32)
+    empty = space << 8 | space
+    return np.unique(np.append(empty, before).astype(np.uint32) << 16 | np.append(head, empty).astype(np.uint32), return_counts=True)
+
+
+def head_key(number: int) -> bytes:
+    """A head behind the end of the token before and a space; a short one ends in its own space, that of the end is empty."""
+    data = number.to_bytes(4, "big")
+    return data[:2].strip(b" ") + b" " + (data[2:] if data[2] != 32 else b"")
 
 
 def tokenised(docs: DataFrame, parts: int) -> DataFrame:
@@ -116,20 +130,24 @@ def tokenised(docs: DataFrame, parts: int) -> DataFrame:
         def empty() -> tuple:
             number = count().__next__
             words, heads = ([defaultdict(number) for _ in range(STYLES)] for _ in range(2))
-            return words, heads, [], []
+            return words, heads, [], [], []
 
-        words, heads, texts, trained = empty()
+        words, heads, texts, trained, fronts = empty()
         total = 0
 
         def flush() -> pa.RecordBatch:
             keys, places = [], []
-            for style, (own, fronts) in enumerate(zip(words, heads)):
+            for style, (own, begun) in enumerate(zip(words, heads)):
                 mark, front = bytes([REST + style]), bytes([FRONT + style])
                 keys += [mark if w == END else mark + w for w in own]
-                keys += [front + h for h in fronts]
-                places += [*own.values(), *fronts.values()]
+                keys += [front + head_key(h) for h in begun]
+                places += [*own.values(), *begun.values()]
             idx = np.array(places, dtype=np.int64)
-            n = np.bincount(np.concatenate(trained), minlength=len(keys))[idx] if trained else np.zeros(len(keys), dtype=np.int64)
+            n = np.zeros(len(keys), dtype=np.int64)
+            if trained:
+                own, times = map(np.concatenate, zip(*fronts))
+                n = np.bincount(np.concatenate(trained), minlength=len(keys))
+                n = (n + np.bincount(own, weights=times, minlength=len(keys)).astype(np.int64))[idx]
             part = np.fromiter((zlib.crc32(k[1 : 1 + ALIKE]) % parts for k in keys), dtype=np.int64, count=len(keys))
             order = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=parts)).tolist()
@@ -159,18 +177,24 @@ def tokenised(docs: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             for doc, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                style, data = style_of(raw), raw.translate(_LOWER).split()
+                lower = raw.translate(_LOWER)
+                style, data = style_of(raw), lower.split()
                 data.append(END)
-                ids = [*map(words[style].__getitem__, data), *map(heads[style].__getitem__, heads_of(data))]
-                ids = np.array(ids, dtype=np.uint32)
+                ids = np.fromiter(map(words[style].__getitem__, data), dtype=np.uint32, count=len(data))
                 own, times = np.unique(ids, return_counts=True)
+                codes, often = heads_of(lower)
+                front = np.fromiter(map(heads[style].__getitem__, codes.tolist()), dtype=np.uint32, count=len(codes))
+                own, times = np.append(own, front), np.append(times, often)
+                order = np.argsort(own)
+                own, times = own[order], times[order]
                 texts.append((doc, held, style, len(own), np.concatenate([np.diff(own, prepend=np.uint32(0)), times]).astype(np.uint32)))
                 if not held:
                     trained.append(ids)
+                    fronts.append((front, often))
                 total += len(data)
                 if total >= BLOCK_TOKENS or sum(map(len, [*words, *heads])) >= BLOCK_WORDS:
                     yield flush()
-                    (words, heads, texts, trained), total, serial = empty(), 0, serial + 1
+                    (words, heads, texts, trained, fronts), total, serial = empty(), 0, serial + 1
         if texts:
             yield flush()
 
