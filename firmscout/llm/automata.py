@@ -7,11 +7,11 @@ counts and targets) are one as well. Word numbers are positive, 0 ends a row.
 
 from __future__ import annotations
 
-import io
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 from firmscout.llm.hashing import mix
 
@@ -145,21 +145,77 @@ class Transducer:
         return weight
 
     def dump(self) -> bytes:
-        out = io.BytesIO()
+        """A few bytes per level say how many numbers follow and how wide; labels ascend, so their steps are written."""
+        heads, values = [len(self.levels)], []
         for level in self.levels:
-            for values in (level.sizes, level.labels, level.weights, level.targets):
-                kind = np.min_scalar_type(int(values.max(initial=0)))
-                np.lib.format.write_array(out, values.astype(kind), allow_pickle=False)
-        return out.getvalue()
+            arrays = [level.sizes, _steps(level.labels, level.sizes), level.weights, level.targets]
+            widths = [_width(a) for a in arrays]
+            heads += [len(level.sizes), len(level.labels), int.from_bytes(bytes(widths), "little")]
+            values += [_planes(a, width) for a, width in zip(arrays, widths)]
+        head = np.array(heads, dtype="<u4").tobytes()
+        return head + pa.compress(b"".join(values), codec="zstd", asbytes=True)
 
     @classmethod
     def load(cls, data: bytes) -> Transducer:
-        source, levels = io.BytesIO(data), []
-        while source.tell() < len(data):
-            levels.append(Level(*[np.lib.format.read_array(source, allow_pickle=False).astype(np.int64) for _ in range(4)]))
+        if not data:
+            return cls([])
+        n_levels = int.from_bytes(data[:4], "little")
+        heads = np.frombuffer(data, dtype="<u4", count=3 * n_levels, offset=4).reshape(-1, 3).tolist()
+        sizes = [(n, w) for states, arcs, ws in heads for n, w in zip((states, arcs, arcs, arcs), ws.to_bytes(4, "little"))]
+        total = sum(n * w for n, w in sizes)
+        packed = memoryview(data)[4 + 12 * n_levels :]
+        values = pa.decompress(packed, decompressed_size=total, codec="zstd", asbytes=True)
+        arrays, at = [], 0
+        for n, width in sizes:
+            arrays.append(_of_planes(values[at : at + n * width], n, width))
+            at += n * width
+        levels = [Level(*arrays[i : i + 4]) for i in range(0, len(arrays), 4)]
+        for level in levels:
+            level.labels = _of_steps(level.labels, level.sizes)
         return cls(levels)
 
 
+def _width(values: np.ndarray) -> int:
+    """Bytes that the largest number takes; none if all are 0."""
+    return (int(values.max(initial=0)).bit_length() + 7) // 8
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """Numbers byte by byte of their places: the high ones are mostly alike."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _of_planes(data: bytes, n: int, width: int) -> np.ndarray:
+    whole = np.zeros((n, 8), dtype=np.uint8)
+    whole[:, :width] = np.frombuffer(data, dtype=np.uint8).reshape(width, n).T
+    return whole.view("<i8").ravel()
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers in ascending order, by their steps."""
+    steps = np.diff(values, prepend=0)
+    width = _width(steps)
+    return len(values).to_bytes(8, "little") + bytes([width]) + pa.compress(_planes(steps, width), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), data[8]
+    return np.cumsum(_of_planes(pa.decompress(data[9:], decompressed_size=n * width, codec="zstd", asbytes=True), n, width))
+
+
+def _steps(labels: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The labels of a state, which ascend, each less the one before it."""
+    steps = np.diff(labels, prepend=0)
+    begins = np.cumsum(sizes) - sizes
+    steps[begins] = labels[begins]
+    return steps
+
+
+def _of_steps(steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    sums, begins = np.cumsum(steps), np.cumsum(sizes) - sizes
+    return sums - np.repeat(sums[begins] - steps[begins], sizes)
+
+
 def _sums(values: np.ndarray, sizes: np.ndarray, came: tuple[np.ndarray, int]) -> np.ndarray:
     """Values summed by where they came from; most places got none."""
     places, n = came

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmscout.llm.automata import Transducer, prefixes, row_order, union
+from firmscout.llm.automata import Transducer, packed, prefixes, row_order, union, unpacked
 from firmscout.llm.common import parts_for, picked, staged
 from firmscout.llm.hashing import mix
 
@@ -217,7 +217,7 @@ def _number(key: tuple, asks: pa.Table, known: pa.Table) -> pa.Table:
     for shard, lang, words, places in zip(*(asks.column(c).to_pylist() for c in ("shard", "lang", "words", "places"))):
         numbers = np.array([ids[lang].get(w, 0) for w in words], dtype=np.uint32)
         if numbers.any():
-            out.append((shard, np.array(places, dtype=np.int64)[numbers > 0].tobytes(), numbers[numbers > 0].tobytes(), *[None] * 4))
+            out.append((shard, packed(np.array(places, dtype=np.int64)[numbers > 0]), _packed(numbers[numbers > 0]), *[None] * 4))
     if key[1].as_py() == 0:
         out += [(None, None, None, *row) for row in zip(*(known.column(c).to_pylist() for c in ("lang", "word", "f", "id")))]
     columns = list(zip(*out)) or [[]] * 7
@@ -257,7 +257,7 @@ def _renumber(shard: pa.Table, known: pa.Table) -> pa.Table:
     ids = _unpacked(shard.column("ids")[0].as_py())
     number = np.zeros(int(ids.max(initial=0)) + 1, dtype=np.uint32)
     for places, numbers in zip(known.column("places").to_pylist(), known.column("numbers").to_pylist()):
-        number[np.frombuffer(places, dtype=np.int64) + 1] = np.frombuffer(numbers, dtype=np.uint32)
+        number[unpacked(places) + 1] = _unpacked(numbers)
     ids = number[ids]
     ids = ids[(ids > 0) | np.r_[True, ids[:-1] > 0]]
     return pa.table({"shard": shard.column("shard"), "ids": pa.array([_packed(ids)], pa.binary())})
@@ -312,7 +312,7 @@ def _runs(buckets: int, salts: int, longest: int):
         if not left.num_rows or not right.num_rows:
             return pa.Table.from_batches([_cut(np.zeros((0, 2), np.int64), np.zeros(0, np.int64), 0, 1, 1)])
         ids = _unpacked(left.column("ids")[0].as_py()).astype(np.int64)
-        known = np.sort(np.concatenate([np.frombuffer(k, dtype=np.int64) for k in right.column("keys").to_pylist()]))
+        known = np.sort(np.concatenate([unpacked(k) for k in right.column("keys").to_pylist()]))
         keys = (ids[:-1] << 32) | ids[1:]
         linked = np.zeros(len(ids) + longest, dtype=bool)
         linked[: len(keys)] = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
@@ -389,7 +389,7 @@ def _reply(key: tuple, asks: pa.Table, united: pa.Table) -> pa.Table:
             asked = (rows[:, 0] << 32) | rows[:, 1]
             asked = asked[known[np.minimum(np.searchsorted(known, asked), len(known) - 1)] == asked]
             if len(asked):
-                out.append((shard, asked.tobytes(), None, None))
+                out.append((shard, packed(asked), None, None))
         if key[1].as_py() == 0:
             out += [(None, None, key[0].as_py(), automaton) for automaton in united.column("automaton").to_pylist()]
     columns = list(zip(*out)) or [[]] * 4

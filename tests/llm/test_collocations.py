@@ -9,7 +9,7 @@ import pytest
 from helpers import EDGES, documents, prose
 
 from firmscout.llm import collocations
-from firmscout.llm.automata import Transducer, prefixes, summed, union
+from firmscout.llm.automata import Transducer, packed, prefixes, summed, union, unpacked
 
 
 def brute(rows, least, longest, top, absorb=100):
@@ -114,3 +114,19 @@ def test_union_adds():
             total[tuple(row)] += n
     rows, counts = union([Transducer.build(*p).dump() for p in parts] + [b""])
     assert {tuple(r): n for r, n in zip(rows.tolist(), counts.tolist())} == total
+
+
+@pytest.mark.parametrize("numbers", [[], [0, 0, 7], [3, 70_000, 2**62]])
+def test_ascending_numbers_are_packed(numbers):
+    values = np.array(numbers, dtype=np.int64)
+    assert unpacked(packed(values)).tolist() == numbers
+
+
+def test_small_transducers_are_small():
+    """A shard has as many as there are owners: with more text they hold less each, and what is around them must not grow."""
+    one = Transducer.build(np.array([[5, 900], [5, 901], [70_000, 3]]), np.array([1, 2, 400]))
+    assert len(one.dump()) < 80
+    back, counts = Transducer.load(one.dump()).rows()
+    assert back.tolist() == [[5, 900], [5, 901], [70_000, 3]] and counts.tolist() == [1, 2, 400]
+    empty = Transducer.build(np.zeros((0, 2), dtype=np.int64), np.zeros(0, dtype=np.int64))
+    assert not Transducer.load(empty.dump()).levels
