@@ -14,9 +14,16 @@ from pyspark.sql import functions as F
 #: Places of a filter, a byte each. Of other keys the share that the filter is full passes: a fortieth at 100,000 keys, a
 #: fifth at a million; set it to some twenty times the keys that are expected.
 PLACES = 1 << 22
+#: Bounds where the keys are counted.
+LEAST_PLACES, MOST_PLACES = 1 << 16, 1 << 24
 WORD = 64
 
 
+def places_for(n_keys: int) -> int:
+    """Places for a counted set: some twenty for each key, between the two bounds."""
+    return min(MOST_PLACES, max(LEAST_PLACES, 1 << (20 * n_keys).bit_length()))
+
+
 def key_bits(keys: DataFrame, key: str, places: int = PLACES) -> Column:
     """The filter of ``keys[key]``, as a scalar subquery; null and repeated keys are fine.
 

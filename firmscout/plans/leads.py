@@ -20,7 +20,7 @@ from firmscout.functions.sectors import sector_of
 from firmscout.functions.text import blank, is_active, postal_code, status_label, yes_no
 from firmscout.operators import filters, lookups
 from firmscout.operators.joins import ORDER, attach, stage
-from firmscout.operators.keyfilter import may_match
+from firmscout.operators.keyfilter import key_bits, may_hold, may_match, places_for
 from firmscout.operators.quality import REASON, apply_policy, place_reason, reject_reason
 from firmscout.plans.params import LeadParams
 
@@ -134,6 +134,34 @@ def narrowed_places(registry: Registry, params: LeadParams) -> Registry:
     return replace(registry, establishment=establishment, address=may_match(registry.address, establishment, number, places=PLACE_KEYS))
 
 
+def cut_down(registry: Registry, params: LeadParams) -> Registry:
+    """The registry with only the rows that leads may be made from; a run over it has the same leads.
+
+    Starts jobs: the eligible enterprises are computed once, written and counted, and key filters made from what was
+    written are tested in the scans of all other tables, so that nothing else is sorted or shuffled. The owner of an
+    establishment is the one its last row names, so all rows of those that any eligible enterprise ever had are kept for it.
+    """
+    number, enterprise = "establishment_number", stage(eligible(registry, params))
+    keys = places_for(enterprise.count())
+    theirs = may_match(registry.establishment, enterprise, KEY, places=keys)
+    mine, places = key_bits(enterprise, KEY, keys), min(PLACE_KEYS, 16 * keys)
+    held = key_bits(theirs, number, places)
+    cut = {"enterprise": enterprise, "establishment": theirs}
+    if registry.address is not None:
+        cut["address"] = registry.address.where(may_hold(held, F.col(number), places))
+    for table in ("activity", "denomination"):
+        rows = getattr(registry, table)
+        if rows is not None and not (table == "activity" and params.lite):
+            cut[table] = rows.where(may_hold(mine, F.col(KEY), keys))
+    if registry.contact is not None:
+        entity = F.col("entity_number")
+        cut["contact"] = registry.contact.where(may_hold(mine, entity, keys) | may_hold(held, entity, places))
+        if registry.owner is None:
+            once_theirs = registry.establishment.where(may_hold(held, F.col(number), places))
+            cut["owner"] = lookups.establishment_owner(once_theirs)
+    return replace(registry, **cut)
+
+
 def candidates(registry: Registry, params: LeadParams, how: str = "left", narrow: bool = False) -> DataFrame:
     """Active, dated, young enough and in the region and city asked for; ``narrow`` cuts down what they are joined with.
 

@@ -62,7 +62,7 @@ def leads_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan.build_leads(registry(spark, sf_dir), params())
+    return plan.build_leads(plan.cut_down(registry(spark, sf_dir), params()), params())
 
 
 @query

@@ -8,7 +8,7 @@ from firmscout.functions.dates import parse_date
 from firmscout.operators import filters, joins, lookups, mapping, rules
 from firmscout.operators.dedupe import DEDUPE_KEY
 from firmscout.operators.joins import ORDER
-from firmscout.operators.keyfilter import key_bits, may_hold, may_match
+from firmscout.operators.keyfilter import LEAST_PLACES, MOST_PLACES, key_bits, may_hold, may_match, places_for
 from firmscout.operators.seen import SeenKeys
 from firmscout.plans import leads, snapshots
 from firmscout.plans.params import LeadParams
@@ -269,3 +269,39 @@ def test_identifiers_of_one_and_of_several_columns(spark, table):
     columns = ["enterprise_number", "entity_number"]
     two = table([dict(zip(columns, v)) for v in ((" ", "1"), (None, "2"), ("x", "3"), ("4", None))], columns)
     assert [r["enterprise_number"] for r in mapping.map_activity(two).orderBy(ORDER).collect()] == ["1", "2", "", "4"]
+
+
+# Runs over tables cut down first
+
+
+def test_a_run_over_cut_down_tables_has_the_same_leads(spark, table):
+    """Also a contact of an establishment whose last row names another enterprise than its first one."""
+    enterprise = table(
+        [{"enterprise_number": str(i), "status": "AC" if i % 10 == 0 else "IN", "start_date": "2026-01-01", "postal_code": "9400"} for i in range(300)],
+        ["enterprise_number", "name", "status", "start_date", "postal_code", "city", "address", "website"],
+    )
+    places = [{"enterprise_number": str(i), "establishment_number": f"9{i}"} for i in range(300)]
+    places += [{"enterprise_number": "1", "establishment_number": "910"}, {"enterprise_number": "20", "establishment_number": "921"}]
+    establishment = table(places, ["enterprise_number", "establishment_number", "address", "postal_code", "city"])
+    address = table([{"establishment_number": f"9{i}", "address": f"Road {i}", "city": "Ninove"} for i in range(300)], ["establishment_number", "address", "postal_code", "city"])
+    contacts = [{"entity_number": f"9{i}", "entity_contact": "EST", "contact_type": "TEL", "value": f"tel {i}"} for i in range(300)]
+    contacts += [{"entity_number": str(i), "contact_type": "EMAIL", "value": f"{i}@x"} for i in range(300)] + [{"value": "nobody's"}]
+    contact = table(contacts, ["entity_number", "entity_contact", "contact_type", "value", "phone", "email", "website"])
+    names = table([{"enterprise_number": str(i), "denomination": f"D{i}"} for i in range(300)], ["enterprise_number", "denomination", "type", "language"])
+    codes = table([{"enterprise_number": str(i), "nace_code": f"96{i}"} for i in range(300)] * 2, ["enterprise_number", "nace_code"])
+    registry = leads.Registry(enterprise, establishment, address, codes, contact, names, snapshot="t")
+    params = LeadParams(date(2026, 6, 1), min_score=0, limit=0)
+    cut = leads.cut_down(registry, params)
+    expected = leads.build_leads(registry, params).collect()
+    assert leads.build_leads(cut, params).collect() == expected and len(expected) == 30
+    phones = {r["enterprise_number"]: r["phone"] for r in expected}
+    assert phones["10"] == "" and phones["20"] == "tel 20"
+    assert cut.enterprise.count() == 30
+    for name in ("establishment", "address", "activity", "contact", "denomination"):
+        assert getattr(cut, name).count() < getattr(registry, name).count() / 4, name
+    lite = params.but(lite=True)
+    assert leads.build_leads(leads.cut_down(registry, lite), lite).collect() == leads.build_leads(registry, lite).collect()
+
+
+def test_places_of_a_filter_follow_the_count():
+    assert [places_for(n) for n in (0, 100_000, 400_000, 10**9)] == [LEAST_PLACES, 1 << 21, 1 << 23, MOST_PLACES]
