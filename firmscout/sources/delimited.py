@@ -55,6 +55,22 @@ def find_delimiter(line: str, fallback: str = DEFAULT_DELIMITER) -> str:
     return best if widths[best] > 1 else fallback
 
 
+def _lines_by_file(lines: DataFrame) -> DataFrame:
+    """Per file its first line with text, and whether any line is not UTF-8 or leaves a quote open.
+
+    A set, always empty, makes this an object hash aggregate: a task reads few files, and no line is sorted by them.
+    """
+    value = F.col("value")
+    quotes = F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))
+    open_quote = (quotes % 2 == 1) & value.rlike(OPENING)
+    return lines.groupBy("file").agg(
+        F.min_by("value", F.when(F.col("block") == 0, F.col("place"))).alias("line"),
+        F.bool_or(~F.is_valid_utf8(value)).alias("latin"),
+        F.bool_or(open_quote).alias("broken"),
+        F.collect_set(F.lit(None).cast("int")).alias("unsorted"),
+    )
+
+
 def file_shapes(spark: SparkSession, path: str, whole: bool = True) -> dict[Shape, list[str] | None]:
     """The ways the files of a table must be read, with the files of each; None means all files.
 
@@ -74,12 +90,7 @@ def file_shapes(spark: SparkSession, path: str, whole: bool = True) -> dict[Shap
     )
     if not whole:
         lines = lines.where("block = 0 AND place IS NOT NULL")
-    quotes = F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))
-    open_quote = (quotes % 2 == 1) & value.rlike(OPENING)
-    first = F.min_by("value", F.when(F.col("block") == 0, F.col("place")))
-    per_file = lines.groupBy("file").agg(
-        first.alias("line"), F.bool_or(~F.is_valid_utf8(value)).alias("latin"), F.bool_or(open_quote).alias("broken")
-    )
+    per_file = _lines_by_file(lines)
     line = F.when(F.is_valid_utf8("line"), F.col("line")).otherwise(F.decode(F.col("line").cast("binary"), LATIN1))
     per_file = per_file.where(F.col("line").isNotNull()).withColumn("line", line)
     kinds = per_file.groupBy("line", "latin", "broken").agg(F.count("*").alias("files"), F.min("file").alias("one")).collect()

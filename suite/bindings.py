@@ -59,7 +59,12 @@ def ordered(df: DataFrame, first: str, *rest: str, bits: int = 16) -> Column:
     return F.struct(F.shiftright(F.col(first), bits).alias("chunk"), F.col(first), *rest).alias(ORDER)
 
 
-def raw_enterprise(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sorted_if(in_order: bool, df: DataFrame, *keys: str) -> DataFrame:
+    """Rows in the order of ``_ord`` if asked for: sorted by the narrow keys it is made from, before texts are built."""
+    return df.orderBy(*keys) if in_order else df
+
+
+def raw_enterprise(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
     key = F.col("c_custkey")
     start = F.col("o_orderdate")
     iso = F.date_format(start, "yyyy-MM-dd")
@@ -82,6 +87,7 @@ def raw_enterprise(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     joined = table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_orderkey"))
     joined = joined.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = sorted_if(in_order, joined, "c_custkey")
     return joined.select(
         dotted("0", key).alias("EnterpriseNumber"),
         blank_if(key % 3 == 0, F.col("c_name")).alias("Denomination"),
@@ -94,9 +100,9 @@ def raw_enterprise(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_establishment(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_establishment(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
     key, owner = F.col("o_orderkey"), F.col("o_custkey")
-    orders = table(spark, sf_dir, "orders")
+    orders = sorted_if(in_order, table(spark, sf_dir, "orders"), "o_orderkey")
     return orders.select(
         blank_if(owner % 11 == 4, dotted("0", owner)).alias("EnterpriseNumber"),
         dotted("2.", key).alias("EstablishmentNumber"),
@@ -106,15 +112,19 @@ def raw_establishment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+
+
 def line_order(df: DataFrame) -> Column:
-    return ordered(df, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    return ordered(df, *LINE_KEYS)
 
 
-def raw_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_address(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     places = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     lines = table(spark, sf_dir, "lineitem").join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+    lines = sorted_if(in_order, lines, *LINE_KEYS)
     code = (F.col("s_nationkey") + 9400).cast("string")
     return lines.select(
         blank_if(F.col("l_orderkey") % 4 == 0, dotted("2.", F.col("l_orderkey"))).alias("EntityNumber"),
@@ -132,8 +142,8 @@ def owned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def raw_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = owned_lines(spark, sf_dir)
+def raw_activity(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
+    lines = sorted_if(in_order, owned_lines(spark, sf_dir), *LINE_KEYS)
     code = F.concat(pick(CODE_HEADS, F.col("l_partkey")), pick(CODE_TAILS, F.col("l_suppkey")))
     return lines.select(
         dotted("0", F.col("o_custkey")).alias("EnterpriseNumber"),
@@ -142,11 +152,11 @@ def raw_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_contact(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
     event, kind = F.col("event_id"), F.col("event_type")
     of_place = kind.isin("click", "view")
     wide = kind == "signup"
-    events = table(spark, sf_dir, "events")
+    events = sorted_if(in_order, table(spark, sf_dir, "events"), "event_id")
     owner_flag = (
         F.when(kind == "click", "EST").when(kind == "view", "vestiging").when(wide, "").otherwise("ENT")
     )
@@ -171,9 +181,10 @@ def raw_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_denomination(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_denomination(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     lines = owned_lines(spark, sf_dir).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = sorted_if(in_order, lines, *LINE_KEYS)
     name_type = F.when(F.col("l_returnflag") == "N", "001").when(F.col("l_returnflag") == "R", "002").otherwise("003")
     return lines.select(
         dotted("0", F.col("o_custkey")).alias("EntityNumber"),
@@ -194,9 +205,9 @@ RAW_TABLES = {
 }
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw table under canonical column names."""
-    return canonical_columns(RAW_TABLES[name](spark, sf_dir))
+def raw(spark: SparkSession, sf_dir: str, name: str, in_order: bool = False) -> DataFrame:
+    """One raw table under canonical column names, sorted by ``_ord`` if asked for."""
+    return canonical_columns(RAW_TABLES[name](spark, sf_dir, in_order))
 
 
 def registry(spark: SparkSession, sf_dir: str, *tables: str) -> Registry:

@@ -534,7 +534,7 @@ def _snapshot(spark: SparkSession, sf_dir: str, *tables: str) -> str:
     """The bound tables as delimited files, in file order, in the dated folder of a new snapshot folder."""
     parent = _scratch(spark, "snapshot").removesuffix(".csv")
     for name in tables:
-        rows = raw(spark, sf_dir, name).orderBy(ORDER).drop(ORDER)
+        rows = raw(spark, sf_dir, name, in_order=True).drop(ORDER)
         write_delimited(rows, f"{parent}/{bindings.SNAPSHOT}/{TABLE_FILES[name][0]}", delimiter=";")
     return parent
 
@@ -550,7 +550,7 @@ def leads_from_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     parent = _snapshot(spark, sf_dir, *TABLE_FILES)
     tables = load_snapshot(spark, parent, work_dir=f"{parent}-work")
     out = _scratch(spark, "leads")
-    export_leads(plan.lead_rows(tables, params()), out)
+    export_leads(plan.lead_rows(plan.cut_down(tables, params()), params()), out)
     return _read_leads(spark, out)
 
 
@@ -560,7 +560,7 @@ def leads_from_snapshot_no_contacts(spark: SparkSession, sf_dir: str) -> DataFra
     parent = _snapshot(spark, sf_dir, "enterprise", "establishment", "address", "activity")
     empty = f"{parent}/{bindings.SNAPSHOT}/{TABLE_FILES['denomination'][0]}"
     spark.createDataFrame([], "value string").write.text(empty)
-    return plan.build_leads(load_snapshot(spark, parent), params())
+    return plan.build_leads(plan.cut_down(load_snapshot(spark, parent), params()), params())
 
 
 @query

@@ -12,10 +12,10 @@ from firmscout.operators.keyfilter import LEAST_PLACES, MOST_PLACES, key_bits, m
 from firmscout.operators.seen import SeenKeys
 from firmscout.plans import leads, snapshots
 from firmscout.plans.params import LeadParams
-from firmscout.sources import sink
+from firmscout.sources import delimited, sink
 from firmscout.sources.sink import export_run
 from firmscout.sources.snapshot import load_snapshot, load_snapshots
-from suite import queries
+from suite import bindings, queries
 
 REGION = LeadParams(date(2026, 6, 1), postcodes=("9400",), min_score=0, limit=0)
 
@@ -271,7 +271,7 @@ def test_identifiers_of_one_and_of_several_columns(spark, table):
     assert [r["enterprise_number"] for r in mapping.map_activity(two).orderBy(ORDER).collect()] == ["1", "2", "", "4"]
 
 
-# Runs over tables cut down first
+# Runs over tables cut down first, and narrow sorts of what is written as text
 
 
 def test_a_run_over_cut_down_tables_has_the_same_leads(spark, table):
@@ -305,3 +305,18 @@ def test_a_run_over_cut_down_tables_has_the_same_leads(spark, table):
 
 def test_places_of_a_filter_follow_the_count():
     assert [places_for(n) for n in (0, 100_000, 400_000, 10**9)] == [LEAST_PLACES, 1 << 21, 1 << 23, MOST_PLACES]
+
+
+@pytest.mark.parametrize("name", bindings.RAW_TABLES)
+def test_rows_are_sorted_before_their_texts_are_built(spark, name):
+    rows = bindings.raw(spark, "/root/testdata/sf0.001", name, in_order=True)
+    assert [r[ORDER] for r in rows.collect()] == [r[ORDER] for r in rows.orderBy(ORDER).collect()]
+    sorts = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Sort [" in line]
+    assert len(sorts) == 1 and "_ord#" not in sorts[0]
+
+
+def test_lines_are_not_sorted_by_their_file(spark):
+    lines = spark.createDataFrame([("f", 0, "a;b", 1), ("f", 0, 'x;"y', 2)], "file string, block long, value string, place long")
+    found = delimited._lines_by_file(lines)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [(r["line"], r["latin"], r["broken"]) for r in found.collect()] == [("a;b", False, True)]
