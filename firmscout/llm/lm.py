@@ -239,6 +239,20 @@ def _trained(batch: pa.RecordBatch, size: int) -> Iterator[tuple[list[bytes], np
             yield [keys[i] for i in part.tolist()], n[part].astype(np.float64)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The same, parts of the vocabulary put together until there are ``size`` words."""
+    keys, times = [], []
+    for batch in batches:
+        for own, n in _trained(batch, size):
+            keys += own
+            times.append(n)
+            if len(keys) >= size:
+                yield keys, np.concatenate(times)
+                keys, times = [], []
+    if keys:
+        yield keys, np.concatenate(times)
+
+
 class Events:
     """The bits of a batch of words: what they are, their contexts' slots, and where in the word they stand.
 
@@ -311,6 +325,10 @@ class Events:
             root[at] = np.maximum.accumulate(np.where(new[at], at, 0))
         return (np.cumsum(new) - 1)[root], np.flatnonzero(new)
 
+    def sides(self, k: int) -> np.ndarray:
+        """Where the counts of the bits that came stand in a context's slots."""
+        return self.slots[k] * 2 + self.bits.astype(np.int32)
+
     def over_words(self, values: np.ndarray) -> np.ndarray:
         """Sums of per-bit values over each word."""
         return np.add.reduceat(values.sum(axis=0, dtype=np.float64)[self.column] * self.live, self.starts)
@@ -326,23 +344,20 @@ def table_sums(vocabulary: DataFrame, tasks: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = None
-        for batch in batches:
-            for keys, times in _trained(batch, BATCH):
-                events = Events(keys)
-                weight = np.broadcast_to(events.per_bit(times), events.bits.shape).ravel()
-                one = (weight * events.bits.ravel()) > 0
-                if sums is None:
-                    sums = np.zeros((CONTEXTS, 2, SLOTS), dtype=np.float32)
-                for k, slots in enumerate(events.slots):
-                    slots = slots.ravel()
-                    sums[k, 1] += np.bincount(slots[one], weights=weight[one], minlength=SLOTS)
-                    sums[k, 0] += np.bincount(slots[~one], weights=weight[~one], minlength=SLOTS)
+        # A count of a batch runs over all slots, so a batch is many words.
+        for keys, times in _gathered(batches, BATCH):
+            events = Events(keys)
+            weight = np.broadcast_to(events.per_bit(times), events.bits.shape).ravel()
+            if sums is None:
+                sums = np.zeros((CONTEXTS, SLOTS, 2), dtype=np.float32)
+            for k in range(CONTEXTS):
+                sums[k] += np.bincount(events.sides(k).ravel(), weights=weight, minlength=2 * SLOTS).reshape(SLOTS, 2)
         if sums is not None:
             packer = zstandard.ZstdCompressor(level=1)
             for k in range(CONTEXTS):
                 for side in range(2):
                     yield pa.RecordBatch.from_pydict(
-                        {"part": pa.array([2 * k + side], pa.int32()), "sums": pa.array([packer.compress(sums[k, side].tobytes())], pa.binary())}
+                        {"part": pa.array([2 * k + side], pa.int32()), "sums": pa.array([packer.compress(sums[k, :, side].tobytes())], pa.binary())}
                     )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,6 +388,41 @@ def table_sums(vocabulary: DataFrame, tasks: int) -> np.ndarray:
     return out
 
 
+class Odds:
+    """What the mixer takes from the counts, for all slots at once: log odds of every context, levels of two of them.
+
+    There are fewer slots than bits to predict. With ``less`` a slot has a value for either bit that may come, as that much
+    is taken off its count.
+    """
+
+    LEVELLED = (3, CONTEXTS - 1)
+
+    def __init__(self, tables: np.ndarray, less: float):
+        self.less = less
+        shape = (CONTEXTS, SLOTS, 2) if less else (CONTEXTS, SLOTS)
+        self.odds = np.empty(shape, dtype=np.float32)
+        self.levels = {k: np.empty(shape[1:], dtype=np.int8) for k in self.LEVELLED}
+        for k in range(CONTEXTS):
+            for bit in (0, 1) if less else (None,):
+                zero, one = tables[k, :, 0], tables[k, :, 1]
+                if bit is not None:
+                    zero, one = np.maximum(zero - less * (1 - bit), 0), np.maximum(one - less * bit, 0)
+                at = (..., bit) if less else ...
+                self.odds[k][at] = np.log((one + START) / (zero + START))
+                if k in self.levels:
+                    self.levels[k][at] = np.searchsorted(LEVELS, zero + one)
+
+    def of(self, events: Events) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+        """Log odds of all contexts at every bit, and the levels."""
+        odds, levels = np.empty((CONTEXTS, *events.bits.shape), dtype=np.float32), {}
+        for k in range(CONTEXTS):
+            at = events.sides(k) if self.less else events.slots[k]
+            np.take(self.odds[k].ravel(), at, out=odds[k], mode="clip")  # all are within; otherwise take buffers its output
+            if k in self.levels:
+                levels[k] = self.levels[k].ravel()[at].astype(np.intp)
+        return odds, levels
+
+
 class Mixer:
     """Gated weights over the contexts' log odds and an adaptive map of the result."""
 
@@ -381,22 +431,13 @@ class Mixer:
         self.hits = np.zeros((len(LEVELS) + 1, STEPS, 2)) if hits is None else hits
         self.moments = [np.zeros(w.shape) for w in self.weights]
 
-    def inputs(self, tables: np.ndarray, events: Events, less: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def inputs(self, tables: np.ndarray | Odds, events: Events, less: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log odds of all contexts, the first gate and the level of the word context.
 
-        ``less`` is taken off the counts of the bit that came.
+        ``less`` is taken off the counts of the bit that came. ``tables`` are counts, or the ``Odds`` of counts and ``less``.
         """
-        odds = np.empty((CONTEXTS, *events.bits.shape), dtype=np.float32)
-        levels = {}
-        for k, slots in enumerate(events.slots):
-            held = tables[k][slots]
-            zero, one = held[..., 0], held[..., 1]
-            if less:
-                one = np.maximum(one - less * events.bits, 0)
-                zero = np.maximum(zero - less * (1 - events.bits), 0)
-            odds[k] = np.log((one + START) / (zero + START))
-            if k in (3, CONTEXTS - 1):
-                levels[k] = np.searchsorted(LEVELS, zero + one)
+        known = tables if isinstance(tables, Odds) else Odds(tables, less)
+        odds, levels = known.of(events)
         word = levels[CONTEXTS - 1]
         return odds, word * (len(LEVELS) + 1) + levels[3], word
 
@@ -411,7 +452,7 @@ class Mixer:
     def step_of(mixed: np.ndarray) -> np.ndarray:
         return np.rint((np.clip(mixed, -REACH, REACH) + REACH) * ((STEPS - 1) / (2 * REACH))).astype(np.int32)
 
-    def learn(self, tables: np.ndarray, events: Events, weight: np.ndarray) -> None:
+    def learn(self, tables: np.ndarray | Odds, events: Events, weight: np.ndarray) -> None:
         """One online step over a batch; every token is predicted as if it had occurred once less."""
         odds, gate, word = self.inputs(tables, events, 1.0)
         gates = gate, events.place
@@ -436,7 +477,7 @@ class Mixer:
         centre = 1 / (1 + np.exp(-np.linspace(-REACH, REACH, STEPS)))
         return (self.hits[..., 1] + 20 * centre) / (self.hits[..., 0] + 20)
 
-    def scores(self, tables: np.ndarray, events: Events, refined: np.ndarray) -> np.ndarray:
+    def scores(self, tables: np.ndarray | Odds, events: Events, refined: np.ndarray) -> np.ndarray:
         """The log10 probability of every token."""
         odds, gate, word = self.inputs(tables, events, 0.0)
         mixed = self.mixed(odds, (gate, events.place))
@@ -452,11 +493,11 @@ def learned(vocabulary: DataFrame, tables, tasks: int) -> Mixer:
     sizes = [n * CONTEXTS for n in GATES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, tokens = Mixer(), 0.0
+        mixer, tokens, odds = Mixer(), 0.0, None
         for batch in batches:
             for keys, counts in _trained(batch, STEP):
-                events = Events(keys)
-                mixer.learn(tables.value, events, events.per_bit(counts))
+                events, odds = Events(keys), odds or Odds(tables.value, 1.0)
+                mixer.learn(odds, events, events.per_bit(counts))
                 tokens += counts.sum()
         if tokens:
             flat = np.concatenate([*[w.ravel() for w in mixer.weights], mixer.hits.ravel()]).astype(np.float64)
@@ -482,10 +523,12 @@ def scored_words(vocabulary: DataFrame, tables, mixer: Mixer) -> DataFrame:
     refined = mixer.refined()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        odds = None
         for batch in batches:
             for part, payload in zip(batch.column("part").to_pylist(), batch.column("payload").to_pylist()):
+                odds = odds or Odds(tables.value, 0.0)
                 keys, _, c = _unpack(payload, bytes, np.int64, np.int64)
-                p = [mixer.scores(tables.value, Events(keys[i : i + BATCH]), refined) for i in range(0, len(keys), BATCH)]
+                p = [mixer.scores(odds, Events(keys[i : i + BATCH]), refined) for i in range(0, len(keys), BATCH)]
                 packed = _pack(keys, c, np.concatenate(p))
                 yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "payload": pa.array([packed], pa.binary())})
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import EDGES, documents, prose
 
@@ -131,3 +132,32 @@ def test_heads_and_rests_make_the_whole_token():
     rests = lm.Events([bytes([lm.REST]) + t for t in texts] + [bytes([lm.REST])])
     bits = fronts.over_words(np.ones(fronts.bits.shape)) + rests.over_words(np.ones(rests.bits.shape))
     assert bits.tolist() == [8 * (len(t) + 1) for t in texts] + [8]
+
+
+def test_odds_of_slots_are_those_of_single_bits():
+    """What the mixer looks up per slot is what the counts of each bit's slot say."""
+    rng = np.random.default_rng(3)
+    tables = rng.integers(0, 70, (lm.CONTEXTS, lm.SLOTS, 2)).astype(np.float32)
+    events = lm.Events(sorted(b"@" + w.encode() for w in set(prose(4, 300).split())))
+    for less in (0.0, 1.0):
+        odds, gate, word = lm.Mixer().inputs(lm.Odds(tables, less), events, less)
+        levels = []
+        for k, slots in enumerate(events.slots):
+            zero, one = tables[k][slots][..., 0], tables[k][slots][..., 1]
+            zero, one = np.maximum(zero - less * (1 - events.bits), 0), np.maximum(one - less * events.bits, 0)
+            assert (odds[k] == np.log((one + lm.START) / (zero + lm.START))).all()
+            levels.append(np.searchsorted(lm.LEVELS, zero + one))
+        assert (word == levels[-1]).all() and (gate == levels[-1] * (len(lm.LEVELS) + 1) + levels[3]).all()
+
+
+def test_small_parts_are_counted_together():
+    """A count runs over all slots, so it is not made for every part of the vocabulary."""
+    parts = [([b"@" + w.encode() for w in prose(k, 40).split()], k) for k in range(12)]
+    batches = [
+        pa.RecordBatch.from_pydict({"part": [k], "payload": [lm._pack(sorted(set(words)), np.ones(len(set(words)), dtype=np.int64), np.zeros(0))]})
+        for words, k in parts
+    ]
+    got = list(lm._gathered(iter(batches), 1000))
+    assert len(got) == 1 and got[0][0] == [w for words, _ in parts for w in sorted(set(words))]
+    assert len(got[0][1]) == len(got[0][0]) and (got[0][1] == 1).all()
+    assert [len(k) for k, _ in lm._gathered(iter(batches), 60)][:-1] >= [60]
