@@ -1,6 +1,6 @@
 """One row per key: addresses, owners, primary establishments, contacts, names, codes.
 
-All but the code list are ``min_by`` / ``max_by`` aggregates, which combine
+All but the code list are a minimum or maximum of order and value, which combine
 map-side: a key with a third of all rows sends one row per input task. The row
 order inside a table is its ``_ord``.
 
@@ -39,6 +39,24 @@ def _rank(column: str, ranks: dict[str, int], default: int):
     return F.coalesce(*tests, F.lit(default))
 
 
+def _paired(order: Column, value: Column) -> Column:
+    """A value behind what decides about it: one minimum or maximum of both costs less than one that ``min_by`` keeps in step.
+
+    Equal orders are decided by the value, so by no partitioning.
+    """
+    return F.when(order.isNotNull(), F.struct(order.alias("order"), value.alias("value")))
+
+
+def first_by(value: Column, order: Column) -> Column:
+    """The value of the least ``order``, of rows that have one."""
+    return F.min(_paired(order, value))["value"]
+
+
+def last_by(value: Column, order: Column) -> Column:
+    """The value of the greatest ``order``, of rows that have one."""
+    return F.max(_paired(order, value))["value"]
+
+
 def is_address() -> Column:
     """Whether an address row has a key and says at least a street or a postcode."""
     useful = F.col("address").isNotNull() | F.col("postal_code").isNotNull()
@@ -48,7 +66,7 @@ def is_address() -> Column:
 def latest_address(address: DataFrame) -> DataFrame:
     """Per establishment the last address row in file order."""
     last = address.groupBy("establishment_number").agg(
-        F.max_by(F.struct(*ADDRESS_COLUMNS), F.when(is_address(), F.col(ORDER))).alias("_last")
+        last_by(F.struct(*ADDRESS_COLUMNS), F.when(is_address(), F.col(ORDER))).alias("_last")
     )
     found = last.where(F.col("_last").isNotNull())
     return found.select("establishment_number", *[F.col(f"_last.{c}").alias(c) for c in ADDRESS_COLUMNS])
@@ -72,7 +90,7 @@ def primary_establishment(establishment: DataFrame) -> DataFrame:
     preference = F.struct(F.col("postal_code").isNull(), F.col("address").isNull(), F.col(ORDER))
     columns = ["establishment_number", *ADDRESS_COLUMNS]
     owned = F.when(F.col("enterprise_number") != "", preference)
-    best = establishment.groupBy("enterprise_number").agg(F.min_by(F.struct(*columns), owned).alias("_best"))
+    best = establishment.groupBy("enterprise_number").agg(first_by(F.struct(*columns), owned).alias("_best"))
     return best.where(F.col("_best").isNotNull()).select(
         "enterprise_number",
         F.col("_best.establishment_number").alias("establishment_number"),
@@ -86,7 +104,7 @@ def establishment_owner(establishment: DataFrame) -> DataFrame:
     """Per establishment the enterprise named by its last row."""
     known = (F.col("establishment_number") != "") & (F.col("enterprise_number") != "")
     last = establishment.groupBy("establishment_number").agg(
-        F.max_by("enterprise_number", F.when(known, F.col(ORDER))).alias("enterprise_number")
+        last_by(F.col("enterprise_number"), F.when(known, F.col(ORDER))).alias("enterprise_number")
     )
     return last.where(F.col("enterprise_number").isNotNull())
 
@@ -109,12 +127,12 @@ def contact_values(contact: DataFrame) -> DataFrame:
         of_establishment.alias("of_establishment"),
         *[c.alias(name) for name, c in values.items()],
         ORDER,
-    ).where(F.col("entity_number") != "")
+    )
 
 
 def resolve_contacts(contact: DataFrame, establishment: DataFrame) -> DataFrame:
     """Each contact row with the enterprise it belongs to; rows without one are dropped."""
-    rows = contact_values(contact)
+    rows = contact_values(contact).where(F.col("entity_number") != "")
     columns = ["enterprise_number", *CONTACT_COLUMNS, ORDER]
     own = rows.where(~F.col("of_establishment")).withColumnRenamed("entity_number", "enterprise_number")
     theirs = rows.where("of_establishment").withColumnRenamed("entity_number", "establishment_number")
@@ -138,11 +156,13 @@ def best_contacts(contact: DataFrame, establishment: DataFrame, owner: DataFrame
     Contacts of establishments are first reduced to one row per establishment, so
     the join with the owners meets no frequent key; the position of each value
     travels along, and the final minimum is the same as over the single rows.
+    Of those without a key one row is left, which no owner matches; a test on the
+    key would be carried over to the owners and compute their keys a second time.
     """
     rows = contact_values(contact)
     owner = establishment_owner(establishment) if owner is None else owner
     earliest = [F.min(c).alias(c) for c in CONTACT_COLUMNS]
-    own = _positioned(rows.where(~F.col("of_establishment")), "enterprise_number")
+    own = _positioned(rows.where(~F.col("of_establishment") & (F.col("entity_number") != "")), "enterprise_number")
     theirs = _positioned(rows.where("of_establishment"), "establishment_number")
     owned = theirs.groupBy("establishment_number").agg(*earliest).join(owner, "establishment_number")
     merged = own.unionByName(owned.drop("establishment_number")).groupBy("enterprise_number").agg(*earliest)
@@ -161,7 +181,7 @@ def best_denomination(denomination: DataFrame) -> DataFrame:
         F.col(ORDER),
     )
     best = denomination.groupBy("enterprise_number").agg(
-        F.min_by("denomination", F.when(is_denomination(), preference)).alias("denomination")
+        first_by(F.col("denomination"), F.when(is_denomination(), preference)).alias("denomination")
     )
     return best.where(F.col("denomination").isNotNull())
 
@@ -173,7 +193,7 @@ def is_activity() -> Column:
 def first_activity(activity: DataFrame) -> DataFrame:
     """Per enterprise its first activity code; combines map-side."""
     first = activity.groupBy("enterprise_number").agg(
-        F.min_by("nace_code", F.when(is_activity(), F.col(ORDER))).alias("first_code")
+        first_by(F.col("nace_code"), F.when(is_activity(), F.col(ORDER))).alias("first_code")
     )
     return first.where(F.col("first_code").isNotNull())
 

@@ -138,7 +138,9 @@ def raw_address(spark: SparkSession, sf_dir: str, in_order: bool = False) -> Dat
 
 
 def owned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    """Lines with the owner of their order; the text of its number is built once per order."""
+    owner = dotted("0", F.col("o_custkey")).alias("owner")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", owner)
     return table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
@@ -146,7 +148,7 @@ def raw_activity(spark: SparkSession, sf_dir: str, in_order: bool = False) -> Da
     lines = sorted_if(in_order, owned_lines(spark, sf_dir), *LINE_KEYS)
     code = F.concat(pick(CODE_HEADS, F.col("l_partkey")), pick(CODE_TAILS, F.col("l_suppkey")))
     return lines.select(
-        dotted("0", F.col("o_custkey")).alias("EnterpriseNumber"),
+        F.col("owner").alias("EnterpriseNumber"),
         blank_if(F.col("o_custkey") % 9 == 0, code).alias("nace_code"),
         line_order(lines),
     )
@@ -187,7 +189,7 @@ def raw_denomination(spark: SparkSession, sf_dir: str, in_order: bool = False) -
     lines = sorted_if(in_order, lines, *LINE_KEYS)
     name_type = F.when(F.col("l_returnflag") == "N", "001").when(F.col("l_returnflag") == "R", "002").otherwise("003")
     return lines.select(
-        dotted("0", F.col("o_custkey")).alias("EntityNumber"),
+        F.col("owner").alias("EntityNumber"),
         blank_if(F.col("o_custkey") % 7 == 0, F.col("p_name")).alias("Denomination"),
         name_type.alias("TypeOfDenomination"),
         pick(LANGUAGES, F.col("l_suppkey")).alias("Language"),

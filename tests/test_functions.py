@@ -19,6 +19,16 @@ def test_cleaned_strips_all_white_space(spark):
     assert [r.v for r in text.cleaned(df, ["v"]).collect()] == ["a b", None, None]
 
 
+def test_cleaned_looks_at_both_ends_of_every_text(spark):
+    ends = ["", "a", "~", "!", "é", "\x7f", "\x01", " ", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\U0001f600"]
+    given = [a + b + c for a in ends for b in ("", "x", " y ") for c in ends]
+    df = spark.createDataFrame(list(enumerate(given)), "i int, v string")
+    got = [r.v for r in text.cleaned(df, ["v"]).orderBy("i").collect()]
+    assert got == [v.strip(text.WHITESPACE) or None for v in given]
+    numbers = spark.range(2).select(F.col("id").alias("v"))
+    assert [r.v for r in text.cleaned(numbers, ["v"]).orderBy("v").collect()] == ["0", "1"]
+
+
 def test_digits(spark):
     assert values(spark, text.digits, ["0123.456.789", '"2.111"', "x", None]) == ["0123456789", "2111", "", ""]
 

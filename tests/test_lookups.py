@@ -146,3 +146,33 @@ def test_dedupe(table):
     assert rows(kept, "name", "address") == sorted([given[0], *given[2:]], key=str)
     fresh = dedupe.not_seen_before(leads, leads.where(F.col("name") == "x"))
     assert rows(fresh, "name", "address") == sorted(given[:4], key=str)
+
+
+def test_equal_positions_are_decided_by_the_value(spark):
+    """Which of two rows comes last must not depend on how the rows are dealt."""
+    for given in ([("1", "b"), ("1", "a")], [("1", "a"), ("1", "b")]):
+        df = spark.createDataFrame(given, "enterprise_number string, nace_code string").coalesce(1)
+        codes = lookups.first_activity(df.withColumn("_ord", F.struct(F.lit(0).alias("chunk"))))
+        assert rows(codes, "enterprise_number", "first_code") == [("1", "a")]
+
+
+def test_owners_keys_are_computed_once(table):
+    """Contacts without a key match no owner; testing theirs would repeat the owners' keys in a filter of their scan."""
+    contact = map_contact(
+        table(
+            [
+                {"EntityNumber": "2.1", "EntityContact": "EST", "ContactType": "TEL", "Value": "1"},
+                {"EntityNumber": "x", "EntityContact": "EST", "ContactType": "TEL", "Value": "2"},
+                {"EntityNumber": "", "EntityContact": "ENT", "ContactType": "TEL", "Value": "3"},
+                {"EntityNumber": "0.8", "EntityContact": "ENT", "ContactType": "EMAIL", "Value": "e"},
+            ],
+            ["EntityNumber", "EntityContact", "ContactType", "Value"],
+        ).transform(canonical_columns)
+    )
+    given = [{"enterprise_number": "0.9", "establishment_number": "2.1"}, {"enterprise_number": "0.7"}]
+    establishment = map_establishment(table(given, ["enterprise_number", "establishment_number"]))
+    best = lookups.best_contacts(contact, establishment)
+    assert rows(best, "enterprise_number", "phone", "email") == [("08", None, "e"), ("09", "1", None)]
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert not any("establishment_number" in f and "regexp_replace" in f for f in filters)
