@@ -2,7 +2,7 @@
 
 A byte goes if it lies in a ``LENGTH``-byte string that also starts in a document with a smaller id.
 
-Routing. Documents are packed into blocks of some megabytes by a hash of their id. Every window of ``LENGTH`` bytes is
+Routing. Documents are packed into blocks of 16 megabytes by a hash of their id. Every window of ``LENGTH`` bytes is
 dealt to a bucket by its anchor, the 20-byte string with the least hash in it, so equal windows meet in one bucket
 wherever they stand. Neighbouring windows mostly share their anchor and travel together as one piece of at most 80
 bytes. Blocks first send the hashes of their anchors alone; buckets answer which of them a second document has, and only
@@ -18,7 +18,9 @@ the matching statistic is at least ``LENGTH`` where that many bytes are left, an
 in a smaller document.
 
 Covered ranges go back to the blocks and are cut out there. Blocks, buckets and answers are of bounded size; their
-number grows with the corpus. All that is shuffled is packed and compressed.
+number grows with the corpus. All that is shuffled is packed and compressed: one message from a block to a bucket and
+back, whatever the parts a block is looked at in. Messages grow with the square of the corpus, so blocks and buckets are
+as large as a task's memory allows, and what a message costs stays small beside what it carries.
 """
 
 from __future__ import annotations
@@ -33,17 +35,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmscout.llm.common import numbered, parts_for, picked, text_bytes
-from firmscout.llm.hashing import mix
+from firmscout.llm.hashing import mix, powers
 
 LENGTH = 50
 ANCHOR = 20
-#: Bytes of text for each bucket and block, and the piece of text that a task looks at in one go.
-BUCKET_BYTES = 2 << 20
+#: Bytes of text for each bucket, buckets' worth of text for each block, and the piece of text that a task looks at in one go.
+BUCKET_BYTES = 8 << 20
+BLOCK_BUCKETS = 2
 CHUNK = 1 << 20
+#: Pieces whose bytes are compared in one go.
+COMPARED = 1 << 14
 #: Symbols that are indexed together; anchors with more are indexed alone.
 INDEX_SYMBOLS = 1 << 20
 _SPREAD = LENGTH - ANCHOR + 1  # anchors to choose from in a window
 _POSITION = np.uint64((1 << 24) - 1)
+_KEY_BITS = np.uint64(40)  # of an anchor's hash
+_KEY = np.uint64((1 << 40) - 1)
 _NO_ID = np.iinfo(np.int64).max  # a null id is larger than all others
 
 PACKED = "{0} int, payload binary"
@@ -165,41 +172,60 @@ def _pieces(text: np.ndarray, starts: np.ndarray, common: np.ndarray) -> tuple[n
 
 
 def _hashed(text: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every piece."""
-    weights = mix(np.arange(1, 2 * LENGTH + 1, dtype=np.uint64)) | np.uint64(1)
-    place = _ranges(np.zeros(len(first), dtype=np.int64), length)
-    values = mix(text[_ranges(first, length)].astype(np.uint64) + np.uint64(1) + (place.astype(np.uint64) << np.uint64(9))) * weights[place]
-    return mix(np.add.reduceat(values, np.cumsum(length) - length) + length.astype(np.uint64))
+    """A 64-bit hash of every piece, from sums over the text before its end and before its first byte."""
+    up, down = powers(len(text))
+    sums = np.zeros(len(text) + 1, dtype=np.uint64)
+    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+    return mix((sums[first + length] - sums[first]) * down[first] + length.astype(np.uint64))
 
 
-def _block_pieces(rows: pa.Table, common: np.ndarray) -> tuple[list[tuple], np.ndarray, np.ndarray]:
-    """A block's chunks with their pieces, and the anchors' hashes and ids of all pieces."""
-    chunks = [(text, starts, ids, offsets, tags, *_pieces(text, starts, common)) for text, starts, ids, offsets, tags in _chunks(rows)]
-    if not chunks:
-        return [], np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    return chunks, np.concatenate([c[7] for c in chunks]), np.concatenate([c[2][c[8]] for c in chunks])
+def _routes(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Anchors' hashes behind their buckets, so that their order is that of buckets, and of hashes in a bucket."""
+    return (key % np.uint64(buckets)) << _KEY_BITS | key
 
 
-def _different(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The different hashes by bucket and size, and their buckets."""
-    keys = np.unique(keys)
-    bucket = (keys % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    return keys[order], bucket[order]
+def _bucket(route: np.ndarray) -> np.ndarray:
+    return (route >> _KEY_BITS).astype(np.int32)
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of values, and where in it the runs of equal ones begin."""
+    order = np.argsort(values)
+    return order, np.flatnonzero(np.diff(values[order], prepend=~values[order[:1]]))
+
+
+def _block_pieces(rows: pa.Table, buckets: int, common: np.ndarray, sent: bool = True) -> tuple[np.ndarray, ...]:
+    """Of all pieces of a block: route, id, and if they may be ``sent`` hash and length, first byte, place and the text.
+
+    A hash stands before its piece's length, which takes eight bits; a place before its text's tag.
+    """
+    found, texts, at = [], [], 0
+    for text, starts, ids, offsets, tags in _chunks(rows):
+        first, length, key, part = _pieces(text, starts, common)
+        columns = [_routes(key, buckets), ids[part]]
+        if sent:
+            same = _hashed(text, first, length) << np.uint64(32) >> np.uint64(24) | length.astype(np.uint64)
+            columns += [same, first + at, (first - starts[part] + offsets[part]) << 24 | tags[part]]
+            texts.append(text)
+            at += len(text)
+        found.append(columns)
+    kinds = [np.uint64, np.int64, np.uint64, np.int64, np.int64][: 5 if sent else 2]
+    columns = [np.concatenate([np.zeros(0, dtype=k), *x]) for k, x in zip(kinds, zip(*found) if found else [[]] * 5)]
+    return *columns, *([np.concatenate([np.zeros(0, dtype=np.uint8), *texts])] if sent else [])
 
 
 def _ask(rows: pa.Table, block: int, buckets: int, common: np.ndarray) -> pa.Table:
     """The different anchors of a block by bucket, and whether two documents of the block have them."""
-    _, keys, ids = _block_pieces(rows, common)
-    order = np.lexsort((ids, keys))
-    again = (keys[order][1:] == keys[order][:-1]) & (ids[order][1:] != ids[order][:-1])
-    twice = np.unique(keys[order][1:][again])
-    keys, bucket = _different(keys, buckets)
-    both = np.isin(keys, twice)
-    names, payloads = [], []
+    route, ids = _block_pieces(rows, buckets, common, sent=False)
+    order, heads = _runs(route)
+    if not len(heads):
+        return _rows("bucket", [], [], block=[])
+    ids, route = ids[order], route[order[heads]]
+    both = (np.minimum.reduceat(ids, heads) != np.maximum.reduceat(ids, heads)).view(np.uint8)
+    names, payloads, key, bucket = [], [], route & _KEY, _bucket(route)
     for a, b in _cuts(bucket, buckets):
         names.append(bucket[a])
-        payloads.append(_pack(np.diff(keys[a:b], prepend=np.uint64(0)), both[a:b].view(np.uint8)))
+        payloads.append(_pack(np.diff(key[a:b], prepend=np.uint64(0)), both[a:b]))
     return _rows("bucket", names, payloads, block=[block] * len(names))
 
 
@@ -225,48 +251,72 @@ def _answer(group: pa.Table) -> pa.Table:
 
 def _unequal(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Which of the stretches that begin at ``a`` and at ``b`` differ, byte by byte."""
-    if not len(a):
-        return np.zeros(0, dtype=bool)
-    differ = text[_ranges(a, length)] != text[_ranges(b, length)]
-    return np.logical_or.reduceat(differ, np.cumsum(length) - length)
+    out = np.zeros(len(a), dtype=bool)
+    for at in range(0, len(a), COMPARED):
+        own = slice(at, at + COMPARED)
+        differ = text[_ranges(a[own], length[own])] != text[_ranges(b[own], length[own])]
+        out[own] = np.logical_or.reduceat(differ, np.cumsum(length[own]) - length[own])
+    return out
 
 
 def _send(rows: pa.Table, answers: pa.Table, buckets: int, common: np.ndarray) -> pa.Table:
     """The pieces of a block whose anchors a second document has, packed by bucket."""
-    chunks, keys, _ = _block_pieces(rows, common)
-    keys, bucket = _different(keys, buckets)
-    wanted = np.zeros(len(keys), dtype=bool)
-    place = {bucket[a]: (a, b) for a, b in _cuts(bucket, buckets)}
+    route, ids, same, first, place, text = _block_pieces(rows, buckets, common)
+    order, heads = _runs(route)
+    different = route[order[heads]]
+    wanted = np.zeros(len(different), dtype=bool)
+    at = {name: (a, b) for (a, b), name in ((cut, int(different[cut[0]] >> _KEY_BITS)) for cut in _cuts(_bucket(different), buckets))}
     for name, bits in zip(answers.column("bucket").to_pylist(), answers.column("payload").to_pylist()):
-        a, b = place[name]
+        a, b = at[name]
         wanted[a:b] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=b - a) > 0
-    wanted = np.sort(keys[wanted])
-    names, payloads = [], []
-    for text, starts, ids, offsets, tags, first, length, key, part in chunks:
-        if not len(wanted):
-            break
-        own = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key)
-        first, length, key, part = first[own], length[own], key[own], part[own]
-        same = _hashed(text, first, length).astype(np.uint32) if len(own) else own
-        bucket = (key % np.uint64(buckets)).astype(np.int32)
-        order = np.lexsort((length, same, key, bucket))
-        first, length, key, part, same, bucket = (x[order] for x in (first, length, key, part, same, bucket))
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (same[1:] != same[:-1]) | (key[1:] != key[:-1]) | (length[1:] != length[:-1])
-        alike = np.flatnonzero(~new)  # a hash only suggests that pieces are equal
-        new[alike] = _unequal(text, first[alike - 1], first[alike], length[alike])
-        at = first - starts[part] + offsets[part]
-        for a, b in _cuts(bucket, buckets):
-            own = np.flatnonzero(new[a:b]) + a
-            body = text[_ranges(first[own], length[own])]
-            copies = np.diff(np.append(own, b)).astype(np.int32)
-            place_of = (at[a:b] << 24) | tags[part[a:b]]
-            difference = np.diff(key[own], prepend=np.uint64(0))
-            names.append(bucket[a])
-            payloads.append(_pack(length[own].astype(np.uint8), difference, same[own], copies, ids[part[a:b]], place_of, body))
+    own = order[np.repeat(wanted, np.diff(np.append(heads, len(order))))]
+    own = own[np.lexsort((same[own], route[own]))]
+    route, ids, same, first, place = (x[own] for x in (route, ids, same, first, place))
+    length = (same & np.uint64(255)).astype(np.int64)
+    new = np.ones(len(own), dtype=bool)
+    new[1:] = (same[1:] != same[:-1]) | (route[1:] != route[:-1])
+    alike = np.flatnonzero(~new)  # a hash only suggests that pieces are equal
+    new[alike] = _unequal(text, first[alike - 1], first[alike], length[alike])
+    heads = np.flatnonzero(new)
+    copies = np.diff(np.append(heads, len(own))).astype(np.int32)
+    first, key, same, length = first[heads], (route & _KEY)[heads], (same >> np.uint64(8)).astype(np.uint32)[heads], length[heads]
+    names, payloads, bucket = [], [], _bucket(route[heads])
+    ends = np.append(heads, len(own))
+    for a, b in _cuts(bucket, buckets):
+        every = slice(ends[a], ends[b])
+        body = text[_ranges(first[a:b], length[a:b])]
+        difference = np.diff(key[a:b], prepend=np.uint64(0))
+        names.append(bucket[a])
+        payloads.append(_pack(length[a:b].astype(np.uint8), difference, same[a:b], copies[a:b], ids[every], place[every], body))
     return _rows("bucket", names, payloads)
 
 
+def _sorted(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of so many bits in order, and their places, which decide between equal ones; sorted as one number if both fit."""
+    room = np.uint64(max(1, (len(key) - 1).bit_length()))
+    if bits + int(room) > 64:
+        order = np.argsort(key, kind="stable")
+        return key[order], order
+    both = np.sort(key << room | np.arange(len(key), dtype=np.uint64))
+    return both >> room, (both & ((np.uint64(1) << room) - np.uint64(1))).astype(np.int64)
+
+
+class Marks:
+    """Marked places among ``n``, one bit each, with the marks before every 64 of them."""
+
+    def __init__(self, places: np.ndarray, n: int):
+        bits = np.zeros(-(-n // 64) * 64, dtype=np.uint8)
+        bits[places] = 1
+        self.words = np.packbits(bits, bitorder="little").view("<u8")
+        counts = np.bitwise_count(self.words).astype(np.int64)
+        self.before = np.cumsum(counts) - counts
+
+    def upto(self, at: np.ndarray) -> np.ndarray:
+        """How many marks there are up to a place, itself included."""
+        word = at >> 6
+        return self.before[word] + np.bitwise_count(self.words[word] << (63 - (at & 63)).astype(np.uint64))
+
+
 class RunIndex:
     """A run-length compressed Burrows-Wheeler index of short texts, each with a document.
 
@@ -283,11 +333,11 @@ class RunIndex:
         symbols[np.delete(np.arange(n), self.ends)] = body.astype(np.uint64) + np.uint64(1)
         text_of = np.repeat(np.arange(n_texts), length + 1)
         left = self.ends[text_of] - np.arange(n)
-        rank, at_28 = self._ranks(symbols, left)
-        order = np.argsort(rank, kind="stable")
+        order, at_28 = self._ranks(symbols, left)
         # The transform's runs. What stands before a text's first byte is never asked for and counts as a 0.
         before = np.where(np.concatenate([[True], symbols[:-1] == 0])[order], 0, symbols[order - 1]).astype(np.int16)
         self.heads = np.flatnonzero(np.diff(before, prepend=-1))
+        self.run = Marks(self.heads, n)
         self.characters = before[self.heads]
         sizes = np.diff(np.append(self.heads, n))
         by_character = np.argsort(self.characters, kind="stable")
@@ -302,12 +352,13 @@ class RunIndex:
         two = at_28[np.minimum(order + LENGTH - 28, n - 1)]
         start = np.ones(n, dtype=bool)
         start[1:] = ~(whole[1:] & whole[:-1] & (one[1:] == one[:-1]) & (two[1:] == two[:-1]))
-        self.starts = np.flatnonzero(start)
-        self.least = np.minimum.reduceat(docs[text_of[order]], self.starts)
+        starts = np.flatnonzero(start)
+        self.alike = Marks(starts, n)
+        self.least = np.minimum.reduceat(docs[text_of[order]], starts)
 
     @staticmethod
     def _ranks(symbols: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Dense ranks of all suffixes up to the end of their text, and those of their first 28 symbols."""
+        """The order of all suffixes up to the end of their text, equal ones by place, and dense ranks of their first 28 symbols."""
         n = len(symbols)
         key = np.zeros(n, dtype=np.uint64)
         for k in range(7):  # seven symbols of nine bits
@@ -315,16 +366,15 @@ class RunIndex:
             key[: n - k] |= np.where(left[: n - k] > k, own, 0) if k else own
         depth, at_28 = 7, None
         while True:
-            order = np.argsort(key, kind="stable")
-            ordered = key[order]
+            ordered, order = _sorted(key, 63 if depth == 7 else (n * (n + 1) + n).bit_length())
+            if depth > 2 * LENGTH:
+                return order, at_28
             steps = np.zeros(n, dtype=np.int64)
             steps[1:] = np.cumsum(ordered[1:] != ordered[:-1])
             rank = np.empty(n, dtype=np.int64)
             rank[order] = steps
             if depth == 28:
                 at_28 = rank
-            if depth > 2 * LENGTH:
-                return rank, at_28
             rest = np.zeros(n, dtype=np.int64)
             rest[: n - depth] = np.where(left[: n - depth] >= depth, rank[depth:] + 1, 0) if n > depth else 0
             key = rank.astype(np.uint64) * np.uint64(n + 1) + rest.astype(np.uint64)
@@ -337,10 +387,10 @@ class RunIndex:
         for step in range(1, int(self.length.max(initial=0)) + 1):
             going = self.length[texts] >= step
             texts, at = texts[going], at[going]
-            run = np.searchsorted(self.heads, at, side="right") - 1
+            run = self.run.upto(at) - 1
             at = self.mapped[run] + at - self.heads[run]
             if step >= LENGTH:
-                yield texts, self.length[texts] - step, self.least[np.searchsorted(self.starts, at, side="right") - 1]
+                yield texts, self.length[texts] - step, self.least[self.alike.upto(at) - 1]
 
 
 def covered(length: np.ndarray, key: np.ndarray, body: np.ndarray, first_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -431,11 +481,11 @@ def _block(ids: np.ndarray, blocks: int) -> np.ndarray:
 
 
 def common_anchors(docs: DataFrame) -> np.ndarray:
-    """Hashes of anchors so frequent that their pieces alone would fill a bucket, from every 16th document's pieces.
+    """Hashes of anchors so frequent that their pieces alone would fill a quarter of a bucket, from every 16th document's pieces.
 
     They only decide where windows are compared, never whether; so a sample does.
     """
-    least = max(64, BUCKET_BYTES // 64 // 16)
+    least = max(64, BUCKET_BYTES // 4 // 64 // 16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, dtype=np.uint64)
@@ -448,7 +498,7 @@ def common_anchors(docs: DataFrame) -> np.ndarray:
 
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(16)) == 0).select(F.col("doc_id").cast("long"), "text")
     counts = some.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    # At most one anchor for each bucket's worth of text can be that frequent; the sixteenth bounds the list again.
+    # At most four anchors for each bucket's worth of text can be that frequent; the sixteenth bounds the list again.
     keys = [r["key"] for r in counts.where(F.col("n") >= least).select("key").collect()]
     return np.sort((np.array(keys, dtype=np.uint64) << np.uint64(24) >> np.uint64(1)) & ~_POSITION)
 
@@ -461,7 +511,7 @@ def cut(docs: DataFrame) -> DataFrame:
     """
     names, docs = docs.columns, numbered(docs, "doc_id", "text")
     total = text_bytes(docs)
-    n = parts_for(total, BUCKET_BYTES)  # blocks, and buckets as well
+    n_blocks, buckets = parts_for(total, BLOCK_BUCKETS * BUCKET_BYTES), parts_for(total, BUCKET_BYTES)
     common = docs.sparkSession.sparkContext.broadcast(common_anchors(docs))
     columns = docs.columns
     text_at, id_at = columns.index("text"), columns.index("doc_id")
@@ -470,10 +520,10 @@ def cut(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids = batch.column(batch.num_columns - 1).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
             rows = batch.select(list(range(batch.num_columns - 1)))
-            block = _block(ids, n)
+            block = _block(ids, n_blocks)
             order = np.argsort(block, kind="stable")
             names, payloads = [], []
-            for a, b in _cuts(block[order], n):
+            for a, b in _cuts(block[order], n_blocks):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, rows.schema) as writer:
                     writer.write_batch(rows.take(pa.array(order[a:b])))
@@ -493,14 +543,14 @@ def cut(docs: DataFrame) -> DataFrame:
     placed = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
     texts = docs.select(*placed, F.col("doc_id").cast("long").alias("_id")).mapInArrow(pack, PACKED.format("block"))
     asked = texts.groupBy("block").applyInArrow(
-        lambda key, group: _ask(texts_of(group), key[0].as_py(), n, common.value), "bucket int, block int, payload binary"
+        lambda key, group: _ask(texts_of(group), key[0].as_py(), buckets, common.value), "bucket int, block int, payload binary"
     )
     answers = asked.groupBy("bucket").applyInArrow(_answer, "block int, bucket int, payload binary")
     sent = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        lambda left, right: _send(texts_of(left), right, n, common.value) if right.num_rows else _rows("bucket", [], []),
+        lambda left, right: _send(texts_of(left), right, buckets, common.value) if right.num_rows else _rows("bucket", [], []),
         PACKED.format("bucket"),
     )
-    spans = sent.groupBy("bucket").applyInArrow(lambda group: _match(group, n), PACKED.format("block"))
+    spans = sent.groupBy("bucket").applyInArrow(lambda group: _match(group, n_blocks), PACKED.format("block"))
     own = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
     out = texts.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(
         lambda left, right: _cut_block(opened(left), right, text_at, id_at),

@@ -131,3 +131,39 @@ def test_equal_hashes_of_other_bytes_cover_nothing():
     assert _covered((1, one), (2, one)) == {2: (0, 80)}
     assert _covered((1, one), (2, other), (3, one)) == {3: (0, 80)}
     assert _covered((1, other), (2, one), (3, other), (4, one), (5, anchor + b"z" * 60)) == {3: (0, 80), 4: (0, 80)}
+
+
+def _block(rows):
+    return pa.table({"doc_id": pa.array([d for d, _ in rows], pa.int64()), "text": pa.array([t for _, t in rows], pa.string())})
+
+
+def test_a_block_sends_a_bucket_one_message(monkeypatch):
+    """However many parts its texts are looked at in; bytes that differ stay apart also where hashes are equal."""
+    none, buckets = np.zeros(0, dtype=np.uint64), 3
+    rows = [(i, prose(i, 60) + PASSAGE) for i in range(30)] + [(40, prose(1, 300)), (41, prose(1, 300))]
+    monkeypatch.setattr(substrings, "CHUNK", 700)
+    for same in (substrings._hashed, lambda text, first, length: np.zeros(len(first), dtype=np.uint64)):
+        monkeypatch.setattr(substrings, "_hashed", same)
+        asked = substrings._ask(_block(rows), 0, buckets, none).to_pylist()
+        answers = [substrings._answer(pa.Table.from_pylist([m])) for m in asked]
+        sent = substrings._send(_block(rows), pa.concat_tables(answers), buckets, none)
+        names = sent.column("bucket").to_pylist()
+        assert len(names) == buckets and sorted(names) == sorted(m["bucket"] for m in asked) == sorted(set(names))
+        spans = pa.concat_tables([substrings._match(sent.slice(i, 1), 1) for i in range(len(names))])
+        cut = substrings._cut_block(_block(rows), spans, 1, 0).to_pylist()
+        got = [(r["doc_id"], r["_n_bytes"], r["_n_removed"], r["_n_spans"], hashlib.sha256(r["_kept"]).hexdigest()) for r in cut]
+        assert sorted(got, key=repr) == brute(rows)
+
+
+def test_marks_and_orders():
+    places = np.array([0, 3, 63, 64, 130, 191])
+    assert substrings.Marks(places, 192).upto(np.arange(192)).tolist() == [int((places <= i).sum()) for i in range(192)]
+    keys = np.array([5, 1, 5, 0, 1, 5], dtype=np.uint64)
+    for bits in (3, 64):
+        ordered, order = substrings._sorted(keys, bits)
+        assert ordered.tolist() == [0, 1, 1, 5, 5, 5] and order.tolist() == [3, 1, 4, 0, 2, 5]
+
+
+def test_blocks_and_buckets_are_far_fewer_than_megabytes():
+    """What travels between them is a message for every pair."""
+    assert substrings.BUCKET_BYTES >= 8 << 20 and substrings.BLOCK_BUCKETS * substrings.BUCKET_BYTES >= 16 << 20
