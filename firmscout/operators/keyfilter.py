@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Places of a filter, a byte each. Of other keys the share that the filter is full passes: a fortieth at 100,000 keys, a
+from firmscout.operators.joins import stage
+
+#: Places of a filter, a bit each, always a power of two. Of other keys the share that the filter is full passes: a fortieth at 100,000 keys, a
 #: fifth at a million; set it to some twenty times the keys that are expected.
 PLACES = 1 << 22
 #: Bounds where the keys are counted.
@@ -24,28 +26,26 @@ def places_for(n_keys: int) -> int:
     return min(MOST_PLACES, max(LEAST_PLACES, 1 << (20 * n_keys).bit_length()))
 
 
-def key_bits(keys: DataFrame, key: str, places: int = PLACES) -> Column:
+def key_bits(keys: DataFrame, key: str, places: int = PLACES, once: bool = False) -> Column:
     """The filter of ``keys[key]``, as a scalar subquery; null and repeated keys are fine.
 
-    Bits are added up map-side, so a task sends one number per word of the filter at most, and end as one binary value
-    with a byte for every place.
+    Bits are added up map-side, so a task sends one number per word of the filter at most, and end as one list of words.
+    With ``once`` that is computed now and written, and what ``keys`` is made from is no part of plans with the filter.
     """
-    known = keys.select(F.pmod(F.xxhash64(key), F.lit(places)).alias("place")).where(F.col(key).isNotNull())
-    ones = known.selectExpr("place div 64 AS word", "shiftleft(1L, CAST(63 - place % 64 AS INT)) AS ones")
+    known = keys.select(F.xxhash64(key).bitwiseAND(places - 1).alias("place")).where(F.col(key).isNotNull())
+    ones = known.selectExpr("shiftright(place, 6) AS word", "shiftleft(1L, CAST(place & 63 AS INT)) AS ones")
     every = keys.sparkSession.range(places // WORD).selectExpr("id AS word", "0L AS ones")
     words = every.unionByName(ones).groupBy("word").agg(F.bit_or("ones").alias("ones"))
     listed = words.agg(F.sort_array(F.collect_list(F.struct("word", "ones"))).alias("all"))
-    digits = F.transform("all.ones", lambda ones: F.lpad(F.bin(ones), WORD, "0"))
-    return listed.select(F.array_join(digits, "").cast("binary")).scalar()
+    words = listed.select(F.col("all.ones").alias("words"))
+    return (stage(words) if once else words).scalar()
 
 
 def may_hold(filled: Column, key: Column, places: int = PLACES) -> Column:
-    """Whether a key may be in the set of a filter.
-
-    The key stands in the test once: a filter that moves below the projection that computes the key would otherwise
-    compute it again for every part of the test.
-    """
-    return F.substr(filled, F.pmod(F.xxhash64(key), F.lit(places)).cast("int") + 1, F.lit(1)) == F.lit(b"1")
+    """Whether a key may be in the set of a filter."""
+    hashed = F.xxhash64(key)
+    word = F.get(filled, F.shiftright(hashed.bitwiseAND(places - 1), 6).cast("int"))
+    return F.getbit(word, hashed.bitwiseAND(WORD - 1).cast("int")) == 1
 
 
 def may_match(df: DataFrame, keys: DataFrame, key: str, on: str | None = None, places: int = PLACES) -> DataFrame:

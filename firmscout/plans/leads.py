@@ -20,7 +20,7 @@ from firmscout.functions.sectors import sector_of
 from firmscout.functions.text import blank, is_active, postal_code, status_label, yes_no
 from firmscout.operators import filters, lookups
 from firmscout.operators.joins import ORDER, attach, stage
-from firmscout.operators.keyfilter import key_bits, may_hold, may_match, places_for
+from firmscout.operators.keyfilter import MOST_PLACES, key_bits, may_hold, may_match, places_for
 from firmscout.operators.quality import REASON, apply_policy, place_reason, reject_reason
 from firmscout.plans.params import LeadParams
 
@@ -57,6 +57,7 @@ class Registry:
 
     ``snapshot`` is the tag of all rows; none means that every key begins with its own tag (see ``plans.snapshots``).
     ``owner`` has the enterprise of every establishment whose contacts count, where these are not all establishments.
+    ``is_cut`` says that the other tables hold only what may belong to its enterprises.
     """
 
     enterprise: DataFrame
@@ -67,6 +68,7 @@ class Registry:
     denomination: DataFrame | None = None
     snapshot: str | None = ""
     owner: DataFrame | None = None
+    is_cut: bool = False
 
 
 def located_enterprises(
@@ -114,6 +116,8 @@ def narrowed(registry: Registry, params: LeadParams) -> Registry:
     The keys of the eligible enterprises are a Bloom filter, which the scan of a table tests before it computes
     anything else, so that no list is built and no row sorted or shuffled for enterprises that are closed or too old.
     """
+    if registry.is_cut:
+        return registry
     keys, cut = eligible(registry, params), {}
     if registry.activity is not None and not params.lite:
         cut["activity"] = may_match(registry.activity, keys, KEY)
@@ -140,12 +144,15 @@ def cut_down(registry: Registry, params: LeadParams) -> Registry:
     Starts jobs: the eligible enterprises are computed once, written and counted, and key filters made from what was
     written are tested in the scans of all other tables, so that nothing else is sorted or shuffled. The owner of an
     establishment is the one its last row names, so all rows of those that any eligible enterprise ever had are kept for it.
+
+    The filters are computed once and written as well. A filter is a value in the plan, and a plan goes along, through
+    the driver, with the tasks of every stage above it, with all that its filters are computed from.
     """
     number, enterprise = "establishment_number", stage(eligible(registry, params))
-    keys = places_for(enterprise.count())
-    theirs = may_match(registry.establishment, enterprise, KEY, places=keys)
-    mine, places = key_bits(enterprise, KEY, keys), min(PLACE_KEYS, 16 * keys)
-    held = key_bits(theirs, number, places)
+    keys = min(MOST_PLACES, 4 * places_for(enterprise.count()))
+    mine, places = key_bits(enterprise, KEY, keys, once=True), min(PLACE_KEYS, 4 * keys)
+    theirs = registry.establishment.where(may_hold(mine, F.col(KEY), keys))
+    held = key_bits(theirs, number, places, once=True)
     cut = {"enterprise": enterprise, "establishment": theirs}
     if registry.address is not None:
         cut["address"] = registry.address.where(may_hold(held, F.col(number), places))
@@ -159,7 +166,7 @@ def cut_down(registry: Registry, params: LeadParams) -> Registry:
         if registry.owner is None:
             once_theirs = registry.establishment.where(may_hold(held, F.col(number), places))
             cut["owner"] = lookups.establishment_owner(once_theirs)
-    return replace(registry, **cut)
+    return replace(registry, **cut, is_cut=True)
 
 
 def candidates(registry: Registry, params: LeadParams, how: str = "left", narrow: bool = False) -> DataFrame:

@@ -303,6 +303,24 @@ def test_a_run_over_cut_down_tables_has_the_same_leads(spark, table):
     assert leads.build_leads(leads.cut_down(registry, lite), lite).collect() == leads.build_leads(registry, lite).collect()
 
 
+def test_a_filter_is_small_and_goes_alone_with_its_plans(spark, table):
+    """A bit for every place; what its keys were found with is in no plan that tests it, nor is a second filter on the same keys."""
+    keys = table([{"k": str(i)} for i in range(1000)], ["k"])
+    words = spark.range(1).select(key_bits(keys, "k", 1 << 20).alias("w")).first()["w"]
+    assert 64 * len(words) == 1 << 20 and 900 < sum(bin(w & (2**64 - 1)).count("1") for w in words) <= 1000
+    enterprise = table([{"enterprise_number": str(i), "status": "AC", "start_date": "2026-01-01"} for i in range(9)], ["enterprise_number", "status", "start_date", "name", "postal_code", "city", "address", "website"])
+    columns = ["enterprise_number", "establishment_number", "address", "postal_code", "city"]
+    establishment = table([{"enterprise_number": str(i), "establishment_number": f"9{i}"} for i in range(9)], columns)
+    address, codes = table([{"establishment_number": "91"}], columns[1:]), table([{"enterprise_number": "1", "nace_code": "96"}], ["enterprise_number", "nace_code"])
+    params = LeadParams(date(2026, 6, 1))
+    cut = leads.cut_down(leads.Registry(enterprise, establishment, address, codes), params)
+    plan = cut.address._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("scalar-subquery") == 1 and "bit_or" not in plan and "start_date" not in plan
+    assert leads.narrowed(cut, params).activity is cut.activity
+    lists = leads.lead_rows(cut, params)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" not in lists
+
+
 def test_places_of_a_filter_follow_the_count():
     assert [places_for(n) for n in (0, 100_000, 400_000, 10**9)] == [LEAST_PLACES, 1 << 21, 1 << 23, MOST_PLACES]
 
